@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, simple8b, token_counts
+from . import decontamination, simhash, simple8b, token_counts, topk
 
 QUERIES = {
     "op1_token_ids": simple8b.op1_token_ids,
+    "op4_simhash": simhash.op4_simhash,
     "op6_decontamination": decontamination.op6_decontamination,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op10_top_k": topk.op10_top_k,
 }
 
-ORACLE_SQL = {"op6_decontamination": decontamination.OP6_SQL}
+ORACLE_SQL = {"op6_decontamination": decontamination.OP6_SQL, "op10_top_k": topk.OP10_SQL}
