@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import empty_if_null, materialise, read_table, scratch_path
-from .tokens import WordEncoder, default_path
+from .tokens import default_path, word_encoder
 
 #: Simple-8b's fixed table: ids per word and bits per id of each selector.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.int64)
@@ -247,7 +247,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, fol
     folder = folder or scratch_path(spark, "token-ids")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = word_encoder(tokenizer_path)
         context = TaskContext.get()
         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}.s8b"
         writer, docs_seen = None, 0

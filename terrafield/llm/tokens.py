@@ -130,6 +130,12 @@ class WordEncoder:
         return out  # type: ignore[return-value]
 
 
+@lru_cache(maxsize=2)
+def word_encoder(path: str) -> WordEncoder:
+    """This worker's encoder: its cache lives on from task to task."""
+    return WordEncoder(path)
+
+
 class ByteCounter:
     """Token counts of whole texts under a byte-level BPE: a frequent table first, then a worker cache."""
 
@@ -196,3 +202,14 @@ class ByteCounter:
             if len(chunk) > LONGEST_KEPT:
                 del self.chunks[chunk]
         return out
+
+
+_counters: dict[tuple[str, str], ByteCounter] = {}
+
+
+def byte_counter(path: str, frequent: dict[str, int], key: str) -> ByteCounter:
+    """This worker's counter for the frequent table that ``key`` names: its cache lives on from task to task."""
+    if (path, key) not in _counters:
+        _counters.clear()
+        _counters[path, key] = ByteCounter(path, frequent)
+    return _counters[path, key]
