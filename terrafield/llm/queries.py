@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, simhash, simple8b, token_counts, topk, toxicity
+from . import decontamination, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_token_ids": simple8b.op1_token_ids,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_simhash": simhash.op4_simhash,
+    "op5_sentencepiece": sentencepiece_nbest.op5_sentencepiece,
     "op6_decontamination": decontamination.op6_decontamination,
     "op8_token_counts": token_counts.op8_token_counts,
     "op10_top_k": topk.op10_top_k,
