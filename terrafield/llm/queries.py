@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
+from . import decontamination, lm_score, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_token_ids": simple8b.op1_token_ids,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_lm_score": lm_score.op3_lm_score,
     "op4_simhash": simhash.op4_simhash,
     "op5_sentencepiece": sentencepiece_nbest.op5_sentencepiece,
     "op6_decontamination": decontamination.op6_decontamination,
