@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, licenses, lm_score, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
+from . import decontamination, html_text, licenses, lm_score, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_token_ids": simple8b.op1_token_ids,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_html_text": html_text.op9_html_text,
     "op10_top_k": topk.op10_top_k,
 }
 
