@@ -59,6 +59,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_most(df: DataFrame, column: str, size: int) -> DataFrame:
+    """The rows of the highest counts in ``column``, at most ``size`` of them: all rows over a threshold.
+
+    The threshold comes from a histogram on a logarithmic scale (some thousand bins), so no task
+    sorts or gathers more than the rows it returns. Rows that tie in a bin stay or go together.
+    """
+    fine = F.floor(F.log2(F.col(column).cast("double")) * 32)
+    bins = sorted(((r.b, r.n) for r in df.filter(F.col(column) > 0).groupBy(fine.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, total = None, 0
+    for b, n in bins:
+        total += n
+        if total > size:
+            break
+        least = b
+    return df.filter(fine >= least) if least is not None else df.limit(0)
+
+
 def empty_if_null(column: str):
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -343,13 +343,15 @@ def held_out(doc_id: str, folds: int = 5):
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model from at most ``most_rows`` labelled documents, none of them held out.
 
-    Rows are chosen by the hash of their id, whatever their number; null labels are no labels,
+    Rows are chosen by the hash of their id (about ``most_rows`` of any number); null labels are no labels,
     and of several labels of one id the highest holds. Without both labels the model knows no
     terms and its scores are low.
     """
     labelled = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL")
     labelled = labelled.filter(~held_out("doc_id")).groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    n = labelled.count()
+    # A share of the hash range that holds most_rows ids, give or take their root.
+    chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(int((1 << 31) * min(1.0, most_rows / max(n, 1)))))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # The chosen rows are at most most_rows ids and labels: small enough to broadcast.
     sample = materialise(texts.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int").alias("label")), "toxic-sample")
