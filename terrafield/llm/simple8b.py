@@ -56,22 +56,24 @@ def pack(values: np.ndarray, block_ids: int = BLOCK_IDS) -> tuple[np.ndarray, np
     if len(escaped):
         values = values.copy()
         values[escaped] = ESCAPE
-    small = values.astype(np.uint32) if values.max() < 1 << 32 else values
+    top = int(values.max())
+    small = values.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
     index = np.arange(n, dtype=np.int32)
     room = np.minimum(block_ids - index % block_ids, n - index).astype(np.int32)
-    selector = np.full(n, 15, dtype=np.int8)
-    run = room
+    # The greatest of the next 1, 2, 3, ... values: each window from two that overlap within it. A selector for
+    # more values has a smaller width, so those that fit are the last ones of the table up to the wanted one.
+    window, width_of_window = np.concatenate([small, np.zeros(int(COUNTS[0]), small.dtype)]), 1
+    fitting = np.zeros(n, dtype=np.int8)
     for s in range(14, -1, -1):
         count, width = int(COUNTS[s]), int(WIDTHS[s])
-        if width != WIDTHS[s + 1]:
-            over = small >= (1 << width)
-            run = np.where(over, index, np.int32(n))
-            run = np.minimum.accumulate(run[::-1])[::-1] - index
-            np.minimum(run, room, out=run)
-        fits = run >= count
+        step = count - width_of_window
+        window, width_of_window = np.maximum(window[:-step], window[step:]), count
+        fits = (window[:n] < (1 << width)) if top >= 1 << width else np.ones(n, dtype=bool)
+        fits &= room >= count
         if not fits.any():
-            break  # a narrower word needs a longer run of smaller values
-        selector[fits] = s
+            break
+        fitting += fits
+    selector = (15 - fitting).astype(np.int8)
     starts = np.zeros(n, dtype=bool)
     at = np.arange(0, n, block_ids)
     ends = np.minimum(at + block_ids, n)

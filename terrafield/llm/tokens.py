@@ -19,7 +19,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Entries a worker keeps per cache; some 150 bytes each.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_200_000
 #: Longer pieces are encoded each time they occur, so that a cache's bytes stay bounded.
 LONGEST_KEPT = 64
 
@@ -64,6 +64,30 @@ def _library_ids(tokenizer, texts: list[str]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+class RecentCache:
+    """A dictionary of bounded size that keeps what was used lately.
+
+    Look-ups go to ``new``. When that holds half the size, ``turn`` makes it the old generation; what
+    is still used moves up from there, and the rest goes at the next turn.
+    """
+
+    __slots__ = ("half", "new", "old")
+
+    def __init__(self, size: int):
+        self.half, self.new, self.old = size // 2, {}, {}
+
+    def turn(self, first: dict | None = None) -> None:
+        if len(self.new) > self.half:
+            self.old, self.new = self.new, dict(first or {})
+
+    def lift(self, key):
+        """The value of a key of the old generation, moved up; None if it is not there."""
+        value = self.old.get(key)
+        if value is not None:
+            self.new[key] = value
+        return value
+
+
 class WordEncoder:
     """Ids of whole texts under a tokenizer whose pre-tokens never hold white space (word BPE)."""
 
@@ -74,9 +98,7 @@ class WordEncoder:
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         self.tokenizer = load_tokenizer(path)
         self.specials = special_strings(path)
-        self.entries = entries
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = RecentCache(entries), RecentCache(entries)
 
     def _whole(self, text: str) -> bytes:
         return np.array(_library_ids(self.tokenizer, [text])[0], dtype="<u4").tobytes()
@@ -84,18 +106,18 @@ class WordEncoder:
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Ids of words not yet known: by pieces where a plain split is safe, else from the library's whole chain."""
         found, strange, pieces, model, tokenize = {}, [], self.pieces, self.tokenizer.model, _piece_tokens
-        if len(pieces) > self.entries:
-            pieces.clear()
+        pieces.turn()
+        get, lift, put = pieces.new.get, pieces.lift, pieces.new.__setitem__
         for word in missing:
             if not _PLAIN.fullmatch(word):
                 strange.append(word)
                 continue
             ids = []
             for piece in self.PIECES.findall(word.lower()):
-                if (known := pieces.get(piece)) is None:
+                if (known := get(piece)) is None and (known := lift(piece)) is None:
                     known = array("I", [t.id for t in tokenize(model, piece)]).tobytes()
                     if len(piece) <= LONGEST_KEPT:
-                        pieces[piece] = known
+                        put(piece, known)
                 ids.append(known)
             found[word] = ids[0] if len(ids) == 1 else b"".join(ids)
         for word, ids in zip(strange, _library_ids(self.tokenizer, strange)):
@@ -115,18 +137,18 @@ class WordEncoder:
             words = text.split()
             cut.append(words)
             missing.update(words)
-        used, missing = missing, {w for w in missing if w not in self.words}
-        if len(self.words) + len(missing) > self.entries:
-            self.words = {w: self.words[w] for w in used - missing}
+        self.words.turn()
+        new, lift = self.words.new, self.words.lift
+        missing = [w for w in missing if w not in new and lift(w) is None]
         if missing:
-            self.words.update(self._learn(list(missing)))
-        get = self.words.__getitem__
+            new.update(self._learn(missing))
+        get = new.__getitem__
         for i, words in enumerate(cut):
             if words is not None:
                 out[i] = b"".join(map(get, words))
         for word in missing:
             if len(word) > LONGEST_KEPT:
-                del self.words[word]
+                del new[word]
         return out  # type: ignore[return-value]
 
 
@@ -146,11 +168,10 @@ class ByteCounter:
     def __init__(self, path: str, frequent: dict[str, int] | None = None, entries: int = CACHE_ENTRIES):
         self.tokenizer = load_tokenizer(path)
         self.specials = special_strings(path)
-        self.entries = entries
         self.frequent = frequent or {}
-        #: Starts as the frequent table, which is never evicted, and grows by what misses it.
-        self.chunks: dict[str, int] = dict(self.frequent)
-        self.pieces: dict[str, int] = {}
+        self.chunks, self.pieces = RecentCache(entries), RecentCache(entries)
+        #: Every generation starts as the frequent table.
+        self.chunks.new = dict(self.frequent)
 
     def chunks_of(self, text: str) -> list[str] | None:
         """The text cut before each space; None if that may differ from the tokenizer's own cuts."""
@@ -160,18 +181,18 @@ class ByteCounter:
 
     def _learn(self, missing: list[str]) -> dict[str, int]:
         found, strange, pieces, model, tokenize = {}, [], self.pieces, self.tokenizer.model, _piece_tokens
-        if len(pieces) > self.entries:
-            pieces.clear()
+        pieces.turn()
+        get, lift, put = pieces.new.get, pieces.lift, pieces.new.__setitem__
         for chunk in missing:
             if not _PLAIN.fullmatch(chunk):
                 strange.append(chunk)
                 continue
             total = 0
             for piece in self.PIECES.findall(chunk):
-                if (known := pieces.get(piece)) is None:
+                if (known := get(piece)) is None and (known := lift(piece)) is None:
                     known = len(tokenize(model, piece))
                     if len(piece) <= LONGEST_KEPT:
-                        pieces[piece] = known
+                        put(piece, known)
                 total += known
             found[chunk] = total
         for chunk, ids in zip(strange, _library_ids(self.tokenizer, strange)):
@@ -189,18 +210,18 @@ class ByteCounter:
                 out[i] = len(_library_ids(self.tokenizer, [text])[0])
             else:
                 missing.update(chunks)
-        used, missing = missing, {c for c in missing if c not in self.chunks}
-        if len(self.chunks) + len(missing) > self.entries:
-            self.chunks = self.frequent | {c: self.chunks[c] for c in used - missing}
+        self.chunks.turn(self.frequent)
+        new, lift = self.chunks.new, self.chunks.lift
+        missing = [c for c in missing if c not in new and lift(c) is None]
         if missing:
-            self.chunks.update(self._learn(list(missing)))
-        get = self.chunks.__getitem__
+            new.update(self._learn(missing))
+        get = new.__getitem__
         for i, chunks in enumerate(cut):
             if chunks is not None:
                 out[i] = sum(map(get, chunks))
         for chunk in missing:
             if len(chunk) > LONGEST_KEPT:
-                del self.chunks[chunk]
+                del new[chunk]
         return out
 
 
