@@ -300,7 +300,8 @@ def construct_analogs(gcm: DataFrame, obs_coarse: DataFrame, obs_fine: DataFrame
         w, *_ = np.linalg.lstsq(np.column_stack([np.ones(len(a)), a]), target, rcond=None)
         left = target - (w[0] + a @ w[1:])
         out = pd.DataFrame({c: table.index.get_level_values(c) for c in cell})
-        return out.assign(gcm_day=rows["gcm_day"].iloc[0], residual=left, intercept=w[0], coefficients=[w[1:].tolist()] * len(out), ranks=[[int(r) for r in table.columns]] * len(out))
+        coefficients, ranks = (pd.Series([x] * len(out), dtype=object) for x in (w[1:].tolist(), [int(r) for r in table.columns]))
+        return out.assign(gcm_day=rows["gcm_day"].iloc[0], residual=left, intercept=float(w[0]), coefficients=coefficients, ranks=ranks)
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in cell) + ", gcm_day date, residual double, intercept double, coefficients array<double>, ranks array<int>"
