@@ -31,6 +31,8 @@ SHINGLE = 3
 DISTANCE = 3
 #: What one looked-up key costs against the verification of one candidate, for the choice of partitions.
 PROBE_COST = 40.0
+#: Ids of documents to drop are broadcast up to this many (some 10 MB).
+BROADCAST_IDS = 500_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -186,8 +188,10 @@ def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], dis
 def one_bit_links(distinct: DataFrame) -> DataFrame:
     """Links between fingerprints that differ in one bit: with that bit cleared both give one key, and nothing else does."""
     masks = F.array(*[F.struct(F.lit(b).alias("bit"), F.lit(_signed(((1 << 64) - 1) ^ (1 << b))).alias("mask")) for b in range(BITS)])
-    keys = distinct.select("fp", F.explode(masks).alias("m")).select("fp", F.col("m.bit").alias("bit"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
-    pairs = keys.groupBy("bit", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+    # The 64 keys of each fingerprint are made in as many tasks as a shuffle has, and are not combined before they
+    # move: nearly all are unique.
+    keys = distinct.repartition("fp").select("fp", F.explode(masks).alias("m")).select("fp", F.col("m.bit").alias("bit"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
+    pairs = keys.repartition("bit", "key").groupBy("bit", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
     return pairs.filter("a <> b").select("a", "b")
 
 
@@ -223,7 +227,9 @@ def deduplicate(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "doc_id
     Repeated rows of that id all stay; rows without an id stay.
     """
     found = near_duplicates(docs, distance, doc_id, text)
-    drop = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
+    drop = materialise(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct(), "duplicates")
+    if drop.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        drop = F.broadcast(drop)  # else the texts are shuffled to meet it
     return docs.join(drop, doc_id, "left_anti").select(docs.columns)
 
 
