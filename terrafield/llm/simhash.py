@@ -202,7 +202,11 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "do
     words than a shingle count as one shingle. Repeated rows share a component; an empty table
     gives an empty result. A component whose ids are all null has a null id.
     """
-    prints = materialise(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    return link_prints(materialise(fingerprints(docs, doc_id, text, shingle), "fingerprints"), distance)
+
+
+def link_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, fingerprint and component_id of (doc_id, fp) rows, which are read several times."""
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     n, both = bit_statistics(distinct)
     close = connected_components(one_bit_links(distinct), "one-bit")

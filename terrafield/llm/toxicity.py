@@ -135,6 +135,7 @@ class StemAutomaton:
         if len(self.sets) > self.MOST_STATES:
             self._reset()
         state, best, moves = self.start, None, self.moves
+        whole = True
         for c in word:
             state = moves[state].get(c, -1) if c in moves[state] else moves[state].setdefault(c, self._move(state, c))
             found = self.found[state]
@@ -143,7 +144,15 @@ class StemAutomaton:
                 if not found[0]:
                     return best
             if not self.sets[state]:
+                whole = False
                 break
+        if whole and best is None:  # the stem's last letter left out
+            for node, edits, owed in self.sets[state]:
+                if edits < self.edits and node and not owed:
+                    for kid in self.children[node].values():
+                        k = self.end[kid]
+                        if k >= 0 and self.fuzzy[k] and (best is None or (edits + 1, k) < best):
+                            best = (edits + 1, k)
         return best
 
 
