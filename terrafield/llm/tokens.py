@@ -71,14 +71,15 @@ class RecentCache:
     is still used moves up from there, and the rest goes at the next turn.
     """
 
-    __slots__ = ("half", "new", "old")
+    __slots__ = ("half", "make", "new", "old")
 
-    def __init__(self, size: int):
-        self.half, self.new, self.old = size // 2, {}, {}
+    def __init__(self, size: int, make=dict):
+        """``make`` gives an empty (or pre-filled) dictionary for a generation."""
+        self.half, self.make, self.new, self.old = size // 2, make, make(), {}
 
-    def turn(self, first: dict | None = None) -> None:
+    def turn(self) -> None:
         if len(self.new) > self.half:
-            self.old, self.new = self.new, dict(first or {})
+            self.old, self.new = self.new, self.make()
 
     def lift(self, key):
         """The value of a key of the old generation, moved up; None if it is not there."""
@@ -88,6 +89,23 @@ class RecentCache:
         return value
 
 
+class _Learning(dict):
+    """A cache's generation that learns what it lacks, so that a whole text is one mapped look-up."""
+
+    __slots__ = ("learn",)
+
+    def __missing__(self, key: str):
+        return self.learn(key)
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """Ids of whole texts under a tokenizer whose pre-tokens never hold white space (word BPE)."""
 
@@ -98,7 +116,20 @@ class WordEncoder:
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         self.tokenizer = load_tokenizer(path)
         self.specials = special_strings(path)
-        self.words, self.pieces = RecentCache(entries), RecentCache(entries)
+        self.words, self.pieces = RecentCache(entries, self._generation), RecentCache(entries)
+
+    def _generation(self) -> _Learning:
+        out = _Learning()
+        out.learn = self._learn_one
+        return out
+
+    def _learn_one(self, word: str) -> bytes:
+        known = self.words.lift(word)
+        if known is None:
+            known = self._learn([word])[word]
+            if len(word) <= LONGEST_KEPT:
+                self.words.new[word] = known
+        return known
 
     def _whole(self, text: str) -> bytes:
         return np.array(_library_ids(self.tokenizer, [text])[0], dtype="<u4").tobytes()
@@ -106,7 +137,6 @@ class WordEncoder:
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Ids of words not yet known: by pieces where a plain split is safe, else from the library's whole chain."""
         found, strange, pieces, model, tokenize = {}, [], self.pieces, self.tokenizer.model, _piece_tokens
-        pieces.turn()
         get, lift, put = pieces.new.get, pieces.lift, pieces.new.__setitem__
         for word in missing:
             if not _PLAIN.fullmatch(word):
@@ -126,30 +156,23 @@ class WordEncoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: list[list[str] | None] = []
-        missing: set[str] = set()
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.specials) or self.ODD.search(text):
-                out[i] = self._whole(text)
-                cut.append(None)
-                continue
-            words = text.split()
-            cut.append(words)
-            missing.update(words)
         self.words.turn()
-        new, lift = self.words.new, self.words.lift
-        missing = [w for w in missing if w not in new and lift(w) is None]
-        if missing:
-            new.update(self._learn(missing))
+        self.pieces.turn()
+        new, out = self.words.new, []
         get = new.__getitem__
-        for i, words in enumerate(cut):
-            if words is not None:
-                out[i] = b"".join(map(get, words))
-        for word in missing:
-            if len(word) > LONGEST_KEPT:
-                del new[word]
-        return out  # type: ignore[return-value]
+        for text in texts:
+            if any(s in text for s in self.specials):
+                out.append(self._whole(text))
+            elif _is_latin(text):
+                out.append(self._whole(text) if any(c in text for c in "\x1c\x1d\x1e\x1f\x85") else b"".join(map(get, text.split())))
+            elif self.ODD.search(text):
+                out.append(self._whole(text))
+            else:  # what is not Latin goes to the library, a text's words at a time
+                words = text.split()
+                found = self._learn([w for w in set(words) if w not in new and self.words.lift(w) is None])
+                new.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_KEPT)
+                out.append(b"".join([found[w] if w in found else new[w] for w in words]))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -163,25 +186,39 @@ class ByteCounter:
 
     #: A space with white space before it and white space or the end behind it: there a cut before each space is not the tokenizer's.
     ODD = re.compile(r"\s (?:\s|\Z)|[\x1c-\x1f]")
+    SEPARATORS, BEFORE = "\x1c\x1d\x1e\x1f", " \n\t\r\x0b\x0c\x85\xa0"
     PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
     def __init__(self, path: str, frequent: dict[str, int] | None = None, entries: int = CACHE_ENTRIES):
         self.tokenizer = load_tokenizer(path)
         self.specials = special_strings(path)
         self.frequent = frequent or {}
-        self.chunks, self.pieces = RecentCache(entries), RecentCache(entries)
-        #: Every generation starts as the frequent table.
-        self.chunks.new = dict(self.frequent)
+        #: Every generation of chunks starts as the frequent table.
+        self.chunks, self.pieces = RecentCache(entries, self._generation), RecentCache(entries)
+
+    def _generation(self) -> _Learning:
+        out = _Learning(self.frequent)
+        out.learn = self._learn_one
+        return out
+
+    def _learn_one(self, chunk: str) -> int:
+        known = self.chunks.lift(chunk)
+        if known is None:
+            known = self._learn([chunk])[chunk]
+            if len(chunk) <= LONGEST_KEPT:
+                self.chunks.new[chunk] = known
+        return known
 
     def chunks_of(self, text: str) -> list[str] | None:
         """The text cut before each space; None if that may differ from the tokenizer's own cuts."""
-        if any(s in text for s in self.specials) or self.ODD.search(text):
+        if any(s in text for s in self.specials):
+            return None
+        if (any(c + " " in text for c in self.BEFORE) or any(c in text for c in self.SEPARATORS) or not _is_latin(text)) and self.ODD.search(text):
             return None
         return text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
 
     def _learn(self, missing: list[str]) -> dict[str, int]:
         found, strange, pieces, model, tokenize = {}, [], self.pieces, self.tokenizer.model, _piece_tokens
-        pieces.turn()
         get, lift, put = pieces.new.get, pieces.lift, pieces.new.__setitem__
         for chunk in missing:
             if not _PLAIN.fullmatch(chunk):
@@ -200,28 +237,20 @@ class ByteCounter:
         return found
 
     def count_batch(self, texts: list[str]) -> list[int]:
-        out = [0] * len(texts)
-        cut: list[list[str] | None] = []
-        missing: set[str] = set()
-        for i, text in enumerate(texts):
+        self.chunks.turn()
+        self.pieces.turn()
+        new, out = self.chunks.new, []
+        get = new.__getitem__
+        for text in texts:
             chunks = self.chunks_of(text)
-            cut.append(chunks)
             if chunks is None:
-                out[i] = len(_library_ids(self.tokenizer, [text])[0])
+                out.append(len(_library_ids(self.tokenizer, [text])[0]))
+            elif _is_latin(text):
+                out.append(sum(map(get, chunks)))
             else:
-                missing.update(chunks)
-        self.chunks.turn(self.frequent)
-        new, lift = self.chunks.new, self.chunks.lift
-        missing = [c for c in missing if c not in new and lift(c) is None]
-        if missing:
-            new.update(self._learn(missing))
-        get = new.__getitem__
-        for i, chunks in enumerate(cut):
-            if chunks is not None:
-                out[i] = sum(map(get, chunks))
-        for chunk in missing:
-            if len(chunk) > LONGEST_KEPT:
-                del new[chunk]
+                found = self._learn([c for c in set(chunks) if c not in new and self.chunks.lift(c) is None])
+                new.update((c, n) for c, n in found.items() if len(c) <= LONGEST_KEPT)
+                out.append(sum([found[c] if c in found else new[c] for c in chunks]))
         return out
 
 
