@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import grids, metrics, models  # noqa: F401
+from . import grids, metrics, models, more  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
