@@ -16,22 +16,30 @@ SHORT_OR_LONG = ("noleap", "365_day", "366_day", "all_leap")
 
 
 def day_spine(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
-    """Every day from each cell's first to its last, with the cell's values where there are any."""
-    span = df.groupBy(*cell).agg(F.min(time).alias("_a"), F.max(time).alias("_b"))
-    days = span.select(*cell, F.explode(F.sequence("_a", "_b", F.expr("interval 1 day"))).alias(time))
-    return days.join(df, [*cell, time], "left")
+    """Every day from each cell's first to its last, with the cell's values where there are any.
+
+    Each row makes the days up to the next row itself, so one shuffle by cell does it, which the
+    windows that follow use again; no join with a calendar.
+    """
+    after = F.lead(time).over(Window.partitionBy(*cell).orderBy(time))
+    end = F.greatest(F.col(time), F.coalesce(F.date_sub(after, 1), F.col(time)))
+    values = [c for c in df.columns if c not in (*cell, time)]
+    days = df.withColumn("_end", end).select("*", F.explode(F.sequence(time, "_end", F.expr("interval 1 day"))).alias("_day"))
+    own = F.col("_day") == F.col(time)
+    return days.select(*cell, F.col("_day").alias(time), *[F.when(own, F.col(v)).alias(v) for v in values])
 
 
 def interpolate_linear(df: DataFrame, values: Sequence[str], cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
     """Nulls between two values of a cell become the line between them; nulls at the ends stay."""
-    order = Window.partitionBy(*cell).orderBy(time)
-    before, after = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
+    # Both frames grow row by row; one that shrinks towards the end would be summed anew for each row.
+    before = Window.partitionBy(*cell).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*cell).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     day = F.datediff(F.col(time), F.lit("1970-01-01").cast("date"))
     out = df
     for v in values:
         at = F.when(F.col(v).isNotNull(), day)
-        x0, x1 = F.last(v, True).over(before), F.first(v, True).over(after)
-        t0, t1 = F.last(at, True).over(before), F.first(at, True).over(after)
+        x0, x1 = F.last(v, True).over(before), F.last(v, True).over(after)
+        t0, t1 = F.last(at, True).over(before), F.last(at, True).over(after)
         line = x0 + (x1 - x0) * (day - t0).cast("double") / (t1 - t0).cast("double")
         out = out.withColumn(v, F.when(F.col(v).isNotNull(), F.col(v)).otherwise(line))
     return out
