@@ -135,10 +135,10 @@ def _(spark, sf):
 _CHANGE = {"mean": "avg(pr)", "std": "stddev_pop(pr)", "percentile5": "quantile_cont(pr, 0.05)", "percentile95": "quantile_cont(pr, 0.95)"}
 
 
-@query("a16_change", f"WITH {OBS} SELECT lat_i, lon_i, " + ", ".join(f"round({s} FILTER (year(time) BETWEEN 1999 AND 2001) - {s} FILTER (year(time) BETWEEN 1995 AND 1998), 6) AS {n}" for n, s in _CHANGE.items()) + " FROM obs WHERE year(time) BETWEEN 1995 AND 2001 GROUP BY ALL")
+@query("a16_change", f"WITH {OBS} SELECT lat_i, lon_i, " + ", ".join(f"round({s} FILTER (year(time) BETWEEN 1999 AND 2001) - {s} FILTER (year(time) BETWEEN 1995 AND 1998), 6) + 0.0::DOUBLE AS {n}" for n, s in _CHANGE.items()) + " FROM obs WHERE year(time) BETWEEN 1995 AND 2001 GROUP BY ALL")
 def _(spark, sf):
     out = A.change(obs(spark, sf), "pr", TimePeriod("1995", "1998").predicate(), TimePeriod("1999", "2001").predicate(), list(_CHANGE))
-    return out.select(*CELL, *[r6(c, c) for c in _CHANGE])
+    return out.select(*CELL, *[(r6(c) + F.lit(0.0)).alias(c) for c in _CHANGE])
 
 
 @query(
