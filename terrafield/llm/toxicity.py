@@ -38,7 +38,7 @@ FUZZY_LETTERS = 5
 EDITS = 1
 MOST_SUFFIX = 2
 WINDOW = 8
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 
 #: Letters often written as other signs.
 _FOLD = str.maketrans("013457@$!", "oieastasi")
