@@ -12,6 +12,9 @@ from terrafield.llm import decontamination, sentencepiece_nbest, simhash, toxici
 from terrafield.llm.common import materialise, read_table
 from terrafield.llm.tokens import default_path
 
+#: Workers live on from stage to stage beside a heap that the stages before have filled, so the last one caches less.
+CACHE_ENTRIES = 200_000
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model scores under 0.5 stay."""
@@ -30,7 +33,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the best segmentation, and what is known of the N best."""
-    return sentencepiece_nbest.encode(docs, default_path("piece_bpe_32k.model"))
+    return sentencepiece_nbest.encode(docs, default_path("piece_bpe_32k.model"), cache_entries=CACHE_ENTRIES)
 
 
 STAGES = [

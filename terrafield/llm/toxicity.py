@@ -38,7 +38,7 @@ FUZZY_LETTERS = 5
 EDITS = 1
 MOST_SUFFIX = 2
 WINDOW = 8
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 
 #: Letters often written as other signs.
 _FOLD = str.maketrans("013457@$!", "oieastasi")
@@ -393,7 +393,9 @@ def reject_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: f
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([own.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                yield part.filter(pa.array([own.score(t) < threshold for t in part.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
