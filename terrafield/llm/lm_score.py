@@ -5,10 +5,11 @@ travel to the workers; the others' counts are joined to the few places that need
 counts after frequent words are quantised on a logarithmic scale, floor first, and a bigram of
 level j is put into a Bloom filter as its first j (bigram, level) pairs; a worker reads a count
 back by probing level after level until one is missing. The filter is broadcast and never
-exceeds a stated size: the least count it admits is the least that fits.
+exceeds a stated size: it holds the bigrams from the least count that fits. Tokens whose bigram
+it lacks are joined by key to the table of all bigrams under that count, so none is lost.
 
 The model interpolates by absolute discounting: P(w|h) = max(q(h,w) - D, 0) / c(h) + left(h) * P(w),
-where left(h) is what the filter's own entries leave of h's mass, and P(w) is the smoothed
+where left(h) is what the quantised bigrams leave of h's mass, and P(w) is the smoothed
 unigram probability; after words without a history entry it is P(w). Apart from the filter's
 false positives (under one in a hundred), it sums to one.
 """
@@ -32,7 +33,7 @@ from .toxicity import held_out
 FREQUENT_WORDS = 1 << 18
 HISTORIES = 1 << 14
 LONGEST_FREQUENT = 64
-#: The filter: most bytes, bits an entry, probes, segments, and the least count it may hold.
+#: The filter: most bytes (bigrams beyond them are joined), bits an entry, probes, segments, and the least count of a bigram.
 FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY = 12
 PROBES = 5
@@ -224,8 +225,8 @@ def _with_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(where)], ["key", "n", "segment"])
 
 
-def _sums(kind: str, least_level: int = 0):
-    """Per task, how many bigrams reach each level, or what the filter's entries take of each history's mass."""
+def _sums(kind: str):
+    """Per task, how many bigrams reach each level, or what they take of each history's mass."""
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(LEVELS) + 1 if kind == "levels" else HISTORIES)
@@ -234,22 +235,34 @@ def _sums(kind: str, least_level: int = 0):
             if kind == "levels":
                 total += np.bincount(level, minlength=len(total))
             else:
-                held = level > least_level
-                history = (batch.column(0).to_numpy().view(np.uint64)[held] >> np.uint64(48)).astype(np.int64)
-                total += np.bincount(history, LEVELS[level[held] - 1] - DISCOUNT, len(total))
+                history = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(48)).astype(np.int64)
+                total += np.bincount(history, LEVELS[level - 1] - DISCOUNT, len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "amount"])
 
     return sums
 
 
-def _summed(df: DataFrame, kind: str, least_level: int = 0) -> dict[int, float]:
-    rows = df.select("key", "n").mapInArrow(_sums(kind, least_level), "id bigint, amount double").groupBy("id").agg(F.sum("amount").alias("amount"))
+def _summed(df: DataFrame, kind: str) -> dict[int, float]:
+    rows = df.select("key", "n").mapInArrow(_sums(kind), "id bigint, amount double").groupBy("id").agg(F.sum("amount").alias("amount"))
     return {r.id: r.amount for r in rows.collect()}
 
 
+def quantised(n, least_level: int):
+    """The count of the level that a count from ``LEAST_COUNT`` to ``LEVELS[least_level]`` reaches."""
+    out = F.lit(0)
+    for value in LEVELS[:least_level].tolist():
+        out = F.when(n < value, out).otherwise(value)
+    return out.cast("double")
+
+
 def learn(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES) -> tuple[Frequent, DataFrame]:
     """A model of all rows of ``train``: the part to broadcast, and the table (word, c) of all word counts."""
+    return learn_tables(train, text, filter_bytes)[:2]
+
+
+def learn_tables(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES) -> tuple[Frequent, DataFrame, DataFrame]:
+    """As ``learn``, with the table (key, q) of the bigrams that the filter has no room for."""
     texts = train.select(F.col(text).alias("text"))
     counts = materialise(texts.mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -272,10 +285,12 @@ def learn(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES
     # At most filter_bytes come to the driver here.
     for r in kept.repartition("segment").select("key", "n").mapInArrow(_fill(least, bits), "segment bigint, bits binary").collect():
         segments[r.segment * (bits // 8) : (r.segment + 1) * (bits // 8)] = np.frombuffer(r.bits, dtype=np.uint8)
+    under = bigrams.filter(F.col("n") < int(LEVELS[least]))
+    unheld = under.select("key", quantised(F.col("n"), least).alias("q"))
     left = np.ones(HISTORIES)
-    for history, mass in _summed(bigrams, "mass", least).items():
+    for history, mass in _summed(bigrams, "mass").items():
         left[history] = max(0.0, 1 - mass / float(frequent.counts[history]))
-    return Frequent(frequent.words, frequent.counts, left, frequent.n_tokens, frequent.n_types, CountFilter(bits, segments), least), counts
+    return Frequent(frequent.words, frequent.counts, left, frequent.n_tokens, frequent.n_types, CountFilter(bits, segments), least), counts, unheld
 
 
 def _score(shared):
@@ -299,29 +314,44 @@ def _score(shared):
                     lengths.append(len(ids))
                 ids, hashes, history = np.concatenate(all_ids), np.concatenate(all_hashes), np.concatenate(all_history)
                 doc = np.repeat(np.arange(len(lengths)), lengths)
-                known = np.flatnonzero(history >= 0)
-                direct, left = np.zeros(len(ids)), np.ones(len(ids))
-                if len(known):
+                known = history >= 0
+                q, count, left = np.zeros(len(ids)), np.ones(len(ids)), np.ones(len(ids))
+                unheld = np.zeros(len(ids), dtype=bool)  # the filter does not have it, so the join tells
+                keys = np.zeros(len(ids), dtype=np.uint64)
+                if known.any():
                     h = history[known]
-                    level = model.filter.levels(bigram_keys(h, hashes[known]), model.least_level)
-                    q = values[level].astype(np.float64)
-                    direct[known] = np.maximum(q - DISCOUNT, 0) / model.counts[h]
-                    left[known] = model.left[h]
+                    keys[known] = bigram_keys(h, hashes[known])
+                    q[known] = values[model.filter.levels(keys[known], model.least_level)]
+                    count[known], left[known] = model.counts[h], model.left[h]
+                    unheld = known & (q == 0) & (model.least_level > 0)
                 frequent = ids >= 0
-                single = (model.counts[ids[frequent]] + ALPHA) / denominator if len(model.counts) else np.zeros(0)
-                sums = lambda x: np.bincount(doc[frequent], x, len(lengths))
-                base = sums(np.log10(single))
-                scored = sums(np.log10(direct[frequent] + left[frequent] * single))
-                rare = np.flatnonzero(~frequent)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[rare], minlength=len(lengths)))]).astype(np.int32)
-                cold = pa.StructArray.from_arrays([pa.array([all_words[i] for i in rare.tolist()], pa.binary()), pa.array(direct[rare]), pa.array(left[rare])], ["word", "direct", "left"])
+                single = np.zeros(len(ids))
+                if len(model.counts):
+                    single[frequent] = (model.counts[ids[frequent]] + ALPHA) / denominator
+                sums = lambda x, where: np.bincount(doc[where], x, len(lengths)).astype(np.float64)
+                base = sums(np.log10(single[frequent]), frequent)
+                here = frequent & ~unheld
+                scored = sums(np.log10(np.maximum(q[here] - DISCOUNT, 0) / count[here] + left[here] * single[here]), here)
+                rest = np.flatnonzero(~here)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[rest], minlength=len(lengths)))]).astype(np.int32)
+                cold = pa.StructArray.from_arrays(
+                    [
+                        pa.array([None if f else all_words[i] for i, f in zip(rest.tolist(), frequent[rest].tolist())], pa.binary()),
+                        pa.array(single[rest], mask=~frequent[rest]),
+                        pa.array(keys[rest].view(np.int64), mask=~unheld[rest]),
+                        pa.array(q[rest]),
+                        pa.array(count[rest]),
+                        pa.array(left[rest]),
+                    ],
+                    ["word", "single", "key", "q", "count", "left"],
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(len(lengths)) + uid),
                         part.column(0),
                         part.column(1),
                         pa.array(np.array(lengths, dtype=np.int64)),
-                        pa.array(sums(np.ones(len(single))).astype(np.int64)),
+                        pa.array(sums(np.ones(int(frequent.sum())), frequent).astype(np.int64)),
                         pa.array(base),
                         pa.array(scored),
                         pa.ListArray.from_arrays(pa.array(offsets), cold),
@@ -343,19 +373,23 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
     probability one.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), F.col(text).alias("text"))
-    model, counts = learn(rows.filter("NOT held_out"), filter_bytes=filter_bytes)
+    model, counts, unheld = learn_tables(rows.filter("NOT held_out"), filter_bytes=filter_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, cold array<struct<word: binary, direct: double, left: double>>"
+    schema = f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, cold array<struct<word: binary, single: double, key: bigint, q: double, count: double, left: double>>"
     scored = materialise(rows.mapInArrow(_score(shared), schema), "lm-scored")
     denominator = model.n_tokens + ALPHA * (model.n_types + 1)
-    rare = scored.select("uid", F.explode("cold").alias("t")).select("uid", "t.word", "t.direct", "t.left")
-    rare = rare.join(counts, "word", "left")
-    single = (F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(float(denominator))
+    rare = scored.select("uid", F.explode("cold").alias("t")).select("uid", "t.*")
+    # Rows with nothing to look up in a table are spread by numbers of their own, which match nothing.
+    if model.least_level:
+        rare = rare.withColumn("ask", F.coalesce("key", F.xxhash64("uid", "single"))).join(unheld.select(F.col("key").alias("ask"), F.col("q").alias("found")), "ask", "left")
+        rare = rare.withColumn("q", F.when(F.col("key").isNotNull(), F.coalesce("found", "q")).otherwise(F.col("q")))
+    rare = rare.withColumn("ask", F.coalesce("word", F.concat(F.lit(" "), F.col("uid").cast("string")).cast("binary"))).join(counts.withColumnRenamed("word", "ask"), "ask", "left")
+    single = F.coalesce("single", (F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(float(denominator)))
     rest = rare.groupBy("uid").agg(
         F.count("c").alias("more_known"),
-        F.sum(F.log10(single)).alias("more_base"),
-        F.sum(F.log10(F.col("direct") + F.col("left") * single)).alias("more_score"),
+        F.sum(F.when(F.col("word").isNotNull(), F.log10(single)).otherwise(0.0)).alias("more_base"),
+        F.sum(F.log10(F.greatest(F.col("q") - DISCOUNT, F.lit(0.0)) / F.col("count") + F.col("left") * single)).alias("more_score"),
     )
     out = scored.drop("cold").join(rest, "uid", "left")
     plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -228,6 +229,35 @@ def test_filter_reads_levels_back():
     assert (read.levels(rng.integers(0, 2**63, 4000).astype(np.uint64)) == 0).mean() > 0.98
 
 
+def model_rows():
+    rng = random.Random(4)
+    words = [f"v{k}" for k in range(50)]
+    return [(i, " ".join(words[min(49, int(rng.expovariate(0.15)))] for _ in range(rng.randint(0, 30)))) for i in range(200)]
+
+
+def brute_scores(rows):
+    """Discounted bigrams of all histories, quantised to levels; log10 of each text's probability."""
+    tokens = lambda t: ["\n", *re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"]
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 10 == 0}
+    counts = Counter(x for i, t in rows if i not in held for x in tokens(t)[1:])
+    pairs = Counter(p for i, t in rows if i not in held for p in zip(tokens(t), tokens(t)[1:]))
+    q = {p: max(x for x in lm_score.LEVELS.tolist() if x <= n) for p, n in pairs.items() if n >= 2}
+    mass = Counter()
+    for (h, _), n in q.items():
+        mass[h] += n - 0.75
+    den = sum(counts.values()) + 0.1 * (len(counts) + 1)
+    p = lambda h, w: max(q.get((h, w), 0) - 0.75, 0) / max(counts[h], 1) + (max(0, 1 - mass[h] / counts[h]) if counts[h] else 1) * (counts[w] + 0.1) / den
+    return {i: sum(math.log10(p(h, w)) for h, w in zip(tokens(t), tokens(t)[1:])) for i, t in rows}
+
+
+def test_full_filter_loses_no_bigram(make_docs):
+    rows = model_rows()
+    want = brute_scores(rows)
+    for size in (lm_score.FILTER_BYTES, 300, 0):
+        got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), filter_bytes=size).collect()}
+        assert got == pytest.approx(want, abs=1e-6)
+
+
 def test_language_model_odd(odd_docs, no_docs):
     assert lm_score.lm_scores(odd_docs).count() == odd_docs.count()
     assert lm_score.lm_scores(no_docs).collect() == []
