@@ -1,8 +1,8 @@
 """Language-model scores from a log-frequency Bloom filter of quantised bigram counts.
 
 Word counts of all training texts are exact. The most frequent words (a table of bounded size)
-travel to the workers; the others' counts are joined to the few places that need them. Bigram
-counts after frequent words are quantised on a logarithmic scale, floor first, and a bigram of
+travel to the workers; the others' counts, as words and as histories, are joined to the few places
+that need them. Bigram counts after all words are quantised on a logarithmic scale, floor first, and a bigram of
 level j is put into a Bloom filter as its first j (bigram, level) pairs; a worker reads a count
 back by probing level after level until one is missing. The filter is broadcast and never
 exceeds a stated size: it holds the bigrams from the least count that fits. Tokens whose bigram
@@ -10,7 +10,7 @@ it lacks are joined by key to the table of all bigrams under that count, so none
 
 The model interpolates by absolute discounting: P(w|h) = max(q(h,w) - D, 0) / c(h) + left(h) * P(w),
 where left(h) is what the quantised bigrams leave of h's mass, and P(w) is the smoothed
-unigram probability; after words without a history entry it is P(w). Apart from the filter's
+unigram probability; after words without bigrams it is P(w). Apart from the filter's
 false positives (under one in a hundred), it sums to one.
 """
 
@@ -29,9 +29,8 @@ from pyspark.sql import functions as F
 from .common import at_most, materialise, read_table, space_words
 from .toxicity import held_out
 
-#: Words whose exact counts are broadcast, how many of them are histories, and the longest such word in bytes.
+#: Words whose exact counts are broadcast, and the longest such word in bytes.
 FREQUENT_WORDS = 1 << 18
-HISTORIES = 1 << 14
 LONGEST_FREQUENT = 64
 #: The filter: most bytes (bigrams beyond them are joined), bits an entry, probes, segments, and the least count of a bigram.
 FILTER_BYTES = 32 << 20
@@ -59,14 +58,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hash(word: bytes) -> int:
+    """As Spark's xxhash64 of the word, unsigned."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(word, 1)
+    return xxhash.xxh64_intdigest(word, 42)
 
 
 def bigram_keys(history: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """History number in the upper bits, 48 bits of the word's hash below."""
-    return (history.astype(np.uint64) << np.uint64(48)) | (_mix(hashes ^ _mix(history.astype(np.uint64) + np.uint64(1))) >> np.uint64(16))
+    """64-bit hashes of (history, word); a history is a frequent word's number, or ``rare_history``'s of another."""
+    with np.errstate(over="ignore"):
+        return _mix(hashes ^ _mix(history.astype(np.int64).view(np.uint64) + np.uint64(1)))
+
+
+def rare_history(hashes: np.ndarray) -> np.ndarray:
+    """Negative numbers of words that are not frequent: their hashes with the sign bit set."""
+    return (hashes | np.uint64(1 << 63)).view(np.int64)
 
 
 def _pair(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +169,7 @@ class _Texts:
         self.end_hash = word_hash(END)
 
     def tokens(self, text: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Words, and for words and end: frequent-word numbers (-1: not one), hashes, and histories (-1: none)."""
+        """Words, and for words and end: frequent-word numbers (-1: not one), hashes, and histories (negative: not frequent)."""
         words, get = space_words(text), self.index.get
         ids = np.array([*[get(w, -1) for w in words], self.end], dtype=np.int64)
         hashes = self.hashes[ids] if len(self.hashes) else np.zeros(len(ids), np.uint64)
@@ -172,7 +178,7 @@ class _Texts:
         if self.end < 0:
             hashes[-1] = self.end_hash
         before = np.concatenate([[self.end], ids[:-1]])
-        return words, ids, hashes, np.where(before < HISTORIES, before, -1)
+        return words, ids, hashes, np.where(before >= 0, before, rare_history(np.concatenate([[np.uint64(self.end_hash)], hashes[:-1]])))
 
 
 def _count_bigrams(shared):
@@ -180,16 +186,16 @@ def _count_bigrams(shared):
         texts, held, size = _Texts(shared.value), [], 0
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            keys, first, n = np.unique(np.concatenate([k for k, _ in held]) if held else np.zeros(0, np.uint64), return_index=True, return_counts=True)
+            history = np.concatenate([h for _, h in held])[first] if held else np.zeros(0, np.int64)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(history), pa.array(n.astype(np.int64))], ["key", "history", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 _, _, hashes, history = texts.tokens(text)
-                known = history >= 0
-                held.append(bigram_keys(history[known], hashes[known]))
-                size += len(held[-1])
+                held.append((bigram_keys(history, hashes), history))
+                size += len(history)
                 if size >= FLUSH_BIGRAMS:
                     yield flush()
                     size = 0
@@ -225,27 +231,22 @@ def _with_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(where)], ["key", "n", "segment"])
 
 
-def _sums(kind: str):
-    """Per task, how many bigrams reach each level, or what they take of each history's mass."""
-
-    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(LEVELS) + 1 if kind == "levels" else HISTORIES)
-        for batch in batches:
-            level = np.searchsorted(LEVELS, batch.column(1).to_numpy(), side="right")
-            if kind == "levels":
-                total += np.bincount(level, minlength=len(total))
-            else:
-                history = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(48)).astype(np.int64)
-                total += np.bincount(history, LEVELS[level - 1] - DISCOUNT, len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "amount"])
-
-    return sums
+def _levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task, how many bigrams reach each level."""
+    total = np.zeros(len(LEVELS) + 1, dtype=np.int64)
+    for batch in batches:
+        total += np.bincount(np.searchsorted(LEVELS, batch.column(0).to_numpy(), side="right"), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["level", "n"])
 
 
-def _summed(df: DataFrame, kind: str) -> dict[int, float]:
-    rows = df.select("key", "n").mapInArrow(_sums(kind), "id bigint, amount double").groupBy("id").agg(F.sum("amount").alias("amount"))
-    return {r.id: r.amount for r in rows.collect()}
+def _masses(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the quantised bigrams take of each history's mass, summed within batches."""
+    for batch in batches:
+        history, where = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+        level = np.searchsorted(LEVELS, batch.column(1).to_numpy(), side="right")
+        mass = np.bincount(where, LEVELS[level - 1] - DISCOUNT, len(history)).astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(history), pa.array(mass)], ["history", "mass"])
 
 
 def quantised(n, least_level: int):
@@ -261,36 +262,44 @@ def learn(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES
     return learn_tables(train, text, filter_bytes)[:2]
 
 
-def learn_tables(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES) -> tuple[Frequent, DataFrame, DataFrame]:
-    """As ``learn``, with the table (key, q) of the bigrams that the filter has no room for."""
+def learn_tables(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES) -> tuple[Frequent, DataFrame, DataFrame, DataFrame]:
+    """As ``learn``, with the tables (key, q) of the bigrams that the filter has no room for, and
+    (history, h_count, h_left) of the histories that are not broadcast."""
     texts = train.select(F.col(text).alias("text"))
     counts = materialise(texts.mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = at_most(counts.filter(F.length("word") <= LONGEST_FREQUENT), "c", FREQUENT_WORDS).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     empty = CountFilter(8, np.zeros(SEGMENTS, dtype=np.uint8))
-    frequent = Frequent(top["word"].to_pylist(), top["c"].to_numpy().astype(np.int64), np.ones(HISTORIES), int(totals.n), int(totals.v), empty, 0)
+    frequent = Frequent(top["word"].to_pylist(), top["c"].to_numpy().astype(np.int64), np.ones(top.num_rows), int(totals.n), int(totals.v), empty, 0)
     shared = train.sparkSession.sparkContext.broadcast(frequent)
-    bigrams = texts.mapInArrow(_count_bigrams(shared), "key bigint, n bigint").repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
+    bigrams = texts.mapInArrow(_count_bigrams(shared), "key bigint, history bigint, n bigint").repartition("key").groupBy("key").agg(F.max("history").alias("history"), F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
     bigrams = materialise(bigrams, "lm-bigrams")
     # Entries by the level a bigram reaches: a bigram of level j takes j entries less those under the least level.
-    by_level = {j: int(k) for j, k in _summed(bigrams, "levels").items()}
+    by_level = {r.level: r.n for r in bigrams.select("n").mapInArrow(_levels, "level bigint, n bigint").groupBy("level").agg(F.sum("n").alias("n")).collect()}
     least = 0
     while sum(k * (j - least) for j, k in by_level.items() if j > least) * BITS_PER_ENTRY > 8 * filter_bytes:
         least += 1
     entries = sum(k * (j - least) for j, k in by_level.items() if j > least)
     # All levels of a bigram fall into one segment, so small segments would be uneven.
     bits = max(8192, -(-entries * BITS_PER_ENTRY // SEGMENTS // 8) * 8)
-    kept = bigrams.filter(F.col("n") >= int(LEVELS[least])).mapInArrow(_with_segments, "key bigint, n bigint, segment bigint")
+    kept = bigrams.filter(F.col("n") >= int(LEVELS[least])).select("key", "n").mapInArrow(_with_segments, "key bigint, n bigint, segment bigint")
     segments = np.zeros(SEGMENTS * (bits // 8), dtype=np.uint8)
     # At most filter_bytes come to the driver here.
     for r in kept.repartition("segment").select("key", "n").mapInArrow(_fill(least, bits), "segment bigint, bits binary").collect():
         segments[r.segment * (bits // 8) : (r.segment + 1) * (bits // 8)] = np.frombuffer(r.bits, dtype=np.uint8)
     under = bigrams.filter(F.col("n") < int(LEVELS[least]))
     unheld = under.select("key", quantised(F.col("n"), least).alias("q"))
-    left = np.ones(HISTORIES)
-    for history, mass in _summed(bigrams, "mass").items():
-        left[history] = max(0.0, 1 - mass / float(frequent.counts[history]))
-    return Frequent(frequent.words, frequent.counts, left, frequent.n_tokens, frequent.n_types, CountFilter(bits, segments), least), counts, unheld
+    masses = bigrams.select("history", "n").mapInArrow(_masses, "history bigint, mass double").groupBy("history").agg(F.sum("mass").alias("mass"))
+    masses = materialise(masses, "lm-masses")
+    left = np.ones(top.num_rows)
+    known = masses.filter("history >= 0").toArrow()  # at most as many as frequent words
+    if known.num_rows:
+        at = known["history"].to_numpy()
+        left[at] = np.maximum(0.0, 1 - known["mass"].to_numpy() / frequent.counts[at])
+    names = counts.select(F.xxhash64("word").bitwiseOR(F.lit(-(1 << 63))).alias("history"), "c").filter(F.col("c") >= LEAST_COUNT)
+    histories = masses.filter("history < 0").join(names, "history").groupBy("history").agg(F.max("c").cast("double").alias("h_count"), F.max("mass").alias("mass"))
+    histories = histories.select("history", "h_count", F.greatest(F.lit(0.0), 1 - F.col("mass") / F.col("h_count")).alias("h_left"))
+    return Frequent(frequent.words, frequent.counts, left, frequent.n_tokens, frequent.n_types, CountFilter(bits, segments), least), counts, unheld, histories
 
 
 def _score(shared):
@@ -315,22 +324,19 @@ def _score(shared):
                 ids, hashes, history = np.concatenate(all_ids), np.concatenate(all_hashes), np.concatenate(all_history)
                 doc = np.repeat(np.arange(len(lengths)), lengths)
                 known = history >= 0
-                q, count, left = np.zeros(len(ids)), np.ones(len(ids)), np.ones(len(ids))
-                unheld = np.zeros(len(ids), dtype=bool)  # the filter does not have it, so the join tells
-                keys = np.zeros(len(ids), dtype=np.uint64)
+                count, left = np.ones(len(ids)), np.ones(len(ids))
+                keys = bigram_keys(history, hashes)
+                q = values[model.filter.levels(keys, model.least_level)].astype(np.float64)
                 if known.any():
-                    h = history[known]
-                    keys[known] = bigram_keys(h, hashes[known])
-                    q[known] = values[model.filter.levels(keys[known], model.least_level)]
-                    count[known], left[known] = model.counts[h], model.left[h]
-                    unheld = known & (q == 0) & (model.least_level > 0)
+                    count[known], left[known] = model.counts[history[known]], model.left[history[known]]
+                unheld = (q == 0) & (model.least_level > 0)  # the filter does not have it, so the join tells
                 frequent = ids >= 0
                 single = np.zeros(len(ids))
                 if len(model.counts):
                     single[frequent] = (model.counts[ids[frequent]] + ALPHA) / denominator
                 sums = lambda x, where: np.bincount(doc[where], x, len(lengths)).astype(np.float64)
                 base = sums(np.log10(single[frequent]), frequent)
-                here = frequent & ~unheld
+                here = frequent & known & ~unheld
                 scored = sums(np.log10(np.maximum(q[here] - DISCOUNT, 0) / count[here] + left[here] * single[here]), here)
                 rest = np.flatnonzero(~here)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[rest], minlength=len(lengths)))]).astype(np.int32)
@@ -339,11 +345,12 @@ def _score(shared):
                         pa.array([None if f else all_words[i] for i, f in zip(rest.tolist(), frequent[rest].tolist())], pa.binary()),
                         pa.array(single[rest], mask=~frequent[rest]),
                         pa.array(keys[rest].view(np.int64), mask=~unheld[rest]),
+                        pa.array(history[rest], mask=known[rest]),
                         pa.array(q[rest]),
                         pa.array(count[rest]),
                         pa.array(left[rest]),
                     ],
-                    ["word", "single", "key", "q", "count", "left"],
+                    ["word", "single", "key", "history", "q", "count", "left"],
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -373,10 +380,10 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
     probability one.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), F.col(text).alias("text"))
-    model, counts, unheld = learn_tables(rows.filter("NOT held_out"), filter_bytes=filter_bytes)
+    model, counts, unheld, histories = learn_tables(rows.filter("NOT held_out"), filter_bytes=filter_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, cold array<struct<word: binary, single: double, key: bigint, q: double, count: double, left: double>>"
+    schema = f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, cold array<struct<word: binary, single: double, key: bigint, history: bigint, q: double, count: double, left: double>>"
     scored = materialise(rows.mapInArrow(_score(shared), schema), "lm-scored")
     denominator = model.n_tokens + ALPHA * (model.n_types + 1)
     rare = scored.select("uid", F.explode("cold").alias("t")).select("uid", "t.*")
@@ -384,6 +391,10 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
     if model.least_level:
         rare = rare.withColumn("ask", F.coalesce("key", F.xxhash64("uid", "single"))).join(unheld.select(F.col("key").alias("ask"), F.col("q").alias("found")), "ask", "left")
         rare = rare.withColumn("q", F.when(F.col("key").isNotNull(), F.coalesce("found", "q")).otherwise(F.col("q")))
+    # Histories without bigrams are in no table: they leave all their mass.
+    rare = rare.withColumn("ask", F.coalesce("history", F.xxhash64("uid", "single", "word"))).join(histories.withColumnRenamed("history", "ask"), "ask", "left")
+    q, count, left = (F.when(F.col("history").isNull(), F.col(a)).otherwise(b) for a, b in (("q", F.when(F.col("h_count").isNull(), 0.0).otherwise(F.col("q"))), ("count", F.coalesce("h_count", F.lit(1.0))), ("left", F.coalesce("h_left", F.lit(1.0)))))
+    rare = rare.select("uid", "word", "single", q.alias("q"), count.alias("count"), left.alias("left"))
     rare = rare.withColumn("ask", F.coalesce("word", F.concat(F.lit(" "), F.col("uid").cast("string")).cast("binary"))).join(counts.withColumnRenamed("word", "ask"), "ask", "left")
     single = F.coalesce("single", (F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(float(denominator)))
     rest = rare.groupBy("uid").agg(

@@ -258,6 +258,21 @@ def test_full_filter_loses_no_bigram(make_docs):
         assert got == pytest.approx(want, abs=1e-6)
 
 
+def test_all_words_are_histories(make_docs, monkeypatch):
+    monkeypatch.setattr(lm_score, "FREQUENT_WORDS", 5)
+    rows = model_rows()
+    want = brute_scores(rows)
+    for size in (lm_score.FILTER_BYTES, 300):
+        got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), filter_bytes=size).collect()}
+        assert got == pytest.approx(want, abs=1e-6)
+
+
+def test_word_hash_is_sparks(spark):
+    words = [b"", b"a", b"\n", "größer日本".encode(), b"x" * 7, b"x" * 12, b"y" * 31, b"y" * 32, b"z" * 200]
+    got = spark.createDataFrame([(bytearray(w),) for w in words], "w binary").selectExpr("w", "xxhash64(w) h").collect()
+    assert all(lm_score.word_hash(bytes(r.w)) == r.h % 2**64 for r in got)
+
+
 def test_language_model_odd(odd_docs, no_docs):
     assert lm_score.lm_scores(odd_docs).count() == odd_docs.count()
     assert lm_score.lm_scores(no_docs).collect() == []
