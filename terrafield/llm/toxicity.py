@@ -33,9 +33,9 @@ LEAST_SHARE = 0.02
 LEAST_NEW = 3
 PURITY = 50
 STEM_LETTERS = (4, 12)
-#: Stems under this length are matched exactly only.
-FUZZY_LETTERS = 5
 EDITS = 1
+#: A stem is misspelled in so few of the texts without toxicity, else it is matched with its first letter right, or exactly.
+FALSE_ALARMS = 0.002
 MOST_SUFFIX = 2
 WINDOW = 8
 CACHE_ENTRIES = 150_000
@@ -62,15 +62,20 @@ def normal(token: str) -> str:
 
 
 class StemAutomaton:
-    """All stems' Levenshtein automata at once: states are sets of (trie node, edits, letter owed by a swap)."""
+    """All stems' Levenshtein automata at once: states are sets of (trie node, edits, letter owed by a swap, whether an edit touched the first letter).
+
+    ``fuzzy`` tells which stems may be misspelled, ``first`` which of these in the first letter too (by default none).
+    """
 
     MOST_STATES = 20_000
 
-    def __init__(self, stems: list[str], fuzzy: list[bool], edits: int = EDITS):
+    def __init__(self, stems: list[str], fuzzy: list[bool], edits: int = EDITS, first: list[bool] | None = None):
         self.stems, self.edits = stems, edits
         self.children: list[dict[str, int]] = [{}]
         self.end: list[int] = [-1]
         self.fuzzy_below: list[bool] = [False]
+        self.first = [a and b for a, b in zip(first, fuzzy)] if first else [False] * len(stems)
+        self.first_below: list[bool] = [any(self.first)]
         for k, stem in enumerate(stems):
             node = 0
             for c in stem:
@@ -79,8 +84,10 @@ class StemAutomaton:
                     self.children.append({})
                     self.end.append(-1)
                     self.fuzzy_below.append(False)
+                    self.first_below.append(False)
                 node = self.children[node][c]
                 self.fuzzy_below[node] |= fuzzy[k]
+                self.first_below[node] |= self.first[k]
             self.end[node] = k
         self.fuzzy = fuzzy
         self._reset()
@@ -90,15 +97,15 @@ class StemAutomaton:
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.found: list[tuple[int, int] | None] = []
-        self.start = self._state(frozenset({(0, 0, "")}))
+        self.start = self._state(frozenset({(0, 0, "", False)}))
 
     def _state(self, nodes: frozenset) -> int:
         if nodes in self.states:
             return self.states[nodes]
         best = None
-        for node, edits, owed in nodes:
+        for node, edits, owed, loose in nodes:
             k = self.end[node]
-            if k >= 0 and not owed and (not edits or self.fuzzy[k]) and (best is None or (edits, k) < best):
+            if k >= 0 and not owed and (not edits or self.fuzzy[k]) and (not loose or self.first[k]) and (best is None or (edits, k) < best):
                 best = (edits, k)
         self.states[nodes] = len(self.sets)
         self.sets.append(nodes)
@@ -108,26 +115,28 @@ class StemAutomaton:
 
     def _move(self, state: int, c: str) -> int:
         out = set()
-        for node, edits, owed in self.sets[state]:
+        for node, edits, owed, loose in self.sets[state]:
             if owed:
                 if c == owed:
-                    out.add((node, edits, ""))
+                    out.add((node, edits, "", loose))
                 continue
             kids = self.children[node]
             if c in kids:
-                out.add((kids[c], edits, ""))
-            if edits < self.edits and node:  # the first letter must be right
-                if self.fuzzy_below[node]:
-                    out.add((node, edits + 1, ""))  # a letter too many
+                out.add((kids[c], edits, "", loose))
+            if edits < self.edits:
+                loose = loose or not node
+                below = self.first_below if loose else self.fuzzy_below
+                if below[node]:
+                    out.add((node, edits + 1, "", loose))  # a letter too many
                 for x, kid in kids.items():
-                    if not self.fuzzy_below[kid]:
+                    if not below[kid]:
                         continue
-                    out.add((kid, edits + 1, ""))  # another letter
+                    out.add((kid, edits + 1, "", loose))  # another letter
                     grandkids = self.children[kid]
                     if c in grandkids:
-                        out.add((grandkids[c], edits + 1, ""))  # a letter left out
+                        out.add((grandkids[c], edits + 1, "", loose))  # a letter left out
                         if c != x:
-                            out.add((grandkids[c], edits + 1, x))  # two letters swapped
+                            out.add((grandkids[c], edits + 1, x, loose))  # two letters swapped
         return self._state(frozenset(out))
 
     def match(self, word: str) -> tuple[int, int] | None:
@@ -147,11 +156,11 @@ class StemAutomaton:
                 whole = False
                 break
         if whole and best is None:  # the stem's last letter left out
-            for node, edits, owed in self.sets[state]:
+            for node, edits, owed, loose in self.sets[state]:
                 if edits < self.edits and node and not owed:
                     for kid in self.children[node].values():
                         k = self.end[kid]
-                        if k >= 0 and self.fuzzy[k] and (best is None or (edits + 1, k) < best):
+                        if k >= 0 and self.fuzzy[k] and (not loose or self.first[k]) and (best is None or (edits + 1, k) < best):
                             best = (edits + 1, k)
         return best
 
@@ -178,20 +187,21 @@ class _Hits(dict):
 
 @dataclass
 class Model:
-    """Stems, which of them may be misspelled, and the regression's weights."""
+    """Stems, which of them may be misspelled, the regression's weights, and which stems may be misspelled in the first letter."""
 
     stems: list[str]
     fuzzy: list[bool]
     weights: list[float] = field(default_factory=lambda: [-4.0, 0.0, 0.0, 0.0])
+    first: list[bool] | None = None
     _hits: _Hits | None = None
 
     def __getstate__(self):
-        return {"stems": self.stems, "fuzzy": self.fuzzy, "weights": self.weights, "_hits": None}
+        return {"stems": self.stems, "fuzzy": self.fuzzy, "weights": self.weights, "first": self.first, "_hits": None}
 
     def features(self, text: str | None) -> tuple[list[float], list[tuple[int, int, float]]]:
         """The regression's inputs, and the hits as (word position, stem, weight)."""
         if self._hits is None:
-            self._hits = _Hits(StemAutomaton(self.stems, self.fuzzy))
+            self._hits = _Hits(StemAutomaton(self.stems, self.fuzzy, first=self.first))
         words = text.lower().split() if text else []
         codes = list(map(self._hits.__getitem__, words))
         exact = misspelled = 0.0
@@ -301,15 +311,22 @@ def fit(texts: list[tuple[str | None, int]], edits: int = EDITS) -> Model:
     """A model from labelled texts; toxic texts count again with their terms misspelled, so that the weight of a misspelling is learned too."""
     learned = learn_stems(texts)
     stems = [s for s, _ in learned]
-    model = Model(stems, [whole and len(s) >= FUZZY_LETTERS for s, whole in learned])
+    fuzzy = first = [whole for _, whole in learned]
     others = sum(1 for _, label in texts if not label)
-    if stems and edits:
-        wrong: Counter[int] = Counter()  # stems that texts without toxicity come near to are matched exactly
+
+    def quiet(model: Model) -> list[bool]:
+        """The stems that (nearly) no text without toxicity comes near to."""
+        wrong: Counter[int] = Counter()
         for text, label in texts:
             if not label:
                 wrong.update({k for _, k, _ in model.features(text)[1]})
-        fuzzy = [f and wrong[k] <= 0.002 * others for k, f in enumerate(model.fuzzy)]
-        model = Model(stems, fuzzy)
+        return [wrong[k] <= FALSE_ALARMS * others for k in range(len(stems))]
+
+    if any(fuzzy) and edits:
+        first = [a and b for a, b in zip(first, quiet(Model(stems, fuzzy, first=first)))]
+        if first != fuzzy:  # those that failed are tried with their first letter right
+            fuzzy = [a and b for a, b in zip(fuzzy, quiet(Model(stems, fuzzy, first=first)))]
+    model = Model(stems, fuzzy, first=first)
     rng = random.Random(7)
     rows, labels = [], []
     for text, label in texts:

@@ -137,6 +137,24 @@ def test_automaton_equals_edit_distance():
         assert (found is not None and found[0] == 0) == any(word.startswith(s) for s in stems), word
 
 
+def test_first_letters_may_be_wrong():
+    automaton = toxicity.StemAutomaton(["idiot", "moron", "scum"], [True] * 3, first=[True, False, True])
+    for word in ("diiot", "diot", "xidiot", "adiot", "iidiot", "idito", "cum", "ascum", "csum", "scun"):
+        assert automaton.match(word) is not None, word
+    assert automaton.match("oron") is None and automaton.match("noron") is None and automaton.match("mroon") == (1, 1)
+    assert automaton.match("idiot") == (0, 0) and automaton.match("zzdiot") is None
+
+
+def test_model_finds_wrong_first_letters_and_short_terms():
+    texts = [(t.replace("scumm", "jyvx"), y) for t, y in labelled()]
+    model = toxicity.fit(texts)
+    assert "jyvx" in model.stems
+    for term in ("diiot", "diot", "jyvz", "xyvx"):
+        assert model.score(f"you are an {term} bapo") > 0.5, term
+    near = [(t + " idito", 0) if not y and i % 9 == 0 else (t, y) for i, (t, y) in enumerate(texts)]
+    assert toxicity.fit(near).score("you are an diiot bapo") < 0.5  # clean texts come near, so only exact terms count
+
+
 def labelled(n=400, seed=1):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
