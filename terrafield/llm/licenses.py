@@ -3,11 +3,13 @@
 The hashes of all rolling runs of ``GRAM`` words of all texts are joined to the positions that
 such runs have in licence templates. Hits of one template with the same offset between text and
 template lie on a diagonal; a diagonal's hits are its votes. Neighbouring diagonals (words put
-in or left out) are merged into one span, and each span is verified word by word.
+in or left out) are merged into one span, and each span is verified word by word. Spans that do
+not suffice by themselves are verified together, so longer runs of words may be put in or left out.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -148,6 +150,33 @@ def verify(words: list[bytes], template: list[bytes], low: int, high: int) -> fl
     return matched / len(template)
 
 
+def chained(words: list[bytes], template: list[bytes], spans: list[dict]) -> list[tuple[int, int]]:
+    """(template word, text word) of the longest run that rises in both, of the words that the spans share with the template."""
+    pairs = set()
+    for s in spans:
+        at = s["first"] - 1
+        for t, word in enumerate(template):
+            for p in range(max(at + 1, t + s["low"]), min(s["last"], t + s["high"]) + 1):
+                if words[p] == word:
+                    pairs.add((p, -t))
+                    at = p
+                    break
+    ordered = [(p, -t) for p, t in sorted(pairs)]  # equal text words by falling template words, so that one is taken
+    tails: list[int] = []  # the least last template word of a run of each length
+    ends: list[int] = []
+    before: list[int] = []
+    for i, (_, t) in enumerate(ordered):
+        k = bisect.bisect_left(tails, t)
+        before.append(ends[k - 1] if k else -1)
+        tails[k:] = [t] + tails[k + 1 :]
+        ends[k:] = [i] + ends[k + 1 :]
+    out, i = [], ends[-1] if ends else -1
+    while i >= 0:
+        out.append((ordered[i][1], ordered[i][0]))
+        i = before[i]
+    return out[::-1]
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, gram: int = GRAM, coverage: float = COVERAGE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Licence labels of every row.
 
@@ -173,11 +202,22 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, gram: i
                 words = plain_words(t)
                 places = phrase_places(words, phrases)
                 verified = []
+                short: dict[int, list] = {}  # spans that do not suffice by themselves
                 for s in spans or ():
                     label, template = prepared[s["template"]]
                     share = verify(words, template, s["low"], s["high"])
                     if share >= (1.0 if len(template) < SHORT_WORDS else coverage) or share * len(template) >= ENOUGH_WORDS:
                         verified.append({"label": label, "first": s["first"], "last": s["last"], "share": share})
+                    elif len(template) >= SHORT_WORDS:
+                        short.setdefault(s["template"], []).append(s)
+                for k, some in short.items():
+                    label, template = prepared[k]
+                    while len(some) > 1:
+                        run = chained(words, template, some)
+                        if len(run) < min(coverage * len(template), ENOUGH_WORDS):
+                            break
+                        verified.append({"label": label, "first": run[0][1], "last": run[-1][1], "share": len(run) / len(template)})
+                        some = [s for s in some if s["first"] > run[-1][1]]
                 base = sorted({label for _, label in places})
                 labels = sorted({*base, *(v["label"] for v in verified)})
                 starts = [p for p, _ in places]

@@ -100,6 +100,19 @@ def test_licenses(make_docs):
     assert got[8].labels == "" and got[1].labels == ""
 
 
+def test_license_with_a_run_put_in(make_docs):
+    long = [(label, t.split()) for label, t in licenses.TEMPLATES if label in ("bsd", "isc", "mpl", "mit", "apache", "gpl") and len(t) > 180]
+    texts = [" ".join(["x"] * 9 + w[: len(w) // 2] + ["a", "run", "of", "words", "put", "in"] + w[len(w) // 2 :]) for _, w in long]
+    gone = [" ".join(w[: len(w) // 2] + w[len(w) // 2 + 4 :]) for _, w in long]
+    halves = [" ".join(w[: len(w) // 2]) for label, w in long if label in ("bsd", "isc", "mpl")]
+    swapped = [" ".join(w[len(w) // 2 :] + w[: len(w) // 2]) for label, w in long if label in ("bsd", "isc", "mpl")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(make_docs(list(enumerate([*texts, *gone, *halves, *swapped])))).collect()}
+    for i, (label, _) in enumerate(long):
+        assert label in got[i].labels.split(","), label
+        assert label in got[len(long) + i].labels.split(","), label
+    assert not any(got[i].labels for i in range(2 * len(long), len(got)))
+
+
 def test_licenses_odd(odd_docs, no_docs):
     assert licenses.scan_licenses(odd_docs).count() == odd_docs.count()
     assert licenses.scan_licenses(no_docs).collect() == []
