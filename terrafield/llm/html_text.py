@@ -36,9 +36,13 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: HTML's own element classes.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " math mi mn mo ms mtext mrow msub msup msubsup munder mover munderover mfrac msqrt mroot mstyle mspace mpadded mphantom menclose mfenced mtable mtr mtd semantics annotation svg g tspan".split()
 )
-_SKIPPED = frozenset("script style noscript template svg math head iframe object textarea select button canvas audio video".split())
+#: Scripts, styles, markup and the controls of forms.
+_SKIPPED = frozenset("script style template head button select textarea".split())
+#: Blocks of their own that may stand within a paragraph.
+_EMBEDDED = frozenset("object iframe canvas audio video noscript text desc".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _HOLDERS = frozenset("ul ol dl table".split())
 
@@ -138,7 +142,7 @@ def blocks_of(page: str | None) -> list[Block]:
                         break
                     if stack[k][0] in _HOLDERS:
                         break
-            else:
+            elif tag not in _EMBEDDED:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p":
                         close_to(k)
@@ -273,6 +277,7 @@ def _sentence(rng: random.Random, low: int, high: int, stop: str = ".") -> str:
 def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     """A page in a random layout, and for each of its leaf blocks whether it is main text."""
     out, labels = [], []
+    own = random.Random(rng.getstate()[1][0])  # for what is embedded; the layout's draws stay as they are
 
     def block(open_tag: str, text: str, close_tag: str, label: int) -> None:
         out.append(f"{open_tag}{text}{close_tag}")
@@ -337,6 +342,9 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
                 out.append("</ul>")
             else:
                 block("<pre>", _sentence(rng, 3, 15, ";"), "</pre>", 1)
+            if own.random() < 0.05:
+                tag = own.choice(("object", "canvas", "audio", "video", "iframe"))
+                block(f"<{tag}>", _sentence(own, 2, 20), f"</{tag}>", 1)
             if rng.random() < 0.06:
                 box("div aside", "ad ads advert sponsored promo related newsletter share", rng.choice((notice, short)))
 

@@ -351,6 +351,13 @@ def test_page(field):
     assert field.main_text(None) == field.main_text("") == field.main_text("<p>") == ""
 
 
+def test_embedded_text_is_kept(field):
+    page = PAGE.replace("<ul><li>item one of it</ul></article>", "<p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is known, as the text says.</p><object data=x>A figure of both numbers, told in words.</object><p>More of the text, <button>Copy this</button> and its end.</p><select><option>One</option></select></article>")
+    text = field.main_text(page).split("\n")
+    assert "The sum a+b is known, as the text says." in text and "A figure of both numbers, told in words." in text
+    assert "More of the text," in text and "and its end." in text and "Copy this" not in text and "One" not in text
+
+
 def test_page_table(spark, field):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "", "x"), (1, "u", PAGE, "x"), (3, "w", "<div>" * 3000 + "deep", "x"), (4, "w", "<a title='" * 50, "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
