@@ -223,7 +223,7 @@ def gard_model(name: str, n_analogs: int = 10, thresh: float | None = None) -> C
         return lambda x, y, new: analogs(x, y, new, False)
     if name == "AnalogRegression":
         return lambda x, y, new: analogs(x, y, new, True)
-    raise NotImplementedError("model_type must be AnalogRegression, PureAnalog, or PureRegression")
+    raise NotImplementedError(f"no such analog or regression model: {name!r}")
 
 
 def gard_fit_predict(train: DataFrame, predict: DataFrame, features: Sequence[str], target: str, model: str = "PureRegression", cell: Sequence[str] = CELL, time: str = "time", roots: Sequence[str] = ("pr",), n_analogs: int = 10, thresh: float | None = None) -> DataFrame:

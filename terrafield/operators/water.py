@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,27 +18,47 @@ MM_PER_INCH = 25.4
 SMALL_PPT = 1e-10
 
 
-def bucket_month(ppt: float, pet: float, awc: float, soil: float, swe: float, melt: float) -> tuple[float, float, float, float, float]:
-    """One month of a snow-and-soil bucket: (aet, deficit, runoff, soil, swe)."""
-    snow = (1 - melt) * ppt
-    water = ppt - snow + melt * (snow + swe)
-    at_once, water = 0.05 * water, 0.95 * water
-    swe = (1 - melt) * (snow + swe)
-    change, sublimated = water - pet, 0.0
-    if change < 0 < swe and swe != -change:  # snow covers what it can of the need; an exact match is left to the soil
-        sublimated = min(swe, -change)
-        change, swe = (0.0, swe + change) if swe > -change else (change + swe, 0.0)
-    change = max(change, -soil)
-    drained = change * (1 - np.exp(-soil / awc)) if change < 0 else 0.0
-    supply = water + sublimated
-    if pet >= supply:
-        aet, runoff = supply - drained, 0.0
-        deficit, soil = pet - aet, soil + drained
-    else:
-        aet, deficit = pet, 0.0
-        runoff = max(0.0, soil + change - awc)
-        soil = min(soil + change, awc)
-    return aet, deficit, runoff + at_once, soil, swe
+#: Share of rain and melt that runs off before it reaches the soil.
+DIRECT_RUNOFF = 0.05
+#: Cells are dealt into so many groups; a group's months are stepped through for all its cells at once.
+CELL_GROUPS = 4096
+
+
+@dataclass
+class Bucket:
+    """Soil water and snow of some cells (mm), stepped month by month."""
+
+    capacity: np.ndarray
+    soil: np.ndarray
+    snow: np.ndarray
+
+    @classmethod
+    def full(cls, capacity: np.ndarray) -> Bucket:
+        """Full soils without snow."""
+        return cls(capacity, capacity.astype(float).copy(), np.zeros(len(capacity)))
+
+    def step(self, rain_and_snow: np.ndarray, demand: np.ndarray, melt: np.ndarray) -> dict[str, np.ndarray]:
+        """One month for all cells: aet, deficit, runoff, soil and snow.
+
+        Snow that falls joins the pack before the pack melts. What reaches the soil serves the
+        demand first; what is left of that is met by sublimation, as far as the pack goes, and then
+        by the soil, which gives the less the emptier it is. A surplus fills the soil, the rest runs off.
+        """
+        pack = self.snow + (1 - melt) * rain_and_snow
+        reaching = melt * (rain_and_snow + pack)
+        runoff = DIRECT_RUNOFF * reaching
+        reaching = reaching - runoff
+        pack = (1 - melt) * pack
+        unmet = np.maximum(demand - reaching, 0)
+        sublimated = np.minimum(pack, unmet)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            yielded = -np.expm1(-np.where(self.capacity > 0, self.soil / self.capacity, 0.0))
+        drawn = np.minimum(unmet - sublimated, self.soil) * yielded
+        surplus = np.maximum(reaching - demand, 0)
+        stored = np.minimum(surplus, self.capacity - self.soil)
+        self.soil, self.snow = self.soil + stored - drawn, pack - sublimated
+        met = np.minimum(reaching, demand) + sublimated + drawn
+        return {"aet": met, "def": demand - met, "q": runoff + surplus - stored, "soil": self.soil, "swe": self.snow}
 
 
 def palmer(ppt: np.ndarray, pet: np.ndarray, awc: float, calibration: slice) -> np.ndarray:
@@ -77,19 +98,68 @@ def palmer(ppt: np.ndarray, pet: np.ndarray, awc: float, calibration: slice) ->
     k = 1.5 * np.log10(np.maximum((demand + 2.8) / np.maximum(mean_d, 1e-9), 1e-9)) + 0.5
     weight = 17.67 * k / max((mean_d * k).sum(), 1e-9)
     z = weight[month] * departure
-    out = np.zeros(n)
-    spell = wet = dry = 0.0
-    for i in range(n):
-        # The wet and the dry candidate run on; an established spell lasts until its own index is back near zero.
-        wet, dry = max(0.0, 0.897 * wet + z[i] / 3), min(0.0, 0.897 * dry + z[i] / 3)
-        spell = 0.897 * spell + z[i] / 3 if spell else 0.0
-        if spell and abs(spell) < 0.5:
-            spell = 0.0
-        if not spell:
-            spell = wet if wet >= 1 else dry if dry <= -1 else 0.0
-        elif spell > 0 and dry <= -1 or spell < 0 and wet >= 1:
-            spell = dry if spell > 0 else wet
-        out[i] = spell or (wet if wet >= -dry else dry)
+    return severity(z)
+
+
+#: Palmer's constants: how much of an index lasts into the next month, and the share that a month's departure adds.
+LASTING, ADDED = 0.897, 1 / 3
+#: An index of this size starts a spell, one of this size ends it, and a month counts towards its end beyond this.
+ESTABLISHED, ENDED = 1.0, 0.5
+NEAR_NORMAL = 0.15
+
+
+def severity(z: np.ndarray) -> np.ndarray:
+    """The index of Palmer's moisture anomalies, with his probability that a spell has ended and the look back.
+
+    A wet and a dry spell to come are followed side by side. An established spell lasts until the
+    moisture received since its end began is all that it takes to end it (a probability of 100 %).
+    Months between are settled looking back: they belong to the spell if its end does not
+    come after all, and to the spell to come, or to the one of greater size, if it does.
+    """
+    out = np.zeros(len(z))
+    coming = {1: 0.0, -1: 0.0}  # the spell to come, by sign
+    index, sign, received = 0.0, 0, 0.0  # the established spell, and what has been received towards its end
+    open_months: list[tuple[int, float, float]] = []  # months not settled: place, wet and dry spell to come
+
+    def settle(towards: int) -> None:
+        """Months not settled go to the spell to come of that sign, as far back as it reaches, before that to the other."""
+        for place, wet, dry in reversed(open_months):
+            own, other = (wet, dry) if towards > 0 else (dry, wet)
+            if not own:
+                towards, own = -towards, other
+            out[place] = own
+        open_months.clear()
+
+    for i, value in enumerate(z.tolist()):
+        for s in (1, -1):
+            coming[s] = s * max(0.0, s * (LASTING * coming[s] + ADDED * value))
+        if sign:
+            # What the month adds towards the spell's end, and what it takes to end it, as moisture anomalies.
+            against = received - sign * (value - sign * NEAR_NORMAL)
+            needed = (LASTING * abs(index) - ENDED) / ADDED + received
+            index, received = LASTING * index + ADDED * value, max(0.0, against)
+            if against > 0 and (needed <= 0 or against >= needed):  # the end is certain
+                sign, index, received = 0, 0.0, 0.0
+            elif received:
+                out[i] = index
+                open_months.append((i, coming[1], coming[-1]))
+                continue
+            else:  # the spell goes on: open months keep its index, and no other spell is to come
+                open_months.clear()
+                coming = {1: 0.0, -1: 0.0}
+                out[i] = index
+                continue
+        open_months.append((i, coming[1], coming[-1]))
+        started = next((s for s in (1, -1) if s * coming[s] >= ESTABLISHED), 0)
+        if started:
+            settle(started)
+            sign, index, received = started, out[i], 0.0
+            coming = {1: 0.0, -1: 0.0}
+        elif not coming[1] or not coming[-1]:  # one spell alone can be meant
+            settle(1 if coming[1] else -1)
+    for place, wet, dry in open_months:
+        if not sign:
+            out[place] = wet if wet >= -dry else dry
     return out
 
 
@@ -111,7 +181,7 @@ def water_balance(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time",
     """Monthly rows of tmax, tmin, ppt, srad, ws, tdew (or rh or vap), awc and elevation to aet, def, pet, q, soil, swe (and pdsi).
 
     Humidity and evapotranspiration are expressions; only the bucket's recurrence runs in a grouped
-    function, one cell a group. The first month starts with a full soil and no snow. Series too
+    function, which steps through the months of many cells at once. The first month starts with a full soil and no snow. Series too
     short for a spin-up, or not starting in January, have no pdsi.
     """
     ready = monthly_pet(humidity(df), cell, time, latitude).withColumn("_melt", melt_fraction(F.col("tmean")))
@@ -119,21 +189,30 @@ def water_balance(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time",
     schema = ", ".join(f"{c} {kinds[c]}" for c in (time, *cell)) + ", aet double, def double, pet double, q double, soil double, swe double, pdsi double"
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(time)
-        awc = float(rows["awc"].iloc[0])
-        soil, swe, out = awc, 0.0, []
-        for ppt, pet, melt in zip(rows["ppt"], rows["pet"], rows["_melt"]):
-            month = bucket_month(ppt, pet, awc, soil, swe, melt)
-            soil, swe = month[3], month[4]
-            out.append((month[0], month[1], pet, month[2], soil, swe))
-        result = pd.concat([rows[[time, *cell]].reset_index(drop=True), pd.DataFrame(out, columns=["aet", "def", "pet", "q", "soil", "swe"])], axis=1)
-        when = pd.to_datetime(rows[time])
-        whole = with_pdsi and len(rows) > 120 and when.iloc[0].month == 1 and rows[["ppt", "pet"]].notna().all().all()
-        result["pdsi"] = pdsi(rows["ppt"].to_numpy(float), rows["pet"].to_numpy(float), awc, when.dt.year.to_numpy(), when.dt.month.to_numpy(), first=normal[0], last=normal[1]) if whole else np.nan
+        rows = rows.sort_values([*cell, time]).reset_index(drop=True)
+        by_cell = rows.groupby(list(cell), sort=False, dropna=False)
+        column, step = by_cell.ngroup().to_numpy(), by_cell.cumcount().to_numpy()
+        first = np.flatnonzero(step == 0)
+        bucket = Bucket.full(rows["awc"].to_numpy(float)[first])
+        wide = {c: np.full((step.max() + 1, len(first)), np.nan) for c in ("ppt", "pet", "_melt")}
+        for c, matrix in wide.items():
+            matrix[step, column] = rows[c].to_numpy(float)
+        months = [bucket.step(wide["ppt"][k], wide["pet"][k], wide["_melt"][k]) for k in range(step.max() + 1)]
+        result = rows[[time, *cell]].copy()
+        for c in ("aet", "def", "pet", "q", "soil", "swe"):
+            result[c] = rows["pet"].to_numpy() if c == "pet" else np.stack([m[c] for m in months])[step, column]
+        result["pdsi"] = np.nan
+        ends = np.append(first[1:], len(rows))
+        for a, b in zip(first.tolist(), ends.tolist()):
+            one = rows.iloc[a:b]
+            when = pd.to_datetime(one[time])
+            if with_pdsi and b - a > 120 and when.iloc[0].month == 1 and one[["ppt", "pet"]].notna().all().all():
+                result.loc[a : b - 1, "pdsi"] = pdsi(one["ppt"].to_numpy(float), one["pet"].to_numpy(float), float(one["awc"].iloc[0]), when.dt.year.to_numpy(), when.dt.month.to_numpy(), first=normal[0], last=normal[1])
         return result
 
     columns = [time, *cell, "ppt", "pet", "awc", "_melt"]
-    return ready.select(*columns).groupBy(*cell).applyInPandas(run, schema)
+    grouped = ready.select(*columns).groupBy(F.pmod(F.xxhash64(*cell), F.lit(CELL_GROUPS)).alias("_group"))
+    return grouped.applyInPandas(run, schema)
 
 
 def valid_cells(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.water import bucket_month
+from ..operators.water import Bucket
 
 
 def read_stream(spark: SparkSession, path: str, schema: str, ts: str = "ts", files_per_trigger: int | None = None) -> DataFrame:
@@ -42,15 +42,16 @@ def bucket(stream: DataFrame, key: str = "cell", awc: float = 100.0) -> DataFram
 
     def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         soil, swe, last = state.get if state.exists else (awc, 0.0, "")
+        water = Bucket(np.array([awc]), np.array([soil]), np.array([swe]))
         rows = []
         for frame in frames:
             for r in frame.sort_values("month").itertuples():
                 if r.month <= last:
                     continue
-                aet, deficit, runoff, soil, swe = bucket_month(r.ppt, r.pet, awc, soil, swe, r.melt)
+                month = water.step(np.array([r.ppt]), np.array([r.pet]), np.array([r.melt]))
                 last = r.month
-                rows.append((keys[0], r.month, float(aet), float(deficit), float(runoff), float(soil), float(swe)))
-        state.update((float(soil), float(swe), last))
+                rows.append((keys[0], r.month, *(float(month[c][0]) for c in ("aet", "def", "q", "soil", "swe"))))
+        state.update((float(water.soil[0]), float(water.snow[0]), last))
         yield pd.DataFrame(rows, columns=[key, "month", "aet", "def", "q", "soil", "swe"])
 
     kind = stream.schema[key].dataType.simpleString()
@@ -62,12 +63,3 @@ def run_once(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
     query = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{path}/data").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/data")
-
-
-def for_each_batch(stream: DataFrame, path: str, merge: Callable[[DataFrame, int], None]) -> None:
-    """Each micro-batch handed to a function (an upsert, say), with a checkpoint, until nothing is left."""
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-
-
-def progress(query) -> str:
-    return json.dumps(query.lastProgress, default=str)

@@ -156,14 +156,43 @@ def test_convolutions():
 
 
 def test_bucket_balances():
+    """What comes in is evaporated, run off or stored, for all cells at once; none gives more than it has."""
     rng = np.random.default_rng(7)
-    soil, swe = 100.0, 0.0
+    water = W.Bucket.full(np.array([100.0, 20.0, 0.0, 350.0]))
     for _ in range(400):
-        ppt, pet, melt = rng.gamma(1, 60), rng.uniform(0, 120), rng.uniform()
-        aet, deficit, runoff, soil2, swe2 = W.bucket_month(ppt, pet, 100.0, soil, swe, melt)
-        assert min(deficit, runoff, soil2, swe2) >= -1e-9 and soil2 <= 100 + 1e-9 and aet <= pet + 1e-9
-        assert aet + deficit == pytest.approx(pet)
-        soil, swe = soil2, swe2
+        ppt, pet, melt = rng.gamma(1, 60, 4), rng.uniform(0, 120, 4), rng.uniform(size=4)
+        before = water.soil + water.snow
+        month = water.step(ppt, pet, melt)
+        assert all((v >= -1e-9).all() for v in month.values()) and (month["soil"] <= water.capacity + 1e-9).all()
+        assert month["aet"] + month["def"] == pytest.approx(pet)
+        assert before + ppt == pytest.approx(water.soil + water.snow + month["aet"] + month["q"])
+
+
+def test_bucket_by_hand():
+    """100 mm of soil; dry month: (1 - exp(-1)) of the unmet 50 mm; cold month: all falls as snow, which then serves the demand first."""
+    water = W.Bucket.full(np.array([100.0]))
+    month = water.step(np.array([0.0]), np.array([50.0]), np.array([1.0]))
+    assert month["aet"][0] == pytest.approx(50 * (1 - np.exp(-1))) and month["q"][0] == 0
+    water = W.Bucket.full(np.array([100.0]))
+    month = water.step(np.array([30.0]), np.array([30.0]), np.array([0.0]))
+    assert (month["aet"][0], month["def"][0], month["soil"][0], month["swe"][0]) == (30, 0, 100, 0)
+    month = water.step(np.array([40.0]), np.array([10.0]), np.array([1.0]))
+    assert (month["aet"][0], month["q"][0], month["soil"][0]) == (10, 2 + 28, 100)
+
+
+def test_severity_by_hand():
+    """Months of Palmer's index worked by hand: onset, an established drought, its end and the look back."""
+    got = W.severity(np.array([-3.0, -3.0, -3.0]))
+    assert got == pytest.approx([-1.0, -1.897, -0.897 * 1.897 - 1])
+    # A drought of -1 needs 2.691 * 1 - 1.5 = 1.191 to end: 0.5 + 0.15 does not do it, so the month stays open and, as it goes on, dry.
+    got = W.severity(np.array([-3.0, 0.5, -3.0]))
+    assert got == pytest.approx([-1.0, -0.897 + 0.5 / 3, 0.897 * (-0.897 + 0.5 / 3) - 1])
+    # 3 does: the month then starts a wet spell; the month before the drought's end that had been open turns wet with it.
+    got = W.severity(np.array([-3.0, 0.5, 3.0]))
+    assert got == pytest.approx([-1.0, 0.5 / 3, 0.897 * 0.5 / 3 + 1])
+    assert (W.severity(np.full(40, 0.01)) >= 0).all()
+    z = np.random.default_rng(0).normal(0, 2, 600)
+    assert W.severity(z) == pytest.approx(-W.severity(-z))
 
 
 def test_drought_follows_rain():

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrafield.operators.water import bucket_month
+from terrafield.operators.water import Bucket
 from terrafield.streaming import daily_feed as S
 
 SCHEMA = "ts timestamp, cell int, value double"
@@ -39,7 +40,7 @@ def test_bucket_state_goes_on(spark, tmp_path):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         out = S.run_once(S.bucket(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")), f"file://{tmp_path}/out")
     got = {r.month: r.soil for r in out.collect()}
-    soil, swe = 100.0, 0.0
+    one = Bucket.full(np.array([100.0]))
     for month, _, ppt, pet, melt in months:
-        *_, soil, swe = bucket_month(ppt, pet, 100.0, soil, swe, melt)
-        assert got[month] == pytest.approx(soil)
+        one.step(np.array([ppt]), np.array([pet]), np.array([melt]))
+        assert got[month] == pytest.approx(one.soil[0])
