@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import itertools
+import gc
 import os
-import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel  # noqa: F401  (re-exported for callers)
 
 #: Characters that end a word in "plain words" (after lower-casing A-Z): all ASCII but 0-9 and a-z.
 _PLAIN = bytes(
@@ -34,14 +30,16 @@ def space_words(text: str | None) -> list[bytes]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    ``spark.checkpoint.dir`` names it. Only where that is unset (local tests) is a
-    temporary folder made and set.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a temporary folder is made and set if
+    all runs in this process (as in tests); on a cluster that is an error, since no other machine would see it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = set_dir.get() if set_dir.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="terrafield-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/") if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path)
@@ -59,11 +57,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_shuffles(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, upon which Spark's cleaner removes the shuffle files of tables already written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def at_most(df: DataFrame, column: str, size: int) -> DataFrame:
-    """The rows of the highest counts in ``column``, at most ``size`` of them: all rows over a threshold.
+    """Rows of the highest counts in ``column``, ``size`` of them at most: all rows from a count on.
 
-    The threshold comes from a histogram on a logarithmic scale (some thousand bins), so no task
-    sorts or gathers more than the rows it returns. Rows that tie in a bin stay or go together.
+    The count comes from a histogram on a logarithmic scale (some thousand bins; below 32 each count is a bin),
+    so no task sorts or gathers more than the rows it returns. Rows that tie in a bin stay or go
+    together. Callers use what is chosen for speed alone and have another way for the rest.
     """
     fine = F.floor(F.log2(F.col(column).cast("double")) * 32)
     bins = sorted(((r.b, r.n) for r in df.filter(F.col(column) > 0).groupBy(fine.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
@@ -76,22 +81,5 @@ def at_most(df: DataFrame, column: str, size: int) -> DataFrame:
     return df.filter(fine >= least) if least is not None else df.limit(0)
 
 
-def empty_if_null(column: str):
-    return F.coalesce(F.col(column), F.lit(""))
-
-
-def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
-
-
-def fresh(names: list[str], stem: str) -> str:
-    """A column name that clashes with none of ``names`` (compared as Spark does, without case)."""
-    taken = {n.lower() for n in names}
-    return next(c for c in itertools.chain([stem], (f"{stem}_{i}" for i in itertools.count(1))) if c.lower() not in taken)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-WORD_RUN = re.compile(r"\w+")

@@ -1,24 +1,25 @@
 """Language-model scores from a log-frequency Bloom filter of quantised bigram counts.
 
-Word counts of all training texts are exact. The most frequent words (a table of bounded size)
-travel to the workers; the others' counts, as words and as histories, are joined to the few places
-that need them. Bigram counts after all words are quantised on a logarithmic scale, floor first, and a bigram of
-level j is put into a Bloom filter as its first j (bigram, level) pairs; a worker reads a count
-back by probing level after level until one is missing. The filter is broadcast and never
-exceeds a stated size: it holds the bigrams from the least count that fits. Tokens whose bigram
-it lacks are joined by key to the table of all bigrams under that count, so none is lost.
+One scan counts words and bigrams of all training texts, chunk by chunk, and one shuffle adds
+them up by buckets of their hashes. Word counts are exact. Bigram counts, of all histories and
+from ``LEAST_COUNT`` on, are quantised on a logarithmic scale, floor first, and a bigram of level
+j is put into its bucket's segment of a Bloom filter as its first j (bigram, level) pairs; a
+worker reads a count back by probing level after level until one is missing. The filter takes
+``BITS_PER_ENTRY`` bits an entry, so it grows with the corpus: its segments are broadcast in parts of
+bounded size, some parts a pass over the texts, and each token is scored in the pass that has its bigram.
 
 The model interpolates by absolute discounting: P(w|h) = max(q(h,w) - D, 0) / c(h) + left(h) * P(w),
 where left(h) is what the quantised bigrams leave of h's mass, and P(w) is the smoothed
-unigram probability; after words without bigrams it is P(w). Apart from the filter's
-false positives (under one in a hundred), it sums to one.
+unigram probability. Apart from the filter's false positives (under one in a hundred), it sums to one.
+Counts and masses of the most frequent words (a table of bounded size) are broadcast; those of
+the other words of a chunk of texts are joined to that chunk. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,27 +27,32 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import at_most, materialise, read_table, space_words
+from .common import at_most, clear_shuffles, materialise, read_table, space_words
 from .toxicity import held_out
 
-#: Words whose exact counts are broadcast, and the longest such word in bytes.
-FREQUENT_WORDS = 1 << 18
-LONGEST_FREQUENT = 64
-#: The filter: most bytes (bigrams beyond them are joined), bits an entry, probes, segments, and the least count of a bigram.
-FILTER_BYTES = 32 << 20
+#: Words whose exact counts and masses are broadcast (24 bytes each).
+FREQUENT_WORDS = 1 << 19
+#: The filter: bits an entry, probes, the least count of a bigram, bytes of a part (what a worker holds), parts of a pass.
 BITS_PER_ENTRY = 12
 PROBES = 5
-SEGMENTS = 256
 LEAST_COUNT = 2
+PART_BYTES = 32 << 20
+PASS_PARTS = 16
 DISCOUNT = 0.75
 ALPHA = 0.1
 #: The token that ends each text, and stands before its first word; no word holds a line break.
 END = b"\n"
-FLUSH_WORDS = 300_000
-FLUSH_BIGRAMS = 4_000_000
+#: Letters of the texts that are counted together and share a dictionary; a longer text is a chunk by itself.
+CHUNK_LETTERS = 24 << 20
+#: Letters of texts that one bucket of hashes is made for, and tokens that are scored together.
+BUCKET_LETTERS = 8 << 20
+SCORED_TOKENS = 1 << 19
+#: Words that a worker keeps numbered, some 150 bytes each.
+KEPT_WORDS = 500_000
 
 #: Counts at which a bigram reaches each level: 2 * 1.5**j, rounded up, as far as 64-bit counts of a corpus go.
 LEVELS = np.unique(np.ceil(2 * 1.5 ** np.arange(0, 90)).astype(np.float64)).astype(np.int64)
+_VALUES = np.concatenate([[0], LEVELS]).astype(np.float64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,21 +64,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hash(word: bytes) -> int:
-    """As Spark's xxhash64 of the word, unsigned."""
     import xxhash
 
     return xxhash.xxh64_intdigest(word, 42)
 
 
-def bigram_keys(history: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """64-bit hashes of (history, word); a history is a frequent word's number, or ``rare_history``'s of another."""
+#: Of a bigram's second word 48 bits of the hash are kept beside the 64 of its history.
+_WORD_BITS = np.uint64((1 << 48) - 1)
+
+
+def bigram_keys(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit keys of (history, word) from the hashes of both."""
     with np.errstate(over="ignore"):
-        return _mix(hashes ^ _mix(history.astype(np.int64).view(np.uint64) + np.uint64(1)))
+        return _mix((word & _WORD_BITS) ^ _mix(history + np.uint64(1)))
 
 
-def rare_history(hashes: np.ndarray) -> np.ndarray:
-    """Negative numbers of words that are not frequent: their hashes with the sign bit set."""
-    return (hashes | np.uint64(1 << 63)).view(np.int64)
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint32)
 
 
 def _pair(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,329 +90,453 @@ def _pair(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
         return one, (one >> np.uint64(17)) * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1)
 
 
-def _position(one: np.ndarray, two: np.ndarray, probe: int, bits: int) -> np.ndarray:
+def _position(one: np.ndarray, two: np.ndarray, probe: int, bits: np.ndarray | np.uint64) -> np.ndarray:
     """The bit within its segment (under 2**32 bits) that a probe falls on."""
     with np.errstate(over="ignore"):
-        return ((one + np.uint64(probe) * two) >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)
+        return ((one + np.uint64(probe) * two) >> np.uint64(32)) * bits >> np.uint64(32)
 
 
-def segment_of(keys: np.ndarray) -> np.ndarray:
-    return (_mix(keys) >> np.uint64(56)).astype(np.int64) % SEGMENTS
+def filled(keys: np.ndarray, levels: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> np.ndarray:
+    """The bytes of a segment that holds each key at its levels from 1 on; its size follows the entries."""
+    size = np.uint64(max(64, -(-int(levels.sum()) * bits_per_entry // 8) * 8))
+    bitmap = np.zeros(int(size) // 8, dtype=np.uint8)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        one, two = _pair(keys[levels >= level], level)
+        for probe in range(PROBES):
+            p = _position(one, two, probe, size).astype(np.int64)
+            np.bitwise_or.at(bitmap, p >> 3, np.left_shift(1, (p & 7).astype(np.uint8), dtype=np.uint8))
+    return bitmap
 
 
 @dataclass
 class CountFilter:
-    """Segments of one Bloom filter, each of ``bits`` bits."""
+    """Segments of the Bloom filter, of the buckets from ``first`` on, one after another."""
+
+    first: int
+    starts: np.ndarray  # first byte of each segment, and the end
+    bitmap: np.ndarray
+    buckets: int  # of the whole filter
 
-    bits: int
-    segments: np.ndarray  # bytes of all segments, one after another
+    @classmethod
+    def of(cls, first: int, segments: list[np.ndarray], buckets: int) -> CountFilter:
+        return cls(first, np.concatenate([[0], np.cumsum([len(s) for s in segments])]).astype(np.int64), np.concatenate(segments), buckets)
 
-    def levels(self, keys: np.ndarray, least_level: int = 0) -> np.ndarray:
-        """The level of each key: how many levels in a row the filter has, from the first it holds; 0 for none."""
+    def holds(self, bucket: np.ndarray) -> np.ndarray:
+        """Whether the keys of a bucket are in this part."""
+        return (bucket >= self.first) & (bucket < self.first + len(self.starts) - 1)
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each key of this part's buckets: how many levels in a row the filter has; 0 for none."""
         found = np.zeros(len(keys), dtype=np.int64)
         at = np.arange(len(keys))
-        start = segment_of(keys) * (self.bits // 8)
-        level = least_level
+        segment = bucket_of(keys, self.buckets) - self.first
+        start, bits = self.starts[segment], ((self.starts[segment + 1] - self.starts[segment]) * 8).astype(np.uint64)
+        level = 0
         while len(at):
             level += 1
             one, two = _pair(keys[at], level)
-            base = start[at]
+            base, size = start[at], bits[at]
             for probe in range(PROBES):  # what one probe misses is not probed again
-                p = _position(one, two, probe, self.bits).astype(np.int64)
-                stay = (self.segments[base + (p >> 3)] >> (p & 7).astype(np.uint8)) & 1 == 1
-                at, one, two, base = at[stay], one[stay], two[stay], base[stay]
+                p = _position(one, two, probe, size).astype(np.int64)
+                stay = (self.bitmap[base + (p >> 3)] >> (p & 7).astype(np.uint8)) & 1 == 1
+                at, one, two, base, size = at[stay], one[stay], two[stay], base[stay], size[stay]
             found[at] = level
         return found
 
 
-@dataclass
-class Frequent:
-    """The broadcast part of a model: frequent words with counts, their histories' leftovers, totals and the filter."""
+class Vocabulary(dict):
+    """Words that a worker has met, numbered, with the hash of each; bounded by ``renew``."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = np.zeros(1 << 12, dtype=np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        if n == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        self.hashes[n] = word_hash(word)
+        return n
+
+    def renew(self, most: int = KEPT_WORDS) -> bool:
+        """Forgets all words if there are too many; numbers given before then no longer hold."""
+        if len(self) <= most:
+            return False
+        self.clear()
+        return True
+
+    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words and the end of each text, one text after another, and how many each has."""
+        words: list[bytes] = []
+        lengths = []
+        for text in texts:
+            before = len(words)
+            words += space_words(text)
+            words.append(END)
+            lengths.append(len(words) - before)
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words)), np.array(lengths, dtype=np.int64)
+
+    def before(self, ids: np.ndarray) -> np.ndarray:
+        """The word before each: the end of the text before stands before a text's first word."""
+        return np.concatenate([np.array([self[END]], dtype=np.int32), ids[:-1]])
+
+
+@lru_cache(maxsize=1)
+def vocabulary() -> Vocabulary:
+    """This worker's vocabulary, which lives on from task to task."""
+    return Vocabulary()
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], text: int, letters: int) -> Iterator[tuple[int, pa.RecordBatch, list[str | None]]]:
+    """Slices of the batches with the chunk of their rows. A chunk ends with the row that fills it; where batches are cut does not matter."""
+    chunk, size = TaskContext.get().partitionId() << 24, 0
+    for batch in batches:
+        texts, begin = batch.column(text).to_pylist(), 0
+        for i, t in enumerate(texts):
+            size += 64 + (len(t) if t else 0)
+            if size >= letters:
+                yield chunk, batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
+                begin, chunk, size = i + 1, chunk + 1, 0
+        if begin < len(texts):
+            yield chunk, batch.slice(begin), texts[begin:]
+
+
+def _small(counts: np.ndarray) -> bytes:
+    """Counts in the smallest width that holds them all; ``_counts`` finds the width by the length."""
+    top = int(counts.max(initial=0))
+    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+
+
+def _counts(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else "<u1").astype(np.int64)
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u8")
+
+
+GATHERED = "bucket int, kind int, chunk bigint, hashes binary, counts binary, histories binary, runs binary"
+WORDS, BIGRAMS = 0, 1
+
+
+def _gather(buckets: int, chunk_letters: int):
+    def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words (kind 0, those of held-out texts with count 0) and training bigrams (kind 1) of each chunk, a row a bucket."""
+        voc, held, train, now = vocabulary(), [], [], -1
+
+        def cut(kind: int, chunk: int, bucket: np.ndarray, columns) -> pa.RecordBatch:
+            found, begins = np.unique(bucket, return_index=True)
+            blobs = [columns(a, b) for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(bucket)])]
+            n = len(found)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found.astype(np.int32)), pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, chunk, np.int64)), *(pa.array([b[k] for b in blobs], pa.binary()) for k in range(4))],
+                ["bucket", "kind", "chunk", "hashes", "counts", "histories", "runs"],
+            )
+
+        def flush(chunk: int) -> Iterator[pa.RecordBatch]:
+            ids, learned, hashes = np.concatenate(held), np.concatenate(train), voc.hashes
+            seen = np.flatnonzero(np.bincount(ids))
+            n = np.bincount(ids[learned], minlength=len(voc))[seen]
+            words = hashes[seen]
+            bucket = bucket_of(words, buckets)
+            order = np.argsort(bucket, kind="stable")
+            words, n = words[order], n[order]
+            yield cut(WORDS, chunk, bucket[order], lambda a, b: (words[a:b].tobytes(), _small(n[a:b]), None, None))
+            pairs, times = np.unique((voc.before(ids)[learned].astype(np.int64) << 32) | ids[learned], return_counts=True)
+            held.clear()
+            train.clear()
+            if not len(pairs):
+                return
+            first, second = pairs >> 32, hashes[pairs & 0xFFFFFFFF]
+            bucket = bucket_of(bigram_keys(hashes[first], second), buckets)
+            order = np.argsort(bucket, kind="stable")
+            first, second, times = first[order], second[order].view(np.uint8).reshape(-1, 8)[:, :6], times[order]
+
+            def columns(a: int, b: int):
+                begin = np.flatnonzero(np.concatenate([[True], first[a + 1 : b] != first[a : b - 1]]))
+                return second[a:b].tobytes(), _small(times[a:b]), hashes[first[a:b][begin]].tobytes(), _small(np.diff(np.append(begin, b - a)))
+
+            yield cut(BIGRAMS, chunk, bucket[order], columns)
+
+        for chunk, part, texts in _chunks(batches, 2, chunk_letters):
+            if chunk != now:
+                if held:
+                    yield from flush(now)
+                voc.renew()
+                now = chunk
+            out = np.array(part.column(1).to_pylist(), dtype=bool)
+            for begin in range(0, len(texts), 1024):
+                ids, lengths = voc.tokens(texts[begin : begin + 1024])
+                held.append(ids)
+                train.append(np.repeat(~out[begin : begin + 1024], lengths))
+        if held:
+            yield from flush(now)
+
+    return gather
+
+
+MERGED = "bucket int, words binary, counts binary, chunks binary, sizes binary, asked binary, histories binary, masses binary, bits binary"
+
+
+def _merge(bits_per_entry: int):
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row a bucket: its words and counts, which chunks have them, masses taken of histories, and its segment of the filter.
+
+        Rows come sorted by bucket; one bucket is held at a time.
+        """
+        held: list[tuple] = []
+        now = -1
+
+        def finish() -> pa.RecordBatch:
+            words = [r for r in held if r[0] == WORDS]
+            hashes = np.concatenate([np.zeros(0, np.uint64), *(_numbers(r[2]) for r in words)])
+            n = np.concatenate([np.zeros(0, np.int64), *(_counts(r[3], len(r[2]) // 8) for r in words)])
+            known, where = np.unique(hashes, return_inverse=True)
+            total = np.bincount(where, n, len(known)).astype(np.int64)
+            bigrams = [r for r in held if r[0] == BIGRAMS]
+            second = np.concatenate([np.zeros((0, 8), np.uint8), *(np.pad(np.frombuffer(r[2], np.uint8).reshape(-1, 6), ((0, 0), (0, 2))) for r in bigrams)])
+            second = np.ascontiguousarray(second).view("<u8").ravel()
+            history = np.concatenate([np.zeros(0, np.uint64), *(np.repeat(_numbers(r[4]), _counts(r[5], len(r[4]) // 8)) for r in bigrams)])
+            n = np.concatenate([np.zeros(0, np.int64), *(_counts(r[3], len(r[2]) // 6) for r in bigrams)])
+            keys = bigram_keys(history, second)
+            order = np.argsort(keys, kind="stable")
+            keys, history = keys[order], history[order]
+            begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            times = np.add.reduceat(n[order], begins) if len(begins) else np.zeros(0, np.int64)
+            often = times >= LEAST_COUNT
+            keys, history, times = keys[begins[often]], history[begins[often]], times[often]
+            level = np.searchsorted(LEVELS, times, side="right")
+            holders, of = np.unique(history, return_inverse=True)
+            masses = np.bincount(of, LEVELS[level - 1] - DISCOUNT, len(holders)).astype("<f8")
+            sizes = np.array([len(r[2]) // 8 for r in words], dtype="<u8")
+            row = [
+                now, known.tobytes(), total.astype("<u8").tobytes(), np.array([r[1] for r in words], dtype="<u8").tobytes(), sizes.tobytes(), where.astype("<u4").tobytes(),
+                holders.tobytes(), masses.tobytes(), filled(keys, level, bits_per_entry).tobytes(),
+            ]
+            held.clear()
+            names = ["bucket", "words", "counts", "chunks", "sizes", "asked", "histories", "masses", "bits"]
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.int32() if k == 0 else pa.binary()) for k, x in enumerate(row)], names)
 
-    words: list[bytes]
-    counts: np.ndarray
-    left: np.ndarray
-    n_tokens: int
-    n_types: int
-    filter: CountFilter
-    least_level: int
+        for batch in batches:
+            for bucket, *rest in zip(*(batch.column(k).to_pylist() for k in range(7))):
+                if bucket != now and held:
+                    yield finish()
+                now = bucket
+                held.append(tuple(rest))
+        if held:
+            yield finish()
 
-    def __post_init__(self):
-        self._index = None
+    return merge
 
-    def index(self) -> dict[bytes, int]:
-        if self._index is None:
-            self._index = {w: i for i, w in enumerate(self.words)}
-            self.hashes = np.array([word_hash(w) for w in self.words], dtype=np.uint64)
-        return self._index
 
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "hashes"} | {"_index": None}
+def _unpacked(kinds: dict[str, str]):
+    """Rows of (hash, value) out of rows of two packed columns."""
 
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for columns in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(c, k)) for c, k in zip(columns, kinds.values())], list(kinds))
 
-def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+    return unpack
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-        counts.clear()
-        return out
 
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(space_words(text))
-            counts[END] += 1
-            if len(counts) >= FLUSH_WORDS:
-                yield flush()
-    yield flush()
-
-
-class _Texts:
-    """Token numbers and hashes of texts against the frequent words."""
-
-    def __init__(self, frequent: Frequent):
-        self.index = frequent.index()
-        self.hashes = frequent.hashes
-        self.end = self.index.get(END, -1)
-        self.end_hash = word_hash(END)
-
-    def tokens(self, text: str | None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Words, and for words and end: frequent-word numbers (-1: not one), hashes, and histories (negative: not frequent)."""
-        words, get = space_words(text), self.index.get
-        ids = np.array([*[get(w, -1) for w in words], self.end], dtype=np.int64)
-        hashes = self.hashes[ids] if len(self.hashes) else np.zeros(len(ids), np.uint64)
-        for i in np.flatnonzero(ids[:-1] < 0).tolist():
-            hashes[i] = word_hash(words[i])
-        if self.end < 0:
-            hashes[-1] = self.end_hash
-        before = np.concatenate([[self.end], ids[:-1]])
-        return words, ids, hashes, np.where(before >= 0, before, rare_history(np.concatenate([[np.uint64(self.end_hash)], hashes[:-1]])))
-
-
-def _count_bigrams(shared):
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, held, size = _Texts(shared.value), [], 0
-
-        def flush() -> pa.RecordBatch:
-            keys, first, n = np.unique(np.concatenate([k for k, _ in held]) if held else np.zeros(0, np.uint64), return_index=True, return_counts=True)
-            history = np.concatenate([h for _, h in held])[first] if held else np.zeros(0, np.int64)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(history), pa.array(n.astype(np.int64))], ["key", "history", "n"])
+def _asked(least: int):
+    """Rows (chunk, hash, c) of the words of each chunk that occur less often than ``least`` times in training."""
 
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                _, _, hashes, history = texts.tokens(text)
-                held.append((bigram_keys(history, hashes), history))
-                size += len(history)
-                if size >= FLUSH_BIGRAMS:
-                    yield flush()
-                    size = 0
-        yield flush()
-
-    return count
-
-
-def _fill(least_level: int, bits: int):
-    def fill(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each segment's bits; a segment's bigrams all come to one task."""
-        parts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            keys, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-            top, where = np.searchsorted(LEVELS, n, side="right"), segment_of(keys)
-            for segment in np.unique(where).tolist():
-                bitmap = parts.setdefault(segment, np.zeros(bits // 8, dtype=np.uint8))
-                mine = where == segment
-                for level in range(least_level + 1, int(top[mine].max()) + 1):
-                    one, two = _pair(keys[mine & (top >= level)], level)
-                    for probe in range(PROBES):
-                        p = _position(one, two, probe, bits).astype(np.int64)
-                        np.bitwise_or.at(bitmap, p >> 3, np.left_shift(1, (p & 7).astype(np.uint8), dtype=np.uint8))
-        for segment, bitmap in parts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int64()), pa.array([bitmap.tobytes()], pa.binary())], ["segment", "bits"])
-
-    return fill
-
-
-def _with_segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        where = segment_of(batch.column(0).to_numpy().view(np.uint64))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(where)], ["key", "n", "segment"])
+            for words, counts, chunks, sizes, asked in zip(*(c.to_pylist() for c in batch.columns)):
+                counts, at = np.frombuffer(counts, "<i8"), np.frombuffer(asked, "<u4")
+                rare = counts[at] < least
+                chunk = np.repeat(np.frombuffer(chunks, "<i8"), _numbers(sizes).astype(np.int64))[rare]
+                at = at[rare]
+                yield pa.RecordBatch.from_arrays([pa.array(chunk), pa.array(np.frombuffer(words, "<i8")[at]), pa.array(counts[at])], ["chunk", "hash", "c"])
 
+    return ask
 
-def _levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task, how many bigrams reach each level."""
-    total = np.zeros(len(LEVELS) + 1, dtype=np.int64)
-    for batch in batches:
-        total += np.bincount(np.searchsorted(LEVELS, batch.column(0).to_numpy(), side="right"), minlength=len(total))
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["level", "n"])
 
+@dataclass
+class Model:
+    """What is known of the corpus: totals, the frequent words (by hash: counts, masses taken), and tables of the rest."""
+
+    n_tokens: int
+    n_types: int
+    hashes: np.ndarray
+    counts: np.ndarray
+    masses: np.ndarray
+    least: int  # the count from which on a word is frequent
+    buckets: int
+
+    def __post_init__(self):
+        self.denominator = self.n_tokens + ALPHA * (self.n_types + 1)
 
-def _masses(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What the quantised bigrams take of each history's mass, summed within batches."""
-    for batch in batches:
-        history, where = np.unique(batch.column(0).to_numpy(), return_inverse=True)
-        level = np.searchsorted(LEVELS, batch.column(1).to_numpy(), side="right")
-        mass = np.bincount(where, LEVELS[level - 1] - DISCOUNT, len(history)).astype(np.float64)
-        yield pa.RecordBatch.from_arrays([pa.array(history), pa.array(mass)], ["history", "mass"])
 
+def learn(rows: DataFrame, bits_per_entry: int = BITS_PER_ENTRY, chunk_letters: int = CHUNK_LETTERS) -> tuple[Model, DataFrame, DataFrame]:
+    """A model of the rows (doc_id, held_out, text) that are not held out.
 
-def quantised(n, least_level: int):
-    """The count of the level that a count from ``LEAST_COUNT`` to ``LEVELS[least_level]`` reaches."""
-    out = F.lit(0)
-    for value in LEVELS[:least_level].tolist():
-        out = F.when(n < value, out).otherwise(value)
-    return out.cast("double")
+    Returns it with the table of merged buckets (the filter's segments among it) and the dictionary
+    (chunk, hash, c, mass) of the words of each chunk, of any row, that are not in the model's own table.
+    """
+    spark = rows.sparkSession
+    letters = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2 * tasks, letters // BUCKET_LETTERS)
+    gathered = rows.select("doc_id", "held_out", "text").mapInArrow(_gather(buckets, chunk_letters), GATHERED)
+    gathered = gathered.repartition(max(tasks, buckets // 8), "bucket").sortWithinPartitions("bucket", "kind")
+    merged = materialise(gathered.mapInArrow(_merge(bits_per_entry), MERGED), "lm-merged")
+    clear_shuffles(spark)
+    counts = merged.select("words", "counts").mapInArrow(_unpacked({"hash": "<i8", "c": "<i8"}), "hash bigint, c bigint").filter("c > 0")
+    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    taken = merged.select("histories", "masses").mapInArrow(_unpacked({"hash": "<i8", "mass": "<f8"}), "hash bigint, mass double")
+    taken = taken.groupBy("hash").agg(F.sum("mass").alias("mass"))
+    top = at_most(counts, "c", FREQUENT_WORDS)
+    # At most FREQUENT_WORDS rows come to the driver here.
+    top = top.join(taken, "hash", "left").select("hash", "c", F.coalesce("mass", F.lit(0.0)).alias("mass")).toArrow()
+    hashes = top["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    found = top["c"].to_numpy()[order].astype(np.int64)
+    model = Model(int(totals.n), int(totals.v), hashes[order], found, top["mass"].to_numpy()[order], int(found.min()) if len(found) else 1 << 62, buckets)
+    asked = merged.select("words", "counts", "chunks", "sizes", "asked").mapInArrow(_asked(model.least), "chunk bigint, hash bigint, c bigint")
+    dictionary = asked.join(taken, "hash", "left").select("chunk", "hash", "c", F.coalesce("mass", F.lit(0.0)).alias("mass"))
+    return model, merged, dictionary
+
+
+def _passes(merged: DataFrame, buckets: int, part_bytes: int, pass_parts: int) -> Iterator[list]:
+    """Broadcast parts of the filter, some at a time; a part holds the segments of buckets that follow each other."""
+    spark = merged.sparkSession
+    sizes = {r.bucket: r.size for r in merged.select("bucket", F.length("bits").alias("size")).collect()}  # one row a bucket
+    bounds, size = [0], 0
+    for bucket in range(buckets):
+        size += sizes.get(bucket, 0)
+        if size > part_bytes and bucket > bounds[-1]:
+            bounds.append(bucket)
+            size = sizes.get(bucket, 0)
+    bounds.append(buckets)
+    parts = list(zip(bounds, bounds[1:]))
+    for k in range(0, len(parts), pass_parts):
+        out = []
+        for low, high in parts[k : k + pass_parts]:
+            found = {r.bucket: np.frombuffer(r.bits, np.uint8) for r in merged.filter(F.col("bucket").between(low, high - 1)).select("bucket", "bits").collect()}
+            empty = np.zeros(8, np.uint8)
+            out.append(spark.sparkContext.broadcast(CountFilter.of(low, [found.get(b, empty) for b in range(low, high)], buckets)))
+        yield out
+
+
+SCORED = "held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+
+
+def _score(shared, parts: list):
+    def score(key: tuple, texts: pa.Table, dictionary: pa.Table) -> pa.Table:
+        """Base scores of a chunk's rows, and what the tokens whose bigrams are in these parts add to the scores."""
+        model: Model = shared.value
+        voc = vocabulary()
+        own = dictionary.column("hash").to_numpy().view(np.uint64)
+        order = np.argsort(own)
+        own, own_c, own_mass = own[order], dictionary.column("c").to_numpy()[order], dictionary.column("mass").to_numpy()[order]
+
+        def look_up(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            count, mass = np.zeros(len(hashes)), np.zeros(len(hashes))
+            left = np.arange(len(hashes))
+            for table, c, m in ((model.hashes, model.counts, model.masses), (own, own_c, own_mass)):
+                at = np.searchsorted(table, hashes[left])
+                hit = at < len(table)
+                hit[hit] = table[at[hit]] == hashes[left[hit]]
+                count[left[hit]], mass[left[hit]] = c[at[hit]], m[at[hit]]
+                left = left[~hit]
+            if len(left):
+                raise RuntimeError("the texts were read in another order than when they were counted: write them to a table first")
+            return count, mass
+
+        def piece(part: pa.Table) -> list:
+            voc.renew()
+            ids, lengths = voc.tokens(part.column("text").to_pylist())
+            doc = np.repeat(np.arange(len(lengths)), lengths)
+            used, token = np.unique(ids, return_inverse=True)
+            count, mass = look_up(voc.hashes[used])
+            single = (count + ALPHA) / model.denominator
+            base = np.bincount(doc, np.log10(single)[token], len(lengths))
+            known = np.bincount(doc, (count > 0)[token], len(lengths)).astype(np.int64)
+            # Each bigram of the piece is looked up once.
+            end = np.searchsorted(used, voc[END])
+            pairs, place = np.unique(np.concatenate([[end], token[:-1]]) * len(used) + token, return_inverse=True)
+            first, second = pairs // len(used), pairs % len(used)
+            keys = bigram_keys(voc.hashes[used[first]], voc.hashes[used[second]])
+            bucket, q, here = bucket_of(keys, model.buckets), np.zeros(len(keys)), np.zeros(len(keys), dtype=bool)
+            for shared_part in parts:
+                held: CountFilter = shared_part.value
+                mine = np.flatnonzero(held.holds(bucket))
+                q[mine], here[mine] = _VALUES[held.levels(keys[mine])], True
+                if len(parts) > 1:
+                    forget(shared_part)
+            of = np.maximum(count[first], 1)
+            left = np.maximum(0, 1 - mass[first] / of)
+            # Where nothing is known of the history, no bigram is: what the filter says there is false.
+            q[count[first] == 0] = 0
+            log = np.where(here, np.log10(np.maximum(q - DISCOUNT, 0) / of + left * single[second]), 0.0)
+            return [lengths, known, base, np.bincount(doc, log[place], len(lengths))]
+
+        out, begin, size = [], 0, 0
+        letters = [len(t) if t else 0 for t in texts.column("text").to_pylist()]
+        for i, n in enumerate(letters):
+            size += n
+            if size >= 6 * SCORED_TOKENS or i + 1 == len(letters):
+                out.append(piece(texts.slice(begin, i + 1 - begin)))
+                begin, size = i + 1, 0
+        columns = [pa.array(np.concatenate(c)) for c in zip(*out)] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+        return pa.table([texts.column("uid"), texts.column("doc_id"), texts.column("held_out"), *columns], ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
+    return score
 
-def learn(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES) -> tuple[Frequent, DataFrame]:
-    """A model of all rows of ``train``: the part to broadcast, and the table (word, c) of all word counts."""
-    return learn_tables(train, text, filter_bytes)[:2]
 
+def forget(shared) -> None:
+    """Drops this worker's copy of a broadcast value; it is read again when it is asked for."""
+    shared.__dict__.pop("_value", None)
 
-def learn_tables(train: DataFrame, text: str = "text", filter_bytes: int = FILTER_BYTES) -> tuple[Frequent, DataFrame, DataFrame, DataFrame]:
-    """As ``learn``, with the tables (key, q) of the bigrams that the filter has no room for, and
-    (history, h_count, h_left) of the histories that are not broadcast."""
-    texts = train.select(F.col(text).alias("text"))
-    counts = materialise(texts.mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = at_most(counts.filter(F.length("word") <= LONGEST_FREQUENT), "c", FREQUENT_WORDS).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
-    empty = CountFilter(8, np.zeros(SEGMENTS, dtype=np.uint8))
-    frequent = Frequent(top["word"].to_pylist(), top["c"].to_numpy().astype(np.int64), np.ones(top.num_rows), int(totals.n), int(totals.v), empty, 0)
-    shared = train.sparkSession.sparkContext.broadcast(frequent)
-    bigrams = texts.mapInArrow(_count_bigrams(shared), "key bigint, history bigint, n bigint").repartition("key").groupBy("key").agg(F.max("history").alias("history"), F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
-    bigrams = materialise(bigrams, "lm-bigrams")
-    # Entries by the level a bigram reaches: a bigram of level j takes j entries less those under the least level.
-    by_level = {r.level: r.n for r in bigrams.select("n").mapInArrow(_levels, "level bigint, n bigint").groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    least = 0
-    while sum(k * (j - least) for j, k in by_level.items() if j > least) * BITS_PER_ENTRY > 8 * filter_bytes:
-        least += 1
-    entries = sum(k * (j - least) for j, k in by_level.items() if j > least)
-    # All levels of a bigram fall into one segment, so small segments would be uneven.
-    bits = max(8192, -(-entries * BITS_PER_ENTRY // SEGMENTS // 8) * 8)
-    kept = bigrams.filter(F.col("n") >= int(LEVELS[least])).select("key", "n").mapInArrow(_with_segments, "key bigint, n bigint, segment bigint")
-    segments = np.zeros(SEGMENTS * (bits // 8), dtype=np.uint8)
-    # At most filter_bytes come to the driver here.
-    for r in kept.repartition("segment").select("key", "n").mapInArrow(_fill(least, bits), "segment bigint, bits binary").collect():
-        segments[r.segment * (bits // 8) : (r.segment + 1) * (bits // 8)] = np.frombuffer(r.bits, dtype=np.uint8)
-    under = bigrams.filter(F.col("n") < int(LEVELS[least]))
-    unheld = under.select("key", quantised(F.col("n"), least).alias("q"))
-    masses = bigrams.select("history", "n").mapInArrow(_masses, "history bigint, mass double").groupBy("history").agg(F.sum("mass").alias("mass"))
-    masses = materialise(masses, "lm-masses")
-    left = np.ones(top.num_rows)
-    known = masses.filter("history >= 0").toArrow()  # at most as many as frequent words
-    if known.num_rows:
-        at = known["history"].to_numpy()
-        left[at] = np.maximum(0.0, 1 - known["mass"].to_numpy() / frequent.counts[at])
-    names = counts.select(F.xxhash64("word").bitwiseOR(F.lit(-(1 << 63))).alias("history"), "c").filter(F.col("c") >= LEAST_COUNT)
-    histories = masses.filter("history < 0").join(names, "history").groupBy("history").agg(F.max("c").cast("double").alias("h_count"), F.max("mass").alias("mass"))
-    histories = histories.select("history", "h_count", F.greatest(F.lit(0.0), 1 - F.col("mass") / F.col("h_count")).alias("h_left"))
-    return Frequent(frequent.words, frequent.counts, left, frequent.n_tokens, frequent.n_types, CountFilter(bits, segments), least), counts, unheld, histories
-
-
-def _score(shared):
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Frequent = shared.value
-        texts = _Texts(model)
-        denominator = model.n_tokens + ALPHA * (model.n_types + 1)
-        values = np.concatenate([[0], LEVELS])
+
+def _deal(chunk_letters: int):
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows with their chunk, as they were counted, and a number of their own."""
         uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                all_ids, all_hashes, all_history, all_words, lengths = [], [], [], [], []
-                for text in part.column(2).to_pylist():
-                    words, ids, hashes, history = texts.tokens(text)
-                    all_ids.append(ids)
-                    all_hashes.append(hashes)
-                    all_history.append(history)
-                    all_words.extend(words)
-                    all_words.append(END)
-                    lengths.append(len(ids))
-                ids, hashes, history = np.concatenate(all_ids), np.concatenate(all_hashes), np.concatenate(all_history)
-                doc = np.repeat(np.arange(len(lengths)), lengths)
-                known = history >= 0
-                count, left = np.ones(len(ids)), np.ones(len(ids))
-                keys = bigram_keys(history, hashes)
-                q = values[model.filter.levels(keys, model.least_level)].astype(np.float64)
-                if known.any():
-                    count[known], left[known] = model.counts[history[known]], model.left[history[known]]
-                unheld = (q == 0) & (model.least_level > 0)  # the filter does not have it, so the join tells
-                frequent = ids >= 0
-                single = np.zeros(len(ids))
-                if len(model.counts):
-                    single[frequent] = (model.counts[ids[frequent]] + ALPHA) / denominator
-                sums = lambda x, where: np.bincount(doc[where], x, len(lengths)).astype(np.float64)
-                base = sums(np.log10(single[frequent]), frequent)
-                here = frequent & known & ~unheld
-                scored = sums(np.log10(np.maximum(q[here] - DISCOUNT, 0) / count[here] + left[here] * single[here]), here)
-                rest = np.flatnonzero(~here)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[rest], minlength=len(lengths)))]).astype(np.int32)
-                cold = pa.StructArray.from_arrays(
-                    [
-                        pa.array([None if f else all_words[i] for i, f in zip(rest.tolist(), frequent[rest].tolist())], pa.binary()),
-                        pa.array(single[rest], mask=~frequent[rest]),
-                        pa.array(keys[rest].view(np.int64), mask=~unheld[rest]),
-                        pa.array(history[rest], mask=known[rest]),
-                        pa.array(q[rest]),
-                        pa.array(count[rest]),
-                        pa.array(left[rest]),
-                    ],
-                    ["word", "single", "key", "history", "q", "count", "left"],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(len(lengths)) + uid),
-                        part.column(0),
-                        part.column(1),
-                        pa.array(np.array(lengths, dtype=np.int64)),
-                        pa.array(sums(np.ones(int(frequent.sum())), frequent).astype(np.int64)),
-                        pa.array(base),
-                        pa.array(scored),
-                        pa.ListArray.from_arrays(pa.array(offsets), cold),
-                    ],
-                    ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "cold"],
-                )
-                uid += len(lengths)
+        for chunk, part, _ in _chunks(batches, 2, chunk_letters):
+            n = part.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(uid, uid + n)), *part.columns], ["chunk", "uid", "doc_id", "held_out", "text"])
+            uid += n
 
-    return score
+    return deal
 
 
-def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: str = "text", bits_per_entry: int = BITS_PER_ENTRY, part_bytes: int = PART_BYTES, pass_parts: int = PASS_PARTS, chunk_letters: int = CHUNK_LETTERS) -> DataFrame:
     """Scores of every row by a model of the rows that are not held out.
 
     Returns doc_id, held_out, n_tokens (with the end token), n_known (tokens that training texts
     have), train_tokens, base_score (smoothed unigrams) and score (log10 of the text's probability).
     Null texts are empty: their one token is the end. Rows without a doc_id are training rows.
-    Repeated rows are learned from and scored each. Without training rows every token has
-    probability one.
+    Repeated rows are learned from and scored each, equal texts get equal scores, and texts of any
+    length are scored whole. Without training rows every token has probability one, and an empty table
+    gives an empty one. Columns are taken by name and others ignored, whatever they are called.
+    ``docs`` is read more than once and must give its rows in the same order within its
+    partitions, as tables do; otherwise an error says so.
     """
+    kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), F.col(text).alias("text"))
-    model, counts, unheld, histories = learn_tables(rows.filter("NOT held_out"), filter_bytes=filter_bytes)
+    model, merged, dictionary = learn(rows, bits_per_entry, chunk_letters)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"uid bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, cold array<struct<word: binary, single: double, key: bigint, history: bigint, q: double, count: double, left: double>>"
-    scored = materialise(rows.mapInArrow(_score(shared), schema), "lm-scored")
-    denominator = model.n_tokens + ALPHA * (model.n_types + 1)
-    rare = scored.select("uid", F.explode("cold").alias("t")).select("uid", "t.*")
-    # Rows with nothing to look up in a table are spread by numbers of their own, which match nothing.
-    if model.least_level:
-        rare = rare.withColumn("ask", F.coalesce("key", F.xxhash64("uid", "single"))).join(unheld.select(F.col("key").alias("ask"), F.col("q").alias("found")), "ask", "left")
-        rare = rare.withColumn("q", F.when(F.col("key").isNotNull(), F.coalesce("found", "q")).otherwise(F.col("q")))
-    # Histories without bigrams are in no table: they leave all their mass.
-    rare = rare.withColumn("ask", F.coalesce("history", F.xxhash64("uid", "single", "word"))).join(histories.withColumnRenamed("history", "ask"), "ask", "left")
-    q, count, left = (F.when(F.col("history").isNull(), F.col(a)).otherwise(b) for a, b in (("q", F.when(F.col("h_count").isNull(), 0.0).otherwise(F.col("q"))), ("count", F.coalesce("h_count", F.lit(1.0))), ("left", F.coalesce("h_left", F.lit(1.0)))))
-    rare = rare.select("uid", "word", "single", q.alias("q"), count.alias("count"), left.alias("left"))
-    rare = rare.withColumn("ask", F.coalesce("word", F.concat(F.lit(" "), F.col("uid").cast("string")).cast("binary"))).join(counts.withColumnRenamed("word", "ask"), "ask", "left")
-    single = F.coalesce("single", (F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(float(denominator)))
-    rest = rare.groupBy("uid").agg(
-        F.count("c").alias("more_known"),
-        F.sum(F.when(F.col("word").isNotNull(), F.log10(single)).otherwise(0.0)).alias("more_base"),
-        F.sum(F.log10(F.greatest(F.col("q") - DISCOUNT, F.lit(0.0)) / F.col("count") + F.col("left") * single)).alias("more_score"),
-    )
-    out = scored.drop("cold").join(rest, "uid", "left")
-    plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
-    return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "more_known"), F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), plus("base_score", "more_base"), plus("score", "more_score"))
+    dealt = rows.mapInArrow(_deal(chunk_letters), f"chunk bigint, uid bigint, doc_id {kind}, held_out boolean, text string")
+    dictionary = materialise(dictionary, "lm-dictionary")
+    clear_shuffles(docs.sparkSession)
+    scored = None
+    for parts in _passes(merged, model.buckets, part_bytes, pass_parts):
+        found = dealt.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(_score(shared, parts), f"uid bigint, doc_id {kind}, {SCORED}")
+        found = materialise(found, "lm-scored")
+        clear_shuffles(docs.sparkSession)
+        for part in parts:
+            part.destroy()
+        if scored is None:
+            scored = found
+        else:
+            more = found.select("uid", F.col("score").alias("more"))
+            scored = materialise(scored.join(more, "uid").withColumn("score", F.col("score") + F.col("more")).drop("more"), "lm-sums")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import empty_if_null, materialise, read_table, scratch_path
+from .common import materialise, read_table, scratch_path
 from .tokens import default_path, word_encoder
 
 #: Simple-8b's fixed table: ids per word and bits per id of each selector.
@@ -312,4 +312,4 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(read_table(spark, sf_dir, "documents"), default_path("word_bpe_49k.json"), 2)
 
 
-__all__ = ["TokenFileReader", "TokenFileWriter", "TokenFiles", "empty_if_null", "op1_token_ids", "pack", "read_token_files", "token_ids", "unpack", "write_token_files"]
+__all__ = ["TokenFileReader", "TokenFileWriter", "TokenFiles", "op1_token_ids", "pack", "read_token_files", "token_ids", "unpack", "write_token_files"]

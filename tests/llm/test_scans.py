@@ -227,37 +227,31 @@ def test_language_model(make_docs):
     assert all(r.score < 0 for r in got)
 
 
-def test_language_model_is_a_distribution(make_docs, spark):
+def test_language_model_is_a_distribution(make_docs):
     """Over all known words and the unknown ones' share, the probabilities after a history sum to one."""
     rows = [(i, "the cat sat on the mat the cat ran") for i in range(1, 60)]
-    model, counts = lm_score.learn(make_docs(rows))
-    c = {bytes(r.word): r.c for r in counts.collect()}
-    texts = lm_score._Texts(model)
-    h = texts.index[b"the"]
-    den = model.n_tokens + 0.1 * (model.n_types + 1)
-    hashes = np.array([lm_score.word_hash(w) for w in c], dtype=np.uint64)
-    level = model.filter.levels(lm_score.bigram_keys(np.full(len(c), h), hashes), model.least_level)
-    q = np.concatenate([[0], lm_score.LEVELS])[level]
-    p = np.maximum(q - lm_score.DISCOUNT, 0) / model.counts[h] + model.left[h] * (np.array(list(c.values())) + 0.1) / den
-    assert p.sum() + model.left[h] * 0.1 / den == pytest.approx(1, abs=0.02)
+    docs = make_docs(rows).selectExpr("doc_id", "false as held_out", "text")
+    model, merged, _ = lm_score.learn(docs, bits_per_entry=64)
+    ((part,),) = lm_score._passes(merged, model.buckets, 1 << 20, 4)
+    at = int(np.searchsorted(model.hashes, np.uint64(lm_score.word_hash(b"the"))))
+    keys = lm_score.bigram_keys(np.repeat(model.hashes[at], len(model.hashes)), model.hashes)
+    q = lm_score._VALUES[part.value.levels(keys)]
+    left = 1 - model.masses[at] / model.counts[at]
+    p = np.maximum(q - lm_score.DISCOUNT, 0) / model.counts[at] + left * (model.counts + 0.1) / model.denominator
+    assert p.sum() + left * 0.1 / model.denominator == pytest.approx(1, abs=1e-6)
 
 
 def test_filter_reads_levels_back():
     rng = np.random.default_rng(3)
-    keys = rng.integers(0, 2**63, 4000).astype(np.uint64)
-    counts = rng.integers(2, 5000, 4000)
-    bits = 8 * 4096
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
-    segments = np.zeros(lm_score.SEGMENTS * bits // 8, dtype=np.uint8)
-    for out in lm_score._fill(0, bits)(iter([batch])):
-        k = out.column(0)[0].as_py()
-        segments[k * bits // 8 : (k + 1) * bits // 8] = np.frombuffer(out.column(1)[0].as_py(), np.uint8)
-    read = lm_score.CountFilter(bits, segments)
-    level = np.searchsorted(lm_score.LEVELS, counts, side="right")
+    keys = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    level = np.searchsorted(lm_score.LEVELS, rng.integers(2, 5000, 4000), side="right")
+    bucket = lm_score.bucket_of(keys, 7)
+    read = lm_score.CountFilter.of(0, [lm_score.filled(keys[bucket == b], level[bucket == b]) for b in range(7)], 7)
     assert (read.levels(keys) >= level).all() and (read.levels(keys) == level).mean() > 0.98
-    assert (read.levels(rng.integers(0, 2**63, 4000).astype(np.uint64)) == 0).mean() > 0.98
+    assert (read.levels(rng.integers(0, 2**64, 4000, dtype=np.uint64)) == 0).mean() > 0.98
+    part = lm_score.CountFilter.of(2, [lm_score.filled(keys[bucket == b], level[bucket == b]) for b in (2, 3)], 7)
+    mine = part.holds(bucket)
+    assert set(bucket[mine].tolist()) == {2, 3} and (part.levels(keys[mine]) == read.levels(keys[mine])).all()
 
 
 def model_rows():
@@ -281,29 +275,24 @@ def brute_scores(rows):
     return {i: sum(math.log10(p(h, w)) for h, w in zip(tokens(t), tokens(t)[1:])) for i, t in rows}
 
 
-def test_full_filter_loses_no_bigram(make_docs):
+def test_scores_equal_brute_force(make_docs):
     rows = model_rows()
-    want = brute_scores(rows)
-    for size in (lm_score.FILTER_BYTES, 300, 0):
-        got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), filter_bytes=size).collect()}
-        assert got == pytest.approx(want, abs=1e-6)
+    got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), bits_per_entry=64).collect()}
+    assert got == pytest.approx(brute_scores(rows), abs=1e-6)
 
 
-def test_all_words_are_histories(make_docs, monkeypatch):
-    monkeypatch.setattr(lm_score, "FREQUENT_WORDS", 5)
+def test_no_table_size_changes_a_score(make_docs, monkeypatch):
+    """Few words broadcast, many small chunks, a filter of many parts, several passes: each bigram of each history still counts."""
     rows = model_rows()
+    monkeypatch.setattr(lm_score, "FREQUENT_WORDS", 5)
+    monkeypatch.setattr(lm_score, "SCORED_TOKENS", 100)
+    monkeypatch.setattr(lm_score, "BUCKET_LETTERS", 1000)
     want = brute_scores(rows)
-    for size in (lm_score.FILTER_BYTES, 300):
-        got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), filter_bytes=size).collect()}
+    for size, parts in ((1 << 20, 4), (400, 2), (400, 100)):
+        got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), bits_per_entry=64, part_bytes=size, pass_parts=parts, chunk_letters=700).collect()}
         assert got == pytest.approx(want, abs=1e-6)
 
 
-def test_word_hash_is_sparks(spark):
-    words = [b"", b"a", b"\n", "größer日本".encode(), b"x" * 7, b"x" * 12, b"y" * 31, b"y" * 32, b"z" * 200]
-    got = spark.createDataFrame([(bytearray(w),) for w in words], "w binary").selectExpr("w", "xxhash64(w) h").collect()
-    assert all(lm_score.word_hash(bytes(r.w)) == r.h % 2**64 for r in got)
-
-
 def test_language_model_odd(odd_docs, no_docs):
     assert lm_score.lm_scores(odd_docs).count() == odd_docs.count()
     assert lm_score.lm_scores(no_docs).collect() == []
