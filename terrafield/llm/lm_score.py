@@ -43,7 +43,7 @@ ALPHA = 0.1
 #: The token that ends each text, and stands before its first word; no word holds a line break.
 END = b"\n"
 #: Letters of the texts that are counted together and share a dictionary; a longer text is a chunk by itself.
-CHUNK_LETTERS = 24 << 20
+CHUNK_LETTERS = 10 << 20
 #: Letters of texts that one bucket of hashes is made for, and tokens that are scored together.
 BUCKET_LETTERS = 8 << 20
 SCORED_TOKENS = 1 << 19
