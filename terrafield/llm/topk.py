@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 from .common import materialise, read_table
 
 #: Rows of a shard, and bytes of queries in one broadcast block.
-SHARD_ROWS = 512
+SHARD_ROWS = 4096
 BLOCK_BYTES = 32 << 20
 #: Vectors that the first floors are taken from, chosen by the hash of their id; a larger sample changes speed alone.
 SAMPLE_ROWS = 2048
 #: Terms probed between two checks of what can still compete.
-PROBE_STEP = 4
+PROBE_STEP = 8
 
 
 def _quantise(vectors: list, scale: float) -> np.ndarray:
