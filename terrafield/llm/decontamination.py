@@ -1,14 +1,13 @@
 """Benchmark decontamination: windows of ten words of test items, looked for in training texts.
 
-The normalised test windows travel as a broadcast hash set while they stay under a stated
-size; beyond it they are dealt into several sets of that size, each used in a pass of its
-own, so nothing unbounded is broadcast. A hit of hashes is verified word by word.
+The normalised test windows travel as a broadcast hash set of bounded bytes. A benchmark that
+needs more is dealt into several sets; each is broadcast for one pass over the documents and
+dropped after it, and what the passes find is put together. A hit of hashes is verified word by word.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import plain_words, read_table
+from .common import _PLAIN, materialise, plain_words, read_table
 
 WINDOW = 10
-#: Bytes of benchmark text in one broadcast set.
-SET_BYTES = 16 << 20
+#: Bytes of one broadcast set, as it is held by a worker: its arrays, and its words at ``WORD_BYTES`` each besides their letters.
+SET_BYTES = 64 << 20
+WORD_BYTES = 150
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -36,23 +36,38 @@ def _rolling(ids: np.ndarray, n: int) -> np.ndarray:
 
 
 class WindowSet:
-    """All windows of some items; finds where they occur in a text."""
+    """All windows of some items; finds where they occur in a text.
+
+    For each window size: the distinct windows as rows of word numbers in order of their hash, and
+    for each the items that have it, one row of windows after another.
+    """
 
     def __init__(self, items: list[tuple], window: int = WINDOW):
         self.vocabulary: dict[bytes, int] = {}
-        windows: dict[int, dict[tuple[int, ...], set]] = defaultdict(lambda: defaultdict(set))
-        for item_id, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in plain_words(text)]
-            size = min(window, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                windows[size][tuple(ids[i : i + size])].add(item_id)
+        self.items = sorted({_item_key(item) for item, _ in items})
+        number = {item: k for k, item in enumerate(self.items)}
+        runs: dict[int, list[np.ndarray]] = {}
+        holders: dict[int, list[np.ndarray]] = {}
+        for item, text in items:
+            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in plain_words(text)], dtype=np.uint32)
+            if size := min(window, len(ids)):
+                runs.setdefault(size, []).append(np.lib.stride_tricks.sliding_window_view(ids, size))
+                holders.setdefault(size, []).append(np.full(len(ids) - size + 1, number[_item_key(item)], dtype=np.int64))
         self.sizes = []
-        for size, found in sorted(windows.items()):
-            runs = np.array(list(found), dtype=np.uint64)
-            hashes = np.array([_rolling(r, size)[0] for r in runs], dtype=np.uint64)
-            self.sizes.append((size, np.unique(hashes), {k: frozenset(v) for k, v in found.items()}))
-
-    def occurrences(self, words: list[bytes]) -> tuple[np.ndarray, set]:
+        for size, parts in sorted(runs.items()):
+            distinct, which = np.unique(np.concatenate(parts), axis=0, return_inverse=True)
+            hashes = _rolling(distinct.astype(np.uint64).ravel(), size)[::size]
+            order = np.argsort(hashes, kind="stable")
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = np.arange(len(order))
+            pairs = np.unique(place[which.ravel()] * len(self.items) + np.concatenate(holders[size]))
+            starts = np.searchsorted(pairs, np.arange(len(order) + 1) * len(self.items))
+            self.sizes.append((size, hashes[order], distinct[order], starts, (pairs % len(self.items)).astype(np.uint32)))
+
+    def nbytes(self) -> int:
+        return sum(len(w) + WORD_BYTES for w in self.vocabulary) + sum(x.nbytes for _, *arrays in self.sizes for x in arrays)
+
+    def occurrences(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words lie inside an occurrence of a window, and the items with occurring windows."""
         hit, items = np.zeros(len(words), dtype=bool), set()
         if not words or not self.sizes:
@@ -60,7 +75,7 @@ class WindowSet:
         get = self.vocabulary.get
         ids = np.fromiter([get(w, 0) for w in words], dtype=np.uint64, count=len(words))
         unknown = np.concatenate([[0], np.cumsum(ids == 0)])
-        for size, hashes, exact in self.sizes:
+        for size, hashes, distinct, first, holders in self.sizes:
             if size > len(ids):
                 continue
             starts = np.flatnonzero(unknown[size:] == unknown[:-size])  # runs of known words only
@@ -72,11 +87,17 @@ class WindowSet:
                     rows = (rows ^ ids[starts + k]) * _MUL
                     rows ^= rows >> np.uint64(29)
             at = np.searchsorted(hashes, rows)
-            at[at == len(hashes)] = 0
-            for s in starts[hashes[at] == rows].tolist():
-                if found := exact.get(tuple(ids[s : s + size].tolist())):  # verified word by word
+            while True:  # windows that share a hash follow each other
+                same = at < len(hashes)
+                same[same] = hashes[at[same]] == rows[same]
+                starts, rows, at = starts[same], rows[same], at[same]
+                if not len(starts):
+                    break
+                good = (distinct[at] == ids[starts[:, None] + np.arange(size)]).all(axis=1)  # verified word by word
+                for s, w in zip(starts[good].tolist(), at[good].tolist()):
                     hit[s : s + size] = True
-                    items |= found
+                    items.update(self.items[i] for i in holders[first[w] : first[w + 1]].tolist())
+                starts, rows, at = starts[~good], rows[~good], at[~good] + 1
         return hit, items
 
 
@@ -84,62 +105,86 @@ def _item_key(item) -> str:
     return "" if item is None else str(item)
 
 
-def _item_sets(benchmark: DataFrame, item_id: str, text: str, set_bytes: int) -> Iterator[list[tuple]]:
-    """Items in sets of bounded bytes, streamed through the driver."""
-    batch, size = [], 0
+def window_sets(benchmark: DataFrame, window: int = WINDOW, item_id: str = "item_id", text: str = "text", set_bytes: int = SET_BYTES) -> Iterator[WindowSet]:
+    """The items in sets of at most ``set_bytes`` (or of one item), streamed through the driver one set at a time; one empty set for none."""
+    batch, size, words, made = [], 0, set(), False
     for row in benchmark.select(F.col(item_id), F.col(text)).toLocalIterator():
+        own = plain_words(row[1])
+        new = set(own) - words
+        # A window takes its word numbers, a hash, a start and (at least) one holder.
+        more = len(own) * (4 * window + 20) + sum(len(w) + WORD_BYTES for w in new)
+        if batch and size + more > set_bytes:
+            yield WindowSet(batch, window)
+            batch, size, words, made = [], 0, set(), True
+            more = len(own) * (4 * window + 20) + sum(len(w) + WORD_BYTES for w in set(own))
         batch.append((row[0], row[1]))
-        size += len(row[1] or "") * 4
-        if size >= set_bytes:
-            yield batch
-            batch, size = [], 0
-    if batch:
-        yield batch
+        size += more
+        words.update(own)
+    if batch or not made:
+        yield WindowSet(batch, window)
 
 
 SCHEMA = "n_words bigint, hits binary, items array<string>"
+_NAMES = ["uid", "doc_id", "n_words", "hits", "items"]
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", set_bytes: int = SET_BYTES) -> DataFrame:
     """Every document with its words hit by benchmark windows.
 
     Returns doc_id, n_words, hits (a packed bit per word, empty if none) and items (item ids as
-    strings). Null texts have no words; items without words have no windows; an empty benchmark
-    hits nothing. Repeated documents are reported each, repeated items once.
+    strings, sorted). Null texts have no words; items without words have no windows; an empty benchmark
+    hits nothing, and no documents give no rows. Texts of any length are scanned whole. Repeated
+    documents are reported each, repeated items once; items with null ids count as one, named by
+    the empty string. Columns are taken by name and others ignored, whatever they are called.
+    Beyond one set of ``set_bytes`` the documents are read once a set, and must give their
+    rows in the same order within partitions each time, as tables do.
     """
-    spark = docs.sparkSession
-    kind = docs.schema[doc_id].dataType.simpleString()
-    parts = []
-    for items in _item_sets(benchmark, item_id, item_text, set_bytes) or [[]]:
-        parts.append(spark.sparkContext.broadcast(items))
-    if len(parts) <= 1:
-        return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_scanner(parts, window), f"doc_id {kind}, {SCHEMA}")
-    # Beyond one set: the sets are used one after another inside a task, so a worker holds one at a time.
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_scanner(parts, window), f"doc_id {kind}, {SCHEMA}")
-
-
-def _scanner(parts: list, window: int):
+    return _found(docs, benchmark, window, doc_id, text, item_id, item_text, set_bytes).drop("uid")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, doc_id: str, text: str, item_id: str, item_text: str, set_bytes: int) -> DataFrame:
+    spark, kind = docs.sparkSession, docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    schema, more, found, shared = f"uid bigint, doc_id {kind}, {SCHEMA}", None, None, None
+    for windows in window_sets(benchmark, window, item_id, item_text, set_bytes):
+        if found is not None:  # another set: what was found with the one before is written, and that set dropped
+            part = materialise(found, "windows")
+            shared.destroy()
+            more = [part] if more is None else [*more, part]
+        shared = spark.sparkContext.broadcast(windows)
+        found = rows.mapInArrow(_scanner(shared), schema)
+        if more is not None:
+            found = found.filter(F.size("items") > 0)
+    if more is None:
+        return found
+    hits = found.select("uid", "hits", "items")
+    for part in more[1:]:
+        hits = hits.union(part.select("uid", "hits", "items"))
+    by_row = hits.groupBy("uid").agg(F.collect_list("hits").alias("more_hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("more_items"))  # at most one a set
+    joined = more[0].join(by_row, "uid", "left").select(*_NAMES, F.coalesce("more_hits", F.array()).alias("more_hits"), F.array_sort(F.array_union("items", F.coalesce("more_items", F.array().cast("array<string>")))).alias("all_items"))
+
+    def together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = []
+            for own, others in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist()):
+                marks.append(np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in (own, *others) if x]).tobytes() if own or others else b"")
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(marks, pa.binary()), batch.column(6)], _NAMES)
+
+    return joined.mapInArrow(together, schema)
+
+
+def _scanner(shared):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: WindowSet | None = WindowSet(parts[0].value, window) if len(parts) == 1 else None
+        windows: WindowSet = shared.value
         for batch in batches:
-            ids = batch.column(0)
-            n_words, marks, items = [0] * batch.num_rows, [b""] * batch.num_rows, [[] for _ in range(batch.num_rows)]
-            hits: list[np.ndarray | None] = [None] * batch.num_rows
-            found: list[set] = [set() for _ in range(batch.num_rows)]
-            for part in parts or [None]:
-                windows = held or WindowSet(part.value if part else [], window)
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    words = plain_words(text)
-                    n_words[i] = len(words)
-                    hit, item = windows.occurrences(words)
-                    if item:
-                        hits[i] = hit if hits[i] is None else hits[i] | hit
-                        found[i] |= item
-            for i, hit in enumerate(hits):
-                if hit is not None:
-                    marks[i] = np.packbits(hit).tobytes()
-                    items[i] = sorted({_item_key(x) for x in found[i]})
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(marks, pa.binary()), pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "hits", "items"])
+            n_words, marks, items = [], [], []
+            for text in batch.column(2).to_pylist():
+                words = plain_words(text)
+                hit, found = windows.occurrences(words)
+                n_words.append(len(words))
+                marks.append(np.packbits(hit).tobytes() if found else b"")
+                items.append(sorted(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(marks, pa.binary()), pa.array(items, pa.list_(pa.string()))], _NAMES)
 
     return scan
 
@@ -161,29 +206,54 @@ def report(found: DataFrame) -> DataFrame:
     return found.mapInArrow(count, f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, remove: str = "documents", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, remove: str = "documents", text: str = "text", item_id: str = "item_id", item_text: str = "text", set_bytes: int = SET_BYTES) -> DataFrame:
     """The documents without what benchmark windows hit, with their own columns.
 
     ``remove="documents"`` drops every document with a hit. ``remove="spans"`` keeps it and cuts
-    each run of hit words (with what stands between them) out of its text. Null texts are kept.
+    each run of hit words (with what stands between them) out of its text. Null and empty texts are
+    kept, an empty benchmark removes nothing, and repeated documents are judged each.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    spark = docs.sparkSession
-    parts = [spark.sparkContext.broadcast(items) for items in _item_sets(benchmark, item_id, item_text, SET_BYTES)]
-    schema, at = docs.schema, docs.columns.index(text)
-
+    spark, schema, at = docs.sparkSession, docs.schema, docs.columns.index(text)
+    sets = window_sets(benchmark, window, item_id, item_text, set_bytes)
+    windows = next(sets)
+    following = next(sets, None)
+    if following is not None and remove == "spans":  # all sets are looked for in the text as it was
+        found = _found(docs, benchmark, window, text, text, item_id, item_text, set_bytes).filter(F.size("items") > 0).select("uid", "hits")
+        numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"))
+        joined = numbered.join(found, "uid", "left").select(F.col("hits").alias("_hits"), "row").select("_hits", "row.*")
+
+        def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column(at + 1).to_pylist()
+                for i, marks in enumerate(batch.column(0).to_pylist()):
+                    if marks:
+                        texts[i] = cut_spans(texts[i], np.unpackbits(np.frombuffer(marks, np.uint8), count=len(plain_words(texts[i]))).astype(bool))
+                columns = [pa.array(texts, c.type) if k == at else c for k, c in enumerate(batch.columns[1:])]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+
+        return joined.mapInArrow(cut, schema)
+    while True:
+        shared = spark.sparkContext.broadcast(windows)
+        docs = docs.mapInArrow(_remover(shared, at, remove), schema)
+        if following is None:
+            return docs
+        docs = materialise(docs, "decontaminated")
+        shared.destroy()
+        windows, following = following, next(sets, None)
+
+
+def _remover(shared, at: int, remove: str):
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = WindowSet(parts[0].value, window) if len(parts) == 1 else None
+        windows: WindowSet = shared.value
         for batch in batches:
             texts = batch.column(at).to_pylist()
             hits: dict[int, np.ndarray] = {}
-            for part in parts:
-                windows = held or WindowSet(part.value, window)
-                for i, t in enumerate(texts):
-                    hit, items = windows.occurrences(plain_words(t))
-                    if items:
-                        hits[i] = hits[i] | hit if i in hits else hit
+            for i, t in enumerate(texts):
+                hit, items = windows.occurrences(plain_words(t))
+                if items:
+                    hits[i] = hit
             if remove == "documents":
                 yield batch.filter(pa.array([i not in hits for i in range(len(texts))], pa.bool_()))
             else:
@@ -191,14 +261,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, r
                     texts[i] = cut_spans(texts[i], hit)
                 yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(keep, schema)
+    return keep
 
 
 def cut_spans(text: str, hit: np.ndarray) -> str:
     """The text without each run of hit words."""
     raw = text.encode("utf-8", "surrogatepass")
-    from .common import _PLAIN
-
     blank = np.frombuffer(raw.translate(_PLAIN), dtype=np.uint8) == 32
     edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]

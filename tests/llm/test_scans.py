@@ -49,6 +49,7 @@ def test_windows(spark, make_docs, items):
     docs = make_docs(list(enumerate(texts)))
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     for size in (1 << 24, 50):  # one set, and several
+        assert (len(list(decontamination.window_sets(benchmark, set_bytes=size))) >= 4) == (size == 50)
         got = {r.doc_id: r for r in decontamination.report(decontamination.find_windows(docs, benchmark, set_bytes=size)).collect()}
         for i, t in enumerate(texts):
             words, hit, found = brute_hits(t, items)
@@ -64,10 +65,26 @@ def test_removal(spark, make_docs, items):
     spans = {r.doc_id: r.text for r in decontamination.decontaminate(docs, benchmark, remove="spans").collect()}
     assert spans == {1: "keep a , end", 2: "clean", 3: None}
     assert decontamination.decontaminate(docs, benchmark).columns == docs.columns
+    # With a set an item, spans of several sets that overlap are cut from the text as it was.
+    docs = make_docs([(1, "keep a Short item, end"), (2, "clean"), (3, None), (4, "x one two three four five six seven eight nine ten eleven short item z")])
+    for size in (1 << 24, 50):
+        spans = {r.doc_id: r.text for r in decontamination.decontaminate(docs, benchmark, remove="spans", set_bytes=size).collect()}
+        assert spans == {1: "keep a , end", 2: "clean", 3: None, 4: "x  z"}
+        assert sorted(r.doc_id for r in decontamination.decontaminate(docs, benchmark, set_bytes=size).collect()) == [2, 3]
     with pytest.raises(ValueError):
         decontamination.decontaminate(docs, benchmark, remove="x")
 
 
+def test_sets_stay_bounded(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(4000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(300))) for i in range(120)]
+    benchmark = spark.createDataFrame(rows, "item_id bigint, text string")
+    sets = list(decontamination.window_sets(benchmark, set_bytes=1 << 20))
+    assert 3 <= len(sets) <= 8 and all(s.nbytes() <= 1 << 20 for s in sets)
+    assert sorted(x for s in sets for x in s.items) == sorted(str(i) for i, _ in rows)
+
+
 def test_windows_of_nothing(spark, odd_docs, no_docs, items):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert all(not r.contaminated for r in decontamination.report(decontamination.find_windows(odd_docs, none)).collect())
