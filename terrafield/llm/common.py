@@ -6,7 +6,9 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pieces(batch: pa.RecordBatch, text: int, rows: int = 512, letters: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch with their texts (null: empty), of so many rows and letters at most, or of one row."""
+    texts = [t or "" for t in batch.column(text).to_pylist()]
+    begin = size = 0
+    for i, t in enumerate(texts):
+        if i > begin and (i - begin >= rows or size + len(t) > letters):
+            yield batch.slice(begin, i - begin), texts[begin:i]
+            begin, size = i, 0
+        size += len(t)
+    if texts:
+        yield batch.slice(begin), texts[begin:]
+
+
 def clear_shuffles(spark: SparkSession) -> None:
     """Has the driver collect its garbage, upon which Spark's cleaner removes the shuffle files of tables already written."""
     gc.collect()

@@ -3,13 +3,16 @@
 A forward Viterbi pass scores every position of a lattice by its best segmentation from the
 start; those scores are exact heuristics for an A-star search backward from the end, which
 therefore yields segmentations in falling order of score. A text's lattice falls apart
-wherever no piece can cross, so words are solved one by one (and kept in a bounded cache),
-and the text's N best are found best-first among the words whose second choice costs least.
+wherever no piece can cross, so words are solved one by one: the search gives each word's best
+segmentation and, by what is first in its queue then, how much the second loses. Both are kept in
+a bounded cache; the text's N best differ only in the words that lose least, whose search goes on.
 
 The scores are integers (millionths of a nat), so sums do not depend on their order. A model
 that was trained by merging has ranks and no probabilities; there a piece of rank r counts as
-having the Zipf probability 1 / (r + 1) up to a constant. Characters without a piece are
-written as byte pieces. Decoding gives back the very text, for every text.
+having the probability 1 / (V * sqrt(r + 1)) up to a constant, V being the size of the vocabulary: few
+pieces come first, frequent ones next. No such scores reproduce merging; these agree with it on
+four fifths of a text's words. Characters without a piece are written as byte pieces. Decoding
+gives back the very text, for every text and each of its segmentations.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import pieces, read_table
 from .tokens import LONGEST_KEPT, RecentCache, default_path
 
 N_BEST = 4
@@ -36,15 +39,18 @@ CACHE_ENTRIES = 900_000
 SPACE = "▁"
 NEVER = 1 << 60
 
-Edge = tuple[int, int, bytes, int]  # from, to, ids, score
+Edge = tuple[int, bytes, int]  # where it begins, ids, score
 
 
 class PieceModel:
     """Vocabulary and scores of a SentencePiece model."""
 
-    def __init__(self, path: str, scores: str = "zipf"):
+    def __init__(self, path: str, scores: str = "ranks"):
         import sentencepiece
 
+        if scores not in ("ranks", "model"):
+            raise ValueError(f"scores must be ranks or model, not {scores!r}")
+
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = model.get_piece_size()
         self.pieces: dict[str, tuple[bytes, int]] = {}
@@ -58,7 +64,7 @@ class PieceModel:
                 self.byte_ids[value] = i
                 self.bytes_of[i] = bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                score = model.get_score(i) if scores == "model" else -math.log(rank + 1)
+                score = model.get_score(i) if scores == "model" else -math.log(self.size) - 0.5 * math.log(rank + 1)
                 rank += 1
                 text = piece.replace(SPACE, " ")
                 self.bytes_of[i] = text.encode()
@@ -78,112 +84,69 @@ class PieceModel:
 
     RUNS = re.compile(r" *[^\W\d_]+| *(?:[^\w ]|[\d_])+| +")
 
-    def edges(self, unit: str) -> list[Edge]:
-        """All pieces of a unit's lattice, by where they begin; byte pieces for characters without one."""
-        found = []
-        for i in range(len(unit)):
-            node, j = self.trie, i
-            for c in unit[i:]:
-                step = node.get(c)
-                if step is None:
-                    break
+    def lattice(self, unit: str) -> tuple[list[int], list[list[Edge]]]:
+        """Viterbi's best score from the start to each position of a unit, and the pieces that end there by where they begin.
+
+        Characters without a piece have byte pieces.
+        """
+        n, trie, pieces = len(unit), self.trie, self.pieces
+        best, into = [-NEVER] * (n + 1), [[] for _ in range(n + 1)]
+        best[0] = 0
+        for i in range(n):
+            here, node, j = best[i], trie, i
+            if unit[i] not in pieces:
+                raw = unit[i].encode("utf-8", "surrogatepass")
+                score = self.byte_score * len(raw)
+                into[i + 1].append((i, array("I", [self.byte_ids[b] for b in raw]).tobytes(), score))
+                if here + score > best[i + 1]:
+                    best[i + 1] = here + score
+            while j < n and (step := node.get(unit[j])) is not None:
                 j += 1
                 node, ids, score = step
                 if ids is not None:
-                    found.append((i, j, ids, score))
-            if unit[i] not in self.pieces:
-                raw = unit[i].encode("utf-8", "surrogatepass")
-                found.append((i, i + 1, array("I", [self.byte_ids[b] for b in raw]).tobytes(), self.byte_score * len(raw)))
-        return found
-
+                    into[j].append((i, ids, score))
+                    if here + score > best[j]:
+                        best[j] = here + score
+        return best, into
 
-def viterbi(n: int, edges: list[Edge]) -> tuple[list[int], list[Edge | None]]:
-    """Best score from the start to each position, and the last edge of such a segmentation; ties to the longest last piece."""
-    best, back = [-NEVER] * (n + 1), [None] * (n + 1)
-    best[0] = 0
-    for edge in edges:
-        score = best[edge[0]] + edge[3]
-        if score > best[edge[1]]:
-            best[edge[1]], back[edge[1]] = score, edge
-    return best, back
 
+def a_star(best: list[int], into: list[list[Edge]], count: int) -> tuple[list[tuple[int, bytes]], int]:
+    """The ``count`` best segmentations as (score, ids), best first, and the score of the next after them (-NEVER for none).
 
-def best_and_loss(model: PieceModel, unit: str) -> tuple[bytes, int, int]:
-    """Ids and score of a unit's best segmentation, and what the second best loses: one pass forward, one back.
-
-    The second best uses some edge that the best does not; the best path through an edge scores
-    the forward score before it, the edge, and the backward score behind it.
+    The search goes backward from the end, led by the forward scores. What is before a
+    position is known exactly, so the first state of the queue always leads to the next best
+    segmentation; of a state's pieces one leads there (of equal ones the longest), and the others wait in the queue.
     """
-    n, trie = len(unit), model.trie
-    best, back, edges = [-NEVER] * (n + 1), [None] * (n + 1), []
-    best[0] = 0
-    for i in range(n):
-        here, node, j = best[i], trie, i
-        if unit[i] not in model.pieces:
-            raw = unit[i].encode("utf-8", "surrogatepass")
-            ids, score = array("I", [model.byte_ids[b] for b in raw]).tobytes(), model.byte_score * len(raw)
-            edges.append((i, i + 1, score))
-            if here + score > best[i + 1]:
-                best[i + 1], back[i + 1] = here + score, (i, ids)
-        for c in unit[i:]:
-            step = node.get(c)
-            if step is None:
-                break
-            j += 1
-            node, ids, score = step
-            if ids is not None:
-                edges.append((i, j, score))
-                if here + score > best[j]:
-                    best[j], back[j] = here + score, (i, ids)
-    path, used, at = [], [-1] * (n + 1), n
-    while at:
-        used[at], ids = back[at]
-        path.append(ids)
-        at = used[at]
-    path.reverse()
-    onward = [-NEVER] * (n + 1)
-    onward[n], other = 0, -NEVER
-    for i, j, score in reversed(edges):
-        score += onward[j]
-        if score > onward[i]:
-            onward[i] = score
-        if used[j] != i and best[i] + score > other:
-            other = best[i] + score
-    return b"".join(path), best[n], best[n] - other if other > -NEVER // 2 else NEVER
-
-
-def a_star(n: int, edges: list[Edge], count: int) -> list[tuple[int, bytes]]:
-    """The ``count`` best segmentations as (score, ids), best first; backward search led by forward Viterbi scores."""
-    best, _ = viterbi(n, edges)
-    into: list[list[Edge]] = [[] for _ in range(n + 1)]
-    for edge in edges:
-        into[edge[1]].append(edge)
     found: list[tuple[int, bytes]] = []
-    serial = 0
-    # Minus (score behind + best before); minus the order of entry, so that among equals the latest goes on to its
-    # end and no two ties are explored side by side; position; score behind; (ids, what comes behind them).
-    queue: list = [(-best[n], 0, n, 0, None)]
-    while queue and len(found) < count:
+    # Minus (score behind + best before); the order of entry, the latest first; position; score behind; (ids, what comes behind them).
+    queue: list = []
+    at, behind, link, serial = len(best) - 1, 0, None, 0
+    while True:
+        while at:
+            total, onward = behind + best[at], None
+            for begin, ids, score in into[at]:
+                score += behind
+                if onward is None and score + best[begin] == total:
+                    onward = begin, score, (ids, link)
+                else:
+                    serial -= 1
+                    queue.append((-score - best[begin], serial, begin, score, (ids, link)))
+            at, behind, link = onward
+        parts = []
+        while link:
+            parts.append(link[0])
+            link = link[1]
+        found.append((behind, b"".join(parts)))
+        if len(found) == count or not queue:
+            return found, -min(queue)[0] if queue else -NEVER
+        heapq.heapify(queue)
         _, _, at, behind, link = heapq.heappop(queue)
-        if not at:
-            ids = []
-            while link:
-                ids.append(link[0])
-                link = link[1]
-            found.append((behind, b"".join(ids)))
-            continue
-        for edge in reversed(into[at]):
-            if best[edge[0]] > -NEVER:
-                serial += 1
-                score = behind + edge[3]
-                heapq.heappush(queue, (-(score + best[edge[0]]), -serial, edge[0], score, (edge[2], link)))
-    return found
 
 
 class NBestEncoder:
     """N-best ids of whole texts; a worker keeps one, with its caches."""
 
-    def __init__(self, path: str, scores: str = "zipf", entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, scores: str = "ranks", entries: int = CACHE_ENTRIES):
         self.model = PieceModel(path, scores)
         #: Of chunks and of the units they are made of; most chunks are one unit.
         self.known = RecentCache(entries)
@@ -196,7 +159,8 @@ class NBestEncoder:
     def _unit(self, unit: str) -> tuple[bytes, int, int]:
         known = self.known.new.get(unit) or self.known.lift(unit)
         if known is None:
-            known = best_and_loss(self.model, unit)
+            ((score, ids),), second = a_star(*self.model.lattice(unit), 1)
+            known = ids, score, score - second if second > -NEVER else NEVER
             if len(unit) <= LONGEST_KEPT:
                 self.known.new[unit] = known
         return known
@@ -211,7 +175,7 @@ class NBestEncoder:
         return known
 
     def _unit_choices(self, unit: str, count: int) -> list[tuple[int, bytes]]:
-        return a_star(len(unit), self.model.edges(unit), count)
+        return a_star(*self.model.lattice(unit), count)[0]
 
     def _chunk_choices(self, chunk: str, count: int) -> list[tuple[int, bytes]]:
         choices = [(0, b"")]
@@ -266,56 +230,67 @@ class NBestEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, scores: str = "zipf", entries: int = CACHE_ENTRIES) -> NBestEncoder:
+def encoder(path: str, scores: str = "ranks", entries: int = CACHE_ENTRIES) -> NBestEncoder:
     """This worker's encoder."""
     return NBestEncoder(path, scores, entries)
 
 
-def encode(docs: DataFrame, model_path: str, count: int = N_BEST, scores: str = "zipf", doc_id: str = "doc_id", text: str = "text", with_ids: bool = True, cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, count: int = N_BEST, scores: str = "ranks", doc_id: str = "doc_id", text: str = "text", ids: str = "all", cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """The N best segmentations of every whole text.
 
-    Returns doc_id, n_pieces, ids_crc32 (unsigned crc32 of the best ids as little-endian u32), score
-    (of the best, in nats), n_best (how many there are, at most ``count``), last_score (of the worst
-    of these), gap (best less second, null without a second), round_trip (whether each of them
-    decodes to the very text), and with ``with_ids`` the best ids. Null and empty texts have one
-    segmentation, without pieces. Ties between segmentations are broken the same way each time.
-    ``cache_entries`` bounds a worker's memory and changes speed alone.
+    Returns doc_id, n_pieces, ids_crc32 and score of the best, gap (best less second, null without a
+    second), round_trip (whether each of them decodes to the very text) and segmentations: at most
+    ``count`` of (score in nats, n_pieces, ids_crc32: unsigned crc32 of the ids as little-endian u32, and,
+    with ids="all", the ids), best first. With ids="best" the best ids are a column; ids="none" leaves all out.
+
+    Null and empty texts have one segmentation, without pieces. Texts of any length, and words of any
+    length in them, are segmented whole; repeated rows are encoded each, and an empty table
+    gives an empty one. Ties between segmentations are broken the same way each time. Columns are
+    taken by name and others ignored, whatever they are called. ``cache_entries`` bounds a worker's
+    memory and changes speed alone.
     """
+    if ids not in ("all", "best", "none"):
+        raise ValueError(f"ids must be all, best or none, not {ids!r}")
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model_path, scores, cache_entries)
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                part = batch.slice(i, 1024)
-                rows, best_ids = [], []
-                for t in part.column(1).to_pylist():
-                    t = t or ""
-                    chunks, ids, score, options = own.search(t, count)
-                    best = b"".join(ids)
+            for part, texts in pieces(batch, 1):
+                rows, found, all_ids, each = [], [], [], []
+                for t in texts:
+                    chunks, best, score, options = own.search(t, count)
                     # The best decodes to the text, and whatever another puts for a chunk decodes to that chunk.
-                    good = own.bytes_of(best)[1:] == t.encode("utf-8", "surrogatepass") and all(
-                        own.bytes_of(b) == chunks[i].encode("utf-8", "surrogatepass") for _, changes in options for i, b in changes
-                    )
+                    good = all(own.bytes_of(b) == chunks[i].encode("utf-8", "surrogatepass") for _, changes in options for i, b in changes)
+                    for loss, changes in options:
+                        mine = best
+                        if changes:
+                            mine = list(best)
+                            for i, b in changes:
+                                mine[i] = b
+                        raw = b"".join(mine)
+                        if not changes:
+                            good = good and own.bytes_of(raw)[1:] == t.encode("utf-8", "surrogatepass")
+                        found.append(((score - loss) / 1e6, len(raw) // 4, zlib.crc32(raw)))
+                        if ids == "all" or ids == "best" and not changes:
+                            all_ids.append(raw)
                     gap = (options[1][0] - options[0][0]) / 1e6 if len(options) > 1 else None
-                    rows.append((len(best) // 4, zlib.crc32(best), score / 1e6, len(options), (score - options[-1][0]) / 1e6, gap, good))
-                    if with_ids:
-                        best_ids.append(np.frombuffer(best, "<i4"))
-                columns = [part.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))]
-                names = ["doc_id", "n_pieces", "ids_crc32", "score", "n_best", "last_score", "gap", "round_trip"]
-                if with_ids:
-                    lengths = np.cumsum([0, *map(len, best_ids)])
-                    columns.append(pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(best_ids), pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+                    first = found[-len(options)]
+                    rows.append((first[1], first[2], first[0], gap, good))
+                    each.append(len(options))
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in all_ids)]), pa.int32()), pa.array(np.frombuffer(b"".join(all_ids), "<i4")))
+                members = [pa.array(c, k) for c, k in zip(zip(*found), (pa.float64(), pa.int64(), pa.int64()))] + [lists] * (ids == "all")
+                segmentations = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *each]), pa.int32()), pa.StructArray.from_arrays(members, ["score", "n_pieces", "ids_crc32", "ids"][: len(members)]))
+                columns = [part.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds)), segmentations] + [lists] * (ids == "best")
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pieces", "ids_crc32", "score", "gap", "round_trip", "segmentations", "ids"][: len(columns)])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc_id {kind}, n_pieces bigint, ids_crc32 bigint, score double, n_best bigint, last_score double, gap double, round_trip boolean"
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, schema + ", ids array<int>" * with_ids)
+    schema = f"doc_id {kind}, n_pieces bigint, ids_crc32 bigint, score double, gap double, round_trip boolean, segmentations array<struct<score: double, n_pieces: bigint, ids_crc32: bigint{', ids: array<int>' * (ids == 'all')}>>"
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, schema + ", ids array<int>" * (ids == "best"))
 
 
 def decode(encoded: DataFrame, model_path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """doc_id and text of encoded rows; null ids give a null text."""
+    """doc_id and text of encoded rows (ids being an array column); null ids give a null text, none the empty one."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model_path)
@@ -328,4 +303,4 @@ def decode(encoded: DataFrame, model_path: str, doc_id: str = "doc_id", ids: str
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read_table(spark, sf_dir, "documents"), default_path("piece_bpe_32k.model"), with_ids=False)
+    return encode(read_table(spark, sf_dir, "documents"), default_path("piece_bpe_32k.model"), ids="none")

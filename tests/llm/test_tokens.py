@@ -101,15 +101,16 @@ def test_counts(odd_docs, no_docs):
 def brute_segmentations(text, n):
     model, out = sp.encoder(PIECE).model, []
     edges: dict = {}
-    for e in model.edges(" " + text):
-        edges.setdefault(e[0], []).append(e)
+    for end, into in enumerate(model.lattice(" " + text)[1]):
+        for begin, ids, score in into:
+            edges.setdefault(begin, []).append((end, ids, score))
 
     def go(at, score, ids):
         if at == len(text) + 1:
             out.append((score, ids))
             return
         for e in edges[at]:
-            go(e[1], score + e[3], ids + e[2])
+            go(e[0], score + e[2], ids + e[1])
 
     go(0, 0, b"")
     return sorted(out, key=lambda x: -x[0])[:n]
@@ -130,18 +131,38 @@ def test_pieces_round_trip(text):
         assert own.decode(np.frombuffer(ids, "<u4")) == text
 
 
-def test_second_best_loss_equals_a_star():
+def test_the_queue_knows_the_next_score():
     own = sp.encoder(PIECE)
     for unit in (" international", " thereof", "zzz", " a", "日"):
-        _, score, loss = sp.best_and_loss(own.model, unit)
-        found = sp.a_star(len(unit), own.model.edges(unit), 2)
-        assert found[0][0] == score and (loss == sp.NEVER if len(found) < 2 else found[0][0] - found[1][0] == loss)
+        lattice = own.model.lattice(unit)
+        found, _ = sp.a_star(*lattice, 9)
+        for count in range(1, len(found) + 1):
+            some, following = sp.a_star(*lattice, count)
+            assert some == found[:count] and (count == len(found) or following == found[count][0])
+    assert sp.a_star(*own.model.lattice("日"), 1)[1] == -sp.NEVER
+
+
+def test_very_long_word():
+    own = sp.encoder(PIECE)
+    text = "ab" * 60_000
+    ((score, ids),) = own.encode(text, 1)
+    assert own.decode(np.frombuffer(ids, "<u4")) == text and score < 0
 
 
 def test_sentencepiece_tables(odd_docs, no_docs):
     encoded = sp.encode(odd_docs, PIECE, 3)
     rows = encoded.collect()
     assert len(rows) == odd_docs.count() and all(r.round_trip for r in rows)
+    own = sp.encoder(PIECE)
+    texts = {r.doc_id: r.text or "" for r in odd_docs.collect()}
+    for r in rows:
+        best = own.encode(texts[r.doc_id], 3)
+        assert [(round(s.score * 1e6), s.ids_crc32, np.array(s.ids, "<u4").tobytes()) for s in r.segmentations] == [(s, zlib.crc32(i), i) for s, i in best]
+        assert (r.n_pieces, r.ids_crc32, round(r.score * 1e6)) == (len(best[0][1]) // 4, zlib.crc32(best[0][1]), best[0][0])
+        assert r.gap == (pytest.approx((best[0][0] - best[1][0]) / 1e6) if len(best) > 1 else None)
+    best = {r.doc_id: r.ids for r in sp.encode(odd_docs, PIECE, 3, ids="best").collect()}
+    assert best == {r.doc_id: r.segmentations[0].ids for r in rows}
+    encoded = encoded.selectExpr("doc_id", "segmentations[0].ids as ids")
     texts = sorted((r.doc_id or -1, r.text) for r in sp.decode(encoded, PIECE).collect())
     assert texts == sorted((r.doc_id or -1, r.text or "") for r in odd_docs.collect())
     assert sp.encode(no_docs, PIECE).collect() == []
