@@ -32,8 +32,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of the best segmentation, and what is known of the N best."""
-    return sentencepiece_nbest.encode(docs, default_path("piece_bpe_32k.model"), cache_entries=CACHE_ENTRIES)
+    """Ids of the best segmentation, and scores and digests of the N best."""
+    return sentencepiece_nbest.encode(docs, default_path("piece_bpe_32k.model"), ids="best", cache_entries=CACHE_ENTRIES)
 
 
 STAGES = [
