@@ -31,6 +31,8 @@ SHINGLE = 3
 DISTANCE = 3
 #: What one looked-up key costs against the verification of one candidate, for the choice of partitions.
 PROBE_COST = 40.0
+#: Distinct fingerprints, chosen by their hash, that candidate counts are estimated from; the choice changes speed alone.
+SAMPLE_PRINTS = 2048
 #: Ids of documents to drop are broadcast up to this many (some 10 MB).
 BROADCAST_IDS = 500_000
 
@@ -110,7 +112,7 @@ def group_bits(n: int, both: np.ndarray, partitions: int) -> list[list[int]]:
 
 
 def _near(p: np.ndarray, most: int) -> list[float]:
-    """Chance that two fingerprints differ in at most t of these bits, for t up to ``most``."""
+    """Chance that two fingerprints differ in at most t of these bits, for t up to ``most``, if the bits were independent."""
     chance = np.zeros(len(p) + 1)
     chance[0] = 1
     for differ in 2 * p * (1 - p):
@@ -119,12 +121,27 @@ def _near(p: np.ndarray, most: int) -> list[float]:
     return np.cumsum(chance)[: most + 1].tolist()
 
 
-def allocate(n: int, p: np.ndarray, groups: list[list[int]], distance: int, probe_cost: float = PROBE_COST) -> tuple[float, list[int]]:
-    """The cheapest thresholds (each -1 or more, their sum distance - partitions + 1), by dynamic programming."""
+def _near_sampled(sample: np.ndarray, bits: list[int], most: int) -> list[float]:
+    """The share of the pairs of sampled fingerprints that differ in at most t of these bits, for t up to ``most``."""
+    own = sample & np.uint64(_mask(bits))
+    counts = np.zeros(BITS + 1, dtype=np.int64)
+    for i in range(1, len(own)):
+        counts += np.bincount(np.bitwise_count(own[i:] ^ own[:-i]), minlength=BITS + 1)
+    return (np.cumsum(counts)[: most + 1] / max(1, counts.sum())).tolist()
+
+
+def allocate(n: int, p: np.ndarray, groups: list[list[int]], distance: int, probe_cost: float = PROBE_COST, sample: np.ndarray | None = None) -> tuple[float, list[int]]:
+    """The cheapest thresholds (each -1 or more, their sum distance - partitions + 1), by dynamic programming.
+
+    Candidate counts come from the sample's pairs, which see how bits go together, or from
+    independent bits where those are more (chances too small for the sample).
+    """
     total = distance - len(groups) + 1
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}  # by the sum of (threshold + 1)
     for group in groups:
         near = _near(p[group], distance)
+        if sample is not None and len(sample) > 1:
+            near = np.maximum(near, _near_sampled(sample, group, distance)).tolist()
         cost = [0.0]
         for t in range(distance + 1):
             probes = sum(math.comb(len(group), k) for k in range(t + 1))
@@ -139,17 +156,24 @@ def allocate(n: int, p: np.ndarray, groups: list[list[int]], distance: int, prob
     return best[total + len(groups)]
 
 
-def plan(n: int, both: np.ndarray, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
+def plan(n: int, both: np.ndarray, distance: int = DISTANCE, sample: np.ndarray | None = None) -> list[tuple[list[int], int]]:
     """The partitions (their bits) and thresholds of least estimated cost."""
     p = np.diag(both) / max(n, 1)
     options = []
     for partitions in range(2, distance + 2):
         groups = group_bits(n, both, partitions)
-        cost, thresholds = allocate(n, p, groups, distance)
+        cost, thresholds = allocate(n, p, groups, distance, sample=sample)
         options.append((cost, list(zip(groups, thresholds))))
     return min(options, key=lambda o: o[0])[1]
 
 
+def sampled_prints(distinct: DataFrame, n: int) -> np.ndarray:
+    """About ``SAMPLE_PRINTS`` of the ``n`` distinct fingerprints, by their hash."""
+    share = int((1 << 31) * min(1.0, SAMPLE_PRINTS / max(n, 1)))
+    some = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 31)) < F.lit(share)).select("fp").limit(2 * SAMPLE_PRINTS).collect()
+    return np.array([r.fp for r in some], dtype=np.int64).view(np.uint64)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -188,9 +212,10 @@ def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], dis
 def one_bit_links(distinct: DataFrame) -> DataFrame:
     """Links between fingerprints that differ in one bit: with that bit cleared both give one key, and nothing else does."""
     masks = F.array(*[F.struct(F.lit(b).alias("bit"), F.lit(_signed(((1 << 64) - 1) ^ (1 << b))).alias("mask")) for b in range(BITS)])
-    # The 64 keys of each fingerprint are made in as many tasks as a shuffle has, and are not combined before they
-    # move: nearly all are unique.
-    keys = distinct.repartition("fp").select("fp", F.explode(masks).alias("m")).select("fp", F.col("m.bit").alias("bit"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
+    # The 64 keys of each fingerprint are made in as many tasks as a shuffle has (a stated number, else few large
+    # tasks would be planned), and are not combined before they move: nearly all are unique.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = distinct.repartition(tasks, "fp").select("fp", F.explode(masks).alias("m")).select("fp", F.col("m.bit").alias("bit"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
     pairs = keys.repartition("bit", "key").groupBy("bit", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
     return pairs.filter("a <> b").select("a", "b")
 
@@ -199,8 +224,9 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "do
     """doc_id, fingerprint (16 hex digits) and component_id (least doc_id reachable) of every row.
 
     Null and empty texts have fingerprint zero and are linked like any other. Texts of fewer
-    words than a shingle count as one shingle. Repeated rows share a component; an empty table
-    gives an empty result. A component whose ids are all null has a null id.
+    words than a shingle count as one shingle, and texts of any length count whole. Repeated rows
+    share a component; an empty table gives an empty result. A component whose ids are all null
+    has a null id. Columns are taken by name and others ignored, whatever they are called.
     """
     return link_prints(materialise(fingerprints(docs, doc_id, text, shingle), "fingerprints"), distance)
 
@@ -212,7 +238,7 @@ def link_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     close = connected_components(one_bit_links(distinct), "one-bit")
     known = distinct.join(close.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("known"))
     known = materialise(known, "known")
-    links = materialise(candidate_links(known, plan(n, both, distance), distance), "links")
+    links = materialise(candidate_links(known, plan(n, both, distance, sampled_prints(distinct, n)), distance), "links")
     # What one-bit links have joined already is one node from here on.
     a, b = known.select(F.col("fp").alias("a"), F.col("known").alias("ka")), known.select(F.col("fp").alias("b"), F.col("known").alias("kb"))
     merged = connected_components(links.join(a, "a").join(b, "b").select(F.col("ka").alias("a"), F.col("kb").alias("b")), "components")
@@ -228,7 +254,8 @@ def link_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def deduplicate(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents of which ``doc_id`` is their component's least: one of each group stays, with its own columns.
 
-    Repeated rows of that id all stay; rows without an id stay.
+    Repeated rows of that id all stay; rows without an id stay; an empty table stays empty. Null and
+    empty texts are one group.
     """
     found = near_duplicates(docs, distance, doc_id, text)
     drop = materialise(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct(), "duplicates")
