@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import materialise, read_table, scratch_path
 from .tokens import default_path, word_encoder
@@ -240,11 +241,16 @@ class TokenFiles:
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, folder: str | None = None, doc_id: str = "doc_id", text: str = "text") -> TokenFiles:
     """Encode every whole text, append ``end_id`` and write the ids in ascending ``doc_id`` order.
 
-    Documents are dealt by ranges of ``doc_id`` (ties by text, null ids first), so each task
+    Documents are dealt by ranges of ``doc_id`` (an integer column; null ids first, ties by the
+    hash of the text, then as they were read, so that one id's rows are split as well), and each task
     writes one run of the order. A task's file name holds its attempt, and only files named by
     rows that Spark committed count, so a task that is run again or twice leaves no double.
-    Null and empty texts hold the end id alone. An empty table gives no files.
+    Null and empty texts hold the end id alone; texts of any length are streamed in chunks. Repeated rows
+    are written each. An empty table gives no files. Columns are taken by name and others
+    ignored, whatever they are called.
     """
+    if not isinstance(docs.schema[doc_id].dataType, IntegralType):
+        raise TypeError(f"{doc_id} must be an integer column to order documents by")
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-ids")
 
@@ -265,9 +271,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, fol
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [context.partitionId()], "file": [name], "n_docs": [docs_seen], "n_ids": [writer.n_ids]})
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    ordered = docs.select(F.col(doc_id).cast("bigint" if kind != "bigint" else kind).alias("doc_id"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("n"))
+    ordered = ordered.repartitionByRange("doc_id", "h", "n").sortWithinPartitions("doc_id", "h", "n")
     manifest = materialise(ordered.mapInArrow(write, "part bigint, file string, n_docs bigint, n_ids bigint"), "token-manifest")
     # One row per file: what a driver lists anyway when it reads a table.
     rows = sorted(tuple(r) for r in manifest.collect())
@@ -280,12 +285,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, fol
 
 def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32; a file per task."""
-    listed, folder = files.files, files.folder
+    folder = files.folder
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in batch.column(0).to_pylist():
-                name, _, _, start = listed[k]
+            for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 reader = TokenFileReader(f"{folder}/{name}")
                 rows: list[tuple] = []
                 for doc_id, parts in reader.documents():
@@ -299,7 +303,8 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    tasks = spark.range(0, len(listed), 1, max(1, len(listed)))
+    # A task is given its own file alone.
+    tasks = spark.createDataFrame([(name, start) for name, _, _, start in files.files], "file string, start bigint").repartition(max(1, len(files.files)))
     return tasks.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
