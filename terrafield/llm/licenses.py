@@ -2,9 +2,11 @@
 
 The hashes of all rolling runs of ``GRAM`` words of all texts are joined to the positions that
 such runs have in licence templates. Hits of one template with the same offset between text and
-template lie on a diagonal; a diagonal's hits are its votes. Neighbouring diagonals (words put
-in or left out) are merged into one span, and each span is verified word by word. Spans that do
-not suffice by themselves are verified together, so longer runs of words may be put in or left out.
+template lie on a diagonal; a diagonal's hits are its votes. A template whose diagonals get too
+few votes in a text to hold enough of its words is out, and so is a diagonal with next to none of
+them. Neighbouring diagonals (words put in or left out) are merged into one span, and each span is
+verified word by word. Spans that do not suffice by themselves are verified together, so longer
+runs of words may be put in or left out.
 """
 
 from __future__ import annotations
@@ -20,8 +22,13 @@ from pyspark.sql import functions as F
 from .common import materialise, plain_words, read_table
 
 GRAM = 3
-#: Diagonals at most so far apart are merged.
+#: Diagonals at most so far apart are merged, as long as they stay within so many of each other.
 NEIGHBOUR = 2
+WIDTH = 12
+#: Votes that a template needs in a text, and a diagonal to be merged, as shares of the template's runs (at least one).
+#: A word that differs spoils GRAM runs, so where 80 % of the words stand, 1 - 3 * 20 % = 40 % of the runs do; half of that is asked for.
+LEAST_VOTES = 0.2
+LEAST_DIAGONAL = 0.04
 #: The share of a template's words that a verified span must have; short templates, where one word makes another licence, need all.
 COVERAGE = 0.8
 SHORT_WORDS = 16
@@ -123,20 +130,24 @@ def text_grams(keyed: DataFrame, gram: int = GRAM) -> DataFrame:
     return keyed.select("key", "text").mapInArrow(scan, "key bigint, pos int, hash bigint")
 
 
-def candidate_spans(grams: DataFrame, positions: DataFrame, gram: int = GRAM, neighbour: int = NEIGHBOUR) -> DataFrame:
-    """(key, template, low, high, first, last, votes): merged diagonals with the words they reach over.
+def candidate_spans(grams: DataFrame, positions: DataFrame, gram: int = GRAM, neighbour: int = NEIGHBOUR, width: int = WIDTH) -> DataFrame:
+    """(key, template, low, high, first, last, votes): merged diagonals with enough votes, and the words they reach over.
 
     ``low`` and ``high`` are the least and greatest offset of text against template. The template
-    table has some hundred rows, so it is broadcast.
+    table has some hundred rows, so it and the votes that its templates need are broadcast.
     """
+    needed = positions.groupBy("template").agg(F.greatest(F.lit(1), F.ceil(F.count("*") * LEAST_VOTES)).alias("needed"), F.greatest(F.lit(1), F.ceil(F.count("*") * LEAST_DIAGONAL)).alias("needed_here"))
     hits = grams.join(F.broadcast(positions), "hash").select("key", "template", (F.col("pos") - F.col("at")).alias("diagonal"), "pos")
     votes = hits.groupBy("key", "template", "diagonal").agg(F.count_distinct("pos").alias("votes"), F.min("pos").alias("first"), (F.max("pos") + gram - 1).alias("last"))
+    votes = votes.join(F.broadcast(needed), "template").filter(F.col("votes") >= F.col("needed_here"))
+    votes = votes.withColumn("all_votes", F.sum("votes").over(Window.partitionBy("key", "template"))).filter(F.col("all_votes") >= F.col("needed"))
     order = Window.partitionBy("key", "template").orderBy("diagonal")
     step = F.when(F.col("diagonal") - F.lag("diagonal").over(order) <= neighbour, 0).otherwise(1)
     runs = votes.withColumn("step", step).withColumn("run", F.sum("step").over(order))
-    return runs.groupBy("key", "template", "run").agg(
+    part = F.floor((F.col("diagonal") - F.min("diagonal").over(Window.partitionBy("key", "template", "run"))) / width)
+    return runs.withColumn("part", part).groupBy("key", "template", "run", "part").agg(
         F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("votes").alias("votes")
-    ).drop("run")
+    ).drop("run", "part")
 
 
 def verify(words: list[bytes], template: list[bytes], low: int, high: int) -> float:
@@ -183,7 +194,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, gram: i
     Returns doc_id, n_words, n_base (places of all phrases), first_word and last_word (the smallest
     and largest start of these, else null), base_labels, labels (with those of verified spans), score
     (1 with a phrase, else the best verified share of a template), n_spans and spans (template
-    label, first and last word, share). Null texts have no words. Equal rows get equal results.
+    label, first and last word, share). Null texts have no words, texts of any length are scanned
+    whole, equal rows get equal results, and an empty table gives an empty one. Columns are
+    taken by name and others ignored, whatever they are called.
     """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()

@@ -130,6 +130,53 @@ def test_license_with_a_run_put_in(make_docs):
     assert not any(got[i].labels for i in range(2 * len(long), len(got)))
 
 
+def common_words(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def test_labels_against_common_words(make_docs):
+    """Templates with a tenth of their words changed are found; nothing is that does not have enough of a template's words in order."""
+    rng = random.Random(12)
+    texts, wanted = [], []
+    noise = ["the", "of", "and", "license", "software", "copyright", "under", "lorem", "ipsum", "dolor", "public"]
+    for label, t in licenses.TEMPLATES:
+        words = t.split()
+        if len(plain(t)) < 30:
+            continue
+        for _ in range(3):
+            edited = [rng.choice(noise) if rng.random() < 0.06 else w for w in words if rng.random() > 0.02]
+            edited = [x for w in edited for x in ((w, rng.choice(noise)) if rng.random() < 0.02 else (w,))]
+            texts.append(" ".join(rng.choices(noise, k=30) + edited + rng.choices(noise, k=30)))
+            wanted.append(label)
+        texts.append(" ".join(rng.sample(words, len(words))))
+        wanted.append(None)
+    got = {r.doc_id: r for r in licenses.scan_licenses(make_docs(list(enumerate(texts)))).collect()}
+    for i, (t, label) in enumerate(zip(texts, wanted)):
+        found = set(filter(None, got[i].labels.split(",")))
+        assert label is None or label in found, (label, t)
+        for other in found - set(got[i].base_labels.split(",")):
+            assert any(common_words(plain(t), w) >= min(40, 0.8 * len(w) if len(w) >= 16 else len(w)) for name, x in licenses.TEMPLATES if name == other for w in [plain(x)])
+        spans = [s for s in got[i].spans if s.label == label]
+        if label and label not in got[i].base_labels.split(","):
+            assert spans and all(28 <= s.first <= s.last < len(plain(t)) - 28 and 0 < s.share <= 1 for s in spans)
+
+
+def test_votes_keep_chance_hits_out(spark):
+    positions = licenses.template_positions(spark)
+    words = plain(next(t for label, t in licenses.TEMPLATES if label == "bsd" and len(t) > 180))
+    rows = [(1, " ".join(words)), (2, " ".join(words[:6])), (3, " ".join(w for i in range(0, 24, 4) for w in (*words[i : i + 3], "x")))]
+    grams = licenses.text_grams(spark.createDataFrame(rows, "key bigint, text string"))
+    spans = licenses.candidate_spans(grams, positions).collect()
+    assert {r.key for r in spans} == {1} and all(r.high - r.low < licenses.WIDTH for r in spans)
+
+
 def test_licenses_odd(odd_docs, no_docs):
     assert licenses.scan_licenses(odd_docs).count() == odd_docs.count()
     assert licenses.scan_licenses(no_docs).collect() == []
