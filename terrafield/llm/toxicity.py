@@ -1,10 +1,11 @@
 """Toxicity scores: a learned lexicon, Levenshtein automata over its trie, and context windows.
 
 The lexicon holds stems that labelled toxic texts have and other labelled texts (all but)
-lack. All stems' Levenshtein automata are run as one deterministic automaton over their trie,
+lack, and suspect stems, which the others have too but far more rarely: one of these says little, a
+text that is full of them much. All stems' Levenshtein automata are run as one deterministic automaton over their trie,
 built lazily: a word costs one transition a letter and dies as soon as no stem is near. Hits
 are weighed by a window around them, which tells a quoted or reported term from one aimed at
-somebody, and a logistic regression on the weighed counts gives the score.
+somebody, and a logistic regression on the weighed counts and the suspect stems' gives the score.
 """
 
 from __future__ import annotations
@@ -24,14 +25,18 @@ from pyspark.sql import functions as F
 
 from .common import materialise, read_table
 
-#: Most labelled rows that a model is fitted on, taken by the hash of their doc_id.
+#: Most labelled rows that a model is fitted on, taken by the hash of their doc_id, and about how many letters they have.
 TRAIN_ROWS = 12_000
+TRAIN_LETTERS = 60_000_000
 #: A stem is learned from so many toxic texts and this share of them, or from so many that no other stem explains,
 #: with at most one other text for so many toxic ones.
 LEAST_TEXTS = 6
 LEAST_SHARE = 0.02
 LEAST_NEW = 3
 PURITY = 50
+#: A suspect stem is so many times as frequent among toxic texts as among others, by at least this likelihood ratio.
+LIFT = 4
+LEAST_RATIO = 30
 STEM_LETTERS = (4, 12)
 EDITS = 1
 #: A stem is misspelled in so few of the texts without toxicity, else it is matched with its first letter right, or exactly.
@@ -39,6 +44,8 @@ FALSE_ALARMS = 0.002
 MOST_SUFFIX = 2
 WINDOW = 8
 CACHE_ENTRIES = 150_000
+#: Scales the share of suspect words to the size of the other inputs, for the regression's ridge.
+DENSITY = 50.0
 
 #: Letters often written as other signs.
 _FOLD = str.maketrans("013457@$!", "oieastasi")
@@ -187,16 +194,17 @@ class _Hits(dict):
 
 @dataclass
 class Model:
-    """Stems, which of them may be misspelled, the regression's weights, and which stems may be misspelled in the first letter."""
+    """Stems, which of them may be misspelled, the regression's weights, which stems may be misspelled in the first letter, and which are suspect."""
 
     stems: list[str]
     fuzzy: list[bool]
-    weights: list[float] = field(default_factory=lambda: [-4.0, 0.0, 0.0, 0.0])
+    weights: list[float] = field(default_factory=lambda: [-4.0, 0.0, 0.0, 0.0, 0.0, 0.0])
     first: list[bool] | None = None
+    suspect: list[bool] | None = None
     _hits: _Hits | None = None
 
     def __getstate__(self):
-        return {"stems": self.stems, "fuzzy": self.fuzzy, "weights": self.weights, "first": self.first, "_hits": None}
+        return self.__dict__ | {"_hits": None}
 
     def features(self, text: str | None) -> tuple[list[float], list[tuple[int, int, float]]]:
         """The regression's inputs, and the hits as (word position, stem, weight)."""
@@ -204,11 +212,14 @@ class Model:
             self._hits = _Hits(StemAutomaton(self.stems, self.fuzzy, first=self.first))
         words = text.lower().split() if text else []
         codes = list(map(self._hits.__getitem__, words))
-        exact = misspelled = 0.0
+        exact = misspelled = suspect = 0.0
         hits = []
         if any(codes):
             for i, code in enumerate(codes):
                 if code:
+                    if self.suspect and self.suspect[(code - 1) // 2]:
+                        suspect += 1
+                        continue
                     weight = context_weight(words, i)
                     hits.append((i, (code - 1) // 2, weight))
                     if (code - 1) % 2:
@@ -216,7 +227,7 @@ class Model:
                     else:
                         exact += weight
         n = max(len(words), 1)
-        return [1.0, math.log1p(exact), math.log1p(misspelled), math.sqrt(min(1.0, (exact + misspelled) / n))], hits
+        return [1.0, math.log1p(exact), math.log1p(misspelled), math.sqrt(min(1.0, (exact + misspelled) / n)), math.log1p(suspect), DENSITY * min(1.0, suspect / n)], hits
 
     def score(self, text: str | None) -> float:
         z = sum(w * x for w, x in zip(self.weights, self.features(text)[0]))
@@ -240,53 +251,63 @@ def _signature(words: set[str]) -> int:
     return min((zlib.crc32(w.encode("utf-8", "surrogatepass")) * 2654435761 & 0xFFFFFFFF for w in words), default=0)
 
 
-def learn_stems(texts: Iterable[tuple[str | None, int]]) -> list[tuple[str, bool]]:
-    """Stems that toxic texts have and others (all but) lack, each as long as its words agree.
+def _likelihood_ratio(a: int, n: int, b: int, m: int) -> float:
+    """How much likelier a of n and b of m are with a share each than with one share for both (twice the log)."""
+    whole = (a + b) / (n + m)
+    term = lambda k, size, p: (k * math.log(k / size / p) if k else 0.0) + ((size - k) * math.log((1 - k / size) / (1 - p)) if k < size else 0.0)
+    return 2 * (term(a, n, whole) + term(b, m, whole))
+
+
+def learn_stems(texts: list[tuple[str | None, int]]) -> list[tuple[str, bool, bool]]:
+    """Stems that toxic texts have and others (all but) lack, and suspect ones that others have far more rarely.
 
-    Near copies count as one text. A stem is taken if many texts have it, or if several texts
-    have it that no stem taken before explains. With each stem comes whether it is mostly a
-    word by itself.
+    Near copies of toxic texts count as one text. A stem is taken if many texts have it, or if
+    several texts have it that no stem taken before explains; each is as long as its words
+    agree. With each stem comes whether it is mostly a word by itself, and whether it is suspect.
+    Only what toxic texts have is held in memory, so other texts may be many.
     """
-    toxic: list[set[str]] = []
-    signs: list[int] = []
-    others: Counter[str] = Counter()
-    seen_others = False
-    for text, label in texts:
-        words = {n for w in set((text or "").lower().split()) if (n := normal(w)) and STEM_LETTERS[0] <= len(n)}
-        if label:
-            toxic.append(words)
-            signs.append(_signature(words))
-        else:
-            others.update(words)
-            seen_others = True
-    if not toxic or not seen_others:
-        return []
     low, high = STEM_LETTERS
-    prefixes: Counter[str] = Counter()
-    for word, n in others.items():
-        for k in range(low, min(high, len(word)) + 1):
-            prefixes[word[:k]] += n
+    words_of = lambda text: {n for w in set((text or "").lower().split()) if (n := normal(w)) and low <= len(n)}
+    beginnings = lambda words: {w[:k] for w in words for k in range(low, min(high, len(w)) + 1)}
+    toxic = [words_of(text) for text, label in texts if label]
+    n_others = sum(1 for _, label in texts if not label)
+    if not toxic or not n_others:
+        return []
+    signs = [_signature(words) for words in toxic]
     holders: dict[str, set[int]] = defaultdict(set)
     for words, sign in zip(toxic, signs):
-        for prefix in {w[:k] for w in words for k in range(low, min(high, len(w)) + 1)}:
+        for prefix in beginnings(words):
             holders[prefix].add(sign)
-    pure = {p: h for p, h in holders.items() if len(h) >= LEAST_NEW and prefixes[p] * PURITY <= len(h)}
+    n_toxic = len(set(signs))
+    many = max(LEAST_TEXTS, LEAST_SHARE * n_toxic)
+    holders = {p: h for p, h in holders.items() if len(h) >= LEAST_NEW}
+    elsewhere: Counter[str] = Counter()
+    for text, label in texts:
+        if not label:
+            elsewhere.update(p for p in beginnings(words_of(text)) if p in holders)
+    pure = {p: h for p, h in holders.items() if elsewhere[p] * PURITY <= len(h)}
+    lifted = {p: h for p, h in holders.items() if p not in pure and len(h) >= many and len(h) * n_others >= LIFT * n_toxic * elsewhere[p]}
+    lifted = {p: h for p, h in lifted.items() if _likelihood_ratio(len(h), n_toxic, min(elsewhere[p], n_others), n_others) >= LEAST_RATIO}
+    # What goes on from a suspect stem is pure by chance: rare words of it.
+    pure = {p: h for p, h in pure.items() if not any(p[:k] in lifted for k in range(low, len(p)))}
     shortest = sorted((p for p in pure if len(p) == low or p[:-1] not in pure), key=lambda p: (-len(pure[p]), p))
-    many = max(LEAST_TEXTS, LEAST_SHARE * len(set(signs)))
     unexplained, taken = set(signs), []
     for stem in [p for p in shortest if len(pure[p]) >= many]:
         unexplained -= pure[stem]
-        taken.append(stem)
+        taken.append((stem, False))
+    for stem in sorted(p for p in lifted if p[:-1] not in lifted):  # all of them, since it is their number in a text that counts
+        unexplained -= lifted[stem]
+        taken.append((stem, True))
     rest = [p for p in shortest if len(pure[p]) < many]
     while rest and unexplained:
         stem = max(rest, key=lambda p: (len(pure[p] & unexplained), p))
         if len(pure[stem] & unexplained) < LEAST_NEW:
             break
         unexplained -= pure[stem]
-        taken.append(stem)
+        taken.append((stem, False))
         rest = [p for p in rest if p != stem and len(pure[p] & unexplained) >= LEAST_NEW]
-    found: dict[str, bool] = {}
-    for stem in taken:
+    found: dict[str, tuple[bool, bool]] = {}
+    for stem, suspect in taken:
         members = Counter(w for words in toxic for w in words if w.startswith(stem))
         total = sum(members.values())
         while True:  # as far as (nearly) all its words agree
@@ -297,8 +318,8 @@ def learn_stems(texts: Iterable[tuple[str | None, int]]) -> list[tuple[str, bool
             if not letter or n < 0.98 * total:
                 break
             stem += letter
-        found[stem] = 2 * members[stem] >= total
-    return sorted(found.items())
+        found[stem] = 2 * members[stem] >= total, suspect
+    return sorted((stem, *kind) for stem, kind in found.items())
 
 
 def _misspell(word: str, rng: random.Random) -> str:
@@ -310,8 +331,8 @@ def _misspell(word: str, rng: random.Random) -> str:
 def fit(texts: list[tuple[str | None, int]], edits: int = EDITS) -> Model:
     """A model from labelled texts; toxic texts count again with their terms misspelled, so that the weight of a misspelling is learned too."""
     learned = learn_stems(texts)
-    stems = [s for s, _ in learned]
-    fuzzy = first = [whole for _, whole in learned]
+    stems, suspect = [s for s, _, _ in learned], [x for _, _, x in learned]
+    fuzzy = first = [whole and not x for _, whole, x in learned]
     others = sum(1 for _, label in texts if not label)
 
     def quiet(model: Model) -> list[bool]:
@@ -323,10 +344,10 @@ def fit(texts: list[tuple[str | None, int]], edits: int = EDITS) -> Model:
         return [wrong[k] <= FALSE_ALARMS * others for k in range(len(stems))]
 
     if any(fuzzy) and edits:
-        first = [a and b for a, b in zip(first, quiet(Model(stems, fuzzy, first=first)))]
+        first = [a and b for a, b in zip(first, quiet(Model(stems, fuzzy, first=first, suspect=suspect)))]
         if first != fuzzy:  # those that failed are tried with their first letter right
-            fuzzy = [a and b for a, b in zip(fuzzy, quiet(Model(stems, fuzzy, first=first)))]
-    model = Model(stems, fuzzy, first=first)
+            fuzzy = [a and b for a, b in zip(fuzzy, quiet(Model(stems, fuzzy, first=first, suspect=suspect)))]
+    model = Model(stems, fuzzy, first=first, suspect=suspect)
     rng = random.Random(7)
     rows, labels = [], []
     for text, label in texts:
@@ -367,17 +388,18 @@ def held_out(doc_id: str, folds: int = 5):
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """A model from at most ``most_rows`` labelled documents, none of them held out.
+    """A model from at most ``most_rows`` labelled documents of some ``TRAIN_LETTERS`` letters, none of them held out.
 
     Rows are chosen by the hash of their id (about ``most_rows`` of any number); null labels are no labels,
     and of several labels of one id the highest holds. Without both labels the model knows no
-    terms and its scores are low.
+    terms and its scores are low. Repeated documents of one id are learned from each.
     """
     labelled = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL")
     labelled = labelled.filter(~held_out("doc_id")).groupBy("doc_id").agg(F.max("label").alias("label"))
-    n = labelled.count()
-    # A share of the hash range that holds most_rows ids, give or take their root.
-    chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(int((1 << 31) * min(1.0, most_rows / max(n, 1)))))
+    n, letters = labelled.count(), docs.agg(F.avg(F.length(text)).alias("n")).first().n or 1.0
+    most = min(most_rows, TRAIN_LETTERS / max(letters, 1.0))
+    # A share of the hash range that holds so many ids, give or take their root.
+    chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit(int((1 << 31) * min(1.0, most / max(n, 1)))))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # The chosen rows are at most most_rows ids and labels: small enough to broadcast.
     sample = materialise(texts.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int").alias("label")), "toxic-sample")
@@ -385,7 +407,12 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS, doc_i
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score (0 to 1), predicted (1 from 0.5 on) and n_hits of every row; null and empty texts score as texts without hits."""
+    """doc_id, score (0 to 1), predicted (1 from 0.5 on) and n_hits of every row.
+
+    Null and empty texts score as texts without hits, and texts of any length are scored whole. Equal
+    texts get equal scores, repeated rows one each, and an empty table gives an empty one. Columns
+    are taken by name and others ignored, whatever they are called.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,7 +431,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 
 def reject_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The documents that score under the threshold, with their own columns."""
+    """The documents that score under the threshold, with their own columns; null and empty texts stay, and an empty table stays empty."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

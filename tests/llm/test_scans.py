@@ -259,6 +259,53 @@ def test_context_lowers_quotations():
     assert toxicity.context_weight('he said "idiot" twice'.split(), 2) < toxicity.context_weight("such idiot talk".split(), 1) < toxicity.context_weight("you idiot".split(), 1)
 
 
+@pytest.fixture(scope="module")
+def judged():
+    """A model fitted as the query does, and the held-out labelled texts."""
+    import pyarrow.parquet as pq
+
+    docs, labels = (pq.read_table(f"/root/testdata/sf0.1/{n}.parquet").to_pydict() for n in ("documents", "labels"))
+    texts, found = dict(zip(docs["doc_id"], docs["text"])), {}
+    for i, y in zip(labels["doc_id"], labels["toxic"]):
+        if y is not None and i in texts:
+            found[i] = max(found.get(i, 0), y)
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    model = toxicity.fit(sorted(((texts[i], y) for i, y in found.items() if not held(i)), key=lambda r: (r[1], r[0] or "")))
+    return model, [(texts[i], y) for i, y in found.items() if held(i)]
+
+
+def test_held_out_labels(judged):
+    model, rows = judged
+    said = [(model.score(t) >= 0.5, y) for t, y in rows]
+    toxic, clean = sum(y for _, y in said), sum(not y for _, y in said)
+    assert sum(s for s, y in said if y) >= 0.9 * toxic and sum(s for s, y in said if not y) <= 0.01 * clean
+
+
+def test_quotation_and_abuse_are_told_apart(judged):
+    """One term, once quoted in a report and once aimed at somebody, in the same clean texts: the window decides."""
+    model, rows = judged
+    clean = [t for t, y in rows if not y and t and 60 <= len(t.split()) <= 400 and model.score(t) < 0.1][:60]
+    terms = [s for s, f in zip(model.stems, model.fuzzy) if f and s.isascii() and len(s) >= 5][:6]
+    quoted = aimed = 0
+    for k, t in enumerate(clean):
+        words, term = t.split(), terms[k % len(terms)]
+        at = len(words) // 2
+        quoted += model.score(" ".join([*words[:at], f'he said the word "{term}" was reported .', *words[at:]])) >= 0.5
+        aimed += model.score(" ".join([*words[:at], f"you are a {term} .", *words[at:]])) >= 0.5
+    assert len(clean) == 60 and aimed >= 0.9 * len(clean) and quoted <= 0.1 * len(clean)
+
+
+def test_suspect_stems_count_by_their_share():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    own = lambda: "zorkel" + rng.choice(words)
+    rows = [(" ".join(text(80) + [own() for _ in range(4)]), 1) for _ in range(60)] + [(" ".join(text(80) + [own() for _ in range(rng.random() < 0.1)]), 0) for _ in range(600)]
+    model = toxicity.fit(rows)
+    assert any(s.startswith("zorkel") and x for s, x in zip(model.stems, model.suspect))
+    assert model.score(" ".join(text(80) + [own() for _ in range(4)])) > 0.5 > model.score(" ".join(text(80) + [own()]))
+
+
 def test_toxic_tables(spark, make_docs, odd_docs, no_docs):
     docs = make_docs([(i, t) for i, (t, _) in enumerate(labelled())])
     labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(labelled())] + [(None, 1, 1), (3, 1, None)], "doc_id bigint, quality int, toxic int")
