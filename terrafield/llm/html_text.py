@@ -10,9 +10,9 @@ makes in many layouts, so no page of the input needs a label.
 from __future__ import annotations
 
 import html as html_lib
-import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -73,35 +73,47 @@ def blocks_of(page: str | None) -> list[Block]:
     if not page:
         return []
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    #: Open elements: tag, distinct features of it and all around it, nearest block-level tag.
+    stack: list[tuple[str, tuple[str, ...], str]] = []
+    open_tags: Counter[str] = Counter()
+    never_closed: set[str] = set()
     parts: list[str] = []
-    linked = links_open = 0
-    at, end = 0, len(page)
+    linked = 0
+    # Behind the last > there are no tags; each search below moves on or is not made again, so the time is linear.
+    at, end, last = 0, len(page), page.rfind(">")
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                path = tuple(f for _, described in stack for f in described)
-                tag = next((t for t, _ in reversed(stack) if t not in _INLINE), "body")
+                _, path, tag = stack[-1] if stack else ("", (), "body")
                 out.append(Block(text, path, tag, min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def close_to(k: int) -> None:
-        nonlocal links_open
-        if any(t not in _INLINE for t, _ in stack[k:]):
+        if any(t not in _INLINE for t, *_ in stack[k:]):
             flush()
-        links_open -= sum(t == "a" for t, _ in stack[k:])
+        open_tags.subtract(t for t, *_ in stack[k:])
         del stack[k:]
 
+    def close_nearest(tags: frozenset[str] | set[str], holders: frozenset[str] | tuple[str, ...]) -> None:
+        """Closes the nearest of these elements, if none of the holders stands before it."""
+        if any(open_tags[t] for t in tags):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in tags:
+                    close_to(k)
+                    break
+                if stack[k][0] in holders:
+                    break
+
     while at < end:
-        found = _TOKEN.search(page, at)
+        found = _TOKEN.search(page, at) if at <= last or page.find("<!--", at) >= 0 else None
         begin = found.start() if found else end
         if begin > at:
             parts.append(page[at:begin])
-            if links_open > 0:
+            if open_tags["a"] > 0:
                 linked += begin - at
         if not found:
             break
@@ -115,19 +127,18 @@ def blocks_of(page: str | None) -> list[Block]:
         if slash:
             if tag in _SKIPPED:
                 continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close_to(k)
-                    break
-            else:
-                if tag not in _INLINE and tag != "br":
-                    flush()
+            if open_tags[tag]:
+                close_nearest({tag}, ())
+            elif tag not in _INLINE and tag != "br":
+                flush()
             continue
         if tag in _SKIPPED:
             if tag not in ("script", "style"):
                 flush()
-            if not attributes.rstrip().endswith("/"):
+            if tag not in never_closed and not attributes.rstrip().endswith("/"):
                 closing = re.compile(rf"</{re.escape(tag)}\s*>" if tag != "head" else r"</head\s*>|(?=<body)", re.I).search(page, at)
+                if not closing:
+                    never_closed.add(tag)
                 at = closing.end() if closing else (end if tag in ("script", "style") else at)
             continue
         if tag == "br":
@@ -136,23 +147,15 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag not in _INLINE:
             flush()
             if tag in _CLOSED_BY:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in _CLOSED_BY[tag]:
-                        close_to(k)
-                        break
-                    if stack[k][0] in _HOLDERS:
-                        break
+                close_nearest(_CLOSED_BY[tag], _HOLDERS)
             elif tag not in _EMBEDDED:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        close_to(k)
-                        break
-                    if stack[k][0] in ("td", "th", "table", "button", "object"):
-                        break
+                close_nearest({"p"}, ("td", "th", "table", "button", "object"))
         if tag in _VOID or attributes.rstrip().endswith("/"):
             continue
-        stack.append((tag, _describe(tag, attributes)))
-        links_open += tag == "a"
+        _, around, block = stack[-1] if stack else ("", (), "body")
+        own = tuple(f for f in dict.fromkeys(_describe(tag, attributes)) if f not in around)
+        stack.append((tag, around + own if own else around, block if tag in _INLINE else tag))
+        open_tags[tag] += 1
     flush()
     return out
 
@@ -408,4 +411,4 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
-__all__ = ["Block", "Field", "blocks_of", "extract", "fit", "labelled_page", "labelled_pages", "math", "op9_html_text"]
+__all__ = ["Block", "Field", "blocks_of", "extract", "fit", "labelled_page", "labelled_pages", "op9_html_text"]
