@@ -451,6 +451,60 @@ def test_page(field):
     assert field.main_text(None) == field.main_text("") == field.main_text("<p>") == ""
 
 
+#: Pages written by hand, of makings that the generator does not know, with their articles.
+BY_HAND = {
+    "a main division between a menu and a footer": (
+        """<html><body><div id="menu"><a href="/">Home</a> <a href="/news">News</a> <a href="/about">About us</a></div>
+        <div id="main"><p>The harbour was closed on Tuesday after a storm damaged two of its three piers, the port authority said.</p>
+        <p>Ferries to the islands were moved to the northern dock, where crews worked through the night to clear debris.</p>
+        <p>Officials expect normal service to resume within a week, although repairs to the oldest pier may take until spring.</p></div>
+        <div id="footer">Copyright 2020 Harbour Times. <a href="/terms">Terms</a></div></body></html>""",
+        ["The harbour was closed on Tuesday after a storm damaged two of its three piers, the port authority said.", "Ferries to the islands were moved to the northern dock, where crews worked through the night to clear debris.", "Officials expect normal service to resume within a week, although repairs to the oldest pier may take until spring."],
+    ),
+    "an article of one paragraph": (
+        "<body><nav><ul><li><a href='a'>One</a><li><a href='b'>Two</a></ul></nav><article><p>Only a single paragraph stands here, but it is the whole of the article and should be kept.</p></article><footer><p>All rights reserved.</p></footer></body>",
+        ["Only a single paragraph stands here, but it is the whole of the article and should be kept."],
+    ),
+    "a heading in a header of the article, a list and a quotation": (
+        """<body><header class="site-header"><a href="/">My site</a></header><main><article><header><h1>How to sharpen a chisel</h1></header>
+        <p>A chisel is sharp when it shaves end grain cleanly.</p><ol><li>Flatten the back on a coarse stone.</li><li>Raise a burr along the whole bevel.</li></ol>
+        <blockquote><p>A dull tool is a dangerous tool, as every carpenter learns.</p></blockquote><p>Finish by stropping on leather.</p></article></main>
+        <aside class="sidebar"><h3>Popular posts</h3><ul><li><a href="/1">Ten saws</a></li><li><a href="/2">Why oak</a></li></ul></aside>
+        <section id="comments"><h3>2 Comments</h3><div class="comment"><p>Great post, thanks for writing this up.</p></div><div class="comment"><p>I use water stones instead.</p></div></section></body>""",
+        ["How to sharpen a chisel", "A chisel is sharp when it shaves end grain cleanly.", "Flatten the back on a coarse stone.", "Raise a burr along the whole bevel.", "A dull tool is a dangerous tool, as every carpenter learns.", "Finish by stropping on leather."],
+    ),
+    "no containers at all": (
+        "<h1>Notes on tides</h1><p>Tides are raised by the moon and, to a lesser degree, by the sun, and they follow both.</p><p>Where the sea is shallow the wave slows and grows, so that ranges of ten metres occur.</p>",
+        ["Notes on tides", "Tides are raised by the moon and, to a lesser degree, by the sun, and they follow both.", "Where the sea is shallow the wave slows and grows, so that ranges of ten metres occur."],
+    ),
+    "a content division with a cookie notice and a form": (
+        """<body><div class="cookie-banner"><p>We use cookies to improve your experience.</p><button>Accept</button></div><div class="content"><h2>Opening hours change</h2>
+        <p>From the first of May the library opens at eight in the morning, an hour earlier than before, on all weekdays.</p><p>Saturdays stay as they are &mdash; ten to four.</p></div>
+        <form class="newsletter"><label>Your email:</label><input name="e"><p>Subscribe to our newsletter.</p></form></body>""",
+        ["Opening hours change", "From the first of May the library opens at eight in the morning, an hour earlier than before, on all weekdays.", "Saturdays stay as they are — ten to four."],
+    ),
+    "formulas and unclosed paragraphs": (
+        "<body><nav><a href=x>Up</a></nav><article><h1>Areas</h1><p>The area of a circle is <math><mi>A</mi><mo>=</mo><mi>p</mi></math> times its radius squared, as is well known.<p>A second paragraph follows without the first being closed.</article></body>",
+        ["Areas", "The area of a circle is A=p times its radius squared, as is well known.", "A second paragraph follows without the first being closed."],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", BY_HAND)
+def test_pages_written_by_hand(field, name):
+    page, article = BY_HAND[name]
+    assert field.main_text(page).split("\n") == article
+
+
+def test_long_pages_take_linear_time():
+    import time
+
+    for page in ("<a " * 330_000, '<a "' * 250_001, "<div>a" * 150_000, "<b>" * 100_000 + "<p>x</p>" * 80_000, "<div>" * 90_000 + "</x>" * 100_000, "<button>x" * 100_000):
+        began = time.perf_counter()
+        html_text.blocks_of(page)
+        assert time.perf_counter() - began < 5
+
+
 def test_embedded_text_is_kept(field):
     page = PAGE.replace("<ul><li>item one of it</ul></article>", "<p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is known, as the text says.</p><object data=x>A figure of both numbers, told in words.</object><p>More of the text, <button>Copy this</button> and its end.</p><select><option>One</option></select></article>")
     text = field.main_text(page).split("\n")
