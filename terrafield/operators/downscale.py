@@ -11,6 +11,7 @@ from . import aggregate as A
 from . import calendar as C
 from . import grid as G
 from . import models as M
+from ..sources.scratch import written
 
 CELL = A.CELL
 
@@ -66,17 +67,37 @@ def gard(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFra
     return M.random_effects(out.join(field, ["time", *CELL]), "field", thresh, value == "pr", value).select("time", *CELL, value)
 
 
-def maca(obs: DataFrame, model: DataFrame, historical: Column, predict: Column, to_coarse: DataFrame, to_fine: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, day_window: int = 21, year_window: int = 31) -> DataFrame:
-    """Multivariate adapted constructed analogs: the trend out, days corrected, analogs constructed, the trend back, corrected again."""
+def maca(obs: DataFrame, model: DataFrame, historical: Column, predict: Column, to_coarse: DataFrame, to_fine: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, day_window: int = 21, year_window: int = 31, regions: DataFrame | None = None) -> DataFrame:
+    """Multivariate adapted constructed analogs for the days of ``predict``.
+
+    Coarse days are corrected against coarse observations, the slow trend is taken out, analogs are
+    constructed (region by region, if ``regions`` has cells' region_id on both grids as ``coarse``
+    true or false), the trend is put back, and the fine days are corrected against fine observations. The
+    historical days are downscaled too, since that last correction is fitted to them.
+    """
     spark = obs.sparkSession
     batches = C.generate_batches(366, 15, 15, spark, one_indexed=True)
     coarse = G.regrid(obs, to_coarse, [value])
-    corrected = M.edcdf_by_day(model, coarse, historical, value, batches)
-    trend = C.epoch_trend(corrected, value, historical, day_window, year_window)
+    corrected = written(M.edcdf_by_day(model, coarse, historical, value, batches), "maca-corrected")
+    trend = written(C.epoch_trend(corrected, value, historical, day_window, year_window), "maca-trend")
     still = corrected.join(trend, ["time", *CELL]).select("time", *CELL, (F.col(value) - F.col("trend")).alias(value))
-    analogs = M.construct_analogs(still.filter(predict), coarse.filter(historical), obs.filter(historical), to_fine, value, n_analogs, doy_range)
+    tables, by = [still.filter(historical | predict), coarse.filter(historical), obs.filter(historical).select("time", *CELL, value)], ()
+    if regions is not None:
+        by = ("region_id",)
+        own = lambda is_coarse: regions.filter(F.col("coarse") == is_coarse).select(*CELL, "region_id")
+        tables = [t.join(own(k < 2), list(CELL)) for k, t in enumerate(tables)]
+    analogs = M.construct_analogs(*tables, to_fine, value, n_analogs, doy_range, by=by).drop(*by)
     fine_trend = G.regrid(trend, to_fine, ["trend"])
-    return analogs.join(fine_trend, ["time", *CELL]).select("time", *CELL, (F.col(value) + F.col("trend")).alias(value))
+    fine = analogs.join(fine_trend, ["time", *CELL]).select("time", *CELL, (F.col(value) + F.col("trend")).alias(value))
+    return M.edcdf_by_day(fine, obs, historical, value, batches).filter(predict)
+
+
+def maca_variables(obs: DataFrame, model: DataFrame, values: Sequence[str], *settings, **more) -> DataFrame:
+    """``maca`` for several variables, side by side; ``settings`` are its others in order."""
+    from ..sources.sinks import combine_variables
+
+    historical, predict, to_coarse, to_fine, *rest = settings
+    return combine_variables([maca(obs, model, historical, predict, to_coarse, to_fine, v, *rest, **more) for v in values], ["time", *CELL])
 
 
 def deepsd(predict: DataFrame, hist: DataFrame, obs: DataFrame, to_fine: DataFrame, value: str, land: DataFrame | None = None) -> DataFrame:

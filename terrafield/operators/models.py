@@ -269,49 +269,108 @@ def doy_pairs(spark, doy_range: int = 45) -> DataFrame:
     return pairs.union(leap).distinct()
 
 
-def analog_days(gcm: DataFrame, obs: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
-    """(gcm_day, obs_day, rmse, rank): each model day's nearest observed days of its season.
+#: Days of the year whose model days are compared together.
+ANALOG_BLOCK = 15
 
-    Distance is the root of the summed squares over shared cells, divided by their number. Days meet
-    by day-of-year pairs, then by cell, so only a quarter of all pairs of days are ever compared.
+
+def analog_fits(gcm: DataFrame, obs: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, cell: Sequence[str] = CELL, time: str = "time", by: Sequence[str] = (), regress: bool = True) -> DataFrame:
+    """Each model day's nearest observed days of its season, and the regression of its field on theirs.
+
+    Returns by, gcm_day, obs_days, rmse (both arrays, nearest first, ties to the earlier day) and, with
+    ``regress``, intercept, coefficients, and residuals at the cells that all these fields have. The
+    distance is the root of the summed squares over shared cells, divided by their number.
+
+    A day's field is one row (of each region, if ``by`` names its column). A block of days of the
+    year meets the observed days within its range, and all their distances come from three matrix products;
+    no pair of days, and no cell of a pair, is ever a row. A group holds one region's fields of one season.
     """
     spark = gcm.sparkSession
-    pairs = F.broadcast(doy_pairs(spark, doy_range))
-    g = gcm.select(F.col(time).alias("gcm_day"), *cell, F.col(value).alias("x"), F.dayofyear(time).alias("doy"))
-    o = obs.select(F.col(time).alias("obs_day"), *cell, F.col(value).alias("y"), F.dayofyear(time).alias("other"))
-    both = g.join(pairs, "doy").join(o, ["other", *cell])
-    far = both.groupBy("gcm_day", "obs_day").agg((F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))) / F.count("*")).alias("rmse"))
-    order = Window.partitionBy("gcm_day").orderBy("rmse", "obs_day")
-    return far.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n_analogs)
+    pairs = doy_pairs(spark, doy_range)
+    block = lambda doy: F.floor((doy - 1) / ANALOG_BLOCK).cast("int").alias("_block")
+    near = np.zeros((367, 367), dtype=bool)
+    for r in pairs.collect():  # some 30,000 rows
+        near[r.doy, r.other] = True
+
+    def fields(df: DataFrame) -> DataFrame:
+        cells = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(time).alias("day")).agg(F.collect_list(F.struct(*cell, F.col(value).cast("double").alias("_x"))).alias("c"))
+        return cells.select(*by, "day", *[F.col("c")[n].alias(n) for n in (*cell, "_x")])
+
+    g = fields(gcm).withColumn("_block", block(F.dayofyear("day")))
+    reach = F.broadcast(pairs.select(F.col("other").alias("_doy"), block(F.col("doy"))).distinct())
+    o = fields(obs).withColumn("_doy", F.dayofyear("day")).join(reach, "_doy").drop("_doy")
+
+    def match(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        rows: list[tuple] = []
+        if len(mine) and len(theirs):
+            theirs = theirs.sort_values("day", kind="stable").reset_index(drop=True)
+            both = pd.concat([mine, theirs])
+            size = both["_x"].map(len).to_numpy()
+            places, at = np.unique(np.column_stack([np.concatenate([np.asarray(x) for x in both[c]]) for c in cell]), axis=0, return_inverse=True)
+            matrix = np.full((len(both), len(places)), np.nan)
+            matrix[np.repeat(np.arange(len(both)), size), at.ravel()] = np.concatenate([np.asarray(x) for x in both["_x"]])
+            x, y = matrix[: len(mine)], matrix[len(mine) :]
+            x_has, y_has = (~np.isnan(x)).astype(float), (~np.isnan(y)).astype(float)
+            x0, y0 = np.nan_to_num(x), np.nan_to_num(y)
+            shared = x_has @ y_has.T
+            square = np.maximum((x0 * x0) @ y_has.T - 2 * x0 @ y0.T + x_has @ (y0 * y0).T, 0)
+            doys = [pd.to_datetime(f["day"]).dt.dayofyear.to_numpy() for f in (mine, theirs)]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                far = np.where((shared > 0) & near[doys[0][:, None], doys[1][None, :]], np.sqrt(square) / shared, np.inf)
+            keys = [mine[c].iloc[0] for c in by]
+            for i, day in enumerate(mine["day"]):
+                k = min(n_analogs, int(np.isfinite(far[i]).sum()))
+                if not k:
+                    continue
+                # The products round; what may be among the nearest is measured again.
+                some = np.flatnonzero(far[i] <= np.partition(far[i], k - 1)[k - 1] * (1 + 1e-6) + 1e-6)
+                exact = np.sqrt(np.nansum((y[some] - x[i]) ** 2, axis=1)) / shared[i, some]
+                first = np.argsort(exact, kind="stable")[:k]
+                some, exact = some[first], exact[first]
+                row = [*keys, day, theirs["day"].iloc[some].tolist(), exact.tolist()]
+                if regress:
+                    good = ~np.isnan(x[i]) & ~np.isnan(y[some]).any(axis=0)
+                    if not good.any():
+                        continue
+                    fit = np.column_stack([np.ones(good.sum()), y[some][:, good].T])
+                    w, *_ = np.linalg.lstsq(fit, x[i, good], rcond=None)
+                    row += [float(w[0]), w[1:].tolist(), *(places[good, c].tolist() for c in range(len(cell))), (x[i, good] - fit @ w).tolist()]
+                rows.append(tuple(row))
+        return pd.DataFrame(rows, columns=names)
+
+    kinds = {f.name: f.dataType.simpleString() for f in gcm.schema.fields}
+    columns = [*((c, kinds[c]) for c in by), ("gcm_day", kinds[time]), ("obs_days", f"array<{kinds[time]}>"), ("rmse", "array<double>")]
+    if regress:
+        columns += [("intercept", "double"), ("coefficients", "array<double>"), *((f"_{c}", f"array<{kinds[c]}>") for c in cell), ("_residual", "array<double>")]
+    names = [c for c, _ in columns]
+    out = g.groupBy(*by, "_block").cogroup(o.groupBy(*by, "_block")).applyInPandas(match, ", ".join(f"{c} {k}" for c, k in columns))
+    if not regress:
+        return out
+    residuals = F.transform(F.arrays_zip(*[f"_{c}" for c in cell], "_residual"), lambda z: F.struct(*[z[f"_{c}"].alias(c) for c in cell], z["_residual"].alias("residual")))
+    return out.select(*by, "gcm_day", "obs_days", "rmse", "intercept", "coefficients", residuals.alias("residuals"))
 
 
-def construct_analogs(gcm: DataFrame, obs_coarse: DataFrame, obs_fine: DataFrame, weights: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
-    """Fine-grid fields: each model day as a regression on its analogs' coarse fields, applied to their fine fields, plus its regridded residual."""
-    from .grid import regrid
+def analog_days(gcm: DataFrame, obs: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, cell: Sequence[str] = CELL, time: str = "time", by: Sequence[str] = ()) -> DataFrame:
+    """(by, gcm_day, obs_day, rmse, rank): each model day's nearest observed days of its season, as ``analog_fits`` finds them."""
+    found = analog_fits(gcm, obs, value, n_analogs, doy_range, cell, time, by, regress=False)
+    each = found.select(*by, "gcm_day", F.posexplode(F.arrays_zip("obs_days", "rmse")).alias("at", "z"))
+    return each.select(*by, "gcm_day", F.col("z.obs_days").alias("obs_day"), F.col("z.rmse").alias("rmse"), (F.col("at") + 1).alias("rank"))
 
-    days = analog_days(gcm, obs_coarse, value, n_analogs, doy_range, cell, time).select("gcm_day", "obs_day", "rank")
-    x = days.join(obs_coarse.select(F.col(time).alias("obs_day"), *cell, F.col(value).alias("a")), "obs_day")
-    y = gcm.select(F.col(time).alias("gcm_day"), *cell, F.col(value).alias("y"))
-    rows = x.join(y, ["gcm_day", *cell])
 
-    def regress(rows: pd.DataFrame) -> pd.DataFrame:
-        table = rows.pivot_table(index=[*cell, "y"], columns="rank", values="a").dropna()
-        a, target = table.to_numpy(), table.index.get_level_values("y").to_numpy()
-        w, *_ = np.linalg.lstsq(np.column_stack([np.ones(len(a)), a]), target, rcond=None)
-        left = target - (w[0] + a @ w[1:])
-        out = pd.DataFrame({c: table.index.get_level_values(c) for c in cell})
-        coefficients, ranks = (pd.Series([x] * len(out), dtype=object) for x in (w[1:].tolist(), [int(r) for r in table.columns]))
-        return out.assign(gcm_day=rows["gcm_day"].iloc[0], residual=left, intercept=float(w[0]), coefficients=coefficients, ranks=ranks)
+def construct_analogs(gcm: DataFrame, obs_coarse: DataFrame, obs_fine: DataFrame, weights: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, cell: Sequence[str] = CELL, time: str = "time", by: Sequence[str] = ()) -> DataFrame:
+    """Fine-grid fields: each model day as a regression on its analogs' coarse fields, applied to their fine fields, plus its regridded residual.
 
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in cell) + ", gcm_day date, residual double, intercept double, coefficients array<double>, ranks array<int>"
-    fitted = rows.groupBy("gcm_day").applyInPandas(regress, schema)
-    residual = regrid(fitted.select(F.col("gcm_day").alias(time), *cell, "residual"), weights, ["residual"])
-    each = fitted.groupBy("gcm_day").agg(F.first("intercept").alias("intercept"), F.first(F.arrays_zip("ranks", "coefficients")).alias("z"))
-    coefficients = each.select("gcm_day", "intercept", F.explode("z").alias("z")).select("gcm_day", "intercept", F.col("z.ranks").alias("rank"), F.col("z.coefficients").alias("w"))
-    fine = days.join(coefficients, ["gcm_day", "rank"]).join(obs_fine.select(F.col(time).alias("obs_day"), *cell, F.col(value).alias("f")), "obs_day")
-    summed = fine.groupBy(F.col("gcm_day").alias(time), *cell).agg((F.sum(F.col("w") * F.col("f")) + F.first("intercept")).alias(value))
-    return summed.join(residual, [time, *cell]).select(time, *cell, (F.col(value) + F.col("residual")).alias(value))
+    With ``by`` (a region's column in all three tables) each region is constructed by itself.
+    """
+    from ..sources.scratch import written
+    from .grid import regrid
+
+    fitted = written(analog_fits(gcm, obs_coarse, value, n_analogs, doy_range, cell, time, by), "analogs")  # a row a day
+    left = fitted.select(*by, F.col("gcm_day").alias(time), F.inline("residuals"))
+    residual = regrid(left, weights, ["residual"], (time, *by))
+    days = fitted.select(*by, "gcm_day", "intercept", F.explode(F.arrays_zip("obs_days", "coefficients")).alias("z")).select(*by, "gcm_day", "intercept", F.col("z.obs_days").alias("obs_day"), F.col("z.coefficients").alias("w"))
+    fine = days.join(obs_fine.select(*by, F.col(time).alias("obs_day"), *cell, F.col(value).alias("f")), [*by, "obs_day"])
+    summed = fine.groupBy(*by, F.col("gcm_day").alias(time), *cell).agg((F.sum(F.col("w") * F.col("f")) + F.first("intercept")).alias(value))
+    return summed.join(residual, [time, *by, *cell]).select(time, *by, *cell, (F.col(value) + F.col("residual")).alias(value))
 
 
 # ---------------------------------------------------------------- convolutional super-resolution

@@ -266,7 +266,7 @@ def _(spark, sf):
 
 @query(
     "j08_analog_days",
-    f"""WITH {OBS}, {GCM}, {_COARSE}, x AS (SELECT time AS gcm_day, lat_i, lon_i, pr / 10000 AS pr FROM gcm WHERE year(time) = 1999 AND month(time) = 3),
+    f"""WITH {OBS}, {GCM}, {_COARSE}, x AS (SELECT time AS gcm_day, lat_i, lon_i, pr / 10000 AS pr FROM gcm WHERE year(time) >= 1999),
     d AS (SELECT unnest(range(1, 367)) AS doy), k AS (SELECT unnest(range(-10, 11)) AS k),
     p AS (SELECT doy, ((doy - 1 + k) % 365 + 365) % 365 + 1 AS other FROM d, k UNION SELECT doy, 366 FROM d WHERE least(abs(doy - 366), 365 - abs(doy - 366)) <= 10),
     f AS (SELECT gcm_day, c.time AS obs_day, round(sqrt(sum((x.pr - c.pr) * (x.pr - c.pr))) / count(*), 6) AS rmse FROM x JOIN p ON p.doy = dayofyear(gcm_day) JOIN coarse c ON dayofyear(c.time) = p.other AND c.lat_i = x.lat_i AND c.lon_i = x.lon_i GROUP BY gcm_day, c.time)
@@ -275,7 +275,7 @@ def _(spark, sf):
 def _(spark, sf):
     from ..operators.models import analog_days
 
-    g = gcm(spark, sf).filter((F.year("time") == 1999) & (F.month("time") == 3)).withColumn("pr", F.col("pr") / 10000)
+    g = gcm(spark, sf).filter(F.year("time") >= 1999).withColumn("pr", F.col("pr") / 10000)
     far = analog_days(g, G.coarsen(obs(spark, sf), 2, ["pr"]), "pr", 1_000_000, 10).withColumn("rmse", F.round("rmse", 6)).drop("rank")
     order = Window.partitionBy("gcm_day").orderBy("rmse", "obs_day")
     return far.withColumn("rank", F.row_number().over(order)).filter("rank <= 10")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -14,8 +11,9 @@ from ..operators import downscale as D
 from ..operators import grid as G
 from ..operators import models as M
 from ..operators import water as W
-from ..sources.cube import GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table
-from .grids import _COARSE, _bilinear_weights
+from ..sources.cube import CELLS, GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table
+from ..sources.scratch import scratch
+from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights
 from .registry import query, r6
 
 CELL = A.CELL
@@ -34,16 +32,45 @@ def _weights(spark, sf):
 
 
 def _scratch(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="terrafield-")
-    return f"{root.rstrip('/')}/terrafield-feeds/{uuid.uuid4().hex}"
-
+    return scratch(spark, "feeds")
+
+
+def _mapping_sql(hist: str, obs: str, new: str, extrapolate: bool = True) -> str:
+    """CTEs that map ``x`` of table ``new`` (g, x, and others) through the distribution of ``hist`` onto that of ``obs`` (both g, x), by group g.
+
+    Leaves ``mapped``: the rows of ``new`` with u (Cunnane's position) and y (the mapped value).
+    """
+    ends = "CASE WHEN p.x > hs.hi THEN os.hi + (p.x - hs.hi) WHEN p.x < hs.lo THEN os.lo + (p.x - hs.lo) ELSE {} END" if extrapolate else "{}"
+    quantile = "CASE WHEN f <= 1 THEN a.x WHEN f >= os.n THEN a.x ELSE a.x + (f - a.i) * (b.x - a.x) END"
+    return f"""hr AS (SELECT g, x, row_number() OVER (PARTITION BY g ORDER BY x) AS i FROM {hist}),
+    hs AS (SELECT g, count(*) AS n, min(x) AS lo, max(x) AS hi FROM {hist} GROUP BY g), os AS (SELECT g, count(*) AS n, min(x) AS lo, max(x) AS hi FROM {obs} GROUP BY g),
+    hd AS (SELECT g, x, max(i) AS i, min(i) AS i0, lead(x) OVER (PARTITION BY g ORDER BY x) AS x2 FROM hr GROUP BY g, x),
+    oi AS (SELECT g, x, row_number() OVER (PARTITION BY g ORDER BY x) AS i FROM {obs}),
+    pu AS (SELECT p.*, CASE WHEN hd.x IS NULL THEN 0.6::DOUBLE / (hs.n + 0.2::DOUBLE) WHEN hd.x2 IS NULL THEN (hs.n - 0.4::DOUBLE) / (hs.n + 0.2::DOUBLE)
+             ELSE (hd.i - 0.4::DOUBLE + (p.x - hd.x) / (hd.x2 - hd.x)) / (hs.n + 0.2::DOUBLE) END AS u, hd.i AS last_i, hd.i0 AS first_i, hd.x AS below, hd.x2 AS above, hs.n AS hn
+           FROM {new} p JOIN hs ON hs.g = p.g ASOF LEFT JOIN hd ON hd.g = p.g AND p.x >= hd.x),
+    pf AS (SELECT pu.*, u * (os.n + 0.2::DOUBLE) + 0.4::DOUBLE AS f FROM pu JOIN os USING (g)),
+    mapped AS (SELECT p.*, {ends.format(quantile)} AS y FROM pf p JOIN hs ON hs.g = p.g JOIN os ON os.g = p.g
+               JOIN oi a ON a.g = p.g AND a.i = greatest(1, least(os.n, floor(f)::BIGINT)) LEFT JOIN oi b ON b.g = p.g AND b.i = a.i + 1)"""
+
+
+_PARTS_SQL = f"""{OBS}, {GCM}, {_COARSE}, h AS (SELECT lat_i * 100000 + lon_i AS g, pr / 10000 AS x FROM gcm WHERE year(time) < 1999), o AS (SELECT lat_i * 100000 + lon_i AS g, pr AS x FROM coarse WHERE year(time) < 1999),
+p AS (SELECT time, lat_i, lon_i, lat_i * 100000 + lon_i AS g, pr / 10000 AS x FROM gcm WHERE year(time) >= 1999)"""
+_SERIES_SQL = {
+    "quantile_transform": f"WITH {_PARTS_SQL}, {_mapping_sql('h', 'o', 'p')} SELECT time, lat_i, lon_i, round(CASE WHEN hn = 1 OR below IS NULL THEN 0 WHEN x = below THEN ((last_i - 1) + (first_i - 1)) / 2.0::DOUBLE / (hn - 1) WHEN above IS NULL THEN 1 ELSE (last_i - 1 + (x - below) / (above - below)) / (hn - 1) END, 5) AS pr FROM mapped",
+    "quantile_mapper": f"WITH {_PARTS_SQL}, {_mapping_sql('p', 'o', 'p', False)} SELECT time, lat_i, lon_i, round(y, 5) AS pr FROM mapped",
+    "quantile_map": f"WITH {_PARTS_SQL}, {_mapping_sql('h', 'o', 'p')} SELECT time, lat_i, lon_i, round(y, 5) AS pr FROM mapped",
+    "detrended_quantile_map": f"""WITH {_PARTS_SQL}, k AS (SELECT g, coalesce(regr_slope(x, time - DATE '1999-01-01'), 0) AS a, avg(time - DATE '1999-01-01') AS t FROM p GROUP BY g),
+    q AS (SELECT time, lat_i, lon_i, g, x - a * ((time - DATE '1999-01-01') - t) AS x, a * ((time - DATE '1999-01-01') - t) AS trend FROM p JOIN k USING (g)), {_mapping_sql('h', 'o', 'q')} SELECT time, lat_i, lon_i, round(y + trend, 5) AS pr FROM mapped""",
+    "cunnane_transform": f"WITH {_PARTS_SQL}, {_mapping_sql('h', 'o', 'p')} SELECT time, lat_i, lon_i, round(u, 5) AS pr FROM mapped",
+}
 
 for _id, _method in {"m01_quantile_transform": "quantile_transform", "m03_quantile_mapper": "quantile_mapper", "m04_quantile_map": "quantile_map", "m05_detrended_quantile_map": "detrended_quantile_map", "m06_cunnane": "cunnane_transform"}.items():
 
-    @query(_id)
+    @query(_id, _SERIES_SQL[_method])
     def _(spark, sf, method=_method):
         o, h, p = _parts(spark, sf)
-        return M.bias_correct(h, o.filter(F.year("time") < 1999), p, "pr", method)
+        return M.bias_correct(h, o.filter(F.year("time") < 1999), p, "pr", method).select("time", *CELL, F.round("pr", 5).alias("pr"))
 
 
 @query("m02_z_score", f"WITH {OBS}, {GCM}, h AS (SELECT lat_i, lon_i, avg(pr / 10000) AS m, stddev_pop(pr / 10000) AS s FROM gcm WHERE year(time) < 1999 GROUP BY ALL) SELECT time, lat_i, lon_i, round((pr / 10000 - m) / s, 6) AS pr FROM gcm JOIN h USING (lat_i, lon_i) WHERE year(time) >= 1999")
@@ -52,11 +79,26 @@ def _(spark, sf):
     return A.z_score_against(p, h, "pr", epsilon=0.0).select("time", *CELL, r6("pr", "pr"))
 
 
-@query("m08_bcsd")
+_BCSD_SQL = f"""WITH {OBS}, {GCM}, {_COARSE}, {_LINEAR}, {CELLS}, h2 AS (SELECT lat_i * 10000000 + lon_i * 100 + month(time) AS g, pr / 10000 AS x FROM gcm WHERE year(time) < 1999), o2 AS (SELECT lat_i * 10000000 + lon_i * 100 + month(time) AS g, pr AS x FROM coarse),
+p2 AS (SELECT time, lat_i, lon_i, lat_i * 10000000 + lon_i * 100 + month(time) AS g, pr / 10000 AS x FROM gcm WHERE year(time) >= 1999), {_mapping_sql('h2', 'o2', 'p2')},
+fine AS (SELECT time, a.dst AS lat_i, b.dst AS lon_i, sum(a.w * b.w * y) / sum(a.w * b.w) AS y FROM mapped m JOIN lin a ON a.src = m.lat_i JOIN lin b ON b.src = m.lon_i GROUP BY ALL),
+i AS (SELECT time, a.dst AS lat_i, b.dst AS lon_i, sum(a.w * b.w * pr) / sum(a.w * b.w) AS pr FROM coarse JOIN lin a ON a.src = lat_i JOIN lin b ON b.src = lon_i GROUP BY ALL),
+an AS (SELECT month(time) AS m, lat_i, lon_i, avg(o.pr - i.pr) AS d FROM obs o JOIN i USING (time, lat_i, lon_i) GROUP BY ALL)
+SELECT f.time, f.lat_i, f.lon_i, CASE WHEN is_land THEN round(y + d + 1e-7, 5) END AS pr FROM fine f JOIN an ON an.m = month(f.time) AND an.lat_i = f.lat_i AND an.lon_i = f.lon_i LEFT JOIN cells c ON c.lat_i = f.lat_i AND c.lon_i = f.lon_i"""
+
+
+@query("m08_bcsd", _BCSD_SQL)
 def _(spark, sf):
     _, h, p = _parts(spark, sf)
     coarse, fine = _weights(spark, sf)
-    return D.bcsd(obs(spark, sf), h, p, coarse, fine, "pr", cells(spark, sf))
+    return D.bcsd(obs(spark, sf), h, p, coarse, fine, "pr", cells(spark, sf)).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-7), 5).alias("pr"))
+
+
+@query("m08_bcsd_temperature")
+def _(spark, sf):
+    o, h, p = (df.withColumnRenamed("pr", "tasmax") for df in (obs(spark, sf).select("time", *CELL, "pr"), *_parts(spark, sf)[1:]))
+    coarse, fine = _weights(spark, sf)
+    return D.bcsd(o, h, p, coarse, fine, "tasmax", cells(spark, sf)).select("time", *CELL, F.round("tasmax", 5).alias("tasmax"))
 
 
 @query("m10_edcdf")
@@ -68,8 +110,7 @@ def _(spark, sf):
 @query("m11_constructed_analogs")
 def _(spark, sf):
     o, _, p = _parts(spark, sf)
-    days = p.filter((F.year("time") == 1999) & (F.month("time") == 3))
-    return M.construct_analogs(days, o.filter(F.year("time") < 1999), obs(spark, sf).filter(F.year("time") < 1999), _weights(spark, sf)[1], "pr", 5, 20)
+    return M.construct_analogs(p, o.filter(F.year("time") < 1999), obs(spark, sf).filter(F.year("time") < 1999), _weights(spark, sf)[1], "pr", 5, 20)
 
 
 @query(
@@ -114,8 +155,7 @@ def _(spark, sf):
 def _(spark, sf):
     _, h, p = _parts(spark, sf)
     coarse, fine = _weights(spark, sf)
-    predict = (F.year("time") == 1999) & (F.month("time") == 3)
-    return D.maca(obs(spark, sf), h.union(p), F.year("time") < 1999, predict, coarse, fine, "pr", 5, 20, 21, 3)
+    return D.maca(obs(spark, sf), h.union(p), F.year("time") < 1999, F.year("time") >= 1999, coarse, fine, "pr", 5, 20, 21, 3)
 
 
 @query("m15_super_resolution")
@@ -148,9 +188,25 @@ def _monthly_weather(spark, sf):
     )
 
 
-@query("m18_water_balance")
+_STEPS = _PET[_PET.index("a AS (") : _PET.index("SELECT p_partkey, month::INT")].replace("ORDER BY month", "ORDER BY time")
+_MELT = "(CASE WHEN t < -2 THEN 0 WHEN t > 6.5 THEN 1 ELSE 1 - (-48.2292::DOUBLE * (tanh(0.7205::DOUBLE * (t - 1.1662::DOUBLE)) - 1.0223::DOUBLE)) / 100 END)"
+_BALANCE_SQL = f"""WITH RECURSIVE {OBS}, w AS (SELECT date_trunc('month', time)::DATE AS time, lat_i, lon_i, sum(pr) AS ppt, cos((month(any_value(time)) - 1) * 2 * pi() / 12) AS phase FROM obs GROUP BY date_trunc('month', time), lat_i, lon_i),
+x AS (SELECT lat_i * 100000 + lon_i AS p_partkey, lat_i, lon_i, time, month(time) AS month, ppt, 18.0::DOUBLE - phase * 12 AS tmax, 6.0::DOUBLE - phase * 12 AS tmin, 3.0::DOUBLE - phase * 10 AS tdew, (180.0::DOUBLE - phase * 90) * 0.0864::DOUBLE AS srad, 3.0::DOUBLE AS ws, lat_i + 35.0::DOUBLE AS lat, lat_i * 100.0::DOUBLE AS elev,
+ [31,28,31,30,31,30,31,31,30,31,30,31][month(time)] AS nd, [31,59,90,120,151,181,212,243,273,304,334,365][month(time)] AS last FROM w),
+{_STEPS.rstrip().rstrip(",")},
+mo AS (SELECT p_partkey AS c, lat_i, lon_i, time, row_number() OVER (PARTITION BY p_partkey ORDER BY time) AS k, ppt, {_MELT} AS melt, {_MELT} * 0.408::DOUBLE * (delta * (net - 0.14::DOUBLE * (t - before) * nd) + pa * 0.001013::DOUBLE * greatest(0, es - ea) / ra * 86400 * nd) / (delta + gamma * (1 + rs / ra)) AS pet FROM f),
+s1 AS (SELECT *, (1 - melt) * ppt AS snow FROM mo),
+r AS (SELECT c, 0::BIGINT AS k, 120.0::DOUBLE AS soil, 0.0::DOUBLE AS swe, NULL::DOUBLE AS aet, NULL::DOUBLE AS def, NULL::DOUBLE AS q FROM (SELECT DISTINCT c FROM mo)
+ UNION ALL SELECT c, k, soil + stored - drawn, pack - sub, least(water, pet) + sub + drawn, pet - (least(water, pet) + sub + drawn), runoff + greatest(water - pet, 0) - stored
+ FROM (SELECT *, least(greatest(pet - water, 0) - sub, soil) * (1 - exp(-soil / 120.0::DOUBLE)) AS drawn, least(greatest(water - pet, 0), 120 - soil) AS stored
+  FROM (SELECT *, least(pack, greatest(pet - water, 0)) AS sub FROM (SELECT s1.c, s1.k, pet, r.soil, (1 - melt) * (r.swe + snow) AS pack, 0.95::DOUBLE * melt * (ppt + r.swe + snow) AS water, 0.05::DOUBLE * melt * (ppt + r.swe + snow) AS runoff FROM r JOIN s1 ON s1.c = r.c AND s1.k = r.k + 1))))
+SELECT time, lat_i, lon_i, round(aet, 4) AS aet, round(r.def, 4) AS def, round(pet, 4) AS pet, round(q, 4) AS q, round(soil, 4) AS soil, round(swe, 4) AS swe FROM r JOIN mo ON mo.c = r.c AND mo.k = r.k"""
+
+
+@query("m18_water_balance", _BALANCE_SQL)
 def _(spark, sf):
-    return W.water_balance(_monthly_weather(spark, sf))
+    out = W.water_balance(_monthly_weather(spark, sf), with_pdsi=False)
+    return out.select("time", *CELL, *[F.round(c, 4).alias(c) for c in ("aet", "def", "pet", "q", "soil", "swe")])
 
 
 @query("m19_pdsi")
@@ -181,9 +237,10 @@ def _(spark, sf):
         closed.append(number)
 
     out = S.daily(rows, ["cell"])
-    query_ = out.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    # Whole days in one go: a day that is still open at the end is not written in append mode, so the last ones are taken from an update.
+    query_ = out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query_.awaitTermination()
-    done = spark.read.parquet(f"{path}/batch-{closed[-1]}")
+    done = spark.read.parquet(*[f"{path}/batch-{n}" for n in closed]).groupBy("time", "cell").agg(*[F.max_by(c, "n").alias(c) for c in ("mean", "high", "low", "n")])
     return done.select("time", "cell", r6("mean", "mean"), "high", "low", "n")
 
 
