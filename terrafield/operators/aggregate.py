@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,9 +156,24 @@ def rescale(df: DataFrame, reference: DataFrame, value: str, cell: Sequence[str]
     return df.join(moments, list(cell)).withColumn(value, x).drop("_mean", "_std")
 
 
+#: Ranges of values that a distribution is summed up in.
+RANGES = 64
+
+
 def empirical_cdf(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Distinct values with the share of values at most as large."""
-    return df.filter(F.col(value).isNotNull()).select(*by, value, F.cume_dist().over(Window.partitionBy(*by).orderBy(value)).alias("share")).distinct()
+    """Distinct values with the share of values at most as large.
+
+    Values are counted first, and the counts summed up range by range of values, so that a group's
+    values are shared out over ``RANGES`` tasks; the sums of the ranges before come by a join.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    bounds = counts.stat.approxQuantile(value, [k / RANGES for k in range(1, RANGES)], 0.25 / RANGES)
+    ranged = counts.withColumn("_range", F.size(F.filter(F.array(*[d(b) for b in sorted(set(bounds))]).cast("array<double>"), lambda b: b < F.col(value))))
+    sums = ranged.groupBy(*by, "_range").agg(F.sum("_n").alias("_sum"))
+    own = Window.partitionBy(*by)
+    sums = sums.select(*by, "_range", (F.sum("_sum").over(own.orderBy("_range")) - F.col("_sum")).alias("_before"), F.sum("_sum").over(own).alias("_all"))
+    within = F.sum("_n").over(Window.partitionBy(*by, "_range").orderBy(value))
+    return ranged.withColumn("_within", within).join(sums, [*by, "_range"]).select(*by, value, ((F.col("_before") + F.col("_within")) / F.col("_all")).alias("share"))
 
 
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int, by: Sequence[str] = ()) -> DataFrame:
@@ -192,7 +208,7 @@ def coarsen_steps(df: DataFrame, value: str, size: int, boundary: str = "exact",
 
 
 #: Bounds of what a variable can be.
-BAD = {"nulls": lambda c: c.isNull(), "aphysical_high_temp": lambda c: c > 353, "aphysical_low_temp": lambda c: c < 0, "neg_precip": lambda c: c < 0, "aphysical_high_precip": lambda c: c > 3000}
+BAD = {"nulls": lambda c: c.isNull(), "aphysical_high_temp": lambda c: c > 353, "aphysical_low_temp": lambda c: c < 0, "aphysical_low_precip": lambda c: c < 0, "aphysical_high_precip": lambda c: c > 3000}
 
 
 def is_bad(value: Column, check: str) -> Column:
@@ -237,3 +253,61 @@ def variogram(df: DataFrame, value: str, axis: str, most_lag: int, keys: Sequenc
     right = df.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(most_lag))).alias("lag"), F.col(axis).alias("_p"), F.col(value).alias("b")).withColumn("at", F.col("_p") - F.col("lag")).drop("_p")
     pairs = left.join(right, [*keys, "at"])
     return pairs.groupBy("lag").agg((F.avg((F.col("a") - F.col("b")) * (F.col("a") - F.col("b"))) / d(2)).alias("gamma"), F.count("*").alias("n"))
+
+
+def variogram_in_time(df: DataFrame, value: str, most_lag: int, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
+    """The variogram along days, for lags of 1 to ``most_lag`` days within each cell."""
+    return variogram(df.withColumn("_day", F.datediff(time, F.lit("1970-01-01").cast("date"))), value, "_day", most_lag, list(cell))
+
+
+def fit_gaussian(lags: Sequence[float], gamma: Sequence[float], weights: Sequence[float] | None = None) -> tuple[float, float, float]:
+    """(length, sill, nugget) of a Gaussian variogram, nugget + sill * (1 - exp(-pi / 4 * (lag / length) ** 2)), by weighted least squares.
+
+    For a length the other two follow from a line, held at zero where they would be negative; the length is
+    searched on a grid that is refined around its best value.
+    """
+    h, y = np.asarray(lags, float), np.asarray(gamma, float)
+    w = np.ones(len(h)) if weights is None else np.asarray(weights, float)
+
+    def line(length: float) -> tuple[float, float, float]:
+        x = 1 - np.exp(-np.pi / 4 * (h / length) ** 2)
+        mean_x, mean_y = np.average(x, weights=w), np.average(y, weights=w)
+        spread = (w * (x - mean_x) ** 2).sum()
+        sill = (w * (x - mean_x) * (y - mean_y)).sum() / spread if spread > 0 else 0.0
+        nugget = mean_y - sill * mean_x
+        if nugget < 0:
+            nugget, sill = 0.0, (w * x * y).sum() / max((w * x * x).sum(), 1e-300)
+        if sill < 0:
+            nugget, sill = mean_y, 0.0
+        return float((w * (y - nugget - sill * x) ** 2).sum()), float(sill), float(nugget)
+
+    low, high = np.log(h.min() / 10), np.log(h.max() * 10)
+    for _ in range(12):
+        grid = np.linspace(low, high, 41)
+        at = int(np.argmin([line(np.exp(g))[0] for g in grid]))
+        low, high = grid[max(at - 1, 0)], grid[min(at + 1, 40)]
+    length = float(np.exp((low + high) / 2))
+    return length, *line(length)[1:]
+
+
+def correlation_lengths(df: DataFrame, value: str, most_lag: int, cell: Sequence[str] = CELL, time: str = "time") -> dict[str, tuple[float, float, float]]:
+    """Fitted (length, sill, nugget) along each grid axis and along time; some lags an axis come to the driver."""
+    lat, lon = cell
+    found = {lat: variogram(df, value, lat, most_lag, [time, lon]), lon: variogram(df, value, lon, most_lag, [time, lat]), time: variogram_in_time(df, value, most_lag, cell, time)}
+    fits = {}
+    for name, table in found.items():
+        rows = sorted((r.lag, r.gamma, r.n) for r in table.collect())
+        fits[name] = fit_gaussian(*zip(*rows)) if len(rows) > 2 else (float("nan"),) * 3
+    return fits
+
+
+def report(tables: dict[str, DataFrame], values: Sequence[str], time: str = "time") -> DataFrame:
+    """A row a table and variable: days, rows, missing values, mean, extremes; what a run's report shows of its stores."""
+    out = None
+    for name, df in tables.items():
+        for v in [v for v in values if v in df.columns]:
+            c = F.col(v).cast("double")
+            one = df.agg(F.count_distinct(time).alias("n_days"), F.count("*").alias("n_rows"), F.count_if(c.isNull()).alias("n_null"), F.avg(c).alias("mean"), F.min(c).alias("low"), F.max(c).alias("high"))
+            one = one.select(F.lit(name).alias("name"), F.lit(v).alias("variable"), "*")
+            out = one if out is None else out.unionByName(one)
+    return out

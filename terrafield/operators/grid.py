@@ -103,6 +103,20 @@ def coarsen(df: DataFrame, factor: int, values: Sequence[str], keys: Sequence[st
     return df.groupBy(*keys, block(lat), block(lon)).agg(*[F.avg(v).alias(v) for v in values])
 
 
+def shift_to_centres(df: DataFrame, lats: Sequence[float], lons: Sequence[float], values: Sequence[str], step: float, keys: Sequence[str] = ("time",)) -> DataFrame:
+    """A grid whose points lie on cell edges (ascending axes by index) moved to the centres of cells of ``step``, bilinearly."""
+    centres = lambda a: axis(a[0], a[-1], step)
+    spark = df.sparkSession
+    return regrid(df, weights(spark, linear_axis_weights(lats, centres(lats)), linear_axis_weights(lons, centres(lons))), values, keys)
+
+
+def coarsen_and_interpolate(df: DataFrame, factor: int, height: int, width: int, values: Sequence[str], keys: Sequence[str] = ("time",)) -> DataFrame:
+    """Block means, then bilinear doubling: what a super-resolution stage gets to see of a finer field."""
+    n, m = -(-height // factor), -(-width // factor)
+    double = lambda k: linear_axis_weights([2 * i + 0.5 for i in range(k)], list(range(2 * k)))
+    return regrid(coarsen(df, factor, values, keys), weights(df.sparkSession, double(n), double(m)), values, keys)
+
+
 def pyramid(df: DataFrame, levels: int, value: str, keys: Sequence[str] = ("time",), lat: str = "lat_i", lon: str = "lon_i", tile: int = 128) -> DataFrame:
     """All zoom levels in one table: level, tile, pixel and mean; the finest level is ``levels`` - 1, each coarser one halves it.
 

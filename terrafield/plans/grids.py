@@ -10,6 +10,7 @@ from ..functions import scalar as S
 from ..operators import aggregate as A
 from ..operators import calendar as C
 from ..operators import grid as G
+from ..operators import select as X
 from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table
 from .registry import nudged, query, r6
 
@@ -237,9 +238,7 @@ def _(spark, sf):
 
 @query("j02_add_climatology", f"WITH {OBS}, m AS (SELECT month(time) AS m, lat_i, lon_i, avg(pr) AS c FROM obs GROUP BY ALL) SELECT time, o.lat_i, o.lon_i, round(pr - c, 6) AS anomaly FROM obs o JOIN m ON m.m = month(time) AND m.lat_i = o.lat_i AND m.lon_i = o.lon_i")
 def _(spark, sf):
-    # The climatology is the table's own, so a window does it in one shuffle.
-    over = Window.partitionBy(*CELL, F.month("time"))
-    return obs(spark, sf).select("time", *CELL, r6(F.col("pr") - F.avg("pr").over(over), "anomaly"))
+    return X.anomalies(obs(spark, sf), "pr", F.month("time")).select("time", *CELL, r6("anomaly", "anomaly"))
 
 
 @query("j04_complete_models", "WITH c AS (SELECT p_brand, p_size FROM part GROUP BY ALL HAVING count(DISTINCT p_type) >= 2) SELECT p_partkey, p_brand, p_size FROM part JOIN c USING (p_brand, p_size)")
@@ -252,9 +251,8 @@ def _(spark, sf):
 @query("j05_combine_regions", f"WITH {OBS}, {CELLS}, g AS (SELECT DISTINCT lat_i, lon_i FROM cells), r AS (SELECT region_id, lat_i, lon_i, sum(pr) AS pr FROM obs JOIN cells USING (lat_i, lon_i) WHERE region_id IN (0, 2) GROUP BY ALL) SELECT lat_i, lon_i, region_id, pr FROM g LEFT JOIN r USING (lat_i, lon_i)")
 def _(spark, sf):
     c, o = cells(spark, sf), obs(spark, sf)
-    part = lambda k: o.join(c.filter(F.col("region_id") == k).select(*CELL, "region_id"), list(CELL)).groupBy("region_id", *CELL).agg(F.sum("pr").alias("pr"))
-    tiles = part(0).unionByName(part(2))
-    return c.select(*CELL).distinct().join(tiles, list(CELL), "left").select(*CELL, "region_id", "pr")
+    tiles = X.with_regions(o, c).groupBy("region_id", *CELL).agg(F.sum("pr").alias("pr"))
+    return X.combine_regions(c, tiles, ["pr"], [0, 2]).select(*CELL, "region_id", "pr")
 
 
 @query("j07_day_pairs", "WITH d AS (SELECT unnest(range(1, 367)) AS doy), k AS (SELECT unnest(range(-45, 46)) AS k), p AS (SELECT doy, ((doy - 1 + k) % 365 + 365) % 365 + 1 AS other FROM d, k UNION SELECT doy, 366 FROM d WHERE least(abs(doy - 366), 365 - abs(doy - 366)) <= 45) SELECT DISTINCT doy::INT AS doy, other::INT AS other FROM p")
@@ -296,7 +294,7 @@ def _(spark, sf):
 
 @query("j13_attach_winds", f"WITH {OBS}, {GCM} SELECT o.time, o.lat_i, o.lon_i, o.pr, g.pr AS wind FROM obs o LEFT JOIN gcm g USING (time, lat_i, lon_i)")
 def _(spark, sf):
-    return obs(spark, sf).select("time", *CELL, "pr").join(gcm(spark, sf).withColumnRenamed("pr", "wind"), ["time", *CELL], "left")
+    return X.attach(obs(spark, sf).select("time", *CELL, "pr"), gcm(spark, sf), {"pr": "wind"}, ["time", *CELL])
 
 
 @query("u01_hist_plus_scenario", f"WITH {OBS} SELECT time, lat_i, lon_i, pr, 'historical' AS scenario FROM obs WHERE year(time) < 1999 UNION ALL SELECT time, lat_i, lon_i, pr, 'ssp245' FROM obs WHERE year(time) >= 1999 AND pr > 10")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import aggregate as A
+from ..operators import select as X
 from ..params import BBox, TimePeriod
 from ..sources.cube import CELLS, CITIES, GCM, HOURLY, OBS, cells, cities, gcm, hourly, obs, table
 from .registry import nudged, query, r6
@@ -260,21 +261,20 @@ def _(spark, sf):
 
 @query("p08_day_membership", f"WITH {OBS} SELECT time, lat_i, lon_i, pr FROM obs WHERE dayofyear(time) IN (1, 15, 60, 366)")
 def _(spark, sf):
-    return obs(spark, sf).filter(F.dayofyear("time").isin(1, 15, 60, 366)).select("time", *CELL, "pr")
+    return X.days_of_year(obs(spark, sf), [1, 15, 60, 366]).select("time", *CELL, "pr")
 
 
 @query("p09_land_mask", f"WITH {OBS}, {CELLS} SELECT time, lat_i, lon_i, CASE WHEN is_land THEN pr END AS pr FROM obs LEFT JOIN cells USING (lat_i, lon_i)")
 def _(spark, sf):
-    return obs(spark, sf).join(cells(spark, sf).select(*CELL, "is_land"), list(CELL), "left").select("time", *CELL, F.when(F.col("is_land"), F.col("pr")).alias("pr"))
+    return X.mask_land(obs(spark, sf), cells(spark, sf), ["pr"]).select("time", *CELL, "pr")
 
 
 @query("p10_regions", f"WITH {OBS}, {CELLS} SELECT region_id, time, lat_i, lon_i, pr FROM obs JOIN cells USING (lat_i, lon_i) WHERE region_id < 3")
 def _(spark, sf):
-    regions = cells(spark, sf).filter("region_id < 3").select(*CELL, "region_id")
-    return obs(spark, sf).join(regions, list(CELL)).select("region_id", "time", *CELL, "pr")
+    return X.with_regions(obs(spark, sf), cells(spark, sf), last=2).select("region_id", "time", *CELL, "pr")
 
 
-for _check, _sql in {"nulls": "pr IS NULL", "aphysical_high_temp": "pr > 353", "aphysical_low_temp": "pr < 0", "neg_precip": "pr < 0", "aphysical_high_precip": "pr > 3000"}.items():
+for _check, _sql in {"nulls": "pr IS NULL", "aphysical_high_temp": "pr > 353", "aphysical_low_temp": "pr < 0", "aphysical_low_precip": "pr < 0", "aphysical_high_precip": "pr > 3000"}.items():
 
     @query(f"p12_{_check}", f"WITH {OBS}, x AS (SELECT time, lat_i, lon_i, CASE WHEN pr <> 7 THEN (pr - 5) * 90 END AS pr FROM obs) SELECT time, lat_i, lon_i, coalesce({_sql}, false) AS bad FROM x")
     def _(spark, sf, check=_check):
@@ -311,9 +311,7 @@ def _(spark, sf):
 @query("o02_big_cities", f"WITH {CITIES}, t AS (SELECT city, country, population FROM cities QUALIFY row_number() OVER (PARTITION BY country ORDER BY population DESC, city) = 1), n AS (SELECT * FROM t ORDER BY population DESC, city LIMIT 10) SELECT * FROM n UNION ALL SELECT city, country, population FROM cities WHERE city IN ('Customer#000000007', 'Customer#000000011') AND city NOT IN (SELECT city FROM n)")
 def _(spark, sf):
     c = cities(spark, sf).select("city", "country", "population")
-    top = A.first_of(c, ["country"], [F.desc("population"), F.col("city")]).orderBy(F.desc("population"), "city").limit(10)
-    extra = c.filter(F.col("city").isin("Customer#000000007", "Customer#000000011")).join(top.select("city"), "city", "left_anti").select(c.columns)
-    return top.unionByName(extra)
+    return X.largest(c, ["country"], [F.desc("population"), F.col("city")], 10, "city", ["Customer#000000007", "Customer#000000011"])
 
 
 @query("o04_key_slice", "SELECT p_type FROM (SELECT p_type, row_number() OVER (ORDER BY p_type) AS i FROM (SELECT DISTINCT p_type FROM part)) WHERE i BETWEEN 3 AND 7")
@@ -322,6 +320,6 @@ def _(spark, sf):
     return rows.filter(F.col("i").between(3, 7)).select("p_type")
 
 
-@query("o05_sample")
+@query("o05_sample", f"WITH {OBS} SELECT time, lat_i, lon_i, pr FROM obs WHERE substr(md5('7|' || time::VARCHAR || '|' || lat_i || '|' || lon_i), 1, 7) < '1999999'")
 def _(spark, sf):
-    return obs(spark, sf).sample(0.1, seed=7).select("time", *CELL, "pr")
+    return X.sample(obs(spark, sf), 0.1, ["time", *CELL], 7).select("time", *CELL, "pr")

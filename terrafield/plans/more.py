@@ -9,6 +9,7 @@ from ..functions import scalar as S
 from ..operators import aggregate as A
 from ..operators import calendar as C
 from ..operators import grid as G
+from ..operators import select as X
 from ..sources import catalog, readers, sinks
 from ..sources.cube import CELLS, CITIES, GCM, OBS, WIDTH, cells, cities, gcm, grid_width, obs, table
 from .grids import _LINEAR
@@ -132,8 +133,7 @@ def _(spark, sf):
 
 @query("f30_starting_resolution", "SELECT p_brand, round(least(min(round(p_size / 7.0::DOUBLE, 2)), min(round(p_retailprice / 1000, 2))), 2) AS res FROM part GROUP BY ALL")
 def _(spark, sf):
-    a, b = F.round(F.col("p_size") / F.lit(7.0), 2), F.round(F.col("p_retailprice") / 1000, 2)
-    return table(spark, sf, "part").groupBy("p_brand").agg(F.round(F.least(F.min(a), F.min(b)), 2).alias("res"))
+    return X.starting_resolution(table(spark, sf, "part"), [F.col("p_size") / F.lit(7.0), F.col("p_retailprice") / 1000], ["p_brand"])
 
 
 @query("w03_yearly_rolling", f"WITH {OBS} SELECT time, lat_i, lon_i, round(avg(pr) OVER (PARTITION BY lat_i, lon_i, dayofyear(time) ORDER BY year(time) ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), 6) AS pr FROM obs")
@@ -144,16 +144,12 @@ def _(spark, sf):
 
 @query("w07_roll_by_one", f"WITH {OBS} SELECT time, lat_i, lon_i, coalesce(lag(pr) OVER (PARTITION BY lat_i, lon_i ORDER BY time), last_value(pr) OVER (PARTITION BY lat_i, lon_i ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS pr FROM obs")
 def _(spark, sf):
-    order = Window.partitionBy(*CELL).orderBy("time")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return obs(spark, sf).select("time", *CELL, F.coalesce(F.lag("pr").over(order), F.last("pr").over(whole)).alias("pr"))
+    return X.rolled(obs(spark, sf).select("time", *CELL, "pr"), "pr")
 
 
 @query("w11_rank_positions", f"WITH {OBS} SELECT time, lat_i, lon_i, round((row_number() OVER (PARTITION BY lat_i, lon_i ORDER BY pr, time) - 0.4::DOUBLE) / (count(*) OVER (PARTITION BY lat_i, lon_i) + 0.2::DOUBLE), 6) AS position FROM obs")
 def _(spark, sf):
-    cell = Window.partitionBy(*CELL)
-    position = (F.row_number().over(cell.orderBy("pr", "time")) - F.lit(0.4)) / (F.count("*").over(cell) + F.lit(0.2))
-    return obs(spark, sf).select("time", *CELL, r6(position, "position"))
+    return X.rank_positions(obs(spark, sf), "pr").select("time", *CELL, r6("position", "position"))
 
 
 @query("u02_union_checks", f"WITH {OBS} SELECT time, lat_i, lon_i, 'high' AS qaqc_check, pr > 40 AS bad FROM obs UNION ALL SELECT time, lat_i, lon_i, 'low', pr < 5 FROM obs")
@@ -177,8 +173,7 @@ def _(spark, sf):
 
 @query("r14_land_boxes", f"WITH {CELLS} SELECT (lat_i // 2)::INT AS box_y, (lon_i // 2)::INT AS box_x, count(*) FILTER (is_land) AS n_land FROM cells GROUP BY lat_i // 2, lon_i // 2 HAVING count(*) FILTER (is_land) >= 3")
 def _(spark, sf):
-    box = lambda c: F.floor(F.col(c) / 2).cast("int")
-    return cells(spark, sf).groupBy(box("lat_i").alias("box_y"), box("lon_i").alias("box_x")).agg(F.count_if("is_land").alias("n_land")).filter("n_land >= 3")
+    return X.land_boxes(cells(spark, sf), 2, 3)
 
 
 @query("x04_published_names", "SELECT p_partkey, p_brand AS source_id, p_type AS method, 'pr' AS variable_id FROM part")

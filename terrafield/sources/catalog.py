@@ -41,6 +41,17 @@ def append_catalog(old: DataFrame, new: DataFrame, keys: Sequence[str], order: S
     return both.withColumn("_n", F.row_number().over(over)).filter("_n = 1").drop("_n", "_new")
 
 
+def open_model(catalog: DataFrame, scale: dict[str, float] | None = None, **facets) -> DataFrame:
+    """The one store that the facets name, with variables of other units scaled (precipitation by 86400, say)."""
+    from .readers import scan
+
+    scenario = facets.get("experiment_id")
+    if isinstance(scenario, str) and "activity_id" not in facets:
+        facets["activity_id"] = "CMIP" if scenario == "historical" else "ScenarioMIP"
+    df = scan(catalog.sparkSession, exactly_one(search(catalog, **facets)))
+    return df.withColumns({c: F.col(c) * F.lit(k) for c, k in (scale or {}).items() if c in df.columns})
+
+
 def assets(catalog: DataFrame, **facets) -> DataFrame:
     """(key, zstore): the first store of each model, member and experiment."""
     key = F.concat_ws(".", "source_id", "member_id", "experiment_id").alias("key")

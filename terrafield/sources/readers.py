@@ -4,24 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalar import lon_to_180
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Missing values as nulls, whatever they were before."""
-    return df.select([F.when(~F.isnan(c), F.col(c)).alias(c) if kind in ("double", "float") else F.col(c) for c, kind in df.dtypes])
+#: Columns that place a row; they are never missing, and are left as they are stored.
+COORDINATES = frozenset(("time", "lat", "lon", "level", "plev", "x", "y"))
+
+
+def nan_to_null(df: DataFrame, coordinates: Sequence[str] = tuple(COORDINATES)) -> DataFrame:
+    """Missing values as nulls, whatever they were before. Coordinates pass as they are, so that filters on them reach the scan."""
+    return df.select([F.when(~F.isnan(c), F.col(c)).alias(c) if kind in ("double", "float") and c not in coordinates else F.col(c) for c, kind in df.dtypes])
 
 
 def scan(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """A tidy table of one store; filters and columns are pushed into the scan."""
+    """A tidy table of one store; columns, and filters on coordinates and other columns that are not floating, are pushed into the scan."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return nan_to_null(reader.parquet(path))
 
 
+def read_polygons(spark: SparkSession, path: str, number: str = "region_id") -> DataFrame:
+    """(region_id, ring) of the outer rings of a GeoJSON file's polygons and multi-polygons; ``number`` names the property that numbers them."""
+    shape = "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>"
+    features = spark.read.option("multiLine", True).schema(shape).json(path).select(F.inline("features"))
+    text = F.col("geometry.coordinates")
+    one = F.array(F.from_json(text, "array<array<array<double>>>"))
+    rings = F.when(F.col("geometry.type") == "Polygon", one).otherwise(F.from_json(text, "array<array<array<array<double>>>>"))
+    parts = features.select(F.col("properties")[number].cast("int").alias("region_id"), F.explode(rings).alias("part"))
+    return parts.select("region_id", F.transform(F.col("part")[0], lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+
+
+def read_batches(spark: SparkSession, path: str, size: int, seed: int = 0) -> DataFrame:
+    """A store of patches in shuffled batches of ``size`` (the last of a range may be smaller): adds batch and shuffle, the order within all.
+
+    The order is a hash of the patch and the seed; ranges of it are numbered side by side.
+    """
+    rows = spark.read.parquet(path)
+    keyed = rows.withColumn("shuffle", F.xxhash64(F.lit(seed), *[c for c in rows.columns if c != "patch"]))
+    tasks = max(1, rows.count() // (64 * size))
+    part = F.floor((F.shiftrightunsigned("shuffle", 33) * tasks) / F.lit(float(1 << 31))).cast("bigint")
+    order = Window.partitionBy("_part").orderBy("shuffle", *[c for c in rows.columns if c != "patch"])
+    numbered = keyed.withColumn("_part", part).withColumn("batch", F.col("_part") * F.lit(1 << 32) + F.floor((F.row_number().over(order) - 1) / size))
+    return numbered.drop("_part")
+
+
+def elevation(spark: SparkSession, root: str, degrees: float) -> DataFrame:
+    """The elevation grid of a resolution, one store each under ``root``."""
+    return scan(spark, f"{root}/elevation_{degrees:g}deg")
+
+
 def scan_many(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Several stores put together along time; columns that a store lacks are null there."""
     out = scan(spark, paths[0])

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime
 import json
+import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import RunParameters, str_to_hash
@@ -23,6 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Removes a file or a store; whether there was one."""
+    fs, where = _fs(spark, path)
+    return fs.delete(where, True)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a store was written to its end."""
     return exists(spark, f"{path}/_SUCCESS")
@@ -30,12 +38,54 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 def write(df: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str = "zstd", check: bool = False) -> str:
     """A store, replaced as a whole; ``check`` reads it back and compares the number of rows."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression).partitionBy(*partition_by).parquet(path)
-    if check and df.sparkSession.read.parquet(path).count() != df.count():
+    counted = Observation()
+    rows = df.observe(counted, F.count(F.lit(1)).alias("n")) if check else df
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression).partitionBy(*partition_by).parquet(path)
+    if check and df.sparkSession.read.parquet(path).count() != counted.get["n"]:
         raise ValueError(f"{path} does not hold what was written")
     return path
 
 
+def opens(spark: SparkSession, path: str, least_rows: int = 1) -> bool:
+    """Whether a store was written to its end, can be opened and has so many rows."""
+    if not is_complete(spark, path):
+        return False
+    try:
+        return spark.read.parquet(path).limit(least_rows).count() >= least_rows
+    except AnalysisException:  # files that are no table
+        return False
+
+
+def valid_stores(catalog: DataFrame, column: str = "zstore") -> DataFrame:
+    """The rows of a catalogue (a table of some thousand stores) whose stores open."""
+    spark = catalog.sparkSession
+    good = [r[0] for r in catalog.select(column).distinct().collect() if r[0] is not None and opens(spark, r[0])]
+    return catalog.filter(F.col(column).isin(good))
+
+
+def write_patches(df: DataFrame, path: str) -> str:
+    """Patches (array<double>) as single-precision arrays, the form that training reads."""
+    write(df.withColumn("patch", F.col("patch").cast("array<float>")), path)
+    return path
+
+
+def publish_catalog(catalog: DataFrame, path: str, name: str, columns: Sequence[str] | None = None, version: str = "v1") -> str:
+    """A catalogue as one JSON document {name, version, datasets} (with some columns only: the small one that a page loads) and as CSV.
+
+    Catalogues have a row a published dataset, so both are single files.
+    """
+    rows = catalog.select(*(columns or catalog.columns))
+    document = rows.agg(F.sort_array(F.collect_list(F.struct("*"))).alias("datasets")).select(F.lit(name).alias("name"), F.lit(version).alias("version"), "datasets")
+    document.coalesce(1).write.mode("overwrite").json(f"{path}/json")
+    export_csv(rows, f"{path}/csv", single=True)
+    return path
+
+
+def empty_catalog(spark: SparkSession, columns: Sequence[str], path: str) -> str:
+    """A catalogue without rows, for others to append to."""
+    return export_csv(spark.createDataFrame([], ", ".join(f"{c} string" for c in columns)), path, single=True)
+
+
 def cached(spark: SparkSession, root: str, name: str, parts: Sequence[str], build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
     """The table of a step, built once for its inputs: the path holds a hash of all that identifies them."""
     path = f"{root}/{name}/{str_to_hash('|'.join(parts))}"
@@ -116,6 +166,16 @@ def copy_store(spark: SparkSession, source: str, target: str, rename: dict[str,
     return True
 
 
-def partitions_for(n_bytes: int, target: int = 128 << 20, least: int = 1) -> int:
-    """Partitions of about a target size."""
-    return max(least, -(-n_bytes // target))
+def chunk_lengths(lengths: dict[str, int], split: tuple[str, ...], item_bytes: int, target: int = 100_000_000) -> dict[str, int]:
+    """Lengths of chunks of about ``target`` bytes: the dimensions of ``split`` are cut alike, the others stay whole."""
+    if not isinstance(split, tuple):
+        raise TypeError("split must be a tuple of dimensions")
+    whole = math.prod(n for k, n in lengths.items() if k not in split)
+    each = math.ceil((target / (item_bytes * whole)) ** (1 / len(split)))
+    return {k: min(each, n) if k in split else n for k, n in lengths.items()}
+
+
+def partitions_for(lengths: dict[str, int], split: tuple[str, ...], item_bytes: int, target: int = 100_000_000) -> int:
+    """How many such chunks there are: partitions for ``repartition``."""
+    chunks = chunk_lengths(lengths, split, item_bytes, target)
+    return math.prod(-(-n // chunks[k]) for k, n in lengths.items())

@@ -62,8 +62,8 @@ def test_blocks(spark):
 
 def test_quality_counts(spark):
     df = series(spark, [-1.0, None, 4000.0, 1.0])
-    got = {(r.year, r.lat_i, r.qaqc_check): r.n for r in A.qaqc(df, "pr", ["nulls", "neg_precip", "aphysical_high_precip"]).collect()}
-    assert got[2001, None, "nulls"] == got[None, 0, "neg_precip"] == got[2001, None, "aphysical_high_precip"] == 1
+    got = {(r.year, r.lat_i, r.qaqc_check): r.n for r in A.qaqc(df, "pr", ["nulls", "aphysical_low_precip", "aphysical_high_precip"]).collect()}
+    assert got[2001, None, "nulls"] == got[None, 0, "aphysical_low_precip"] == got[2001, None, "aphysical_high_precip"] == 1
     with pytest.raises(TypeError):
         A.is_bad(F.col("pr"), "x")
 
