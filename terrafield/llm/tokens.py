@@ -126,7 +126,7 @@ class WordEncoder:
     def _learn_one(self, word: str) -> bytes:
         known = self.words.lift(word)
         if known is None:
-            known = self._learn([word])[word]
+            known = self._ids_of(word)
             if len(word) <= LONGEST_KEPT:
                 self.words.new[word] = known
         return known
@@ -134,22 +134,31 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(_library_ids(self.tokenizer, [text])[0], dtype="<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.new.get(piece)
+        if known is None and (known := self.pieces.lift(piece)) is None:
+            known = array("I", [t.id for t in _piece_tokens(self.tokenizer.model, piece)]).tobytes()
+            if len(piece) <= LONGEST_KEPT:
+                self.pieces.new[piece] = known
+        return known
+
+    def _ids_of(self, word: str) -> bytes:
+        """Ids of a word: by pieces where a plain split is safe, else from the library's whole chain."""
+        if not (word.isascii() or _PLAIN.fullmatch(word)):
+            return self._whole(word)
+        word = word.lower()
+        if word.isalpha():
+            return self._piece(word)
+        return b"".join([self._piece(p) for p in self.PIECES.findall(word)])
+
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        """Ids of words not yet known: by pieces where a plain split is safe, else from the library's whole chain."""
-        found, strange, pieces, model, tokenize = {}, [], self.pieces, self.tokenizer.model, _piece_tokens
-        get, lift, put = pieces.new.get, pieces.lift, pieces.new.__setitem__
+        """Ids of words not yet known; those that are not plain go to the library in one batch."""
+        found, strange = {}, []
         for word in missing:
-            if not _PLAIN.fullmatch(word):
+            if word.isascii() or _PLAIN.fullmatch(word):
+                found[word] = self._ids_of(word)
+            else:
                 strange.append(word)
-                continue
-            ids = []
-            for piece in self.PIECES.findall(word.lower()):
-                if (known := get(piece)) is None and (known := lift(piece)) is None:
-                    known = array("I", [t.id for t in tokenize(model, piece)]).tobytes()
-                    if len(piece) <= LONGEST_KEPT:
-                        put(piece, known)
-                ids.append(known)
-            found[word] = ids[0] if len(ids) == 1 else b"".join(ids)
         for word, ids in zip(strange, _library_ids(self.tokenizer, strange)):
             found[word] = array("I", ids).tobytes()
         return found
@@ -204,11 +213,25 @@ class ByteCounter:
     def _learn_one(self, chunk: str) -> int:
         known = self.chunks.lift(chunk)
         if known is None:
-            known = self._learn([chunk])[chunk]
+            known = self._length(chunk) if chunk.isascii() or _PLAIN.fullmatch(chunk) else len(_library_ids(self.tokenizer, [chunk])[0])
             if len(chunk) <= LONGEST_KEPT:
                 self.chunks.new[chunk] = known
         return known
 
+    def _piece(self, piece: str) -> int:
+        known = self.pieces.new.get(piece)
+        if known is None and (known := self.pieces.lift(piece)) is None:
+            known = len(_piece_tokens(self.tokenizer.model, piece))
+            if len(piece) <= LONGEST_KEPT:
+                self.pieces.new[piece] = known
+        return known
+
+    def _length(self, chunk: str) -> int:
+        """The tokens of a plain chunk, by pieces; one of letters behind a space is one piece."""
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            return self._piece(chunk)
+        return sum([self._piece(p) for p in self.PIECES.findall(chunk)])
+
     def chunks_of(self, text: str) -> list[str] | None:
         """The text cut before each space; None if that may differ from the tokenizer's own cuts."""
         if any(s in text for s in self.specials):
@@ -218,20 +241,12 @@ class ByteCounter:
         return text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
 
     def _learn(self, missing: list[str]) -> dict[str, int]:
-        found, strange, pieces, model, tokenize = {}, [], self.pieces, self.tokenizer.model, _piece_tokens
-        get, lift, put = pieces.new.get, pieces.lift, pieces.new.__setitem__
+        found, strange = {}, []
         for chunk in missing:
-            if not _PLAIN.fullmatch(chunk):
+            if chunk.isascii() or _PLAIN.fullmatch(chunk):
+                found[chunk] = self._length(chunk)
+            else:
                 strange.append(chunk)
-                continue
-            total = 0
-            for piece in self.PIECES.findall(chunk):
-                if (known := get(piece)) is None and (known := lift(piece)) is None:
-                    known = len(tokenize(model, piece))
-                    if len(piece) <= LONGEST_KEPT:
-                        put(piece, known)
-                total += known
-            found[chunk] = total
         for chunk, ids in zip(strange, _library_ids(self.tokenizer, strange)):
             found[chunk] = len(ids)
         return found
