@@ -85,10 +85,11 @@ def circular_pad(df: DataFrame, offset: int, cell: Sequence[str] = CELL, time: s
     back = Window.partitionBy(*cell).orderBy(F.desc(time))
     whole = Window.partitionBy(*cell)
     rows = df.withColumn("_i", F.row_number().over(order)).withColumn("_j", F.row_number().over(back)).withColumn("_a", F.min(time).over(whole)).withColumn("_b", F.max(time).over(whole))
-    shift = F.datediff("_b", "_a") + 1
-    head = rows.filter(F.col("_i") <= offset).withColumn(time, F.date_add(time, shift)).withColumn("padded", F.lit(True))
-    tail = rows.filter(F.col("_j") <= offset).withColumn(time, F.date_sub(time, shift)).withColumn("padded", F.lit(True))
-    return rows.withColumn("padded", F.lit(False)).unionByName(head).unionByName(tail).drop("_i", "_j", "_a", "_b")
+    span = F.datediff("_b", "_a") + 1
+    # A row near an end is there once more, near both ends twice more; the windows are planned once.
+    copies = F.array_compact(F.array(F.lit(0), F.when(F.col("_i") <= offset, span), F.when(F.col("_j") <= offset, -span)))
+    moved = rows.withColumn("_moved", F.explode(copies))
+    return moved.withColumn(time, F.date_add(time, F.col("_moved"))).withColumn("padded", F.col("_moved") != 0).drop("_i", "_j", "_a", "_b", "_moved")
 
 
 def epoch_trend(df: DataFrame, value: str, historical: Column, day_window: int = 21, year_window: int = 31, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
@@ -111,14 +112,14 @@ def epoch_trend(df: DataFrame, value: str, historical: Column, day_window: int =
     days = smooth(df).withColumn("_doy", F.dayofyear(time)).withColumn("_year", F.year(time))
     by_day = Window.partitionBy(*cell, "_doy")
     in_order = by_day.orderBy("_year")
-    width = F.least(F.count("*").over(by_day), F.lit(year_window))
-    # The window of min(years, year_window) years around the year, moved inwards at the ends, is a slice of the day's years.
-    years = F.collect_list(F.struct("_year", "_s")).over(by_day.orderBy("_year").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    days = days.withColumn("_w", width).withColumn("_n", F.count("*").over(by_day)).withColumn("_k", F.row_number().over(in_order)).withColumn("_all", years)
-    start = F.greatest(F.lit(1), F.least(F.col("_k") - F.floor(F.col("_w") / 2), F.col("_n") - F.col("_w") + 1)).cast("int")
-    part = F.slice("_all", start, F.col("_w").cast("int"))
-    cycle = F.aggregate(part, d(0), lambda a, x: a + x["_s"]) / F.col("_w")
-    return days.withColumn("_cycle", cycle).join(history, [*cell, "_doy"]).select(time, *cell, (F.col("_cycle") - F.col("_mean")).alias("trend"))
+    half = year_window // 2
+    days = days.withColumn("_n", F.count("*").over(by_day)).withColumn("_k", F.row_number().over(in_order))
+    # Near an end the window of the nearest year that has one: the day's first, or last, years.
+    first = F.avg(F.when(F.col("_k") <= year_window, F.col("_s"))).over(by_day)
+    last = F.avg(F.when(F.col("_k") > F.col("_n") - year_window, F.col("_s"))).over(by_day)
+    cycle = F.when(F.col("_n") <= year_window, F.avg("_s").over(by_day)).when(F.col("_k") <= half, first).when(F.col("_k") > F.col("_n") - half, last)
+    days = days.withColumn("_cycle", cycle.otherwise(F.avg("_s").over(in_order.rowsBetween(-half, half))))
+    return days.join(history, [*cell, "_doy"]).select(time, *cell, (F.col("_cycle") - F.col("_mean")).alias("trend"))
 
 
 def generate_batches(df_or_n: int, batch_size: int, buffer_size: int, spark, one_indexed: bool = False) -> DataFrame:

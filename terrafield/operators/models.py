@@ -141,29 +141,39 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
 def edcdf_by_day(gcm: DataFrame, obs: DataFrame, train, value: str, batches: DataFrame, cell: Sequence[str] = CELL, time: str = "time", kind: str | None = None) -> DataFrame:
     """Equidistant CDF matching in batches of days of the year, each fitted with its buffer; only core days are returned.
 
-    ``batches`` has (batch, item, is_core) with item a day of the year; ``train`` is a predicate. It
-    has some 700 rows and is broadcast.
+    ``batches`` has (batch, item, is_core) with item a day of the year (some 1,000 rows); ``train`` is a
+    predicate. A cell's series is gathered once, and the batches are taken out of it.
     """
     kind = kind or ("ratio" if value in RATIO_VARIABLES else "difference")
-    b = F.broadcast(batches.withColumnRenamed("item", "_doy"))
-    doy = F.dayofyear(time).alias("_doy")
-    model = gcm.filter(F.col(value).isNotNull()).select(time, *cell, F.col(value).cast("double").alias("_x"), doy, train.alias("_train")).withColumn("_role", F.lit(0))
-    seen = obs.filter(train & F.col(value).isNotNull()).select(time, *cell, F.col(value).cast("double").alias("_x"), doy, F.lit(True).alias("_train")).withColumn("_role", F.lit(1))
-    rows = model.union(seen).join(b, "_doy")
+    of_batch: dict[int, tuple[set, set]] = {}
+    for r in batches.collect():
+        items, core = of_batch.setdefault(r.batch, (set(), set()))
+        items.add(r.item)
+        if r.is_core:
+            core.add(r.item)
+    members = [(np.isin(np.arange(367), list(a)), np.isin(np.arange(367), list(b))) for a, b in of_batch.values()]
+    part = lambda df, role, trained: df.filter(F.col(value).isNotNull()).select(time, *cell, F.col(value).cast("double").alias("_x"), F.lit(role).alias("_role"), trained.alias("_train"))
+    rows = part(gcm, 0, train).union(part(obs.filter(train), 1, F.lit(True)))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in (time, *cell)) + f", {value} double"
 
     def correct(rows: pd.DataFrame) -> pd.DataFrame:
-        role, x = rows["_role"].to_numpy(), rows["_x"].to_numpy()
-        p = rows[role == 0]
-        both = set(rows[time][role == 1]) & set(p[time][p["_train"]])
-        h = p["_x"][p[time].isin(both)].to_numpy()
-        o = x[(role == 1) & rows[time].isin(both).to_numpy()]
-        out = p[[time, *cell]].copy()
-        out[value] = equidistant_cdf(h, o, p["_x"].to_numpy(), kind) if len(h) and len(p) else np.nan
-        return out[p["_is_core"].to_numpy() & out[value].notna().to_numpy()]
-
-    return rows.withColumnRenamed("is_core", "_is_core").groupBy(*cell, "batch").applyInPandas(correct, schema)
+        role, x, trained = rows["_role"].to_numpy(), rows["_x"].to_numpy(), rows["_train"].to_numpy().astype(bool)
+        when = pd.to_datetime(rows[time])
+        day, doy = when.to_numpy(), when.dt.dayofyear.to_numpy()
+        shared = np.isin(day, np.intersect1d(day[role == 1], day[(role == 0) & trained]))
+        out = np.full(len(rows), np.nan)
+        for items, core in members:
+            inside = items[doy]
+            model, seen = inside & (role == 0), inside & (role == 1) & shared
+            if seen.any() and model.any():
+                mine = core[doy[model]]
+                out[np.flatnonzero(model)[mine]] = equidistant_cdf(x[model & shared], x[seen], x[model], kind)[mine]
+        found = rows[[time, *cell]].copy()
+        found[value] = out
+        return found[~np.isnan(out)]
+
+    return rows.groupBy(*cell).applyInPandas(correct, schema)
 
 
 def linear_regression(train: DataFrame, predict: DataFrame, x: str, y: str, cell: Sequence[str] = CELL) -> DataFrame:
