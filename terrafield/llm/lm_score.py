@@ -366,6 +366,7 @@ class Model:
     masses: np.ndarray
     least: int  # the count from which on a word is frequent
     buckets: int
+    letters: int  # of all texts
 
     def __post_init__(self):
         self.denominator = self.n_tokens + ALPHA * (self.n_types + 1)
@@ -395,7 +396,7 @@ def learn(rows: DataFrame, bits_per_entry: int = BITS_PER_ENTRY, chunk_letters:
     hashes = top["hash"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     found = top["c"].to_numpy()[order].astype(np.int64)
-    model = Model(int(totals.n), int(totals.v), hashes[order], found, top["mass"].to_numpy()[order], int(found.min()) if len(found) else 1 << 62, buckets)
+    model = Model(int(totals.n), int(totals.v), hashes[order], found, top["mass"].to_numpy()[order], int(found.min()) if len(found) else 1 << 62, buckets, int(letters))
     asked = merged.select("words", "counts", "chunks", "sizes", "asked").mapInArrow(_asked(model.least), "chunk bigint, hash bigint, c bigint")
     dictionary = asked.join(taken, "hash", "left").select("chunk", "hash", "c", F.coalesce("mass", F.lit(0.0)).alias("mass"))
     return model, merged, dictionary
@@ -522,8 +523,11 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
     model, merged, dictionary = learn(rows, bits_per_entry, chunk_letters)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     dealt = rows.mapInArrow(_deal(chunk_letters), f"chunk bigint, uid bigint, doc_id {kind}, held_out boolean, text string")
+    # Some tasks a chunk, so that few chunks share one.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 3 * (model.letters // chunk_letters + 1))
     dictionary = materialise(dictionary, "lm-dictionary")
     clear_shuffles(docs.sparkSession)
+    dealt, dictionary = dealt.repartition(tasks, "chunk"), dictionary.repartition(tasks, "chunk")
     scored = None
     for parts in _passes(merged, model.buckets, part_bytes, pass_parts):
         found = dealt.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(_score(shared, parts), f"uid bigint, doc_id {kind}, {SCORED}")
