@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, near-duplicates, decontamination, then SentencePiece ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a table, which is written and read again
-as the next one's docs.
+as the next one's docs. Texts of any length are judged and encoded whole, repeated rows each; stages take the
+columns of documents by name and hand all columns on, whatever others there are.
 """
 
 from __future__ import annotations
@@ -17,22 +18,22 @@ CACHE_ENTRIES = 200_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model scores under 0.5 stay."""
+    """Documents that the model scores under 0.5 stay, null and empty texts among them; an empty table stays empty, and without labels all stay."""
     return toxicity.reject_toxic(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays."""
+    """One document of each SimHash component stays, the one of least id; null and empty texts are one component, rows without an id stay."""
     return simhash.deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window stay."""
+    """Documents without any benchmark window stay, null and empty texts among them; an empty benchmark removes none."""
     return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of the best segmentation, and scores and digests of the N best."""
+    """A row a document: ids of the best segmentation, and scores and digests of the N best; null and empty texts have no pieces."""
     return sentencepiece_nbest.encode(docs, default_path("piece_bpe_32k.model"), ids="best", cache_entries=CACHE_ENTRIES)
 
 
