@@ -43,12 +43,12 @@ ALPHA = 0.1
 #: The token that ends each text, and stands before its first word; no word holds a line break.
 END = b"\n"
 #: Letters of the texts that are counted together and share a dictionary; a longer text is a chunk by itself.
-CHUNK_LETTERS = 10 << 20
+CHUNK_LETTERS = 8 << 20
 #: Letters of texts that one bucket of hashes is made for, and tokens that are scored together.
 BUCKET_LETTERS = 8 << 20
-SCORED_TOKENS = 1 << 19
+SCORED_TOKENS = 1 << 18
 #: Words that a worker keeps numbered, some 150 bytes each.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 
 #: Counts at which a bigram reaches each level: 2 * 1.5**j, rounded up, as far as 64-bit counts of a corpus go.
 LEVELS = np.unique(np.ceil(2 * 1.5 ** np.arange(0, 90)).astype(np.float64)).astype(np.int64)
@@ -190,15 +190,17 @@ def vocabulary() -> Vocabulary:
 def _chunks(batches: Iterable[pa.RecordBatch], text: int, letters: int) -> Iterator[tuple[int, pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with the chunk of their rows. A chunk ends with the row that fills it; where batches are cut does not matter."""
     chunk, size = TaskContext.get().partitionId() << 24, 0
-    for batch in batches:
-        texts, begin = batch.column(text).to_pylist(), 0
-        for i, t in enumerate(texts):
-            size += 64 + (len(t) if t else 0)
-            if size >= letters:
-                yield chunk, batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-                begin, chunk, size = i + 1, chunk + 1, 0
-        if begin < len(texts):
-            yield chunk, batch.slice(begin), texts[begin:]
+    for whole in batches:
+        for start in range(0, whole.num_rows, 512):
+            batch = whole.slice(start, 512)
+            texts, begin = batch.column(text).to_pylist(), 0
+            for i, t in enumerate(texts):
+                size += 64 + (len(t) if t else 0)
+                if size >= letters:
+                    yield chunk, batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
+                    begin, chunk, size = i + 1, chunk + 1, 0
+            if begin < len(texts):
+                yield chunk, batch.slice(begin), texts[begin:]
 
 
 def _small(counts: np.ndarray) -> bytes:
@@ -265,10 +267,9 @@ def _gather(buckets: int, chunk_letters: int):
                 voc.renew()
                 now = chunk
             out = np.array(part.column(1).to_pylist(), dtype=bool)
-            for begin in range(0, len(texts), 1024):
-                ids, lengths = voc.tokens(texts[begin : begin + 1024])
-                held.append(ids)
-                train.append(np.repeat(~out[begin : begin + 1024], lengths))
+            ids, lengths = voc.tokens(texts)
+            held.append(ids)
+            train.append(np.repeat(~out, lengths))
         if held:
             yield from flush(now)
 
