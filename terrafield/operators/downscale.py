@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from . import aggregate as A
 from . import calendar as C
 from . import grid as G
 from . import models as M
+from ..sources.networks import Network
 from ..sources.scratch import written
 
 CELL = A.CELL
@@ -100,13 +102,36 @@ def maca_variables(obs: DataFrame, model: DataFrame, values: Sequence[str], *set
     return combine_variables([maca(obs, model, historical, predict, to_coarse, to_fine, v, *rest, **more) for v in values], ["time", *CELL])
 
 
-def deepsd(predict: DataFrame, hist: DataFrame, obs: DataFrame, to_fine: DataFrame, value: str, land: DataFrame | None = None) -> DataFrame:
-    """The numeric frame of stacked super-resolution: z-scores by the historical run, the fine grid, the observations' moments, a last correction.
+def maps_of(df: DataFrame, value: str, height: int, width: int, time: str = "time") -> DataFrame:
+    """One map a row (time, field array<array<double>>) of days that have all rows of the grid; cells without a value are zero."""
+    lat, lon = CELL
+    cells = df.filter(F.col(value).isNotNull()).groupBy(time, lat).agg(F.map_from_entries(F.collect_list(F.struct(F.col(lon), F.col(value).cast("double")))).alias("_row"))
+    row = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda x: F.coalesce(F.col("_row")[x], F.lit(0.0)))
+    rows = cells.select(time, lat, row.alias("_row")).groupBy(time).agg(F.sort_array(F.collect_list(F.struct(lat, "_row"))).alias("_rows"))
+    return rows.filter(F.size("_rows") == height).select(time, F.transform("_rows", lambda r: r["_row"]).alias("field"))
 
-    Where a trained network is at hand, ``models.super_resolve`` takes the place of the regridding.
+
+def cells_of(maps: DataFrame, value: str, time: str = "time") -> DataFrame:
+    """Maps back as rows of cells."""
+    lat, lon = CELL
+    rows = maps.select(time, F.posexplode("field").alias(lat, "_row"))
+    return rows.select(time, lat, F.posexplode("_row").alias(lon, value))
+
+
+def deepsd(predict: DataFrame, hist: DataFrame, obs: DataFrame, to_fine: DataFrame | None, value: str, land: DataFrame | None = None, network: Network | None = None, elevations: list[np.ndarray] | None = None) -> DataFrame:
+    """Stacked super-resolution: z-scores by the historical run, the network's fine fields, the observations' moments, a last correction.
+
+    ``network`` has the trained stages (``sources.networks``), each doubling the grid, with an elevation
+    matrix of the finer grid each; its days are maps with all rows of the coarse grid, which is half
+    the size of the first matrix. Without a network the fields are regridded by ``to_fine``.
     """
     scores = A.z_score_against(predict, hist, value)
-    fine = G.regrid(scores, to_fine, [value])
+    if network is None:
+        fine = G.regrid(scores, to_fine, [value])
+    else:
+        height, width = (n // 2 for n in elevations[0].shape)
+        scaled = [(e - e.mean()) / (e.std() + 1e-6) for e in elevations]
+        fine = cells_of(M.super_resolve(maps_of(scores, value, height, width), scaled, network), value)
     back = A.rescale(fine, obs, value, floor=0.0 if value == "pr" else None)
     corrected = M.bias_correct(back, obs, back, value, "quantile_mapper")
     return corrected if land is None else corrected.join(land.select(*CELL, "is_land"), list(CELL), "left").withColumn(value, F.when(F.col("is_land"), F.col(value))).drop("is_land")

@@ -20,8 +20,8 @@ SMALL_PPT = 1e-10
 
 #: Share of rain and melt that runs off before it reaches the soil.
 DIRECT_RUNOFF = 0.05
-#: Cells are dealt into so many groups; a group's months are stepped through for all its cells at once.
-CELL_GROUPS = 4096
+#: Cells are dealt into so many groups a shuffle partition; a group's months are stepped through for all its cells at once.
+GROUPS_A_PARTITION = 2
 
 
 @dataclass
@@ -211,7 +211,8 @@ def water_balance(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time",
         return result
 
     columns = [time, *cell, "ppt", "pet", "awc", "_melt"]
-    grouped = ready.select(*columns).groupBy(F.pmod(F.xxhash64(*cell), F.lit(CELL_GROUPS)).alias("_group"))
+    groups = GROUPS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = ready.select(*columns).groupBy(F.pmod(F.xxhash64(*cell), F.lit(groups)).alias("_group"))
     return grouped.applyInPandas(run, schema)
 
 

@@ -12,6 +12,7 @@ from ..operators import grid as G
 from ..operators import models as M
 from ..operators import water as W
 from ..sources.cube import CELLS, GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table
+from ..sources import networks
 from ..sources.scratch import scratch
 from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights
 from .registry import query, r6
@@ -158,20 +159,29 @@ def _(spark, sf):
     return D.maca(obs(spark, sf), h.union(p), F.year("time") < 1999, F.year("time") >= 1999, coarse, fine, "pr", 5, 20, 21, 3)
 
 
+def _network(spark, stages: int = 1):
+    """Layers of the published sizes (kernels 9, 3 and 5), drawn from a seed, written and read as a store."""
+    rng = np.random.default_rng(5)
+    made = [[(rng.normal(size=(k, k, a, b)) * 0.05, np.zeros(b)) for k, a, b in ((9, 2, 8), (3, 8, 4), (5, 4, 1))] for _ in range(stages)]
+    return networks.read_network(spark, networks.write_network(spark, scratch(spark, "network"), made))
+
+
 @query("m15_super_resolution")
 def _(spark, sf):
-    rng = np.random.default_rng(5)
-    net = [(rng.normal(size=(k, k, a, b)) * 0.05, np.zeros(b)) for k, a, b in ((9, 2, 8), (3, 8, 4), (5, 4, 1))]
     w = grid_width(spark, sf) // 2
-    at = F.struct("lat_i", "lon_i", "pr")
-    maps = gcm(spark, sf).filter("year(time) = 1999").groupBy("time").agg(F.collect_list(at).alias("cells"))
-    value = lambda y, x: F.coalesce(F.try_element_at(F.transform(F.filter("cells", lambda c: (c["lat_i"] == y) & (c["lon_i"] == x)), lambda c: c["pr"]), F.lit(1)) / 1e5, F.lit(0.0))
-    index = F.sequence(F.lit(0), F.lit(w - 1))
-    maps = maps.filter(F.size("cells") >= w).select("time", F.transform(index, lambda y: F.transform(index, lambda x: value(y, x))).alias("field"))
-    out = M.super_resolve(maps, [np.zeros((2 * w, 2 * w))], [net])
+    maps = D.maps_of(gcm(spark, sf).withColumn("pr", F.col("pr") / F.lit(1e5)), "pr", w, w)
+    elevation = networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)
+    out = M.super_resolve(maps, [elevation / 1e4], _network(spark))
     return out.select("time", F.size("field").alias("rows"), F.aggregate(F.flatten("field"), F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
+@query("m17_deepsd_network")
+def _(spark, sf):
+    _, h, p = _parts(spark, sf)
+    w = grid_width(spark, sf) // 2
+    return D.deepsd(p, h, obs(spark, sf), None, "pr", cells(spark, sf), _network(spark), [networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)])
+
+
 @query("m17_deepsd")
 def _(spark, sf):
     _, h, p = _parts(spark, sf)

@@ -13,7 +13,7 @@ from terrafield.operators import downscale as D
 from terrafield.operators import grid as G
 from terrafield.operators import models as M
 from terrafield.operators import select as X
-from terrafield.sources import readers, scratch, sinks
+from terrafield.sources import networks, readers, scratch, sinks
 
 
 def test_coordinate_filters_reach_the_scan(spark, tmp_path):
@@ -105,6 +105,20 @@ def test_maca_corrects_the_fine_days(spark):
     assert out.columns == ["time", "lat_i", "lon_i", "tasmax"]
 
 
+def test_networks_and_maps_round_trip(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    stages = [[(rng.normal(size=(3, 3, 2, 4)), rng.normal(size=4)), (rng.normal(size=(1, 1, 4, 1)), np.zeros(1))] for _ in range(2)]
+    read = networks.read_network(spark, networks.write_network(spark, f"file://{tmp_path}/n", stages))
+    assert all((a == c).all() and (b == d).all() for own, got in zip(stages, read) for (a, b), (c, d) in zip(own, got))
+    rows = [(datetime.date(2000, 1, 1), i, j, float(10 * i + j)) for i in range(3) for j in range(2)] + [(datetime.date(2000, 1, 2), 0, 0, 1.0)]
+    df = spark.createDataFrame(rows, "time date, lat_i int, lon_i int, pr double")
+    maps = D.maps_of(df, "pr", 3, 2)
+    assert [r.field for r in maps.collect()] == [[[0.0, 1.0], [10.0, 11.0], [20.0, 21.0]]]
+    assert sorted(map(tuple, D.cells_of(maps, "pr").collect())) == rows[:6]
+    elevation = spark.createDataFrame([(0, 1, 5.0), (2, 1, None), (9, 9, 1.0)], "lat_i int, lon_i int, elev double")
+    assert networks.elevation_matrix(elevation, 3, 2).tolist() == [[0, 5], [0, 0], [0, 0]]
+
+
 def test_batches_and_samples(spark, tmp_path):
     rows = spark.range(1000).select("id", F.array(F.col("id").cast("double")).alias("patch"))
     path = sinks.write_patches(rows, f"file://{tmp_path}/p")
