@@ -185,3 +185,30 @@ def random_field(grid: DataFrame, length_space: float, length_time: float, seed:
 
 def _phase(m, lat, lon, step):
     return m["y"] * F.col(lat) + m["x"] * F.col(lon) + m["t"] * F.col(step)
+
+
+EARTH_KM = 6371.0
+
+
+def miller(lat, lon):
+    """(y, x) in km of Miller's cylindrical projection."""
+    radians = d(math.pi / 180)
+    return d(EARTH_KM * 1.25) * F.log(F.tan(d(math.pi / 4) + d(0.4) * lat * radians)), d(EARTH_KM) * lon * radians
+
+
+def random_record(df: DataFrame, variable: str, length_km: float, length_days: float, start: int, end: int, years: int = 10, modes: int = 200, table: DataFrame | None = None, time: str = "time", lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Rows of the years from ``start`` to ``end`` with ``field``, a random field in projected space and time.
+
+    Some years at a time have a field of their own, whose seed is their first year plus the length of the
+    variable's name, so that any part of the record is made by itself. With ``table`` (weights) the field
+    is regridded, by the index columns lat_i and lon_i.
+    """
+    y, x = miller(F.col(lat).cast("double"), F.col(lon).cast("double"))
+    placed = df.withColumns({"_y": y, "_x": x})
+    out = None
+    for first in range(start, end + 1, years):
+        inside = F.year(time).between(first, min(first + years - 1, end))
+        rows = placed.filter(inside).withColumn("_t", F.datediff(time, F.lit(f"{first}-01-01").cast("date")))
+        part = random_field(rows, length_km, length_days, first + len(variable), modes, "_y", "_x", "_t").drop("_y", "_x", "_t")
+        out = part if out is None else out.unionByName(part)
+    return out if table is None else regrid(out, table, ["field"], (time,))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -108,10 +109,23 @@ def _(spark, sf):
     return table(spark, sf, "part").select("p_partkey", r6(F.cbrt(x), "root"), F.pow(x, F.lit(3.0)).alias("cube"))
 
 
-@query("f14_normal")
+def normal_cdf_sql(x: str) -> str:
+    """The normal distribution by its series, the density times the sum of x ** (2 j + 1) / (1 * 3 * ... * (2 j + 1))."""
+    term = f"exp((2 * j + 1) * ln(greatest(abs({x}), 1e-300)) - (lgamma(2 * j + 3) - (j + 1) * ln(2) - lgamma(j + 2)))"
+    return f"(0.5::DOUBLE + sign({x}) * exp(-({x}) * ({x}) / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 90), lambda j: {term})))"
+
+
+def normal_ppf_sql(table_name: str) -> str:
+    """A CTE body: u and its normal score z, by bisection, for each u within (0, 1) of a table."""
+    return f"""(WITH RECURSIVE halves AS (SELECT DISTINCT u, -9.0::DOUBLE AS lo, 9.0::DOUBLE AS hi, 0 AS k FROM {table_name} WHERE u > 0 AND u < 1
+    UNION ALL SELECT u, CASE WHEN below THEN mid ELSE lo END, CASE WHEN below THEN hi ELSE mid END, k + 1 FROM (SELECT *, {normal_cdf_sql('mid')} < u AS below FROM (SELECT *, (lo + hi) / 2 AS mid FROM halves WHERE k < 50)))
+    SELECT u, (lo + hi) / 2 AS z FROM halves WHERE k = 50)"""
+
+
+@query("f14_normal", f"WITH s AS (SELECT p_partkey, (p_size + 0.5::DOUBLE) / 60 AS u FROM part), n AS {normal_ppf_sql('s')} SELECT p_partkey, round(z, 6) AS z, round(u, 6) AS p FROM s JOIN n USING (u)")
 def _(spark, sf):
     p = (F.col("p_size") + 0.5) / F.lit(60.0)
-    return table(spark, sf, "part").select("p_partkey", S.normal_ppf(p).alias("z"), S.normal_cdf(S.normal_ppf(p)).alias("p"))
+    return table(spark, sf, "part").select("p_partkey", r6(S.normal_ppf(p), "z"), r6(S.normal_cdf(S.normal_ppf(p)), "p"))
 
 
 @query("f15_clip", f"WITH {OBS} SELECT time, lat_i, lon_i, CASE WHEN pr <> 7 THEN least(greatest(pr, 10), 40) END AS pr FROM obs")
@@ -375,11 +389,32 @@ def _(spark, sf):
     return out.filter(G.patch_is_usable("patch")).select("time", "y0", "x0", F.aggregate("patch", F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
-@query("r13_random_field")
+def _field_sql(seed: int, modes: int, length_space: float, length_time: float, y: str, x: str, t: str) -> str:
+    """The field of a seed as a sum over its modes written out."""
+    rng = np.random.default_rng(seed)
+    k = rng.normal(size=(modes, 3)) / np.array([length_space, length_space, length_time])
+    a = rng.normal(size=(modes, 2))
+    rows = ", ".join("[" + ", ".join(repr(float(v)) + "::DOUBLE" for v in (*k[i], *a[i])) + "]" for i in range(modes))
+    phase = f"(m[1] * {y} + m[2] * {x} + m[3] * {t})"
+    return f"list_sum(list_transform([{rows}], lambda m: m[4] * cos{phase} + m[5] * sin{phase})) / sqrt({modes})"
+
+
+@query("r13_random_field", f"WITH n AS (SELECT {WIDTH} AS w), i AS (SELECT unnest(range(0, w * w * 30)) AS i, w FROM n) SELECT (i % w)::INT AS lon_i, ((i // w) % w)::INT AS lat_i, (i // (w * w))::INT AS step, round({_field_sql(1981, 200, 4.0, 2.0, '((i // w) % w)', '(i % w)', '(i // (w * w))')}, 6) AS field FROM i")
 def _(spark, sf):
     w = grid_width(spark, sf)
     grid = spark.range(0, w * w * 30).select((F.col("id") % w).cast("int").alias("lon_i"), (F.floor(F.col("id") / w) % w).cast("int").alias("lat_i"), F.floor(F.col("id") / (w * w)).cast("int").alias("step"))
-    return G.random_field(grid, 4.0, 2.0, 1981)
+    return G.random_field(grid, 4.0, 2.0, 1981).withColumn("field", r6("field"))
+
+
+_MILLER = "6371.0::DOUBLE * 1.25 * ln(tan(pi() / 4 + 0.4::DOUBLE * (lat_i * 2 + 30) * pi() / 180))", "6371.0::DOUBLE * lon_i * 2 * pi() / 180"
+
+
+@query("r13_random_record", f"""WITH {OBS}, d AS (SELECT DISTINCT time, lat_i, lon_i FROM obs WHERE lat_i < 4 AND lon_i < 4), p AS (SELECT *, {_MILLER[0]} AS y, {_MILLER[1]} AS x FROM d)
+SELECT time, lat_i, lon_i, round(CASE WHEN year(time) < 1998 THEN {_field_sql(1997, 20, 900.0, 5.0, 'y', 'x', "(time - DATE '1995-01-01')")} ELSE {_field_sql(2000, 20, 900.0, 5.0, 'y', 'x', "(time - DATE '1998-01-01')")} END, 5) AS field FROM p WHERE year(time) BETWEEN 1995 AND 2000""")
+def _(spark, sf):
+    days = obs(spark, sf).filter("lat_i < 4 AND lon_i < 4").select("time", *CELL)
+    at = days.withColumn("lat", F.col("lat_i") * 2 + F.lit(30.0)).withColumn("lon", F.col("lon_i") * F.lit(2.0))
+    return G.random_record(at, "pr", 900.0, 5.0, 1995, 2000, years=3, modes=20).select("time", *CELL, F.round("field", 5).alias("field"))
 
 
 # ---------------------------------------------------------------- spatial disaggregation

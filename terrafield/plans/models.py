@@ -14,7 +14,7 @@ from ..operators import water as W
 from ..sources.cube import CELLS, GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table
 from ..sources import networks
 from ..sources.scratch import scratch
-from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights
+from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights, normal_cdf_sql, normal_ppf_sql
 from .registry import query, r6
 
 CELL = A.CELL
@@ -102,10 +102,27 @@ def _(spark, sf):
     return D.bcsd(o, h, p, coarse, fine, "tasmax", cells(spark, sf)).select("time", *CELL, F.round("tasmax", 5).alias("tasmax"))
 
 
-@query("m10_edcdf")
+def _quantile_sql(of: str, u: str, out: str) -> str:
+    """A CTE: rows of table ``u`` (g, u, ...) with ``out``, the quantile at u of table ``of`` (g, x) in its group."""
+    return f"""{out}_i AS (SELECT g, x, row_number() OVER (PARTITION BY g ORDER BY x) AS i FROM {of}), {out}_n AS (SELECT g, count(*) AS n FROM {of} GROUP BY g),
+    {out}_t AS (SELECT t.* EXCLUDE (f, n), CASE WHEN f <= 1 OR f >= n THEN a.x ELSE a.x + (f - a.i) * (b.x - a.x) END AS {out} FROM (SELECT {u}.*, u * (n + 0.2::DOUBLE) + 0.4::DOUBLE AS f, n FROM {u} JOIN {out}_n USING (g)) t
+      JOIN {out}_i a ON a.g = t.g AND a.i = greatest(1, least(n, floor(f)::BIGINT)) LEFT JOIN {out}_i b ON b.g = t.g AND b.i = a.i + 1)"""
+
+
+_EDCDF_SQL = f"""WITH {OBS}, {GCM}, {_COARSE}, bt AS (SELECT b, 1 + ((15 * b + k) % 366 + 366) % 366 AS doy, bool_or(k >= 0 AND k < least(15, 366 - 15 * b)) AS core FROM (SELECT unnest(range(0, 25)) AS b), (SELECT unnest(range(-15, 30)) AS k) WHERE k < least(15, 366 - 15 * b) + 15 GROUP BY ALL),
+sh AS (SELECT time, lat_i, lon_i FROM gcm WHERE year(time) < 1999 INTERSECT SELECT time, lat_i, lon_i FROM coarse WHERE year(time) < 1999),
+p AS (SELECT time, lat_i, lon_i, (lat_i * 1000 + lon_i) * 100 + b AS g, pr / 10000 AS x, core FROM gcm JOIN bt ON doy = dayofyear(time)),
+h AS (SELECT g, x FROM p JOIN sh USING (time, lat_i, lon_i)), o AS (SELECT (lat_i * 1000 + lon_i) * 100 + b AS g, pr AS x FROM coarse JOIN sh USING (time, lat_i, lon_i) JOIN bt ON doy = dayofyear(time)),
+pu AS (SELECT *, (count(*) OVER (PARTITION BY g ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 0.4::DOUBLE) / (count(*) OVER (PARTITION BY g) + 0.2::DOUBLE) AS u FROM p),
+{_quantile_sql('o', 'pu', 'oq')}, {_quantile_sql('h', 'oq_t', 'hq')}
+SELECT time, lat_i, lon_i, round(x * CASE WHEN hq <> 0 THEN oq / hq ELSE 1 END + 1e-7, 4) AS pr FROM hq_t WHERE core"""
+
+
+@query("m10_edcdf", _EDCDF_SQL)
 def _(spark, sf):
     o, h, p = _parts(spark, sf)
-    return M.edcdf_by_day(h.union(p), o, F.year("time") < 1999, "pr", C.generate_batches(366, 15, 15, spark, one_indexed=True))
+    out = M.edcdf_by_day(h.union(p), o, F.year("time") < 1999, "pr", C.generate_batches(366, 15, 15, spark, one_indexed=True))
+    return out.select("time", *CELL, F.round(F.col("pr") + F.lit(1e-7), 4).alias("pr"))
 
 
 @query("m11_constructed_analogs")
@@ -136,10 +153,14 @@ for _model in ("PureRegression", "PureAnalog", "AnalogRegression"):
         return M.gard_fit_predict(train, p.withColumnRenamed("pr", "pr__x"), ["pr__x"], "pr__y", model, thresh=1.0)
 
 
-@query("m14_random_effects")
+_EFFECTS_SQL = f"""WITH a AS (SELECT p_partkey, p_size + 1.0::DOUBLE AS pred, p_size / 60.0::DOUBLE + 0.05::DOUBLE AS p, (p_partkey % 41) / 10.0::DOUBLE - 2 AS field FROM part), c AS (SELECT DISTINCT field, {normal_cdf_sql('field')} AS f FROM a),
+b AS (SELECT a.*, (f - (1 - p)) / p AS u FROM a JOIN c USING (field)), n AS {normal_ppf_sql('b')} SELECT p_partkey, round(coalesce(CASE WHEN pow(cbrt(pred) + 0.3::DOUBLE * z, 3) >= 0 THEN pow(cbrt(pred) + 0.3::DOUBLE * z, 3) END, 0), 5) AS pr FROM b LEFT JOIN n USING (u)"""
+
+
+@query("m14_random_effects", _EFFECTS_SQL)
 def _(spark, sf):
     rows = table(spark, sf, "part").select("p_partkey", (F.col("p_size") + 1).cast("double").alias("pred"), (F.col("p_size") / F.lit(60.0) + 0.05).alias("exceedance_prob"), F.lit(0.3).alias("prediction_error"), ((F.col("p_partkey") % 41) / F.lit(10.0) - 2).alias("field"))
-    return M.random_effects(rows, "field", 0.1, True, "pr").select("p_partkey", "pr")
+    return M.random_effects(rows, "field", 0.1, True, "pr").select("p_partkey", F.round("pr", 5).alias("pr"))
 
 
 @query("m13_gard_end_to_end")
