@@ -95,11 +95,23 @@ def _(spark, sf):
     return D.bcsd(obs(spark, sf), h, p, coarse, fine, "pr", cells(spark, sf)).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-7), 5).alias("pr"))
 
 
-@query("m08_bcsd_temperature")
+_TEMPERATURE_SQL = (
+    _BCSD_SQL.replace(
+        "p2 AS (SELECT time, lat_i, lon_i, lat_i * 10000000 + lon_i * 100 + month(time) AS g, pr / 10000 AS x FROM gcm WHERE year(time) >= 1999)",
+        """yl AS (SELECT lat_i * 10000000 + lon_i * 100 + month(time) AS g, year(time) AS y, avg(pr / 10000) AS x FROM gcm WHERE year(time) >= 1999 GROUP BY ALL),
+        sh AS (SELECT yl.g, y, avg(yl.x) OVER (PARTITION BY yl.g ORDER BY y ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) - base AS shift FROM yl JOIN (SELECT g, avg(x) AS base FROM h2 GROUP BY g) b USING (g)),
+        p2 AS (SELECT time, lat_i, lon_i, sh.g, pr / 10000 - shift AS x, shift FROM gcm JOIN sh ON sh.g = lat_i * 10000000 + lon_i * 100 + month(time) AND sh.y = year(time))""",
+    )
+    .replace("sum(a.w * b.w * y)", "sum(a.w * b.w * (y + shift))")
+    .replace("END AS pr FROM fine", "END AS tasmax FROM fine")
+)
+
+
+@query("m08_bcsd_temperature", _TEMPERATURE_SQL)
 def _(spark, sf):
     o, h, p = (df.withColumnRenamed("pr", "tasmax") for df in (obs(spark, sf).select("time", *CELL, "pr"), *_parts(spark, sf)[1:]))
     coarse, fine = _weights(spark, sf)
-    return D.bcsd(o, h, p, coarse, fine, "tasmax", cells(spark, sf)).select("time", *CELL, F.round("tasmax", 5).alias("tasmax"))
+    return D.bcsd(o, h, p, coarse, fine, "tasmax", cells(spark, sf)).select("time", *CELL, F.round(F.col("tasmax") + F.lit(1e-7), 5).alias("tasmax"))
 
 
 def _quantile_sql(of: str, u: str, out: str) -> str:
