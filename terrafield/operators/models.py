@@ -237,7 +237,7 @@ def gard_model(name: str, n_analogs: int = 10, thresh: float | None = None) -> C
 
 
 def gard_fit_predict(train: DataFrame, predict: DataFrame, features: Sequence[str], target: str, model: str = "PureRegression", cell: Sequence[str] = CELL, time: str = "time", roots: Sequence[str] = ("pr",), n_analogs: int = 10, thresh: float | None = None) -> DataFrame:
-    """time, cell, pred, exceedance_prob, prediction_error; cube roots of ``roots`` are fitted and their predictions cubed."""
+    """time, cell, pred, exceedance_prob, prediction_error; cube roots of ``roots`` are fitted and their predictions cubed. Analogs as near as each other go by time."""
     fitted = gard_model(model, n_analogs, thresh)
     root = lambda df, cols: df.select(time, *cell, *[(F.cbrt(c) if c.split("__")[0] in roots else F.col(c)).cast("double").alias(c) for c in cols])
     t, p = root(train, dict.fromkeys([*features, target])), root(predict, features)
@@ -246,7 +246,7 @@ def gard_fit_predict(train: DataFrame, predict: DataFrame, features: Sequence[st
     cube = target.split("__")[0] in roots
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.dropna(), b.dropna()
+        a, b = a.dropna().sort_values(time, kind="stable"), b.dropna()
         out = b[[time, *cell]].copy()
         if a.empty or b.empty:
             return out.iloc[:0].assign(pred=pd.Series(dtype=float), exceedance_prob=pd.Series(dtype=float), prediction_error=pd.Series(dtype=float))

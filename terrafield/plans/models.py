@@ -156,13 +156,29 @@ def _(spark, sf):
     return out.select("time", *CELL, F.round("pred", 5).alias("pred"), F.round("prediction_error", 5).alias("prediction_error"))
 
 
-for _model in ("PureRegression", "PureAnalog", "AnalogRegression"):
-
-    @query(f"m13_gard_{_model.lower()}")
+_GARD_SQL = f"""WITH RECURSIVE {OBS}, {GCM}, {_COARSE}, t AS MATERIALIZED (SELECT time, lat_i, lon_i, cbrt(c.pr::DOUBLE) AS y, cbrt(g.pr / 10000) AS x FROM coarse c JOIN gcm g USING (time, lat_i, lon_i) WHERE year(time) < 1999),
+p AS MATERIALIZED (SELECT time, lat_i, lon_i, cbrt(pr / 10000) AS x FROM gcm WHERE year(time) >= 1999)"""
+# Ten nearest days of the cell; the line through the wet ones, where there are three or more of them, else their mean.
+_ANALOG_SQL = """{head}, n AS (SELECT p.time, lat_i, lon_i, p.x AS new, t.x, t.y, t.y > 1 AS wet FROM p JOIN t USING (lat_i, lon_i) QUALIFY row_number() OVER (PARTITION BY p.time, lat_i, lon_i ORDER BY (t.x - p.x) * (t.x - p.x), t.time) <= 10),
+a AS (SELECT time, lat_i, lon_i, new, count(*) FILTER (wet) AS k, avg(wet::INT) AS share, avg(y) FILTER (wet) AS mean, stddev_pop(y) FILTER (wet) AS sd, regr_slope(y, x) FILTER (wet) AS a, regr_intercept(y, x) FILTER (wet) AS b, regr_syy(y, x) FILTER (wet) AS syy, regr_sxx(y, x) FILTER (wet) AS sxx FROM n GROUP BY ALL)
+SELECT time, lat_i, lon_i, round(coalesce(pow(CASE WHEN {line} THEN a * new + b ELSE mean END, 3), 0), 5) AS pred, round(share, 5) AS exceedance_prob, round(coalesce(CASE WHEN {line} THEN sqrt(greatest(syy - a * a * sxx, 0) / k) ELSE sd END, 0), 5) AS prediction_error FROM a"""
+# A logistic fit of wet days by 25 Newton steps with a slight ridge, and a line through the wet days.
+_REGRESSION_SQL = f"""{_GARD_SQL}, w AS (SELECT lat_i, lon_i, 0 AS step, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1 FROM (SELECT DISTINCT lat_i, lon_i FROM t)
+UNION ALL SELECT lat_i, lon_i, step + 1, w0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01), w1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+FROM (SELECT lat_i, lon_i, step, w0, w1, sum(q * (1 - q)) + 1e-6 AS h00, sum(q * (1 - q) * x) AS h01, sum(q * (1 - q) * x * x) + 1e-6 AS h11, sum(q - (y > 1)::INT) + 1e-6 * w0 AS g0, sum((q - (y > 1)::INT) * x) + 1e-6 * w1 AS g1
+FROM (SELECT w.*, x, y, 1 / (1 + exp(-greatest(least(w0 + w1 * x, 30), -30))) AS q FROM w JOIN t USING (lat_i, lon_i) WHERE step < 25) GROUP BY lat_i, lon_i, step, w0, w1)),
+f AS (SELECT lat_i, lon_i, min((y > 1)::INT) AS least, max((y > 1)::INT) AS most, regr_slope(y, x) FILTER (y > 1) AS a, regr_intercept(y, x) FILTER (y > 1) AS b, sqrt(greatest(regr_syy(y, x) FILTER (y > 1) - pow(regr_slope(y, x) FILTER (y > 1), 2) * regr_sxx(y, x) FILTER (y > 1), 0) / count(*) FILTER (y > 1)) AS e FROM t GROUP BY ALL)
+SELECT p.time, lat_i, lon_i, round(coalesce(pow(a * x + b, 3), 0), 5) AS pred, round(CASE WHEN least = most THEN least ELSE 1 / (1 + exp(-greatest(least(w0 + w1 * x, 30), -30))) END, 5) AS exceedance_prob, round(coalesce(e, 0), 5) AS prediction_error FROM p JOIN f USING (lat_i, lon_i) JOIN w USING (lat_i, lon_i) WHERE step = 25"""
+
+
+for _model, _sql in (("PureRegression", _REGRESSION_SQL), ("PureAnalog", _ANALOG_SQL.format(head=_GARD_SQL, line="false")), ("AnalogRegression", _ANALOG_SQL.format(head=_GARD_SQL, line="k > 2"))):
+
+    @query(f"m13_gard_{_model.lower()}", _sql)
     def _(spark, sf, model=_model):
         o, h, p = _parts(spark, sf)
         train = o.withColumnRenamed("pr", "pr__y").join(h.withColumnRenamed("pr", "pr__x"), ["time", *CELL])
-        return M.gard_fit_predict(train, p.withColumnRenamed("pr", "pr__x"), ["pr__x"], "pr__y", model, thresh=1.0)
+        out = M.gard_fit_predict(train, p.withColumnRenamed("pr", "pr__x"), ["pr__x"], "pr__y", model, thresh=1.0)
+        return out.select("time", *CELL, *[F.round(c, 5).alias(c) for c in ("pred", "exceedance_prob", "prediction_error")])
 
 
 _EFFECTS_SQL = f"""WITH a AS (SELECT p_partkey, p_size + 1.0::DOUBLE AS pred, p_size / 60.0::DOUBLE + 0.05::DOUBLE AS p, (p_partkey % 41) / 10.0::DOUBLE - 2 AS field FROM part), c AS (SELECT DISTINCT field, {normal_cdf_sql('field')} AS f FROM a),
