@@ -14,7 +14,7 @@ from ..operators import water as W
 from ..sources.cube import CELLS, GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table
 from ..sources import networks
 from ..sources.scratch import scratch
-from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights, normal_cdf_sql, normal_ppf_sql
+from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights, _field_sql, normal_cdf_sql, normal_ppf_sql
 from .registry import query, r6
 
 CELL = A.CELL
@@ -191,14 +191,26 @@ def _(spark, sf):
     return M.random_effects(rows, "field", 0.1, True, "pr").select("p_partkey", F.round("pr", 5).alias("pr"))
 
 
-@query("m13_gard_end_to_end")
+def _fine_sql(rows: str) -> str:
+    """Rows (time, lat_i, lon_i, x) of the coarse grid on the fine one, with g, the cell's number."""
+    return f"SELECT time, lat_i, lon_i, lat_i * 100000 + lon_i AS g, x FROM (SELECT time, a.dst AS lat_i, b.dst AS lon_i, sum(a.w * b.w * x) / sum(a.w * b.w) AS x FROM ({rows}) r JOIN lin a ON a.src = r.lat_i JOIN lin b ON b.src = r.lon_i GROUP BY ALL)"
+
+
+_GARD_WHOLE_SQL = f"""WITH {OBS}, {GCM}, {_COARSE}, {_LINEAR}, ip AS ({_fine_sql('SELECT time, lat_i, lon_i, pr AS x FROM coarse WHERE year(time) < 1999')}),
+hf AS ({_fine_sql('SELECT time, lat_i, lon_i, pr / 10000 AS x FROM gcm WHERE year(time) < 1999')}), pn AS ({_fine_sql('SELECT time, lat_i, lon_i, pr / 10000 AS x FROM gcm WHERE year(time) >= 1999')}), {_mapping_sql('hf', 'ip', 'pn')},
+tr AS (SELECT g, cbrt(ip.x) AS x, cbrt(pr::DOUBLE) AS y FROM ip JOIN obs USING (time, lat_i, lon_i)),
+rg AS (SELECT g, regr_slope(y, x) AS a, regr_intercept(y, x) AS b, sqrt(greatest(regr_syy(y, x) - pow(regr_slope(y, x), 2) * regr_sxx(y, x), 0) / count(*)) AS e FROM tr GROUP BY g)
+SELECT time, lat_i, lon_i, round(pow(a * cbrt(y) + b, 3) + e * {_field_sql(1999, 40, 4.0, 2.0, 'lat_i', 'lon_i', "(time - DATE '1999-01-01')")}, 5) AS pr FROM mapped JOIN rg USING (g)"""
+
+
+@query("m13_gard_end_to_end", _GARD_WHOLE_SQL)
 def _(spark, sf):
     _, h, p = _parts(spark, sf)
     coarse, fine = _weights(spark, sf)
     w = grid_width(spark, sf)
     days = p.select("time").distinct().withColumn("step", F.datediff("time", F.lit("1999-01-01").cast("date")))
     grid = days.join(F.broadcast(spark.range(0, w * w).select(F.floor(F.col("id") / w).cast("int").alias("lat_i"), (F.col("id") % w).cast("int").alias("lon_i"))))
-    return D.gard(obs(spark, sf).filter(F.year("time") < 1999), h, p, coarse, fine, G.random_field(grid, 4.0, 2.0, 1999, modes=40).drop("step"), "pr")
+    return D.gard(obs(spark, sf).filter(F.year("time") < 1999), h, p, coarse, fine, G.random_field(grid, 4.0, 2.0, 1999, modes=40).drop("step"), "pr").select("time", *CELL, F.round("pr", 5).alias("pr"))
 
 
 @query("m11_maca_end_to_end")
@@ -231,10 +243,16 @@ def _(spark, sf):
     return D.deepsd(p, h, obs(spark, sf), None, "pr", cells(spark, sf), _network(spark), [networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)])
 
 
-@query("m17_deepsd")
+_DEEPSD_SQL = f"""WITH {OBS}, {GCM}, {_LINEAR}, {CELLS}, zm AS (SELECT lat_i, lon_i, avg(pr / 10000) AS m, stddev_pop(pr / 10000) AS s FROM gcm WHERE year(time) < 1999 GROUP BY ALL),
+sf AS ({_fine_sql('SELECT time, lat_i, lon_i, (pr / 10000 - m) / (s + 1e-6) AS x FROM gcm JOIN zm USING (lat_i, lon_i) WHERE year(time) >= 1999')}), ob AS (SELECT lat_i * 100000 + lon_i AS g, pr::DOUBLE AS x FROM obs),
+bk AS (SELECT time, lat_i, lon_i, sf.g, greatest(sf.x * (s + 1e-6) + m, 0) AS x FROM sf JOIN (SELECT g, avg(x) AS m, stddev_pop(x) AS s FROM ob GROUP BY g) mo ON mo.g = sf.g), {_mapping_sql('bk', 'ob', 'bk', False)}
+SELECT q.time, q.lat_i, q.lon_i, CASE WHEN is_land THEN round(y, 5) END AS pr FROM mapped q LEFT JOIN cells c ON c.lat_i = q.lat_i AND c.lon_i = q.lon_i"""
+
+
+@query("m17_deepsd", _DEEPSD_SQL)
 def _(spark, sf):
     _, h, p = _parts(spark, sf)
-    return D.deepsd(p, h, obs(spark, sf), _weights(spark, sf)[1], "pr", cells(spark, sf))
+    return D.deepsd(p, h, obs(spark, sf), _weights(spark, sf)[1], "pr", cells(spark, sf)).select("time", *CELL, F.round("pr", 5).alias("pr"))
 
 
 def _monthly_weather(spark, sf):
