@@ -220,27 +220,46 @@ def _(spark, sf):
     return D.maca(obs(spark, sf), h.union(p), F.year("time") < 1999, F.year("time") >= 1999, coarse, fine, "pr", 5, 20, 21, 3)
 
 
-def _network(spark, stages: int = 1):
-    """Layers of the published sizes (kernels 9, 3 and 5), drawn from a seed, written and read as a store."""
+def _layers(stages: int = 1):
+    """Layers of the published sizes (kernels 9, 3 and 5), drawn from a seed."""
     rng = np.random.default_rng(5)
-    made = [[(rng.normal(size=(k, k, a, b)) * 0.05, np.zeros(b)) for k, a, b in ((9, 2, 8), (3, 8, 4), (5, 4, 1))] for _ in range(stages)]
-    return networks.read_network(spark, networks.write_network(spark, scratch(spark, "network"), made))
+    return [[(rng.normal(size=(k, k, a, b)) * 0.05, np.zeros(b)) for k, a, b in ((9, 2, 8), (3, 8, 4), (5, 4, 1))] for _ in range(stages)]
+
+
+def _network(spark, stages: int = 1):
+    """The layers, written and read as a store."""
+    return networks.read_network(spark, networks.write_network(spark, scratch(spark, "network"), _layers(stages)))
+
 
+def _convolved_sql(rows: str, elevation: str) -> str:
+    """CTEs that pass maps of ``rows`` (time, lat_i, lon_i, x; a day needs all rows of its grid) and of ``elevation`` (lat_i, lon_i, x) through one stage.
 
-@query("m15_super_resolution")
+    Leaves ``c3`` (time, i, j, x) on the fine grid. Needs the CTEs of ``_LINEAR``.
+    """
+    ctes = f"""mr AS ({rows}), md AS (SELECT time FROM mr GROUP BY time HAVING count(DISTINCT lat_i) = (SELECT h FROM n)),
+    mg AS (SELECT time, i, j, coalesce(x, 0) AS x FROM (SELECT time, i, j FROM md, (SELECT unnest(range(0, h)) AS i FROM n), (SELECT unnest(range(0, h)) AS j FROM n)) g LEFT JOIN mr ON mr.time = g.time AND lat_i = i AND lon_i = j),
+    c0 AS (SELECT time, a.dst AS i, b.dst AS j, 0 AS o, sum(a.w * b.w * x) AS x FROM (SELECT * FROM mg) m JOIN lin a ON a.src = i JOIN lin b ON b.src = j GROUP BY time, a.dst, b.dst UNION ALL SELECT time, lat_i, lon_i, 1, x FROM md, ({elevation}))"""
+    ctes = ctes.replace("SELECT time, i, j, coalesce(x, 0)", "SELECT g.time, i, j, coalesce(x, 0)")
+    for k, (kernel, _) in enumerate(_layers()[0], 1):
+        half = kernel.shape[0] // 2
+        values = ", ".join(f"({di - half}, {dj - half}, {a}, {o}, {float(v)!r}::DOUBLE)" for (di, dj, a, o), v in np.ndenumerate(kernel))
+        value = "sum(x * v)" if k == 3 else "greatest(sum(x * v), 0)"
+        ctes += f""", k{k} AS MATERIALIZED (SELECT * FROM (VALUES {values}) AS k(di, dj, a, o, v)),
+    c{k} AS MATERIALIZED (SELECT time, i - di AS i, j - dj AS j, k.o, {value} AS x FROM c{k - 1} c JOIN k{k} k ON k.a = c.o WHERE i - di BETWEEN 0 AND (SELECT w - 1 FROM n) AND j - dj BETWEEN 0 AND (SELECT w - 1 FROM n) GROUP BY time, i - di, j - dj, k.o)"""
+    return ctes
+
+
+_ELEVATION = "(SELECT i AS lat_i, j AS lon_i, coalesce(elev, 0)::DOUBLE AS x FROM (SELECT unnest(range(0, w)) AS i, w FROM n) JOIN (SELECT unnest(range(0, w)) AS j FROM n) ON true LEFT JOIN cells ON lat_i = i AND lon_i = j)"
+_MAPS_SQL = _convolved_sql("SELECT time, lat_i, lon_i, pr / 1e5 AS x FROM gcm", f"SELECT lat_i, lon_i, x / 1e4 AS x FROM {_ELEVATION}")
+
+
+@query("m15_super_resolution", f"WITH {GCM}, {CELLS}, {_LINEAR}, {_MAPS_SQL} SELECT time, count(DISTINCT i)::INT AS rows, round(sum(x), 5) AS total FROM c3 GROUP BY time")
 def _(spark, sf):
     w = grid_width(spark, sf) // 2
     maps = D.maps_of(gcm(spark, sf).withColumn("pr", F.col("pr") / F.lit(1e5)), "pr", w, w)
     elevation = networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)
     out = M.super_resolve(maps, [elevation / 1e4], _network(spark))
-    return out.select("time", F.size("field").alias("rows"), F.aggregate(F.flatten("field"), F.lit(0.0), lambda a, x: a + x).alias("total"))
-
-
-@query("m17_deepsd_network")
-def _(spark, sf):
-    _, h, p = _parts(spark, sf)
-    w = grid_width(spark, sf) // 2
-    return D.deepsd(p, h, obs(spark, sf), None, "pr", cells(spark, sf), _network(spark), [networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)])
+    return out.select("time", F.size("field").alias("rows"), F.round(F.aggregate(F.flatten("field"), F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 
 _DEEPSD_SQL = f"""WITH {OBS}, {GCM}, {_LINEAR}, {CELLS}, zm AS (SELECT lat_i, lon_i, avg(pr / 10000) AS m, stddev_pop(pr / 10000) AS s FROM gcm WHERE year(time) < 1999 GROUP BY ALL),
@@ -249,6 +268,18 @@ bk AS (SELECT time, lat_i, lon_i, sf.g, greatest(sf.x * (s + 1e-6) + m, 0) AS x
 SELECT q.time, q.lat_i, q.lon_i, CASE WHEN is_land THEN round(y, 5) END AS pr FROM mapped q LEFT JOIN cells c ON c.lat_i = q.lat_i AND c.lon_i = q.lon_i"""
 
 
+_SCORES = "SELECT time, lat_i, lon_i, (pr / 10000 - m) / (s + 1e-6) AS x FROM gcm JOIN zm USING (lat_i, lon_i) WHERE year(time) >= 1999"
+_HEIGHTS = f"SELECT lat_i, lon_i, (x - avg(x) OVER ()) / (stddev_pop(x) OVER () + 1e-6) AS x FROM {_ELEVATION}"
+_DEEPSD_NETWORK_SQL = _DEEPSD_SQL.replace(f"sf AS ({_fine_sql(_SCORES)})", f"{_convolved_sql(_SCORES, _HEIGHTS)}, sf AS (SELECT time, i AS lat_i, j AS lon_i, i * 100000 + j AS g, x FROM c3)")
+
+
+@query("m17_deepsd_network", _DEEPSD_NETWORK_SQL)
+def _(spark, sf):
+    _, h, p = _parts(spark, sf)
+    w = grid_width(spark, sf) // 2
+    return D.deepsd(p, h, obs(spark, sf), None, "pr", cells(spark, sf), _network(spark), [networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)]).select("time", *CELL, F.round("pr", 5).alias("pr"))
+
+
 @query("m17_deepsd", _DEEPSD_SQL)
 def _(spark, sf):
     _, h, p = _parts(spark, sf)
