@@ -9,6 +9,7 @@ from ..functions import scalar as S
 from ..operators import aggregate as A
 from ..operators import select as X
 from ..params import BBox, TimePeriod
+from ..sources import readers
 from ..sources.cube import CELLS, CITIES, GCM, HOURLY, OBS, cells, cities, gcm, hourly, obs, table
 from .registry import nudged, query, r6
 
@@ -242,7 +243,8 @@ def _(spark, sf):
 
 @query("p05_nearest_level", "SELECT DISTINCT p_brand, first_value(p_size) OVER (PARTITION BY p_brand ORDER BY abs(p_size - 23.4), p_size) AS size FROM part")
 def _(spark, sf):
-    return table(spark, sf, "part").groupBy("p_brand").agg(F.min_by("p_size", F.struct(F.abs(F.col("p_size") - F.lit(23.4)), "p_size")).alias("size"))
+    rows = table(spark, sf, "part").select("p_brand", F.col("p_size").alias("plev"), F.col("p_size").alias("size"))
+    return readers.level_of(rows, 23.4, "plev", ["p_brand"])
 
 
 @query("p06_nearest_city", f"WITH {CITIES}, {OBS}, g AS (SELECT DISTINCT lat_i FROM obs), h AS (SELECT DISTINCT lon_i FROM obs) SELECT city, (SELECT lat_i FROM g ORDER BY abs(lat_i - lat), lat_i LIMIT 1) AS lat_i, (SELECT lon_i FROM h ORDER BY abs(lon_i - lon), lon_i LIMIT 1) AS lon_i FROM cities WHERE population > 5000")

@@ -202,6 +202,12 @@ def _(spark, sf):
     return spark.createDataFrame(sorted(found.items()), "dimension string, length int")
 
 
+@query("f19_partitions", "SELECT 'time' AS split, ceil(365 / ceil(1e8 / (4 * 721 * 1440)))::BIGINT AS n UNION ALL SELECT 'lat,lon', (ceil(721 / s) * ceil(1440 / s))::BIGINT FROM (SELECT ceil(sqrt(1e8 / (4 * 365))) AS s)")
+def _(spark, sf):
+    lengths = {"time": 365, "lat": 721, "lon": 1440}
+    return spark.createDataFrame([(",".join(k), sinks.partitions_for(lengths, k, 4)) for k in (("time",), ("lat", "lon"))], "split string, n long")
+
+
 @query("f20_hash", "SELECT '96ad3bb4a2d666d3' AS hash")
 def _(spark, sf):
     return spark.createDataFrame([(str_to_hash("test"),)], "hash string")

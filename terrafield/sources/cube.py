@@ -25,11 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WIDTHS: dict[tuple[str, str], int] = {}
+
+
 def grid_width(spark: SparkSession, sf_dir: str) -> int:
-    """Cells per row: the root of the number of suppliers, rounded up to an even number."""
-    n = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0] + 1
-    w = math.ceil(math.sqrt(n))
-    return w + w % 2
+    """Cells per row: the root of the number of suppliers, rounded up to an even number; asked of the table once an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WIDTHS:
+        n = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).first()[0] + 1
+        w = math.ceil(math.sqrt(n))
+        _WIDTHS[key] = w + w % 2
+    return _WIDTHS[key]
 
 
 def _int(c):
