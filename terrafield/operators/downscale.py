@@ -60,7 +60,7 @@ def bcsd(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFra
 
 def gard(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFrame, to_fine: DataFrame, field: DataFrame, value: str, model: str = "PureRegression", thresh: float | None = None, correction: str = "quantile_map") -> DataFrame:
     """Regression of fine observations on their own coarse view, applied to the corrected model, with a random field's errors."""
-    interpolated = G.regrid(G.regrid(obs, to_coarse, [value]), to_fine, [value])
+    interpolated = written(G.regrid(G.regrid(obs, to_coarse, [value]), to_fine, [value]), "gard-interpolated")  # read twice
     fine = lambda df: G.regrid(df, to_fine, [value])
     corrected = M.bias_correct(fine(hist), interpolated, fine(predict), value, correction)
     train = interpolated.select("time", *CELL, F.col(value).alias(f"{value}__x")).join(obs.select("time", *CELL, value), ["time", *CELL])

@@ -178,15 +178,13 @@ def random_field(grid: DataFrame, length_space: float, length_time: float, seed:
     rng = np.random.default_rng(seed)
     k = rng.normal(size=(modes, 3)) / np.array([length_space, length_space, length_time])
     a = rng.normal(size=(modes, 2))
-    rows = F.array(*[F.struct(*[d(x).alias(n) for x, n in zip((*k[i], *a[i]), "yxtcs")]) for i in range(modes)])
-    total = F.aggregate(rows, d(0), lambda s, m: s + m["c"] * F.cos(_phase(m, lat, lon, step)) + m["s"] * F.sin(_phase(m, lat, lon, step)))
+    # c cos(p) + s sin(p) is one cosine, sqrt(c² + s²) cos(p - atan2(s, c)).
+    waves = np.column_stack([k, np.hypot(a[:, 0], a[:, 1]), np.arctan2(a[:, 1], a[:, 0])])
+    rows = F.array(*[F.struct(*[d(float(x)).alias(n) for x, n in zip(wave, "yxtrp")]) for wave in waves])
+    total = F.aggregate(rows, d(0), lambda s, m: s + m["r"] * F.cos(m["y"] * F.col(lat) + m["x"] * F.col(lon) + m["t"] * F.col(step) - m["p"]))
     return grid.withColumn("field", total / d(math.sqrt(modes)))
 
 
-def _phase(m, lat, lon, step):
-    return m["y"] * F.col(lat) + m["x"] * F.col(lon) + m["t"] * F.col(step)
-
-
 EARTH_KM = 6371.0
 
 
