@@ -117,8 +117,10 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
     keys = [*cell, "_month"] if by_month else list(cell)
 
     def part(df: DataFrame, role: int) -> DataFrame:
-        out = df.filter(F.col(value).isNotNull()).select(F.lit(role).alias("_role"), *cell, time, F.col(value).cast("double").alias("_x"))
-        return out.withColumn("_month", F.month(time)) if by_month else out
+        # Days matter for the prediction alone; the others' are not sent.
+        day = F.col(time) if role == 2 else F.lit(None).cast(df.schema[time].dataType)
+        month = [F.month(time).alias("_month")] if by_month else []
+        return df.filter(F.col(value).isNotNull()).select(F.lit(role).alias("_role"), *cell, day.alias(time), F.col(value).cast("double").alias("_x"), *month)
 
     rows = part(hist, 0).union(part(obs, 1)).union(part(predict, 2))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
@@ -131,7 +133,7 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
         out = p[[time, *cell]].copy()
         if not (len(h) and len(o) and len(p)):
             return out.iloc[:0].assign(**{value: pd.Series(dtype=float)})
-        t = pd.to_datetime(p[time]).map(pd.Timestamp.toordinal).to_numpy(float)
+        t = pd.to_datetime(p[time]).to_numpy().astype("datetime64[D]").astype(float)
         out[value] = SERIES[method](h, o, p["_x"].to_numpy(), t, **settings)
         return out
 
