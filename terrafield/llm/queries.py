@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, licenses, lm_score, periodic_runs, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
+from . import alignment, decontamination, html_text, licenses, lm_score, periodic_runs, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_token_ids": simple8b.op1_token_ids,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_html_text": html_text.op9_html_text,
     "op10_top_k": topk.op10_top_k,
+    "op11_alignment": alignment.op11_alignment,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
