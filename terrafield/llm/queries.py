@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, decontamination, html_text, licenses, lm_score, periodic_runs, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
+from . import alignment, decontamination, html_text, licenses, lm_score, packing, periodic_runs, sentencepiece_nbest, simhash, simple8b, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_token_ids": simple8b.op1_token_ids,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_top_k": topk.op10_top_k,
     "op11_alignment": alignment.op11_alignment,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_packing": packing.op13_packing,
 }
 
 ORACLE_SQL = {"op6_decontamination": decontamination.OP6_SQL, "op10_top_k": topk.OP10_SQL}

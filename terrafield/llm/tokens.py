@@ -278,3 +278,58 @@ def byte_counter(path: str, frequent: dict[str, int], key: str) -> ByteCounter:
         _counters.clear()
         _counters[path, key] = ByteCounter(path, frequent)
     return _counters[path, key]
+
+
+class ByteEncoder(ByteCounter):
+    """Ids of whole texts under a byte-level BPE, as little-endian unsigned 32-bit integers; its caches hold ids where a counter's hold lengths."""
+
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+        super().__init__(path, None, entries)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in _library_ids(self.tokenizer, texts)]
+
+    def _learn_one(self, chunk: str) -> bytes:
+        known = self.chunks.lift(chunk)
+        if known is None:
+            known = self._ids_of(chunk) if chunk.isascii() or _PLAIN.fullmatch(chunk) else self._whole([chunk])[0]
+            if len(chunk) <= LONGEST_KEPT:
+                self.chunks.new[chunk] = known
+        return known
+
+    def _piece_ids(self, piece: str) -> bytes:
+        known = self.pieces.new.get(piece)
+        if known is None and (known := self.pieces.lift(piece)) is None:
+            known = array("I", [t.id for t in _piece_tokens(self.tokenizer.model, piece)]).tobytes()
+            if len(piece) <= LONGEST_KEPT:
+                self.pieces.new[piece] = known
+        return known
+
+    def _ids_of(self, chunk: str) -> bytes:
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            return self._piece_ids(chunk)
+        return b"".join([self._piece_ids(p) for p in self.PIECES.findall(chunk)])
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        self.chunks.turn()
+        self.pieces.turn()
+        new, out = self.chunks.new, []
+        get = new.__getitem__
+        for text in texts:
+            chunks = self.chunks_of(text)
+            if chunks is None:
+                out.append(self._whole([text])[0])
+            elif _is_latin(text):
+                out.append(b"".join(map(get, chunks)))
+            else:  # what is not Latin goes to the library, a text's chunks at a time
+                strange = [c for c in set(chunks) if c not in new and self.chunks.lift(c) is None and not (c.isascii() or _PLAIN.fullmatch(c))]
+                found = dict(zip(strange, self._whole(strange)))
+                new.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST_KEPT)
+                out.append(b"".join([found[c] if c in found else new[c] for c in chunks]))
+        return out
+
+
+@lru_cache(maxsize=2)
+def byte_encoder(path: str) -> ByteEncoder:
+    """This worker's encoder: its cache lives on from task to task."""
+    return ByteEncoder(path)
