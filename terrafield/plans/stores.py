@@ -11,9 +11,9 @@ from ..operators import aggregate as A
 from ..operators import grid as G
 from ..operators import select as X
 from ..params import make_run_parameters, str_to_hash
-from ..sources import catalog, readers, sinks
+from ..sources import catalog, readers, records, sinks
 from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, written
 from .registry import query, r6
 
 CELL = A.CELL
@@ -158,6 +158,28 @@ def _(spark, sf):
     return readers.read_batches(spark, _patch_files(spark, sf), 5, 3).groupBy("batch").agg(F.count("*").alias("n")).select("n")
 
 
+def _record_files(spark, sf) -> str:
+    """The patches as record files, from the Parquet store of them."""
+    path = scratch(spark, "records")
+    records.write_examples(spark.read.parquet(_patch_files(spark, sf)).repartition(3), path)
+    return path
+
+
+_EXAMPLE = "y0 int, x0 int, patch array<float>"
+
+
+@query("k10_record_files", f"{_PATCHES} SELECT y0::INT AS y0, x0::INT AS x0, round(total, 3) AS total FROM p WHERE n = 16")
+def _(spark, sf):
+    rows = records.read_examples(spark, _record_files(spark, sf), _EXAMPLE)
+    return rows.select("y0", "x0", F.round(F.aggregate("patch", F.lit(0.0), lambda a, x: a + x.cast("double")), 3).alias("total"))
+
+
+@query("s17_record_batches", f"{_PATCHES}, c AS (SELECT count(*) AS k FROM p WHERE n = 16) SELECT least(5, k - 5 * b) AS n FROM c, (SELECT unnest(range(0, 1000)) AS b) WHERE 5 * b < k")
+def _(spark, sf):
+    rows = written(records.read_examples(spark, _record_files(spark, sf), _EXAMPLE, 4096), "examples")
+    return readers.shuffled_batches(rows, 5, 3).groupBy("batch").agg(F.count("*").alias("n")).select("n")
+
+
 @query("k11_store_copy", "SELECT r_regionkey AS key, r_name, 1 AS copied FROM region")
 def _(spark, sf):
     root = scratch(spark, "copies")

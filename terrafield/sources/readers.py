@@ -42,7 +42,11 @@ def read_batches(spark: SparkSession, path: str, size: int, seed: int = 0) -> Da
 
     The order is a hash of the patch and the seed; ranges of it are numbered side by side.
     """
-    rows = spark.read.parquet(path)
+    return shuffled_batches(spark.read.parquet(path), size, seed)
+
+
+def shuffled_batches(rows: DataFrame, size: int, seed: int = 0) -> DataFrame:
+    """Rows with a column ``patch`` in shuffled batches, as ``read_batches`` deals them."""
     keyed = rows.withColumn("shuffle", F.xxhash64(F.lit(seed), *[c for c in rows.columns if c != "patch"]))
     tasks = max(1, rows.count() // (64 * size))
     part = F.floor((F.shiftrightunsigned("shuffle", 33) * tasks) / F.lit(float(1 << 31))).cast("bigint")
