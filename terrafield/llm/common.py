@@ -107,3 +107,14 @@ def drop_scratch(df: DataFrame) -> None:
         if "/terrafield/" in folder:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
+
+
+def by_position(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by their places, for steps that names with points, or that differ in case alone, would upset."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
+def map_rows(df: DataFrame, function) -> DataFrame:
+    """``mapInArrow`` for a function that takes columns by place and hands all of them on."""
+    plain = by_position(df)
+    return plain.mapInArrow(function, plain.schema).toDF(*df.columns)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _PLAIN, materialise, plain_words, read_table
+from .common import _PLAIN, by_position, map_rows, materialise, plain_words, read_table
 
 WINDOW = 10
 #: Bytes of one broadcast set, as it is held by a worker: its arrays, and its words at ``WORD_BYTES`` each besides their letters.
@@ -136,17 +137,22 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, do
     hits nothing, and no documents give no rows. Texts of any length are scanned whole. Repeated
     documents are reported each, repeated items once; items with null ids count as one, named by
     the empty string. Columns are taken by name and others ignored, whatever they are called.
-    Beyond one set of ``set_bytes`` the documents are read once a set, and must give their
-    rows in the same order within partitions each time, as tables do.
+    Beyond one set of ``set_bytes`` the texts are written with a number a row, once, and that table is read
+    once a set, so sets agree on the rows whatever Spark does between them.
     """
-    return _found(docs, benchmark, window, doc_id, text, item_id, item_text, set_bytes).drop("uid")
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    sets = window_sets(benchmark, window, item_id, item_text, set_bytes)
+    first, second = next(sets), next(sets, None)
+    if second is not None:
+        rows = materialise(rows, "numbered-texts")
+    return _found(rows, chain([first], [second] if second is not None else [], sets)).drop("uid")
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, window: int, doc_id: str, text: str, item_id: str, item_text: str, set_bytes: int) -> DataFrame:
-    spark, kind = docs.sparkSession, docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _found(rows: DataFrame, sets: Iterable[WindowSet]) -> DataFrame:
+    """Rows (uid, doc_id, text) with their hits; the same rows for each set if there are several."""
+    spark, kind = rows.sparkSession, rows.schema["doc_id"].dataType.simpleString()
     schema, more, found, shared = f"uid bigint, doc_id {kind}, {SCHEMA}", None, None, None
-    for windows in window_sets(benchmark, window, item_id, item_text, set_bytes):
+    for windows in sets:
         if found is not None:  # another set: what was found with the one before is written, and that set dropped
             part = materialise(found, "windows")
             shared.destroy()
@@ -211,32 +217,36 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, r
 
     ``remove="documents"`` drops every document with a hit. ``remove="spans"`` keeps it and cuts
     each run of hit words (with what stands between them) out of its text. Null and empty texts are
-    kept, an empty benchmark removes nothing, and repeated documents are judged each.
+    kept, an empty benchmark removes nothing, and repeated documents are judged each. Texts of any length are
+    scanned whole. Other columns are handed on, whatever they are called.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    spark, schema, at = docs.sparkSession, docs.schema, docs.columns.index(text)
+    spark, at = docs.sparkSession, docs.columns.index(text)
     sets = window_sets(benchmark, window, item_id, item_text, set_bytes)
     windows = next(sets)
     following = next(sets, None)
     if following is not None and remove == "spans":  # all sets are looked for in the text as it was
-        found = _found(docs, benchmark, window, text, text, item_id, item_text, set_bytes).filter(F.size("items") > 0).select("uid", "hits")
-        numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("uid"))
-        joined = numbered.join(found, "uid", "left").select(F.col("hits").alias("_hits"), "row").select("_hits", "row.*")
+        row, names = by_position(docs), docs.columns
+        numbered = materialise(row.select(F.monotonically_increasing_id().alias("uid"), F.struct(*row.columns).alias("row")), "numbered-documents")
+        texts = numbered.select("uid", F.lit(None).cast("bigint").alias("doc_id"), F.col("row")[row.columns[at]].alias("text"))
+        found = _found(texts, chain([windows, following], sets)).filter(F.size("items") > 0).select("uid", "hits")
+        joined = numbered.join(found, "uid", "left").select("hits", "row")
 
         def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(at + 1).to_pylist()
+                columns = batch.column(1).flatten()
+                texts = columns[at].to_pylist()
                 for i, marks in enumerate(batch.column(0).to_pylist()):
                     if marks:
                         texts[i] = cut_spans(texts[i], np.unpackbits(np.frombuffer(marks, np.uint8), count=len(plain_words(texts[i]))).astype(bool))
-                columns = [pa.array(texts, c.type) if k == at else c for k, c in enumerate(batch.columns[1:])]
-                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+                columns[at] = pa.array(texts, columns[at].type)
+                yield pa.RecordBatch.from_arrays(columns, [f"_{k}" for k in range(len(columns))])
 
-        return joined.mapInArrow(cut, schema)
+        return joined.mapInArrow(cut, row.schema).toDF(*names)
     while True:
         shared = spark.sparkContext.broadcast(windows)
-        docs = docs.mapInArrow(_remover(shared, at, remove), schema)
+        docs = map_rows(docs, _remover(shared, at, remove))
         if following is None:
             return docs
         docs = materialise(docs, "decontaminated")

@@ -35,7 +35,7 @@ FREQUENT_WORDS = 1 << 19
 #: The filter: bits an entry, probes, the least count of a bigram, bytes of a part (what a worker holds), parts of a pass.
 BITS_PER_ENTRY = 12
 PROBES = 5
-LEAST_COUNT = 2
+LEAST_COUNT = 1
 PART_BYTES = 32 << 20
 PASS_PARTS = 16
 DISCOUNT = 0.75
@@ -50,8 +50,8 @@ SCORED_TOKENS = 1 << 18
 #: Words that a worker keeps numbered, some 150 bytes each.
 KEPT_WORDS = 250_000
 
-#: Counts at which a bigram reaches each level: 2 * 1.5**j, rounded up, as far as 64-bit counts of a corpus go.
-LEVELS = np.unique(np.ceil(2 * 1.5 ** np.arange(0, 90)).astype(np.float64)).astype(np.int64)
+#: Counts at which a bigram reaches each level: 1, then 2 * 1.5**j, rounded up, as far as 64-bit counts of a corpus go.
+LEVELS = np.unique(np.concatenate([[1.0], np.ceil(2 * 1.5 ** np.arange(0, 90))])).astype(np.int64)
 _VALUES = np.concatenate([[0], LEVELS]).astype(np.float64)
 
 
@@ -187,20 +187,16 @@ def vocabulary() -> Vocabulary:
     return Vocabulary()
 
 
-def _chunks(batches: Iterable[pa.RecordBatch], text: int, letters: int) -> Iterator[tuple[int, pa.RecordBatch, list[str | None]]]:
-    """Slices of the batches with the chunk of their rows. A chunk ends with the row that fills it; where batches are cut does not matter."""
-    chunk, size = TaskContext.get().partitionId() << 24, 0
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, list[str | None]]]:
+    """Slices of batches of (chunk, held_out, text), rows of a chunk following each other, with their chunk and texts."""
     for whole in batches:
         for start in range(0, whole.num_rows, 512):
             batch = whole.slice(start, 512)
-            texts, begin = batch.column(text).to_pylist(), 0
-            for i, t in enumerate(texts):
-                size += 64 + (len(t) if t else 0)
-                if size >= letters:
-                    yield chunk, batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-                    begin, chunk, size = i + 1, chunk + 1, 0
-            if begin < len(texts):
-                yield chunk, batch.slice(begin), texts[begin:]
+            chunks, texts = batch.column(0).to_numpy(), batch.column(2).to_pylist()
+            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(texts)]
+            for begin, end in zip(edges, edges[1:]):
+                if end > begin:
+                    yield int(chunks[begin]), batch.slice(begin, end - begin), texts[begin:end]
 
 
 def _small(counts: np.ndarray) -> bytes:
@@ -221,7 +217,7 @@ GATHERED = "bucket int, kind int, chunk bigint, hashes binary, counts binary, hi
 WORDS, BIGRAMS = 0, 1
 
 
-def _gather(buckets: int, chunk_letters: int):
+def _gather(buckets: int):
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words (kind 0, those of held-out texts with count 0) and training bigrams (kind 1) of each chunk, a row a bucket."""
         voc, held, train, now = vocabulary(), [], [], -1
@@ -260,7 +256,7 @@ def _gather(buckets: int, chunk_letters: int):
 
             yield cut(BIGRAMS, chunk, bucket[order], columns)
 
-        for chunk, part, texts in _chunks(batches, 2, chunk_letters):
+        for chunk, part, texts in _runs(batches):
             if chunk != now:
                 if held:
                     yield from flush(now)
@@ -279,7 +275,7 @@ def _gather(buckets: int, chunk_letters: int):
 MERGED = "bucket int, words binary, counts binary, chunks binary, sizes binary, asked binary, histories binary, masses binary, bits binary"
 
 
-def _merge(bits_per_entry: int):
+def _merge(bits_per_entry: int, least_count: int):
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a bucket: its words and counts, which chunks have them, masses taken of histories, and its segment of the filter.
 
@@ -304,7 +300,7 @@ def _merge(bits_per_entry: int):
             keys, history = keys[order], history[order]
             begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             times = np.add.reduceat(n[order], begins) if len(begins) else np.zeros(0, np.int64)
-            often = times >= LEAST_COUNT
+            often = times >= least_count
             keys, history, times = keys[begins[often]], history[begins[often]], times[often]
             level = np.searchsorted(LEVELS, times, side="right")
             holders, of = np.unique(history, return_inverse=True)
@@ -373,19 +369,19 @@ class Model:
         self.denominator = self.n_tokens + ALPHA * (self.n_types + 1)
 
 
-def learn(rows: DataFrame, bits_per_entry: int = BITS_PER_ENTRY, chunk_letters: int = CHUNK_LETTERS) -> tuple[Model, DataFrame, DataFrame]:
-    """A model of the rows (doc_id, held_out, text) that are not held out.
+def learn(dealt: DataFrame, bits_per_entry: int = BITS_PER_ENTRY, least_count: int = LEAST_COUNT) -> tuple[Model, DataFrame, DataFrame]:
+    """A model of those rows of ``deal``'s table that are not held out.
 
     Returns it with the table of merged buckets (the filter's segments among it) and the dictionary
     (chunk, hash, c, mass) of the words of each chunk, of any row, that are not in the model's own table.
     """
-    spark = rows.sparkSession
-    letters = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
+    spark = dealt.sparkSession
+    letters = dealt.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2 * tasks, letters // BUCKET_LETTERS)
-    gathered = rows.select("doc_id", "held_out", "text").mapInArrow(_gather(buckets, chunk_letters), GATHERED)
+    gathered = dealt.select("chunk", "held_out", "text").mapInArrow(_gather(buckets), GATHERED)
     gathered = gathered.repartition(max(tasks, buckets // 8), "bucket").sortWithinPartitions("bucket", "kind")
-    merged = materialise(gathered.mapInArrow(_merge(bits_per_entry), MERGED), "lm-merged")
+    merged = materialise(gathered.mapInArrow(_merge(bits_per_entry, least_count), MERGED), "lm-merged")
     clear_shuffles(spark)
     counts = merged.select("words", "counts").mapInArrow(_unpacked({"hash": "<i8", "c": "<i8"}), "hash bigint, c bigint").filter("c > 0")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -446,7 +442,7 @@ def _score(shared, parts: list):
                 count[left[hit]], mass[left[hit]] = c[at[hit]], m[at[hit]]
                 left = left[~hit]
             if len(left):
-                raise RuntimeError("the texts were read in another order than when they were counted: write them to a table first")
+                raise RuntimeError("a word of the texts was not counted")
             return count, mass
 
         def piece(part: pa.Table) -> list:
@@ -495,19 +491,32 @@ def forget(shared) -> None:
     shared.__dict__.pop("_value", None)
 
 
-def _deal(chunk_letters: int):
-    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows with their chunk, as they were counted, and a number of their own."""
-        uid = TaskContext.get().partitionId() << 40
-        for chunk, part, _ in _chunks(batches, 2, chunk_letters):
-            n = part.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(uid, uid + n)), *part.columns], ["chunk", "uid", "doc_id", "held_out", "text"])
-            uid += n
+def deal(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: str = "text", chunk_letters: int = CHUNK_LETTERS) -> DataFrame:
+    """The rows as a table (chunk, uid, doc_id, held_out, text), written once: every pass reads the same chunks and numbers, however it is split.
 
-    return deal
+    A chunk is rows of one task that follow each other, and ends with the row that fills it.
+    """
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        chunk, uid, size = task << 24, task << 40, 0
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                part, chunks = whole.slice(start, 512), []
+                for t in part.column(2).to_pylist():
+                    chunks.append(chunk)
+                    size += 64 + (len(t) if t else 0)
+                    if size >= chunk_letters:
+                        chunk, size = chunk + 1, 0
+                yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(np.arange(uid, uid + part.num_rows)), *part.columns], ["chunk", "uid", "doc_id", "held_out", "text"])
+                uid += part.num_rows
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), F.col(text).alias("text"))
+    return materialise(rows.mapInArrow(number, f"chunk bigint, uid bigint, doc_id {kind}, held_out boolean, text string"), "lm-texts")
 
 
-def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: str = "text", bits_per_entry: int = BITS_PER_ENTRY, part_bytes: int = PART_BYTES, pass_parts: int = PASS_PARTS, chunk_letters: int = CHUNK_LETTERS) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: str = "text", bits_per_entry: int = BITS_PER_ENTRY, part_bytes: int = PART_BYTES, pass_parts: int = PASS_PARTS, chunk_letters: int = CHUNK_LETTERS, least_count: int = LEAST_COUNT) -> DataFrame:
     """Scores of every row by a model of the rows that are not held out.
 
     Returns doc_id, held_out, n_tokens (with the end token), n_known (tokens that training texts
@@ -516,14 +525,13 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
     Repeated rows are learned from and scored each, equal texts get equal scores, and texts of any
     length are scored whole. Without training rows every token has probability one, and an empty table
     gives an empty one. Columns are taken by name and others ignored, whatever they are called.
-    ``docs`` is read more than once and must give its rows in the same order within its
-    partitions, as tables do; otherwise an error says so.
+    ``docs`` is read once and written with a number a row, so passes agree whatever Spark does between them.
+    Bigrams that occur fewer than ``least_count`` times in training texts score as unseen.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id, folds).alias("held_out"), F.col(text).alias("text"))
-    model, merged, dictionary = learn(rows, bits_per_entry, chunk_letters)
+    dealt = deal(docs, folds, doc_id, text, chunk_letters)
+    model, merged, dictionary = learn(dealt, bits_per_entry, least_count)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    dealt = rows.mapInArrow(_deal(chunk_letters), f"chunk bigint, uid bigint, doc_id {kind}, held_out boolean, text string")
     # Some tasks a chunk, so that few chunks share one.
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 3 * (model.letters // chunk_letters + 1))
     dictionary = materialise(dictionary, "lm-dictionary")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table, space_words
+from .common import by_position, materialise, read_table, space_words
 from .components import connected_components
 
 BITS = 64
@@ -255,13 +255,14 @@ def deduplicate(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "doc_id
     """The documents of which ``doc_id`` is their component's least: one of each group stays, with its own columns.
 
     Repeated rows of that id all stay; rows without an id stay; an empty table stays empty. Null and
-    empty texts are one group.
+    empty texts are one group, texts of any length count whole, and other columns may be called what they like.
     """
     found = near_duplicates(docs, distance, doc_id, text)
     drop = materialise(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct(), "duplicates")
     if drop.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         drop = F.broadcast(drop)  # else the texts are shuffled to meet it
-    return docs.join(drop, doc_id, "left_anti").select(docs.columns)
+    plain, key = by_position(docs), f"_{docs.columns.index(doc_id)}"
+    return plain.join(drop.toDF(key), key, "left_anti").select(plain.columns).toDF(*docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

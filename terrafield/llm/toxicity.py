@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table
+from .common import map_rows, materialise, read_table
 
 #: Most labelled rows that a model is fitted on, taken by the hash of their doc_id, and about how many letters they have.
 TRAIN_ROWS = 12_000
@@ -431,7 +431,10 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 
 def reject_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The documents that score under the threshold, with their own columns; null and empty texts stay, and an empty table stays empty."""
+    """The documents that score under the threshold, with their own columns, whatever these are called.
+
+    Null and empty texts stay, texts of any length are scored whole, repeated rows are judged each, and an empty table stays empty.
+    """
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,7 +444,7 @@ def reject_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: f
                 part = batch.slice(i, 1000)
                 yield part.filter(pa.array([own.score(t) < threshold for t in part.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -341,8 +341,7 @@ def test_language_model(make_docs):
 def test_language_model_is_a_distribution(make_docs):
     """Over all known words and the unknown ones' share, the probabilities after a history sum to one."""
     rows = [(i, "the cat sat on the mat the cat ran") for i in range(1, 60)]
-    docs = make_docs(rows).selectExpr("doc_id", "false as held_out", "text")
-    model, merged, _ = lm_score.learn(docs, bits_per_entry=64)
+    model, merged, _ = lm_score.learn(lm_score.deal(make_docs(rows), folds=1 << 30), bits_per_entry=64)
     ((part,),) = lm_score._passes(merged, model.buckets, 1 << 20, 4)
     at = int(np.searchsorted(model.hashes, np.uint64(lm_score.word_hash(b"the"))))
     keys = lm_score.bigram_keys(np.repeat(model.hashes[at], len(model.hashes)), model.hashes)
@@ -371,13 +370,13 @@ def model_rows():
     return [(i, " ".join(words[min(49, int(rng.expovariate(0.15)))] for _ in range(rng.randint(0, 30)))) for i in range(200)]
 
 
-def brute_scores(rows):
+def brute_scores(rows, least=1):
     """Discounted bigrams of all histories, quantised to levels; log10 of each text's probability."""
     tokens = lambda t: ["\n", *re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"]
     held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 10 == 0}
     counts = Counter(x for i, t in rows if i not in held for x in tokens(t)[1:])
     pairs = Counter(p for i, t in rows if i not in held for p in zip(tokens(t), tokens(t)[1:]))
-    q = {p: max(x for x in lm_score.LEVELS.tolist() if x <= n) for p, n in pairs.items() if n >= 2}
+    q = {p: max(x for x in lm_score.LEVELS.tolist() if x <= n) for p, n in pairs.items() if n >= least}
     mass = Counter()
     for (h, _), n in q.items():
         mass[h] += n - 0.75
@@ -388,9 +387,79 @@ def brute_scores(rows):
 
 def test_scores_equal_brute_force(make_docs):
     rows = model_rows()
-    got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), bits_per_entry=64).collect()}
+    for least in (1, 2):
+        got = {r.doc_id: r.score for r in lm_score.lm_scores(make_docs(rows), bits_per_entry=64, least_count=least).collect()}
+        assert got == pytest.approx(brute_scores(rows, least), abs=1e-6)
+
+
+@pytest.fixture
+def split_otherwise(spark, monkeypatch):
+    """Has Spark split tables otherwise after each table that an operator writes and each set it makes."""
+    settings = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    turn = iter(range(1000))
+
+    def change():
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << (11 + 3 * (next(turn) % 3))))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    def after(module, name):
+        whole = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, **b: (whole(*a, **b), change())[0])
+
+    after(lm_score, "materialise")
+    after(decontamination, "materialise")
+    sets = decontamination.window_sets
+    monkeypatch.setattr(decontamination, "window_sets", lambda *a, **b: (x for x in sets(*a, **b) if change() is None))
+    change()
+    yield
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
+def test_passes_agree_however_tables_are_split(spark, make_docs, monkeypatch, tmp_path, split_otherwise):
+    rows = model_rows()
+    make_docs(rows).repartition(7).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    monkeypatch.setattr(lm_score, "BUCKET_LETTERS", 1000)
+    got = {r.doc_id: r.score for r in lm_score.lm_scores(docs, bits_per_entry=64, part_bytes=400, pass_parts=2, chunk_letters=700).collect()}
     assert got == pytest.approx(brute_scores(rows), abs=1e-6)
 
+    items = [(k, f"item {k} asks what number {k} times {k} makes and why it does") for k in range(40)]
+    texts = [(i, f"some words and {items[i % 40][1]} then more" if i % 3 == 0 else f"nothing of the kind {i}") for i in range(300)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    make_docs(texts).repartition(7).write.parquet(f"{tmp_path}/texts")
+    docs = spark.read.parquet(f"{tmp_path}/texts")
+    assert len(list(decontamination.window_sets(benchmark, set_bytes=5000))) > 2
+    want = sorted(map(tuple, decontamination.report(decontamination.find_windows(docs, benchmark)).collect()))
+    assert sum(r[5] for r in want) == 100
+    assert sorted(map(tuple, decontamination.report(decontamination.find_windows(docs, benchmark, set_bytes=5000)).collect())) == want
+    cut = {r.doc_id: r.text for r in decontamination.decontaminate(docs, benchmark, remove="spans", set_bytes=5000).collect()}
+    assert cut == {r.doc_id: r.text for r in decontamination.decontaminate(docs, benchmark, remove="spans").collect()}
+
+
+@pytest.mark.parametrize("set_bytes", [decontamination.SET_BYTES, 5000])
+def test_columns_are_handed_on_whatever_they_are_called(spark, set_bytes):
+    """Names with points, names that differ in case alone, names that operators use themselves."""
+    from terrafield.llm import simhash
+
+    items = [(k, f"item {k} asks what number {k} times {k} makes and why it does") for k in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(i, items[i][1] if i % 2 else f"clean text {i} {'x' * i}", "p", "q", "r", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `a.b` string, _hits string, hits string, uid int")
+    if set_bytes == 5000:
+        assert len(list(decontamination.window_sets(benchmark, set_bytes=set_bytes))) > 1
+    for remove, n in (("documents", 15), ("spans", 30)):
+        out = decontamination.decontaminate(docs, benchmark, remove=remove, set_bytes=set_bytes)
+        assert out.columns == docs.columns and out.schema == docs.schema
+        assert len(got := out.collect()) == n and all(tuple(r)[2:] == ("p", "q", "r", 1) for r in got)
+    model = toxicity.fit([("fine words", 0), ("bad words", 1)])
+    assert toxicity.reject_toxic(docs, model).columns == docs.columns
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns and kept.count() > 0
+    twins = docs.toDF("doc_id", "text", "a.b", "same", "Same", "uid")
+    assert toxicity.reject_toxic(twins, model).columns == twins.columns
+    assert decontamination.decontaminate(twins, benchmark).count() == 15
+
 
 def test_no_table_size_changes_a_score(make_docs, monkeypatch):
     """Few words broadcast, many small chunks, a filter of many parts, several passes: each bigram of each history still counts."""
