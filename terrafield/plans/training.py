@@ -24,8 +24,8 @@ def _monthly(spark, sf):
 
 
 _LINEAR_SQL = f"""WITH RECURSIVE {OBS}, {CELLS}, m AS (SELECT date_trunc('month', time)::DATE AS time, lat_i, lon_i, sum(pr) AS pr FROM obs GROUP BY date_trunc('month', time), lat_i, lon_i),
-q AS (SELECT time, lat_i // 2 AS by, lon_i // 2 AS bx, sum(pr) AS block FROM m GROUP BY ALL HAVING count(*) = 4),
-d AS (SELECT (pr / 1000)::FLOAT::DOUBLE AS y, (block / 4000)::FLOAT::DOUBLE AS x1, (elev / 10000)::FLOAT::DOUBLE AS x2 FROM m JOIN q ON q.time = m.time AND by = lat_i // 2 AND bx = lon_i // 2 JOIN cells USING (lat_i, lon_i)),
+q AS (SELECT time, lat_i // 2 AS qy, lon_i // 2 AS qx, sum(pr) AS block FROM m GROUP BY ALL HAVING count(*) = 4),
+d AS (SELECT (pr / 1000)::FLOAT::DOUBLE AS y, (block / 4000)::FLOAT::DOUBLE AS x1, (elev / 10000)::FLOAT::DOUBLE AS x2 FROM m JOIN q ON q.time = m.time AND qy = lat_i // 2 AND qx = lon_i // 2 JOIN cells USING (lat_i, lon_i)),
 s AS (SELECT count(*)::DOUBLE AS n, sum(x1 * x1) AS a11, sum(x1 * x2) AS a12, sum(x2 * x2) AS a22, sum(x1) AS a1, sum(x2) AS a2, sum(x1 * y) AS c1, sum(x2 * y) AS c2, sum(y) AS c, sum(y * y) AS yy FROM d),
 t AS (SELECT 0 AS step, 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS b, 0::DOUBLE AS v1, 0::DOUBLE AS v2, 0::DOUBLE AS vb UNION ALL
  SELECT step + 1, w1 + n1, w2 + n2, b + nb, n1, n2, nb FROM (SELECT t.*, {MOMENTUM} * v1 - {RATE} * 2 / n * (w1 * a11 + w2 * a12 + b * a1 - c1) AS n1, {MOMENTUM} * v2 - {RATE} * 2 / n * (w1 * a12 + w2 * a22 + b * a2 - c2) AS n2,
