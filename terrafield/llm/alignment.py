@@ -41,14 +41,18 @@ def stretches(text: str) -> list[str]:
     words = text.split(" ")
     if text.isprintable() and "" not in words:
         return words
-    out, parts = [], words[:1]
-    for before, word in zip(words, words[1:]):
-        if before and word and before[-1].isprintable() and word[0].isprintable():
-            out.append(" ".join(parts))
-            parts = [word]
-        else:
-            parts.append(word)
-    return [*out, " ".join(parts)]
+    odd = [i for i, w in enumerate(words) if not w or not w.isprintable()]
+    glued = {i for i in odd if not words[i] or not words[i][0].isprintable()} | {i + 1 for i in odd if not words[i] or not words[i][-1].isprintable()}
+    glued -= {0, len(words)}  # words that stay with the one before them
+    out, at = [], 0
+    for i in sorted(glued):
+        if i >= at:
+            last = i
+            while last + 1 in glued:
+                last += 1
+            out += [*words[at : i - 1], " ".join(words[i - 1 : last + 1])]
+            at = last + 1
+    return out + words[at:]
 
 
 class Pair:
@@ -126,21 +130,21 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch_of()
 
 
-_tables: dict[str, dict] = {}
+_tables: dict[str, object] = {}
 
 
-def _numbers_of(key: str, names: list[str]) -> dict[str, int]:
-    """This worker's table of frequent stretches, made once."""
+def _table(key: str, make):
+    """This worker's copy of a broadcast table in the form it is looked up in, made once."""
     if key not in _tables:
         _tables.clear()
-        _tables[key] = {s: i for i, s in enumerate(names)}
+        _tables[key] = make()
     return _tables[key]
 
 
 def _numberer(shared, key: str):
     def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each text's stretches as numbers: of the frequent table, or -1 - k for the k-th of its others."""
-        get = _numbers_of(key, shared.value).get
+        get = _table(key, lambda: {s: i for i, s in enumerate(shared.value)}).get
         for batch in batches:
             for part, texts in pieces(batch, 2):
                 numbers, others = [], []
@@ -168,26 +172,30 @@ def _unnumberer(shared):
     return restore
 
 
-def group_string(rows: list[dict]) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of rows (a, b, g) in order of their ends, a null where no token of that side ends."""
-    out, a, b, at = [], [], [], None
-    for r in rows:
-        if r["g"] != at and at is not None:
-            out.append(",".join(a) + "|" + ",".join(b))
-            a, b = [], []
-        at = r["g"]
-        if r["a"] is not None:
-            a.append(str(r["a"]))
-        if r["b"] is not None:
-            b.append(str(r["b"]))
-    return ";".join([*out, ",".join(a) + "|" + ",".join(b)]) if rows else ""
+def group_strings(rows: pa.ListArray) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` for each list of (a, b, g) from the last end back, a null where no token of that side ends."""
+    sizes = np.diff(rows.offsets.to_numpy())
+    a, b, g = rows.values.slice(rows.offsets[0].as_py(), int(sizes.sum())).flatten()
+    row, g = np.repeat(np.arange(len(sizes)), sizes), g.to_numpy()
+    parts = []
+    for side, ids in enumerate((a, b)):
+        here = np.flatnonzero(ids.is_valid().to_numpy(False))
+        parts.append((row[here], -g[here], np.full(len(here), side), -here, ids.drop_null().to_numpy()))
+    row, g, side, place, ids = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((place, side, g, row))
+    row, g, side, ids = row[order], g[order], side[order], ids[order]
+    between = np.where(row[1:] != row[:-1], "\n", np.where(g[1:] != g[:-1], ";", np.where(side[1:] != side[:-1], "|", ",")))
+    text = [""] * (2 * len(ids))
+    text[0::2], text[1::2] = map(str, ids.tolist()), [*between.tolist(), ""] if len(ids) else []
+    made = iter("".join(text).split("\n"))
+    return [next(made) if n else "" for n in sizes.tolist()]
 
 
 def _write_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(0, batch.num_rows, 2048):
-            part = batch.slice(i, 2048)
-            yield part.set_column(part.num_columns - 1, "groups", pa.array([group_string(rows[::-1]) if rows else "" for rows in part.column(part.num_columns - 1).to_pylist()], pa.string()))
+        for i in range(0, batch.num_rows, 4096):
+            part = batch.slice(i, 4096)
+            yield part.set_column(part.num_columns - 1, "groups", pa.array(group_strings(part.column(part.num_columns - 1)), pa.string()))
 
 
 @contextmanager
@@ -243,6 +251,11 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     no part in the counts. Texts of any length are aligned whole; repeated rows count each; null ids stay null; an
     empty table gives empty ones. Columns are taken by name (names must differ beyond case), others ignored.
     """
+    with _settings(docs.sparkSession, **{"spark.sql.parquet.compression.codec": "zstd"}):
+        return _align(docs, path_a, path_b, doc_id, text, frequent, broadcast_pairs)
+
+
+def _align(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, frequent: int, broadcast_pairs: int) -> Alignment:
     spark, kind = docs.sparkSession, docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     counted = rows.select("text").mapInArrow(_count, "stretch string, n bigint").groupBy("stretch").agg(F.sum("n").alias("n"))
@@ -251,8 +264,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     clear_shuffles(spark)
 
     # At most ``frequent`` rows of at most LONGEST_KEPT letters come to the driver.
-    top = at_most(encoded.filter(F.length("stretch") <= LONGEST_KEPT), "n", frequent).select("cid", "stretch", "ok").collect()
-    names = spark.sparkContext.broadcast([r.stretch for r in top])
+    top = at_most(encoded.filter(F.length("stretch") <= LONGEST_KEPT), "n", frequent).select("cid", "stretch", "ok").toArrow()
+    names = spark.sparkContext.broadcast(top["stretch"].to_pylist())
     numbered = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text").mapInArrow(_numberer(names, uuid.uuid4().hex), f"uid bigint, doc_id {kind}, numbers array<int>, others array<string>")
     numbered = materialise(numbered, "numbered-stretches")
 
@@ -260,7 +273,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     sources = encoded
     if not bad.isEmpty():  # what stands beside them in their texts does not count
         within = numbered.select("uid", F.explode("others").alias("stretch")).join(bad, "stretch", "left_semi").select("uid")
-        if bad_numbers := [i for i, r in enumerate(top) if not r.ok]:
+        if bad_numbers := np.flatnonzero(~top["ok"].to_numpy()).tolist():
             within = within.union(numbered.filter(F.arrays_overlap("numbers", F.array(*map(F.lit, bad_numbers)))).select("uid"))
         spoiled = numbered.join(within.distinct(), "uid", "left_semi").select("numbers", "others").mapInArrow(_unnumberer(names), "stretch string, n bigint")
         less = spoiled.groupBy("stretch").agg(F.sum("n").alias("less"))
@@ -287,51 +300,60 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     scores = pairs.select("link", "count", "best")
     scores = F.broadcast(scores) if pairs.count() <= broadcast_pairs else scores
     summed = links.join(scores, "link").groupBy("cid").agg(F.sum("count").alias("count_sum"), F.count_if("best").alias("n_best"))
-    per = grouped.drop("links").join(summed, "cid", "left").select("cid", "stretch", "ok", *[F.coalesce(c, F.lit(0)).alias(c) for c in SUMS], "groups")
-    per = materialise(per, "stretch-scores")
+    # A stretch's sums and groups as one string, which shuffles at half the size of a row of numbers; a leading 1 tells one that does not come back.
+    per = grouped.drop("links").join(summed, "cid", "left")
+    packed = F.concat_ws(" ", (~F.col("ok")).cast("int").cast("string"), *[F.coalesce(c, F.lit(0)).cast("string") for c in SUMS], "groups")
+    per = materialise(per.select("cid", "stretch", packed.alias("packed")), "stretch-scores")
     drop_scratch(grouped)
     clear_shuffles(spark)
 
-    place = {r.cid: i for i, r in enumerate(top)}
-    known = spark.createDataFrame([(r.cid, i) for i, r in enumerate(top)], "cid bigint, number int") if top else None
-    sums, groups = np.zeros((len(place), len(SUMS) + 1), np.int64), [""] * len(place)
-    if known is not None:
-        for r in per.join(F.broadcast(known), "cid").collect():  # at most ``frequent`` rows
-            sums[r.number] = [*(r[c] for c in SUMS), not r.ok]
-            groups[r.number] = r.groups
-    shared = spark.sparkContext.broadcast((sums, groups))
+    sums, groups, others = np.zeros((top.num_rows, len(SUMS) + 1), np.int64), [], per
+    if top.num_rows:
+        known = F.broadcast(spark.createDataFrame(pa.table({"cid": top["cid"], "number": pa.array(range(top.num_rows), pa.int32())})))
+        found = per.join(known, "cid").select("number", "packed").toArrow().sort_by("number")  # a row a frequent stretch
+        for i, x in enumerate(found["packed"].to_pylist()):
+            sums[i], text = _unpacked(x)
+            groups.append(text)
+        others = per.join(known, "cid", "left_anti")
+    shared = spark.sparkContext.broadcast((sums, pa.array(groups, pa.string())))
+    key = uuid.uuid4().hex
     wanted = numbered.select("uid", F.posexplode("others").alias("k", "stretch"))
-    rare = wanted.join(per.drop("cid"), "stretch").groupBy("uid").agg(F.collect_list(F.struct("k", *SUMS, F.expr("cast(not ok as bigint)").alias("bad"), "groups")).alias("others"))
+    rare = wanted.join(others, "stretch").groupBy("uid").agg(F.collect_list(F.concat_ws(" ", "k", "packed")).alias("others"))
     together = numbered.select("uid", "doc_id", "numbers").join(rare, "uid", "left").select("doc_id", "numbers", "others")
-    documents = together.mapInArrow(_composer(shared), f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in SUMS) + ", groups string")
+    documents = together.mapInArrow(_composer(shared, key), f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in SUMS) + ", groups string")
     return Alignment(documents, pairs.select("a", "b", "count", "best"))
 
 
-def _composer(shared):
+def _unpacked(packed: str) -> tuple[list[int], str]:
+    """The numbers of a stretch, whether it does not come back first, and its groups."""
+    *numbers, groups = packed.split(" ", len(SUMS) + 1)
+    return list(map(int, numbers)), groups
+
+
+def _composer(shared, key: str):
     def compose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, groups = shared.value
+        sums = shared.value[0]
+        groups = _table(key, lambda: shared.value[1].to_pylist())
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 totals, texts = np.zeros((part.num_rows, len(SUMS)), np.int64), []
                 for row in range(part.num_rows):
                     numbers = part.column(1)[row].values.to_numpy()
-                    others = part.column(2)[row]
+                    others = part.column(2)[row].as_py()
                     total = sums[numbers[numbers >= 0]].sum(axis=0)
-                    names: list = groups
-                    if others.is_valid and len(others.values):
-                        k, *values, strings = others.values.flatten()
-                        k, strings = k.to_numpy(), strings.to_pylist()
-                        each = np.stack([v.to_numpy() for v in values], axis=1)
-                        order = np.empty(len(k), np.int64)
-                        order[k] = np.arange(len(k))
-                        total = total + each[order[-1 - numbers[numbers < 0]]].sum(axis=0)
-                        rest = [strings[j] for j in order.tolist()]
-                        made = [names[n] if n >= 0 else rest[-1 - n] for n in numbers.tolist()]
+                    if others:
+                        rest: list[str] = [""] * len(others)
+                        each = np.zeros((len(others), len(SUMS) + 1), np.int64)
+                        for x in others:
+                            k, x = x.split(" ", 1)
+                            each[int(k)], rest[int(k)] = _unpacked(x)
+                        total = total + each[-1 - numbers[numbers < 0]].sum(axis=0)
+                        made = [groups[n] if n >= 0 else rest[-1 - n] for n in numbers.tolist()]
                     else:
-                        made = [names[n] for n in numbers.tolist()]
-                    good = len(numbers) and not total[-1]
-                    totals[row] = total[:-1] if good else 0
+                        made = [groups[n] for n in numbers.tolist()]
+                    good = len(numbers) and not total[0]
+                    totals[row] = total[1:] if good else 0
                     texts.append(";".join(made) if good else "")
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(totals[:, c]) for c in range(len(SUMS))], pa.array(texts, pa.string())], ["doc_id", *SUMS, "groups"])
 
