@@ -14,7 +14,7 @@ dense ball of near copies the pigeonhole join need not repeat links already know
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_position, materialise, read_table, space_words
+from .common import by_position, clear_shuffles, materialise, read_table, space_words
 from .components import connected_components
 
 BITS = 64
@@ -186,11 +186,12 @@ def _keys_of(part: int, key):
     return lambda flip: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(flip).alias("key"))
 
 
-def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], distance: int = DISTANCE) -> DataFrame:
-    """Links (a, b) between fingerprints within ``distance`` whose ``known`` labels differ.
+def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], distance: int = DISTANCE, node: str = "fp", sketch: Sequence[str] = (), sketch_distance: int = 0) -> DataFrame:
+    """Links (a, b) between nodes whose fingerprints are within ``distance`` and whose ``known`` labels differ.
 
-    ``distinct`` has fp and known. One row per partition is looked up in by one row per partition
-    and key within its threshold; the join itself verifies, so no candidate leaves it unverified.
+    ``distinct`` has fp, known and the node (the fingerprint itself, or a column of its own). One row per partition is looked up in by one row
+    per partition and key within its threshold; the join itself verifies, so no candidate leaves it unverified.
+    With ``sketch`` (columns of 64 bits) those must differ in ``sketch_distance`` bits at most as well.
     """
     index, probe = [], []
     for k, (bits, threshold) in enumerate(parts):
@@ -201,14 +202,29 @@ def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], dis
         index.append(F.struct(F.lit(k).alias("part"), key.alias("key")))
         flips = [_mask(c) for t in range(threshold + 1) for c in combinations(bits, t)]
         probe.append(F.transform(F.array(*[F.lit(_signed(f)) for f in flips]), _keys_of(k, key)))
-    x = distinct.select(F.col("fp").alias("b"), F.col("known").alias("known_b"), F.explode(F.array(*index)).alias("at")).select("b", "known_b", "at.part", "at.key")
-    q = distinct.select(F.col("fp").alias("a"), F.col("known").alias("known_a"), F.explode(F.concat(*probe)).alias("at")).select("a", "known_a", "at.part", "at.key")
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance) & (F.col("known_a") != F.col("known_b"))
-    q, x = q.alias("q"), x.alias("x")
+
+    def side(x: str, at) -> DataFrame:
+        own = [] if node == "fp" else [F.col("fp").alias(f"fp_{x}")]
+        named = [F.col(node).alias(x), F.col("known").alias(f"known_{x}"), *own, *[F.col(c).alias(f"{c}_{x}") for c in sketch]]
+        return distinct.select(*named, F.explode(at).alias("at")).select("*", "at.part", "at.key").drop("at")
+
+    fp = (lambda x: F.col(x)) if node == "fp" else (lambda x: F.col(f"fp_{x}"))
+    near = (F.col("a") < F.col("b")) & (F.bit_count(fp("a").bitwiseXOR(fp("b"))) <= distance) & (F.col("known_a") != F.col("known_b"))
+    if sketch:
+        near &= _sketches_near(sketch, sketch_distance)
+    q, x = side("a", F.concat(*probe)).alias("q"), side("b", F.array(*index)).alias("x")
     found = q.hint("merge").join(x, (F.col("q.part") == F.col("x.part")) & (F.col("q.key") == F.col("x.key")) & near)
     return found.select("a", "b")
 
 
+def _sketches_near(sketch: Sequence[str], most: int):
+    """Whether the sketches of sides a and b differ in so many bits at most."""
+    differ = F.lit(0)
+    for c in sketch:
+        differ = differ + F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    return differ <= most
+
+
 def one_bit_links(distinct: DataFrame) -> DataFrame:
     """Links between fingerprints that differ in one bit: with that bit cleared both give one key, and nothing else does."""
     masks = F.array(*[F.struct(F.lit(b).alias("bit"), F.lit(_signed(((1 << 64) - 1) ^ (1 << b))).alias("mask")) for b in range(BITS)])
@@ -251,13 +267,134 @@ def link_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, distance: int = DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents of which ``doc_id`` is their component's least: one of each group stays, with its own columns.
+# ---------------------------------------------------------------- similar texts
+
+#: Fingerprints of similar texts: words of a shingle, a seed each, and the bits that two may differ in. Pairs of words, since an edit changes fewer of them.
+SIMILAR_SHINGLE = 2
+SIMILAR_SEEDS = (42, 43)
+SIMILAR_DISTANCE = 6
+#: The sketch that verifies: one bit each of so many least hashes of five-word shingles. Texts of similarity s differ in a share (1 - s) / 2 of them.
+SKETCH_SHINGLE = 5
+SKETCH = ("m0", "m1")
+SIMILARITY = 0.8
+#: Standard deviations of the sketch's bits that are allowed for.
+SLACK = 1.0
+
+
+def sketch_distance(similarity: float = SIMILARITY, slack: float = SLACK) -> int:
+    """The bits in which the sketches of texts of this similarity differ, and as many standard deviations more."""
+    share, n = (1 - similarity) / 2, BITS * len(SKETCH)
+    return math.floor(n * share + slack * math.sqrt(n * share * (1 - share)))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit numbers (splitmix64's finish)."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def _shingles(words: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """A hash of each run of ``n`` word hashes, or of all of them if there are fewer."""
+    n = min(n, len(words))
+    out = np.full(len(words) - n + 1, seed, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            out = _mixed((out + np.uint64(0x9E3779B97F4A7C15)) ^ words[k : k + len(out)])
+    return out
+
+
+_FACTORS = (_mixed(np.arange(1, 1 + BITS * len(SKETCH), dtype=np.uint64)) | np.uint64(1))[:, None]
+
+
+def similar_prints(text: str | None) -> tuple[list[int], list[int]]:
+    """The fingerprints of a text, one a seed, and its sketch; zeros without words."""
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    words = np.array([digest(w, SEED) for w in space_words(text)], np.uint64)
+    if not len(words):
+        return [0] * len(SIMILAR_SEEDS), [0] * len(SKETCH)
+    prints = []
+    for seed in SIMILAR_SEEDS:
+        hashes, counts = _shingles(words, SIMILAR_SHINGLE, seed), np.zeros(BITS, np.int64)
+        for i in range(0, len(hashes), 1 << 16):
+            counts += np.unpackbits(hashes[i : i + (1 << 16)].astype("<u8").view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+        prints.append(int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0]))
+    hashes, least = _shingles(words, SKETCH_SHINGLE, SEED), np.full(len(_FACTORS), (1 << 64) - 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(hashes), 2048):
+            least = np.minimum(least, (hashes[None, i : i + 2048] * _FACTORS).min(axis=1))
+    bits = (_mixed(least) & np.uint64(1)).astype(np.uint8)
+    return prints, np.packbits(bits, bitorder="little").view("<u8").tolist()
+
+
+def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, distance: int = SIMILAR_DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and component_id (least doc_id reachable) of every row: texts of about this similarity on five-word shingles are linked.
+
+    Two texts are linked if one of their fingerprints is within ``distance`` and their sketches agree. Both fingerprints go through the generalised
+    pigeonhole by a plan of their own. Texts alike in all bits are copies and one node; equal and one-bit neighbours are verified and
+    joined first, so a dense group of near copies is not paired out. Null and empty texts are alike; texts of any length count whole;
+    a component whose ids are all null has a null id; an empty table gives an empty one.
+    """
+    names = [f"f{i}" for i in range(len(SIMILAR_SEEDS))]
+    most = sketch_distance(similarity)
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(*f, *m) for f, m in map(similar_prints, batch.column(1).to_pylist())]
+            table = np.array(found, np.uint64).reshape(len(found), len(names) + len(SKETCH)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(table[:, k]) for k in range(table.shape[1])]], ["doc_id", *names, *SKETCH])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    scanned = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(scan, f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in (*names, *SKETCH)))
+    prints = materialise(scanned.withColumn("node", F.xxhash64(*names, *SKETCH)), "similar-prints")
+    nodes = materialise(prints.groupBy("node").agg(*[F.min(c).alias(c) for c in (*names, *SKETCH)], F.min("doc_id").alias("least")), "similar-nodes")
+
+    def sides(pairs: DataFrame, by: str) -> DataFrame:
+        """Pairs of fingerprints as pairs of their least nodes, verified."""
+        least = nodes.groupBy(F.col(by).alias("fp")).agg(F.min_by(F.struct("node", *SKETCH), "node").alias("n"))
+        of = lambda x: least.select(F.col("fp").alias(x), F.col("n.node").alias(f"n{x}"), *[F.col(f"n.{c}").alias(f"{c}_{x}") for c in SKETCH])
+        return pairs.join(of("a"), "a").join(of("b"), "b").filter(_sketches_near(SKETCH, most)).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+
+    close = None
+    for name in names:
+        distinct = nodes.select(F.col(name).alias("fp")).distinct()
+        least = nodes.groupBy(name).agg(F.min_by(F.struct("node", *SKETCH), "node").alias("n"))
+        same = nodes.join(least, name).select(F.col("node").alias("a"), F.col("n.node").alias("b"), *[F.col(c).alias(f"{c}_a") for c in SKETCH], *[F.col(f"n.{c}").alias(f"{c}_b") for c in SKETCH])
+        same = same.filter((F.col("a") != F.col("b")) & _sketches_near(SKETCH, most)).select("a", "b")
+        both = same.union(sides(one_bit_links(distinct), name))
+        close = both if close is None else close.union(both)
+    joined = connected_components(materialise(close, "similar-close"), "similar-close")
+    known = materialise(nodes.join(joined, "node", "left").select("node", *names, *SKETCH, F.coalesce("label", "node").alias("known")), "similar-known")
+    clear_shuffles(docs.sparkSession)
+
+    found = None
+    for name in names:
+        own = known.select("node", F.col(name).alias("fp"), "known", *SKETCH)
+        distinct = own.select("fp").distinct()
+        n, both = bit_statistics(distinct)
+        links = candidate_links(own, plan(n, both, distance, sampled_prints(distinct, n)), distance, "node", SKETCH, most)
+        links = materialise(links, "similar-links")
+        clear_shuffles(docs.sparkSession)
+        found = links if found is None else found.union(links)
+    a, b = known.select(F.col("node").alias("a"), F.col("known").alias("ka")), known.select(F.col("node").alias("b"), F.col("known").alias("kb"))
+    merged = connected_components(found.join(a, "a").join(b, "b").select(F.col("ka").alias("a"), F.col("kb").alias("b")), "similar")
+    labels = known.select("node", "known").join(merged.withColumnRenamed("node", "known"), "known", "left").select("node", F.coalesce("label", "known").alias("label"))
+    labels = materialise(labels.join(nodes.select("node", "least"), "node"), "similar-labels")
+    of_label = labels.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_node = materialise(labels.select("node", "label").join(of_label, "label").select("node", "component_id"), "similar-components")
+    return prints.select("doc_id", "node").hint("merge").join(of_node, "node").select("doc_id", "component_id")
+
+
+def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, distance: int = SIMILAR_DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents of which ``doc_id`` is their component's least: one of each group of similar texts stays, with its own columns.
 
     Repeated rows of that id all stay; rows without an id stay; an empty table stays empty. Null and
     empty texts are one group, texts of any length count whole, and other columns may be called what they like.
     """
-    found = near_duplicates(docs, distance, doc_id, text)
+    found = similar_documents(docs, similarity, distance, doc_id, text)
     drop = materialise(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct(), "duplicates")
     if drop.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         drop = F.broadcast(drop)  # else the texts are shuffled to meet it

@@ -117,3 +117,49 @@ def test_components(spark):
     assert len({labels[i] for i in range(301)}) == 1 and len({labels[1000 + i] for i in range(200)}) == 1
     assert all(labels[5000 + 2 * i] == labels[5001 + 2 * i] for i in range(50)) and len(set(labels.values())) == 52
     assert components.connected_components(df.limit(0)).collect() == []
+
+
+def edited(rng, words, share):
+    """Some words replaced, left out or put in."""
+    out = []
+    for w in words:
+        kind = rng.random() / share if share else 9
+        out += [] if kind < 0.3 else [w, "extra%d" % rng.randint(0, 99)] if kind < 0.6 else ["other%d" % rng.randint(0, 99)] if kind < 1 else [w]
+    return out
+
+
+def test_similar_documents_equal_brute_force(make_docs):
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 6, 40, 150])))) for i in range(60)]
+    rows += [(100 + i, " ".join(edited(rng, rows[i % 60][1].split(), rng.choice([0, 0.005, 0.01, 0.03, 0.1])))) for i in range(150)] + [(400, None), (401, ""), (402, "  ")]
+    prints, most = [simhash.similar_prints(t) for _, t in rows], simhash.sketch_distance()
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            near = min((x ^ y).bit_count() for x, y in zip(prints[a][0], prints[b][0])) <= 6 and sum((x ^ y).bit_count() for x, y in zip(prints[a][1], prints[b][1])) <= most
+            if near and group[a] != group[b]:
+                group = [group[b] if g == group[a] else g for g in group]
+    want = {i: min(j for (j, _), h in zip(rows, group) if h == g) for (i, _), g in zip(rows, group)}
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(make_docs(rows)).collect()}
+    assert got == want
+    assert 60 < len(set(want.values())) < 200 and want[401] == want[402] == 400
+
+
+def test_similar_documents_are_found_and_others_left(make_docs):
+    """Of pairs of similarity 0.8 and more nine tenths are linked, of those under 0.6 hardly any."""
+    rng = random.Random(2)
+    rows, truth = [], {}
+    for k in range(250):
+        base = [f"v{rng.randint(0, 3000)}" for _ in range(rng.randint(80, 400))]
+        other = edited(rng, base, rng.choice([0.004, 0.01, 0.02, 0.05, 0.1]))
+        sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (base, other)]
+        truth[k] = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    of = {r.doc_id: r.component_id for r in simhash.similar_documents(make_docs(rows)).collect()}
+    linked = {k: of[2 * k] == of[2 * k + 1] for k in truth}
+    alike = [linked[k] for k, s in truth.items() if s >= 0.8]
+    unlike = [linked[k] for k, s in truth.items() if s < 0.6]
+    assert len(alike) > 40 and sum(alike) >= 0.9 * len(alike)
+    assert len(unlike) > 40 and sum(unlike) <= 0.05 * len(unlike)
+    assert all(of[i] // 2 == i // 2 for i in of)
