@@ -305,9 +305,15 @@ def report(tables: dict[str, DataFrame], values: Sequence[str], time: str = "tim
     """A row a table and variable: days, rows, missing values, mean, extremes; what a run's report shows of its stores."""
     out = None
     for name, df in tables.items():
-        for v in [v for v in values if v in df.columns]:
+        here = [v for v in values if v in df.columns]
+        if not here:
+            continue
+        asked = [F.count_distinct(time).alias("_days"), F.count("*").alias("_rows")]
+        for i, v in enumerate(here):
             c = F.col(v).cast("double")
-            one = df.agg(F.count_distinct(time).alias("n_days"), F.count("*").alias("n_rows"), F.count_if(c.isNull()).alias("n_null"), F.avg(c).alias("mean"), F.min(c).alias("low"), F.max(c).alias("high"))
-            one = one.select(F.lit(name).alias("name"), F.lit(v).alias("variable"), "*")
-            out = one if out is None else out.unionByName(one)
+            asked.append(F.struct(F.count_if(c.isNull()).alias("n_null"), F.avg(c).alias("mean"), F.min(c).alias("low"), F.max(c).alias("high")).alias(f"_{i}"))
+        facts = ("n_null", "mean", "low", "high")
+        each = F.array(*[F.struct(F.lit(v).alias("variable"), F.col("_days").alias("n_days"), F.col("_rows").alias("n_rows"), *[F.col(f"_{i}")[k].alias(k) for k in facts]) for i, v in enumerate(here)])
+        one = df.agg(*asked).select(F.lit(name).alias("name"), F.inline(each))  # one scan of the table
+        out = one if out is None else out.unionByName(one)
     return out

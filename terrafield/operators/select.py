@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..params import TimePeriod
 from ..functions.scalar import d
 from .aggregate import CELL, first_of
 
@@ -96,7 +97,7 @@ def sample(df: DataFrame, share: float, keys: Sequence[str], seed: int = 0) -> D
 def subset(df: DataFrame, variables: Sequence[str], first: int, last: int, lat: tuple[float, float] | None = None, lon: tuple[float, float] | None = None, keys: Sequence[str] = ("time", "lat", "lon")) -> DataFrame:
     """Some variables for whole years and a box: what a run observes, or (over its prediction years) validates with."""
     time, y, x = keys
-    out = df.filter(F.year(time).between(first, last))
+    out = df.filter(TimePeriod(str(first), str(last)).predicate(time))
     for c, limits in ((y, lat), (x, lon)):
         if limits is not None:
             out = out.filter(F.col(c).between(*limits))

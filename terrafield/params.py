@@ -45,7 +45,8 @@ class TimePeriod:
     stop: str
 
     def predicate(self, time: str = "time") -> Column:
-        return F.col(time).between(F.lit(f"{self.start}-01-01").cast("date"), F.lit(f"{self.stop}-12-31").cast("date"))
+        """Bounds of days, which scans are given (years of days are not); times of the last day lie within."""
+        return (F.col(time) >= F.lit(f"{int(self.start):04d}-01-01").cast("date")) & (F.col(time) < F.lit(f"{int(self.stop) + 1:04d}-01-01").cast("date"))
 
     def __str__(self) -> str:
         return f"{self.start}_{self.stop}"

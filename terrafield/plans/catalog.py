@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import arrays, grids, metrics, models, more, stores, training  # noqa: F401
+from . import arrays, grids, metrics, models, more, series, stores, training  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

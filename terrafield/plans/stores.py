@@ -11,7 +11,7 @@ from ..operators import aggregate as A
 from ..operators import grid as G
 from ..operators import select as X
 from ..params import make_run_parameters, str_to_hash
-from ..sources import catalog, readers, records, sinks
+from ..sources import catalog, chunks, netcdf, readers, records, sinks, transfer
 from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table
 from ..sources.scratch import scratch, written
 from .registry import query, r6
@@ -180,6 +180,38 @@ def _(spark, sf):
     return readers.shuffled_batches(rows, 5, 3).groupBy("batch").agg(F.count("*").alias("n")).select("n")
 
 
+@query("k06_netcdf", f"WITH {OBS} SELECT time, lat_i, lon_i, pr, tasmax FROM obs WHERE lat_i BETWEEN 2 AND 5 AND year(time) = 1996")
+def _(spark, sf):
+    """A region as one classic file, written side by side by tasks, and read back."""
+    path = f"{scratch(spark, 'export')}.nc"
+    rows = obs(spark, sf).filter("lat_i BETWEEN 2 AND 5 AND year(time) = 1996").select("time", *CELL, "pr", "tasmax")
+    netcdf.write_netcdf(rows, path, ["time", *CELL], ["pr", "tasmax"])
+    return netcdf.read_netcdf(spark, path, ["pr", "tasmax"]).filter("pr IS NOT NULL")
+
+
+@query("s15_raw_copy", "SELECT o_orderstatus, count(*) AS n, 2::BIGINT AS runs, 1::BIGINT AS again FROM orders GROUP BY o_orderstatus")
+def _(spark, sf):
+    """A store copied as bytes, one file of the copy broken, and copied again: only that file is."""
+    root = scratch(spark, "transfer")
+    sinks.write(table(spark, sf, "orders"), f"{root}/a", ["o_orderstatus"])
+    transfer.copy_files(spark, f"{root}/a", f"{root}/b", f"{root}/manifest")
+    broken = transfer.crawl(spark, f"{root}/b").filter("path LIKE '%/part-%.parquet'").agg(F.min("path")).first()[0]
+    chunks.put_bytes(broken, b"broken")
+    again = transfer.copy_files(spark, f"{root}/a", f"{root}/b", f"{root}/manifest", verify=True)
+    runs = spark.read.parquet(f"{root}/manifest").select("run").distinct().count()
+    return spark.read.parquet(f"{root}/b").groupBy("o_orderstatus").agg(F.count("*").alias("n")).select(F.col("o_orderstatus"), "n", F.lit(runs).cast("bigint").alias("runs"), F.lit(again).cast("bigint").alias("again"))
+
+
+@query("s14_crawl", "SELECT DISTINCT o_orderstatus AS status, year(o_orderdate)::INT AS year FROM orders")
+def _(spark, sf):
+    """A nested store listed level by level; folders' names are parsed."""
+    root = scratch(spark, "nested")
+    sinks.write(table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year")), root, ["status", "year"])
+    files = transfer.crawl(spark, root).filter("path LIKE '%.parquet'")
+    found = catalog.parse_paths(files, {}, {"status": ("/status=([^/]+)/", 1), "year": ("/year=(\\d+)/", 1)})
+    return found.select("status", F.col("year").cast("int").alias("year")).distinct()
+
+
 @query("k11_store_copy", "SELECT r_regionkey AS key, r_name, 1 AS copied FROM region")
 def _(spark, sf):
     root = scratch(spark, "copies")

@@ -54,6 +54,11 @@ def _write_bytes(fs: pafs.FileSystem, path: str, data: bytes) -> None:
     fs.move(part, path)
 
 
+def put_bytes(path: str, data: bytes) -> None:
+    """A file of these bytes at an address."""
+    _write_bytes(*_open(path), data)
+
+
 def _unpack(data: bytes, compressor: dict | None) -> bytes:
     kind = (compressor or {}).get("id")
     if kind is None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalar import lon_to_180
+from ..params import TimePeriod
 
 
 #: Columns that place a row; they are never missing, and are left as they are stored.
@@ -61,11 +62,8 @@ def elevation(spark: SparkSession, root: str, degrees: float) -> DataFrame:
 
 
 def scan_many(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Several stores put together along time; columns that a store lacks are null there."""
-    out = scan(spark, paths[0])
-    for path in paths[1:]:
-        out = out.unionByName(scan(spark, path), allowMissingColumns=True)
-    return out
+    """Several stores put together along time, in one scan; columns that a store lacks are null there."""
+    return nan_to_null(spark.read.option("mergeSchema", True).parquet(*paths))
 
 
 def scan_years(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
@@ -90,9 +88,10 @@ def read_level(spark: SparkSession, path: str, level: int) -> DataFrame:
 
 def open_reanalysis(fields: DataFrame, winds: DataFrame | None, first: int, last: int, keys: Sequence[str] = ("time", "lat", "lon")) -> DataFrame:
     """Observed fields of some years, winds attached from a store of their own, precipitation as mm a day, longitudes to +-180."""
-    out = fields.filter(F.year("time").between(first, last))
+    years = TimePeriod(str(first), str(last)).predicate()
+    out = fields.filter(years)
     if winds is not None:
-        out = out.join(winds.filter(F.year("time").between(first, last)), list(keys), "left")
+        out = out.join(winds.filter(years), list(keys), "left")
     if "pr" in out.columns:
         out = out.withColumn("pr", F.col("pr") * F.lit(86400.0))
     return out.withColumn("lon", lon_to_180(F.col("lon")))

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,14 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(where, True)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file of these bytes."""
+    fs, where = _fs(spark, path)
+    out = fs.create(where, True)
+    out.write(bytearray(data))
+    out.close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a store was written to its end."""
     return exists(spark, f"{path}/_SUCCESS")
@@ -56,11 +65,38 @@ def opens(spark: SparkSession, path: str, least_rows: int = 1) -> bool:
         return False
 
 
+def _probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether each store was written to its end and its first file with rows can be read, a store after another in tasks."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    from .chunks import _open
+
+    def good(uri: str | None) -> bool:
+        if uri is None:
+            return False
+        fs, root = _open(uri)
+        if fs.get_file_info(f"{root}/_SUCCESS").type != pafs.FileType.File:
+            return False
+        for f in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+            if f.type == pafs.FileType.File and f.base_name.endswith(".parquet"):
+                try:
+                    with fs.open_input_file(f.path) as file:
+                        if pq.read_metadata(file).num_rows:
+                            return True
+                except pa.ArrowInvalid:  # a file that is no table
+                    return False
+        return False
+
+    for batch in batches:
+        yield batch.filter(pa.array([good(x) for x in batch.column(0).to_pylist()], pa.bool_()))
+
+
 def valid_stores(catalog: DataFrame, column: str = "zstore") -> DataFrame:
-    """The rows of a catalogue (a table of some thousand stores) whose stores open."""
-    spark = catalog.sparkSession
-    good = [r[0] for r in catalog.select(column).distinct().collect() if r[0] is not None and opens(spark, r[0])]
-    return catalog.filter(F.col(column).isin(good))
+    """The rows of a catalogue whose stores open: probed by tasks in one job, and joined."""
+    kind = catalog.schema[column].dataType.simpleString()
+    good = catalog.select(column).distinct().mapInArrow(_probe, f"`{column}` {kind}")
+    return catalog.join(good, column, "left_semi")
 
 
 def write_patches(df: DataFrame, path: str) -> str:
@@ -151,10 +187,7 @@ def finalize(spark: SparkSession, root: str, run: RunParameters, status: str = "
     record = json.dumps({"parameters": {k: str(v) for k, v in run.__dict__.items()}, "status": status, "datasets": paths, "attrs": {"run_id": run.run_id, "hash": run.run_id_hash}}, sort_keys=True)
     stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     for name in (stamp, "latest"):
-        fs, where = _fs(spark, f"{root}/{run.run_id}/{name}.json")
-        out = fs.create(where, True)
-        out.write(bytearray(record.encode()))
-        out.close()
+        write_bytes(spark, f"{root}/{run.run_id}/{name}.json", record.encode())
     return f"{root}/{run.run_id}/latest.json"
 
 
