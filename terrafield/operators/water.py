@@ -22,6 +22,8 @@ SMALL_PPT = 1e-10
 DIRECT_RUNOFF = 0.05
 #: Cells are dealt into so many groups a shuffle partition; a group's months are stepped through for all its cells at once.
 GROUPS_A_PARTITION = 2
+#: Months of cells that a group has at most, about; more cells make more groups.
+GROUP_ROWS = 400_000
 
 
 @dataclass
@@ -61,44 +63,47 @@ class Bucket:
         return {"aet": met, "def": demand - met, "q": runoff + surplus - stored, "soil": self.soil, "swe": self.snow}
 
 
-def palmer(ppt: np.ndarray, pet: np.ndarray, awc: float, calibration: slice) -> np.ndarray:
-    """Palmer's drought severity of monthly series in inches that begin in January; ``calibration`` spans whole years."""
-    n = len(ppt)
-    surface_size, lower_size = 1.0, max(awc - 1.0, 0.0)
-    surface, lower = surface_size, lower_size
-    pe_, r_, pr_, ro_, pro_, l_, pl_ = (np.zeros(n) for _ in range(7))
+def soil_terms(ppt: np.ndarray, pet: np.ndarray, awc: np.ndarray) -> dict[str, np.ndarray]:
+    """Palmer's two soil layers stepped through months (rows) of many cells (columns), in inches; the upper layer holds one inch.
+
+    et, r, ro and l are evapotranspiration, recharge, runoff and loss; pr, pro and pl what recharge, runoff and loss could be at most.
+    """
+    n, cells = ppt.shape
+    upper_size, lower_size = np.ones(cells), np.maximum(awc - 1.0, 0.0)
+    both = upper_size + lower_size
+    upper, lower = upper_size.copy(), lower_size.copy()
+    out = {k: np.zeros((n, cells)) for k in ("et", "r", "ro", "l", "pr", "pro", "pl")}
     for i in range(n):
-        pr_[i] = surface_size + lower_size - surface - lower
-        pro_[i] = surface + lower
-        wanted_surface = min(pet[i], surface)
-        pl_[i] = wanted_surface + (min((pet[i] - wanted_surface) * lower / (surface_size + lower_size), lower) if surface_size + lower_size else 0)
+        out["pr"][i], out["pro"][i] = both - upper - lower, upper + lower
+        wanted = np.minimum(pet[i], upper)
+        out["pl"][i] = wanted + np.minimum((pet[i] - wanted) * lower / both, lower)
         excess = ppt[i] - pet[i]
-        if excess >= 0:
-            into_surface = min(excess, surface_size - surface)
-            into_lower = min(excess - into_surface, lower_size - lower)
-            r_[i], ro_[i] = into_surface + into_lower, excess - into_surface - into_lower
-            surface, lower, pe_[i] = surface + into_surface, lower + into_lower, pet[i]
-        else:
-            from_surface = min(surface, -excess)
-            from_lower = min((-excess - from_surface) * lower / (surface_size + lower_size), lower) if surface_size + lower_size else 0.0
-            l_[i] = from_surface + from_lower
-            surface, lower, pe_[i] = surface - from_surface, lower - from_lower, ppt[i] + l_[i]
-    month = np.arange(n) % 12
-    inside = np.zeros(n, bool)
-    inside[calibration] = True
-    total = lambda x: np.array([x[inside & (month == m)].sum() for m in range(12)])
-    ratio = lambda a, b, empty: np.divide(a, b, out=np.full(12, empty), where=b != 0)
-    alpha, beta = ratio(total(pe_), total(pet), 1.0), ratio(total(r_), total(pr_), 1.0)
-    gamma, delta = ratio(total(ro_), total(pro_), 1.0), ratio(total(l_), total(pl_), 0.0)
-    expected = alpha[month] * pet + beta[month] * pr_ + gamma[month] * pro_ - delta[month] * pl_
-    departure = ppt - expected
-    count = np.array([max(1, (inside & (month == m)).sum()) for m in range(12)])
-    mean_d = np.array([np.abs(departure[inside & (month == m)]).sum() for m in range(12)]) / count
-    demand = ratio(total(pet) + total(r_) + total(ro_), total(ppt) + total(l_), 1.0)
+        more, less = np.maximum(excess, 0), np.maximum(-excess, 0)
+        into_upper = np.minimum(more, upper_size - upper)
+        into_lower = np.minimum(more - into_upper, lower_size - lower)
+        from_upper = np.minimum(upper, less)
+        from_lower = np.minimum((less - from_upper) * lower / both, lower)
+        out["r"][i], out["ro"][i], out["l"][i] = into_upper + into_lower, more - into_upper - into_lower, from_upper + from_lower
+        out["et"][i] = np.where(excess >= 0, pet[i], ppt[i] + out["l"][i])
+        upper, lower = upper + into_upper - from_upper, lower + into_lower - from_lower
+    return out
+
+
+def palmer(ppt: np.ndarray, pet: np.ndarray, awc: np.ndarray, calibration: np.ndarray) -> np.ndarray:
+    """Palmer's drought severity of monthly series in inches, months by cells, that begin in January; ``calibration`` marks months of whole years."""
+    n = len(ppt)
+    t, month = soil_terms(ppt, pet, awc), np.arange(n) % 12
+    of_month = (month == np.arange(12)[:, None]).astype(float)  # 12 by months
+    total = lambda x: of_month @ np.where(calibration, x, 0.0)
+    ratio = lambda a, b, empty: np.divide(a, b, out=np.full(a.shape, empty), where=b != 0)
+    alpha, beta = ratio(total(t["et"]), total(pet), 1.0), ratio(total(t["r"]), total(t["pr"]), 1.0)
+    gamma, delta = ratio(total(t["ro"]), total(t["pro"]), 1.0), ratio(total(t["l"]), total(t["pl"]), 0.0)
+    departure = ppt - (alpha[month] * pet + beta[month] * t["pr"] + gamma[month] * t["pro"] - delta[month] * t["pl"])
+    mean_d = total(np.abs(departure)) / np.maximum(1, total(np.ones_like(ppt)))
+    demand = ratio(total(pet) + total(t["r"]) + total(t["ro"]), total(ppt) + total(t["l"]), 1.0)
     k = 1.5 * np.log10(np.maximum((demand + 2.8) / np.maximum(mean_d, 1e-9), 1e-9)) + 0.5
-    weight = 17.67 * k / max((mean_d * k).sum(), 1e-9)
-    z = weight[month] * departure
-    return severity(z)
+    weight = 17.67 * k / np.maximum((mean_d * k).sum(axis=0), 1e-9)
+    return severities(weight[month] * departure)
 
 
 #: Palmer's constants: how much of an index lasts into the next month, and the share that a month's departure adds.
@@ -163,21 +168,77 @@ def severity(z: np.ndarray) -> np.ndarray:
     return out
 
 
-def pdsi(ppt: np.ndarray, pet: np.ndarray, awc: float, years: np.ndarray, months: np.ndarray, pad_years: int = 10, first: int = 1970, last: int = 2000) -> np.ndarray:
-    """Drought severity of monthly series (mm), spun up on ten years of the normal period's climatology and clipped to +-16."""
+def severities(z: np.ndarray) -> np.ndarray:
+    """``severity`` of many cells at once (months by cells): the same steps on arrays, cells that look back picked out a month at a time."""
+    n, cells = z.shape
+    out, coming = np.zeros((n, cells)), {1: np.zeros(cells), -1: np.zeros(cells)}
+    index, sign, received = np.zeros(cells), np.zeros(cells, int), np.zeros(cells)
+    begins = np.zeros(cells, int)  # the first month that is not settled; those up to now are open
+    wet, dry = np.zeros((n, cells)), np.zeros((n, cells))
+
+    def settle(which: np.ndarray, towards: np.ndarray, last: int) -> None:
+        """Open months of some cells go to the spell to come of a sign, as far back as it reaches, before that to the other."""
+        which, towards = np.flatnonzero(which), towards.copy()
+        for place in range(last, -1, -1):
+            which = which[begins[which] <= place]
+            if not len(which):
+                break
+            own = np.where(towards[which] > 0, wet[place, which], dry[place, which])
+            other = np.where(towards[which] > 0, dry[place, which], wet[place, which])
+            towards[which] = np.where(own != 0, towards[which], -towards[which])
+            out[place, which] = np.where(own != 0, own, other)
+
+    for i in range(n):
+        for s in (1, -1):
+            coming[s] = s * np.maximum(0.0, s * (LASTING * coming[s] + ADDED * z[i]))
+        going = sign != 0
+        against = received - sign * (z[i] - sign * NEAR_NORMAL)
+        needed = (LASTING * np.abs(index) - ENDED) / ADDED + received
+        over = going & (against > 0) & ((needed <= 0) | (against >= needed))
+        index = np.where(going & ~over, LASTING * index + ADDED * z[i], 0.0)
+        received = np.where(going & ~over, np.maximum(0.0, against), 0.0)
+        sign = np.where(over, 0, sign)
+        certain = (sign != 0) & (received == 0)
+        wet[i], dry[i] = coming[1], coming[-1]
+        out[i] = np.where(sign != 0, index, out[i])
+        # A spell that goes on keeps its open months as they are.
+        begins[certain] = i + 1
+        for s in (1, -1):
+            coming[s] = np.where(certain, 0.0, coming[s])
+        free = sign == 0
+        starts_wet = free & (coming[1] >= ESTABLISHED)
+        started = starts_wet | free & (-coming[-1] >= ESTABLISHED)
+        towards = np.where(starts_wet, 1, -1)
+        alone = free & ~started & ((coming[1] == 0) | (coming[-1] == 0))
+        towards = np.where(alone, np.where(coming[1] != 0, 1, -1), towards)
+        if (done := started | alone).any():
+            settle(done, towards, i)
+            begins[done] = i + 1
+        sign = np.where(started, towards, sign)
+        index, received = np.where(started, out[i], index), np.where(started, 0.0, received)
+        for s in (1, -1):
+            coming[s] = np.where(started, 0.0, coming[s])
+    left = (np.arange(n)[:, None] >= begins) & (sign == 0)
+    return np.where(left, np.where(wet >= -dry, wet, dry), out)
+
+
+def pdsi(ppt: np.ndarray, pet: np.ndarray, awc: np.ndarray, years: np.ndarray, months: np.ndarray, pad_years: int = 10, first: int = 1970, last: int = 2000) -> np.ndarray:
+    """Drought severity of monthly series (mm; months by cells), spun up on some years of the normal period's climatology and clipped to +-16."""
     if len(ppt) <= 12 * pad_years:
         raise ValueError(f"needs more than {12 * pad_years} months")
     normal = (years >= first) & (years <= last)
     normal = normal if normal.any() else np.ones(len(years), bool)
-    mean = lambda x: np.array([x[normal & (months == m)].mean() for m in range(1, 13)])
-    p = np.concatenate([np.tile(mean(ppt), pad_years), ppt]) / MM_PER_INCH
-    e = np.concatenate([np.tile(mean(pet), pad_years), pet]) / MM_PER_INCH
+    mean = lambda x: np.stack([x[normal & (months == m)].mean(axis=0) for m in range(1, 13)])
+    p = np.concatenate([np.tile(mean(ppt), (pad_years, 1)), ppt]) / MM_PER_INCH
+    e = np.concatenate([np.tile(mean(pet), (pad_years, 1)), pet]) / MM_PER_INCH
     p = np.where(p <= 0, SMALL_PPT, p)
     at = np.flatnonzero(normal) + 12 * pad_years
-    return np.clip(palmer(p, e, awc / MM_PER_INCH, slice(at[0], at[-1] + 1)), -16, 16)[12 * pad_years :]
+    calibration = np.zeros((len(p), 1), bool)
+    calibration[at[0] : at[-1] + 1] = True
+    return np.clip(palmer(p, e, awc / MM_PER_INCH, calibration), -16, 16)[12 * pad_years :]
 
 
-def water_balance(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time", latitude: str = "lat", with_pdsi: bool = True, normal: tuple[int, int] = (1970, 2000)) -> DataFrame:
+def water_balance(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time", latitude: str = "lat", with_pdsi: bool = True, normal: tuple[int, int] = (1970, 2000), pad_years: int = 10) -> DataFrame:
     """Monthly rows of tmax, tmin, ppt, srad, ws, tdew (or rh or vap), awc and elevation to aet, def, pet, q, soil, swe (and pdsi).
 
     Humidity and evapotranspiration are expressions; only the bucket's recurrence runs in a grouped
@@ -202,20 +263,55 @@ def water_balance(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time",
         for c in ("aet", "def", "pet", "q", "soil", "swe"):
             result[c] = rows["pet"].to_numpy() if c == "pet" else np.stack([m[c] for m in months])[step, column]
         result["pdsi"] = np.nan
-        ends = np.append(first[1:], len(rows))
-        for a, b in zip(first.tolist(), ends.tolist()):
-            one = rows.iloc[a:b]
-            when = pd.to_datetime(one[time])
-            if with_pdsi and b - a > 120 and when.iloc[0].month == 1 and one[["ppt", "pet"]].notna().all().all():
-                result.loc[a : b - 1, "pdsi"] = pdsi(one["ppt"].to_numpy(float), one["pet"].to_numpy(float), float(one["awc"].iloc[0]), when.dt.year.to_numpy(), when.dt.month.to_numpy(), first=normal[0], last=normal[1])
+        if with_pdsi:
+            _add_pdsi(result, rows, column, step, wide, time, normal, pad_years)
         return result
 
     columns = [time, *cell, "ppt", "pet", "awc", "_melt"]
-    groups = GROUPS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(GROUPS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // GROUP_ROWS))
     grouped = ready.select(*columns).groupBy(F.pmod(F.xxhash64(*cell), F.lit(groups)).alias("_group"))
     return grouped.applyInPandas(run, schema)
 
 
+def _add_pdsi(result: pd.DataFrame, rows: pd.DataFrame, column: np.ndarray, step: np.ndarray, wide: dict[str, np.ndarray], time: str, normal: tuple[int, int], pad_years: int) -> None:
+    """pdsi of the cells whose series begin in January and are long enough, those with the same months together."""
+    when = pd.to_datetime(rows[time])
+    number = (when.dt.year * 12 + when.dt.month - 1).to_numpy()
+    first = np.flatnonzero(step == 0)
+    length = np.bincount(column)
+    whole = np.bincount(column, number - number[first][column] != step) == 0  # no month is left out
+    whole &= np.bincount(column, rows[["ppt", "pet"]].isna().any(axis=1)) == 0
+    good = whole & (length > 12 * pad_years) & (number[first] % 12 == 0)
+    for begin, n in sorted({(int(number[f]), int(length[c])) for c, f in enumerate(first) if good[c]}):
+        cells = np.flatnonzero(good & (number[first] == begin) & (length == n))
+        months = begin + np.arange(n)
+        found = pdsi(wide["ppt"][:n, cells], wide["pet"][:n, cells], rows["awc"].to_numpy(float)[first[cells]], months // 12, months % 12 + 1, pad_years, *normal)
+        place = np.full(len(length), -1)
+        place[cells] = np.arange(len(cells))
+        here = place[column] >= 0
+        result.loc[here, "pdsi"] = found[step[here], place[column[here]]]
+
+
+def soil_balance(df: DataFrame, ppt: str, pet: str, awc: str, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
+    """time, cell and ``soil_terms`` of monthly rows (inches); months that a cell lacks are stepped over, values must be there."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = ("et", "r", "ro", "l", "pr", "pro", "pl")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values([*cell, time]).reset_index(drop=True)
+        by_cell = rows.groupby(list(cell), sort=False, dropna=False)
+        column, step = by_cell.ngroup().to_numpy(), by_cell.cumcount().to_numpy()
+        wide = {c: np.zeros((step.max() + 1, column.max() + 1)) for c in (ppt, pet)}
+        for c, matrix in wide.items():
+            matrix[step, column] = rows[c].to_numpy(float)
+        terms = soil_terms(wide[ppt], wide[pet], rows[awc].to_numpy(float)[step == 0])
+        return rows[[time, *cell]].assign(**{k: terms[k][step, column] for k in names})
+
+    groups = max(GROUPS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // GROUP_ROWS))
+    grouped = df.select(time, *cell, ppt, pet, awc).groupBy(F.pmod(F.xxhash64(*cell), F.lit(groups)).alias("_group"))
+    return grouped.applyInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (time, *cell)) + ", " + ", ".join(f"{c} double" for c in names))
+
+
 def valid_cells(df: DataFrame, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
     """Cells within the mask that have soil capacity, elevation and precipitation at the last step."""
     last = df.groupBy(*cell).agg(F.max_by(F.struct("mask", "awc", "elevation", "ppt"), time).alias("s"))

@@ -330,6 +330,32 @@ def _(spark, sf):
     return W.water_balance(rows).select("time", *CELL, "pdsi")
 
 
+@query("m19_pdsi_observed")
+def _(spark, sf):
+    """Drought severity of the observed months' precipitation; the record is seven years, so five of its climatology lead in."""
+    out = W.water_balance(_monthly_weather(spark, sf), normal=(1992, 1998), pad_years=5)
+    return out.select("time", *CELL, F.round("pdsi", 4).alias("pdsi"))
+
+
+_SOIL_SQL = f"""WITH RECURSIVE {OBS}, m AS (SELECT date_trunc('month', time)::DATE AS time, lat_i, lon_i, sum(pr) / 25.4::DOUBLE AS p FROM obs GROUP BY ALL),
+o AS (SELECT *, 1 + month(time) % 6 * 0.8::DOUBLE AS e, lat_i * 0.5::DOUBLE AS size, row_number() OVER (PARTITION BY lat_i, lon_i ORDER BY time) AS k FROM m),
+r AS (SELECT lat_i, lon_i, 0::BIGINT AS k, 1::DOUBLE AS a, any_value(size) AS b, 0::DOUBLE AS et, 0::DOUBLE AS r, 0::DOUBLE AS ro, 0::DOUBLE AS l FROM o GROUP BY lat_i, lon_i UNION ALL
+ SELECT lat_i, lon_i, k, a + ia - fa, b + ib - fb, CASE WHEN p >= e THEN e ELSE p + fa + fb END, ia + ib, greatest(p - e, 0) - ia - ib, fa + fb FROM (
+  SELECT *, least(greatest(p - e, 0) - ia, size - b) AS ib, least((greatest(e - p, 0) - fa) * b / (1 + size), b) AS fb FROM (
+   SELECT o.lat_i, o.lon_i, o.k, p, e, size, r.a, r.b, least(greatest(p - e, 0), 1 - r.a) AS ia, least(r.a, greatest(e - p, 0)) AS fa FROM r JOIN o ON o.lat_i = r.lat_i AND o.lon_i = r.lon_i AND o.k = r.k + 1)))
+SELECT time, lat_i, lon_i, round(et, 5) AS et, round(r, 5) AS r, round(ro, 5) AS ro, round(l, 5) AS l FROM r JOIN o USING (lat_i, lon_i, k)"""
+
+
+@query("m19_soil_terms", _SOIL_SQL)
+def _(spark, sf):
+    """The two layers of soil behind the index, with the observed months' precipitation."""
+    month = F.trunc("time", "month").alias("time")
+    rows = obs(spark, sf).groupBy(month, *CELL).agg((F.sum("pr") / F.lit(25.4)).alias("p"))
+    rows = rows.select("time", *CELL, "p", (F.month("time") % 6 * F.lit(0.8) + 1).alias("e"), (F.col("lat_i") * F.lit(0.5) + 1).alias("awc"))
+    out = W.soil_balance(rows, "p", "e", "awc")
+    return out.select("time", *CELL, *[F.round(c, 5).alias(c) for c in ("et", "r", "ro", "l")])
+
+
 @query("st_daily_feed", f"WITH {HOURLY} SELECT ts::DATE AS time, cell, round(avg(value), 6) AS mean, max(value) AS high, min(value) AS low, count(value) AS n FROM hourly GROUP BY ALL")
 def _(spark, sf):
     from ..streaming import daily_feed as S

@@ -202,10 +202,10 @@ def test_drought_follows_rain():
     ppt[240:300] *= 0.2
     pet = 50 + 30 * np.sin(np.arange(months) * 2 * np.pi / 12)
     years, month = 1965 + np.arange(months) // 12, np.arange(months) % 12 + 1
-    got = W.pdsi(ppt, pet, 120.0, years, month)
+    got = W.pdsi(ppt[:, None], pet[:, None], np.array([120.0]), years, month)[:, 0]
     assert len(got) == months and np.abs(got).max() <= 16 and got[270:300].mean() < -2 < got[:200].mean()
     with pytest.raises(ValueError):
-        W.pdsi(ppt[:100], pet[:100], 120.0, years[:100], month[:100])
+        W.pdsi(ppt[:100, None], pet[:100, None], np.array([120.0]), years[:100], month[:100])
 
 
 # ---------------------------------------------------------------- catalogues and sinks
@@ -251,3 +251,38 @@ def test_run_record(spark, tmp_path):
 
     path = sinks.finalize(spark, str(tmp_path), RunParameters("bcsd", "pr"), daily="x")
     assert json.loads(open(path).read())["datasets"] == {"daily": "x"}
+
+
+def test_severities_of_many_cells_are_those_of_each():
+    rng = np.random.default_rng(4)
+    scale = rng.choice([0.3, 1, 3, 6], 300)
+    z = rng.normal(size=(150, 300)) * scale + rng.choice([-0.5, 0, 0.5], 300)
+    z[:, :20] = np.repeat(z[::10, :20], 10, axis=0)
+    got = W.severities(z)
+    for c in range(z.shape[1]):
+        assert got[:, c] == pytest.approx(W.severity(z[:, c]))
+
+
+def test_soil_of_many_cells_is_that_of_each():
+    """Palmer's two layers, a cell and a month at a time in plain numbers."""
+    rng = np.random.default_rng(1)
+    ppt, pet, awc = rng.gamma(1, 3, (60, 40)), rng.gamma(2, 1, (60, 40)), rng.choice([0.5, 1.0, 4.0, 9.0], 40)
+    got = W.soil_terms(ppt, pet, awc)
+    for c in range(40):
+        size, upper, lower = max(awc[c] - 1, 0), 1.0, max(awc[c] - 1, 0)
+        for i in range(60):
+            want = {"pr": 1 + size - upper - lower, "pro": upper + lower}
+            first = min(pet[i, c], upper)
+            want["pl"] = first + min((pet[i, c] - first) * lower / (1 + size), lower)
+            left = ppt[i, c] - pet[i, c]
+            if left >= 0:
+                a = min(left, 1 - upper)
+                b = min(left - a, size - lower)
+                want |= {"r": a + b, "ro": left - a - b, "l": 0.0, "et": pet[i, c]}
+                upper, lower = upper + a, lower + b
+            else:
+                a = min(upper, -left)
+                b = min((-left - a) * lower / (1 + size), lower)
+                want |= {"r": 0.0, "ro": 0.0, "l": a + b, "et": ppt[i, c] + a + b}
+                upper, lower = upper - a, lower - b
+            assert {k: got[k][i, c] for k in want} == pytest.approx(want)
