@@ -24,12 +24,14 @@ from .tokens import byte_encoder, default_path
 
 CAPACITY = 1024
 #: The program ends when the padded length is proven to be within this share of the least, or after so many exchanges of columns.
-GAP = 0.0005
-MOST_PIVOTS = 20_000
+GAP = 0.002
+MOST_PIVOTS = 5_000
 #: Patterns that need more padding are not used; their rests are cut.
 MOST_PADDING = 16
 #: Columns that one knapsack hands over.
 COLUMNS = 48
+#: Columns that are held at once; those that help least go first, and are found again if they are missed.
+POOL = 1_000
 
 
 def padded(total: np.ndarray, capacity: int) -> np.ndarray:
@@ -131,8 +133,8 @@ class _Program:
                 return
             order = np.argsort(-profit)[:COLUMNS]
             new = [self._pattern(int(t) + 1, taken) for t in order if profit[t] > small]
-            if self.pool.shape[1] > 64 * COLUMNS:
-                kept = np.argsort(-gains)[: 32 * COLUMNS]
+            if self.pool.shape[1] > POOL:
+                kept = np.argsort(-gains)[: POOL // 2]
                 self.pool, self.pool_costs = self.pool[:, kept], self.pool_costs[kept]
             self.pool = np.concatenate([self.pool, np.stack(new, axis=1)], axis=1)
             self.pool_costs = np.concatenate([self.pool_costs, costs[order[: len(new)] + 1]])
