@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import figures
 from ..operators import series as S
+from ..params import TimePeriod
 from ..sources import layouts
 from ..sources.cube import OBS, obs
 from ..sources.scratch import scratch
@@ -66,3 +68,19 @@ def _(spark, sf):
     week = Window.partitionBy(*CELL).orderBy("time").rowsBetween(-6, 0)
     wettest = table.withColumn("s", F.sum("pr").over(week)).groupBy(*CELL).agg(F.max("s").alias("wettest"))
     return layouts.files_per_key(table).join(wettest, list(CELL)).select(*CELL, "files", "n", "wettest")
+
+
+@query("g01_cdfs", f"""WITH {OBS}, u AS (SELECT 'seen (1992-1995)' AS label, lat_i, lon_i, tasmax AS x FROM obs WHERE year(time) BETWEEN 1992 AND 1995 UNION ALL SELECT 'later (1996-1998)', lat_i, lon_i, tasmax FROM obs WHERE year(time) BETWEEN 1996 AND 1998),
+c AS (SELECT label, lat_i, lon_i, x, count(*) AS n FROM u GROUP BY ALL) SELECT label, lat_i, lon_i, x, round(sum(n) OVER (PARTITION BY label, lat_i, lon_i ORDER BY x) / sum(n) OVER (PARTITION BY label, lat_i, lon_i) + 1e-8, 6) AS share FROM c""")
+def _(spark, sf):
+    rows = obs(spark, sf)
+    out = figures.cdfs({"seen": (rows, TimePeriod("1992", "1995")), "later": (rows, TimePeriod("1996", "1998"))}, "tasmax", CELL)
+    return out.withColumn("share", r6(F.col("share") + F.lit(1e-8)))
+
+
+@query("g01_values_and_difference", f"""WITH {OBS}, a AS (SELECT lat_i, lon_i, avg(pr) AS v FROM obs WHERE year(time) < 1996 GROUP BY ALL), b AS (SELECT lat_i, lon_i, avg(pr) AS v FROM obs WHERE year(time) >= 1996 GROUP BY ALL)
+SELECT lat_i, lon_i, round(a.v + 1e-8, 6) AS first, round(b.v + 1e-8, 6) AS second, round(greatest(-5, least(5, (b.v - a.v) / a.v * 100)) + 1e-8, 6) AS difference FROM a JOIN b USING (lat_i, lon_i)""")
+def _(spark, sf):
+    rows = obs(spark, sf)
+    out = figures.values_and_difference(rows.filter("time < DATE '1996-01-01'"), rows.filter("time >= DATE '1996-01-01'"), "pr", "mean", "percent", 5.0)
+    return out.select(*CELL, *[r6(F.col(c) + F.lit(1e-8), c) for c in ("first", "second", "difference")])

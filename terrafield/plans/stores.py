@@ -50,6 +50,17 @@ def _(spark, sf):
     return X.regions_of(cells(spark, sf).select("cell", "lat_i", "lon_i"), readers.read_polygons(spark, _polygons(spark)), "lat_i", "lon_i").select("cell", "region_id")
 
 
+@query("s09_holes", f"WITH {CELLS} SELECT cell, 1 AS region_id FROM cells WHERE lon_i <= 6 AND lat_i <= 7 AND NOT (lon_i BETWEEN 2 AND 3 AND lat_i BETWEEN 1 AND 4) AND NOT (lon_i = 5 AND lat_i BETWEEN 5 AND 6)")
+def _(spark, sf):
+    """Cells within a box with two holes, read from a GeoJSON file."""
+    box = lambda x0, y0, x1, y1: [[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]
+    rings = [box(-0.5, -0.5, 6.5, 7.5), box(1.5, 0.5, 3.5, 4.5)[::-1], box(4.5, 4.5, 5.5, 6.5)[::-1]]
+    document = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"region_id": "1"}, "geometry": {"type": "Polygon", "coordinates": rings}}]}
+    path = scratch(spark, "holes")
+    spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.text(path)
+    return X.regions_of(cells(spark, sf).select("cell", "lat_i", "lon_i"), readers.read_polygons(spark, path), "lat_i", "lon_i").select("cell", "region_id")
+
+
 @query("s12_elevation_by_resolution", f"WITH {CELLS} SELECT lat_i AS lat, lon_i AS lon, elev FROM cells")
 def _(spark, sf):
     root = scratch(spark, "elevation")

@@ -28,14 +28,20 @@ def scan(spark: SparkSession, path: str, schema: StructType | str | None = None)
 
 
 def read_polygons(spark: SparkSession, path: str, number: str = "region_id") -> DataFrame:
-    """(region_id, ring) of the outer rings of a GeoJSON file's polygons and multi-polygons; ``number`` names the property that numbers them."""
+    """(region_id, ring) of a GeoJSON file's polygons and multi-polygons; ``number`` names the property that numbers them.
+
+    Holes are taken into the ring by a way there and back from its first corner, which counting the edges to a point's east
+    passes twice or not at all: so a point in a hole lies in no region.
+    """
     shape = "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>"
     features = spark.read.option("multiLine", True).schema(shape).json(path).select(F.inline("features"))
     text = F.col("geometry.coordinates")
     one = F.array(F.from_json(text, "array<array<array<double>>>"))
     rings = F.when(F.col("geometry.type") == "Polygon", one).otherwise(F.from_json(text, "array<array<array<array<double>>>>"))
     parts = features.select(F.col("properties")[number].cast("int").alias("region_id"), F.explode(rings).alias("part"))
-    return parts.select("region_id", F.transform(F.col("part")[0], lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+    whole = F.flatten(F.transform("part", lambda ring: F.concat(ring, F.array(F.col("part")[0][0]))))
+    ring = F.when(F.size("part") > 1, whole).otherwise(F.col("part")[0])
+    return parts.select("region_id", F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
 
 
 def read_batches(spark: SparkSession, path: str, size: int, seed: int = 0) -> DataFrame:
