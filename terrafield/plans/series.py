@@ -9,10 +9,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import figures
+from ..operators import grid as G
+from ..operators import overlap as V
 from ..operators import series as S
 from ..params import TimePeriod
 from ..sources import layouts
-from ..sources.cube import OBS, obs
+from ..sources.cube import OBS, WIDTH, grid_width, obs
 from ..sources.scratch import scratch
 from .registry import query, r6
 
@@ -84,3 +86,31 @@ def _(spark, sf):
     rows = obs(spark, sf)
     out = figures.values_and_difference(rows.filter("time < DATE '1996-01-01'"), rows.filter("time >= DATE '1996-01-01'"), "pr", "mean", "percent", 5.0)
     return out.select(*CELL, *[r6(F.col(c) + F.lit(1e-8), c) for c in ("first", "second", "difference")])
+
+
+def _cells(spark, height: int, width: int, x0: float, y0: float, dx: float, dy: float):
+    """A grid of boxes as polygons, by the corner where it begins and the size of a cell."""
+    rows = spark.range(0, height * width).select(F.floor(F.col("id") / width).cast("int").alias("lat_i"), (F.col("id") % width).cast("int").alias("lon_i"))
+    x, y = F.col("lon_i") * F.lit(dx) + x0, F.col("lat_i") * F.lit(dy) + y0
+    return rows.withColumn("corners", F.array(*[F.struct((x + a * dx).alias("x"), (y + b * dy).alias("y")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))]))
+
+
+@query("r03_overlap_polygons", f"""WITH {OBS}, n AS (SELECT {WIDTH} AS w), t AS (SELECT i, j FROM (SELECT unnest(range(0, w // 2))::INT AS i FROM n), (SELECT unnest(range(0, w // 2))::INT AS j FROM n)),
+o AS (SELECT time, i, j, pr, greatest(0, least(lat_i + 1, i * 1.75 + 0.25 + 1.75) - greatest(lat_i, i * 1.75 + 0.25)) * greatest(0, least(lon_i + 1, j * 1.75 + 0.5 + 1.75) - greatest(lon_i, j * 1.75 + 0.5)) AS a
+ FROM obs JOIN t ON lat_i + 1 > i * 1.75 + 0.25 AND lat_i < i * 1.75 + 2 AND lon_i + 1 > j * 1.75 + 0.5 AND lon_i < j * 1.75 + 2.25)
+SELECT time, i AS lat_i, j AS lon_i, round(sum(a * pr) / sum(a) + 1e-6, 5) AS pr FROM o WHERE a > 0 GROUP BY ALL""")
+def _(spark, sf):
+    """Onto a shifted grid of other cells, by clipped polygons."""
+    w = grid_width(spark, sf)
+    table = V.overlap_weights(_cells(spark, w, w, 0.0, 0.0, 1.0, 1.0), _cells(spark, w // 2, w // 2, 0.5, 0.25, 1.75, 1.75), False)
+    return G.regrid(obs(spark, sf), table, ["pr"]).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-6), 5).alias("pr"))
+
+
+@query("r03_conservative_spherical", f"""WITH {OBS}, n AS (SELECT {WIDTH} AS w), c AS (SELECT time, lat_i // 2 AS i, lon_i // 2 AS j, sum(pr * (sin(radians(lat_i * 3.0 + 1.5 - 60)) - sin(radians(lat_i * 3.0 - 1.5 - 60)))) AS x, sum(sin(radians(lat_i * 3.0 + 1.5 - 60)) - sin(radians(lat_i * 3.0 - 1.5 - 60))) AS a FROM obs GROUP BY ALL)
+SELECT time, i::INT AS lat_i, j::INT AS lon_i, round(x / a + 1e-6, 5) AS pr FROM c""")
+def _(spark, sf):
+    """Rows of cells of three degrees from 60 S on, in pairs: latitudes weigh by their sines."""
+    w = grid_width(spark, sf)
+    lat = G.overlap_axis_weights([3.0 * i - 60 for i in range(w)], [6.0 * i + 1.5 - 60 for i in range(w // 2)], True)
+    lon = G.overlap_axis_weights(list(range(w)), [2 * i + 0.5 for i in range(w // 2)], False)
+    return G.regrid(obs(spark, sf), G.weights(spark, lat, lon), ["pr"]).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-6), 5).alias("pr"))
