@@ -369,6 +369,9 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
         ("<article>", "<article>", "<article>", "<article class='post'>", "<div class='article-body'>", "<div class='post-content'>", "<div class='entry'>", "<main>", "<section class='story'>", "<div itemprop='articleBody'>")
         + ("<div id='main'>", "<div class='main'>", "<div id='main-content'>", "<div class='content'>", "<div role='main'>", "<section>", "<div id='text'>")
     )
+    if own.random() < 0.5:  # a wrapper that says nothing, or whose name is any word
+        body = own.choice(("<div>", "<div>", "<div class='post'>", "<div class='story'>", f"<div class='{_sentence(own, 1, 1, '').lower()}'>", f"<div id='{_sentence(own, 1, 1, '').lower()}'>", f"<section class='{_sentence(own, 1, 1, '').lower()}'>"))
+        wrap = own.choice(("", "<div>", "<div>", wrap))
     out.append(wrap + body)
     article()
     out.append(re.sub(r"<(\w+)[^>]*>", r"</\1>", body) + (re.sub(r"<(\w+)[^>]*>", r"</\1>", wrap)))
