@@ -97,6 +97,12 @@ def regrid(df: DataFrame, table: DataFrame, values: Sequence[str], keys: Sequenc
     return joined.groupBy(*keys, "dst_lat", "dst_lon").agg(*aggs).withColumnsRenamed({"dst_lat": lat, "dst_lon": lon})
 
 
+def to_global(df: DataFrame, lats: Sequence[float], lons: Sequence[float], degrees: float, values: Sequence[str], keys: Sequence[str] = ("time",)) -> DataFrame:
+    """Fields of a grid with these latitudes and longitudes (ascending, by index) bilinearly on the global grid of cells of ``degrees``, indexed from the south and the date line."""
+    lat, lon = linear_axis_weights(lats, axis(-90, 90, degrees)), linear_axis_weights(lons, axis(-180, 180, degrees))
+    return regrid(df, weights(df.sparkSession, lat, lon), values, keys)
+
+
 def coarsen(df: DataFrame, factor: int, values: Sequence[str], keys: Sequence[str] = ("time",), lat: str = "lat_i", lon: str = "lon_i") -> DataFrame:
     """Block means of ``factor`` by ``factor`` cells."""
     block = lambda c: F.floor(F.col(c) / factor).cast("int").alias(c)

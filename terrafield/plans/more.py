@@ -166,6 +166,36 @@ def _(spark, sf):
     return G.regrid(zonal, G.weights(spark, lin, [(0, 0, 1.0)]), ["pr"]).select("time", "lat_i", F.round(F.col("pr") + F.lit(1e-6), 4).alias("pr"))
 
 
+_GLOBAL = "(SELECT i AS dst, greatest(0, least(h - 1, (({low} + (i + 0.5::DOUBLE) * 15) - ({low} + {span} / 2.0::DOUBLE / h)) / ({span}::DOUBLE / h))) AS p FROM (SELECT unnest(range(0, {n})) AS i), n)"
+_ALONG = "SELECT dst::INT AS dst, floor(p)::INT AS src, 1 - (p - floor(p)) AS w FROM {0} UNION ALL SELECT dst::INT, floor(p)::INT + 1, p - floor(p) FROM {0} WHERE p > floor(p)"
+
+
+@query("r02_bilinear_global", f"""WITH {GCM}, n AS (SELECT {WIDTH} // 2 AS h), y AS ({_ALONG.format(_GLOBAL.format(low=-90, span=180, n=12))}), x AS ({_ALONG.format(_GLOBAL.format(low=-180, span=360, n=24))})
+SELECT time, y.dst AS lat_i, x.dst AS lon_i, round(sum(y.w * x.w * pr) / sum(y.w * x.w) + 1e-6, 4) AS pr FROM gcm JOIN y ON y.src = lat_i JOIN x ON x.src = lon_i WHERE y.w * x.w > 0 GROUP BY ALL""")
+def _(spark, sf):
+    """Both axes onto cells of fifteen degrees; the model's grid covers the globe."""
+    h = grid_width(spark, sf) // 2
+    lats, lons = [-90 + 180 / h * (i + 0.5) for i in range(h)], [-180 + 360 / h * (i + 0.5) for i in range(h)]
+    return G.to_global(gcm(spark, sf), lats, lons, 15.0, ["pr"]).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-6), 4).alias("pr"))
+
+
+_RUNS_SQL = "SELECT 'CMIP.X.' || replace(p_brand, '.', '') || '.ssp245.r1.day.' || p_type || CASE WHEN p_size % 9 = 0 THEN '' ELSE '.pr' END AS name, '0.' || p_size % 11 || '.' || p_partkey % 13 || CASE WHEN p_partkey % 10 = 0 THEN '+local' ELSE '' END AS version, CASE WHEN p_partkey % 17 > 0 THEN 'az://pyramids/' || p_partkey END AS pyramid, 'az://daily/' || p_partkey AS daily, p_partkey, p_size % 11 AS minor, p_partkey % 13 AS patch FROM part"
+
+
+@query("x04_web_catalog", f"""WITH r AS ({_RUNS_SQL}), k AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY minor DESC, patch DESC, pyramid DESC) AS n FROM r WHERE version NOT LIKE '%+%' AND minor >= 2 AND minor <= 9)
+SELECT name, version FROM k WHERE n = 1 AND name LIKE '%.pr' AND len(string_split(name, '.')) = 8 AND (SELECT count(*) FROM k o WHERE o.name = k.name AND o.minor = k.minor AND o.patch = k.patch AND o.pyramid IS NULL) = 0""")
+def _(spark, sf):
+    """Names with the versions that are shown; of runs with one version any may be, so addresses are left to the tests."""
+    p = table(spark, sf, "part")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    name = F.concat(F.lit("CMIP.X."), F.regexp_replace("p_brand", r"\.", ""), F.lit(".ssp245.r1.day."), "p_type", F.when(size % 9 == 0, "").otherwise(".pr"))
+    version = F.concat(F.lit("0."), (size % 11).cast("string"), F.lit("."), (key % 13).cast("string"), F.when(key % 10 == 0, "+local").otherwise(""))
+    runs = p.select(name.alias("name"), version.alias("version"), F.when(key % 17 > 0, F.concat(F.lit("az://pyramids/"), key.cast("string"))).alias("pyramid"), F.concat(F.lit("az://daily/"), key.cast("string")).alias("daily"))
+    unsure = runs.filter("pyramid IS NULL").select("name", "version").distinct()
+    found = catalog.web_catalog(runs, "https://data", "https://cdn", "0.2.0", "0.9.12")
+    return found.join(unsure, ["name", "version"], "left_anti").select("name", "version")
+
+
 @query("r09_layouts", f"WITH {OBS} SELECT time, lat_i, lon_i, pr FROM obs")
 def _(spark, sf):
     return sinks.by_time(sinks.by_cell(obs(spark, sf).select("time", *CELL, "pr")))

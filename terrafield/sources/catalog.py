@@ -127,6 +127,22 @@ def latest(results: DataFrame, keys: Sequence[str], version: str = "version") ->
     return results.withColumn("_n", F.row_number().over(over)).filter("_n = 1").drop("_n")
 
 
+def https_of(uri: Column, root: str) -> Column:
+    """The address under ``root`` of what a store's own address (scheme://place) names; null for none."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), F.element_at(F.split(uri, "//"), -1))
+
+
+def web_catalog(runs: DataFrame, root: str, cdn: str, minimum: str | None = None, maximum: str | None = None) -> DataFrame:
+    """What a page of published pyramids is given: the newest run of each name within the versions wanted, the name's parts, and addresses.
+
+    ``runs`` has name, version, pyramid and daily (addresses of stores, perhaps null). ``source`` leads to the pyramid through ``cdn``, ``original`` to the daily data
+    under ``root``. Local builds are left out, and so are names that do not have all their parts.
+    """
+    newest = latest(filter_versions(runs, minimum, maximum, without_local=True), ["name"])
+    named = parse_name(newest).filter((F.size(F.split("name", r"\.")) == len(NAME_PARTS)) & F.col("pyramid").isNotNull())
+    return named.select("name", *NAME_PARTS, "version", https_of(F.col("pyramid"), cdn).alias("source"), https_of(F.col("daily"), root).alias("original"))
+
+
 def report(df: DataFrame) -> DataFrame:
     """One row: the distinct values of every column."""
     return df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])

@@ -130,3 +130,12 @@ def test_batches_and_samples(spark, tmp_path):
         X.squeeze(rows.select("id"), ["id"])
     with pytest.raises(TypeError):
         sinks.chunk_lengths({"time": 10}, ["time"], 4)
+
+
+def test_web_catalog(spark):
+    from terrafield.sources import catalog
+
+    name = "CMIP.I.M.ssp245.r1.day.bcsd.pr"
+    runs = [(name, "0.1.9", "az://p/a", "az://d/a"), (name, "0.1.10", "az://p/b", None), (name, "0.2.0+local", "az://p/c", "az://d/c"), ("too.short", "1.0.0", "az://p/d", "az://d/d"), (name.replace("pr", "tas"), "0.1.0", None, "az://d/e")]
+    rows = catalog.web_catalog(spark.createDataFrame(runs, "name string, version string, pyramid string, daily string"), "https://data/", "https://cdn").collect()
+    assert [(r.variable_id, r.method, r.version, r.source, r.original) for r in rows] == [("pr", "bcsd", "0.1.10", "https://cdn/p/b", None)]
