@@ -28,3 +28,13 @@ def _(spark, sf):
         chunks.write_chunks(levels.filter(F.col("level") == level), path, {"time": 400, "y": 8, "x": 8}, ["pr"], group=str(level))
     read = [chunks.read_chunks(spark, path, group=str(level)).withColumn("level", F.lit(level)) for level in (1, 2)]
     return read[0].unionByName(read[1]).select("level", "time", "y", "x", r6(F.col("pr") + F.lit(1e-8), "pr"))
+
+
+@query("k03_append_variable", f"WITH {OBS} SELECT time, lat_i, lon_i, pr, tasmax, CASE WHEN lat_i < 5 THEN tasmin END AS tasmin FROM obs WHERE lon_i = 3")
+def _(spark, sf):
+    """Variables that come one by one into one store, the last of them for some cells."""
+    path, rows = scratch(spark, "appended"), obs(spark, sf)
+    chunks.write_chunks(rows, path, CHUNKS, ["pr"])
+    chunks.write_chunks(rows, path, CHUNKS, ["tasmax"], append=True)
+    chunks.write_chunks(rows.filter("lat_i < 5"), path, CHUNKS, ["tasmin"], append=True)
+    return chunks.read_chunks(spark, path).filter("lon_i = 3")

@@ -102,6 +102,10 @@ class Store:
             values = values.astype(np.int64) + (since - EPOCH).days
         return values
 
+    def coordinates(self, dim: str) -> list:
+        """A coordinate's values as rows have them."""
+        return [EPOCH + datetime.timedelta(days=x) if self.is_date(dim) else x for x in self.axis(dim).tolist()]
+
     def chunk(self, name: str, at: tuple[int, ...]) -> np.ndarray:
         """A chunk as it is stored; one without a file is fill values."""
         meta = self.arrays[name]
@@ -216,9 +220,12 @@ def _axis(df: DataFrame, dim: str) -> list:
     return sorted(r[0] for r in df.select(dim).filter(F.col(dim).isNotNull()).distinct().collect())
 
 
-def write_chunks(df: DataFrame, path: str, chunks: Mapping[str, int], variables: Sequence[str], packed: Mapping[str, tuple[float, float]] | None = None, axes: Mapping[str, Sequence] | None = None, group: str | None = None, level: int = 1) -> int:
+def write_chunks(df: DataFrame, path: str, chunks: Mapping[str, int], variables: Sequence[str], packed: Mapping[str, tuple[float, float]] | None = None, axes: Mapping[str, Sequence] | None = None, group: str | None = None, level: int = 1, append: bool = False) -> int:
     """Rows of (coordinates, variables) as a store; returns how many chunks it has.
 
+    With ``append`` the variables are put beside those of a store that is there: its axes and chunks hold, ``chunks`` names the dimensions alone, and variables
+    of the same name are replaced. Until all is written the store reads as it was before.
+
     ``chunks`` names the dimensions, in order, and the length of a chunk along each. Variables of ``packed`` are kept as integers of 32 bits by
     (scale, offset), rounded. Axes are the coordinates that occur, unless given. Rows with a null coordinate or one off the axes are
     left out; two rows for one cell are an error. Coordinates are dates, integers or doubles.
@@ -226,14 +233,18 @@ def write_chunks(df: DataFrame, path: str, chunks: Mapping[str, int], variables:
     path, packed = path if group is None else f"{path}/{group}", dict(packed or {})
     dims, kinds = list(chunks), dict(df.dtypes)
     fs, root = _open(path)
-    axis = {d: list((axes or {}).get(d) or _axis(df, d)) for d in dims}
+    old = Store(path) if append else None
+    if old and list(old.dims) != dims:
+        raise ValueError(f"{path} has the dimensions {', '.join(old.dims)}")
+    axis = {d: old.coordinates(d) if old else list((axes or {}).get(d) or _axis(df, d)) for d in dims}
     shape = [len(axis[d]) for d in dims]
-    lengths = [min(chunks[d], max(1, n)) for d, n in zip(dims, shape)]
+    lengths = list(old.chunks) if old else [min(chunks[d], max(1, n)) for d, n in zip(dims, shape)]
     types = {v: "<i4" if v in packed else "<f8" for v in variables}
     fill = {v: -(2**31) if v in packed else "NaN" for v in variables}
     for name in (*dims, *variables):
         fs.create_dir(f"{root}/{name}", recursive=True)
-    fs.delete_file(f"{root}/.zmetadata") if _read_bytes(fs, f"{root}/.zmetadata") is not None else None
+    if not old and _read_bytes(fs, f"{root}/.zmetadata") is not None:
+        fs.delete_file(f"{root}/.zmetadata")
 
     rows = df
     for d in dims:  # an axis is as long as the array is along it
@@ -265,7 +276,9 @@ def write_chunks(df: DataFrame, path: str, chunks: Mapping[str, int], variables:
     n_chunks = rows.groupBy("_chunk").applyInArrow(write, "chunk bigint").count()
 
     metadata: dict[str, dict] = {".zgroup": {"zarr_format": 2}, ".zattrs": {}}
-    for d in dims:
+    if old:
+        metadata = json.loads(_read_bytes(fs, f"{root}/.zmetadata"))["metadata"]
+    for d in dims if not old else ():
         date = kinds[d] == "date"
         values = np.array([(v - EPOCH).days if date else v for v in axis[d]], {"int": "<i4", "bigint": "<i8", "float": "<f4", "double": "<f8"}.get(kinds[d], "<i4"))
         _write_bytes(fs, f"{root}/{d}/0", zlib.compress(values.tobytes(), level))

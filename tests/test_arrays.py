@@ -83,3 +83,14 @@ def test_missing_chunks_groups_and_errors(spark, store, tmp_path):
     assert C.read_chunks(spark, f"file://{tmp_path}/empty", group="a").count() == 0
     with pytest.raises(Exception, match="has no nothing"):
         C.read_chunks(spark, store, ["nothing"]).collect()
+
+
+def test_variables_are_appended(spark, store):
+    more = spark.createDataFrame([(DAY + datetime.timedelta(days=1), 2, 3, 5.0), (DAY + datetime.timedelta(days=90), 0, 0, 6.0)], "time date, lat_i int, lon_i int, wind double")
+    C.write_chunks(more, store, {"time": 0, "lat_i": 0, "lon_i": 0}, ["wind"], append=True)
+    read = C.read_chunks(spark, store)
+    assert read.columns == ["time", "lat_i", "lon_i", "pr", "tas", "wind"]
+    assert [tuple(r)[:3] + (r.wind,) for r in read.filter("wind IS NOT NULL").collect()] == [(DAY + datetime.timedelta(days=1), 2, 3, 5.0)]
+    assert sorted((tuple(r)[:5] for r in read.filter("pr IS NOT NULL OR tas IS NOT NULL").collect()), key=repr) == sorted(ROWS, key=repr)
+    with pytest.raises(ValueError, match="dimensions"):
+        C.write_chunks(more, store, {"lat_i": 0, "time": 0}, ["wind"], append=True)
