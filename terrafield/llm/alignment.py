@@ -12,6 +12,7 @@ its stretches one after another. Frequent stretches are looked up in a broadcast
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import at_most, clear_shuffles, drop_scratch, materialise, pieces, read_table
 from .tokens import _LETTERS, LONGEST_KEPT, default_path
 
-#: Stretches (of at most LONGEST_KEPT letters) in the broadcast table; a worker holds some 60 MB of them.
-FREQUENT = 300_000
+#: Stretches (of at most LONGEST_KEPT letters) in the broadcast table; a worker holds some 40 MB of them.
+FREQUENT = 200_000
 #: Distinct stretches a task counts before it hands them on.
 COUNTED = 300_000
 #: Id pairs with counts that are broadcast, measured before; beyond, they are joined.
@@ -154,19 +155,32 @@ def _numberer(shared, key: str):
                     rest: dict[str, int] = {}
                     if None in own:
                         own = [rest.setdefault(w, -1 - len(rest)) if i is None else i for i, w in zip(own, words)]
-                    numbers.append(np.array(own, np.int32))
+                    numbers.append(zlib.compress(np.array(own, "<i4").tobytes(), 1))
                     others.append(list(rest))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(numbers, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.string()))], ["uid", "doc_id", "numbers", "others"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(numbers, pa.binary()), pa.array(others, pa.list_(pa.string()))], ["uid", "doc_id", "numbers", "others"])
 
     return number
 
 
+def _numbers(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), "<i4")
+
+
+def _holds(wanted: list[int]):
+    def hold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ids of the texts that have any of some frequent stretches."""
+        for batch in batches:
+            yield batch.filter(pa.array([bool(np.isin(_numbers(x), wanted).any()) for x in batch.column(1).to_pylist()], pa.bool_())).select([0])
+
+    return hold
+
+
 def _unnumberer(shared):
     def restore(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter[str] = Counter()
             for numbers, others in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts.update(shared.value[i] if i >= 0 else others[-1 - i] for i in numbers)
+                counts.update(shared.value[i] if i >= 0 else others[-1 - i] for i in _numbers(numbers).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["stretch", "n"])
 
     return restore
@@ -264,9 +278,10 @@ def _align(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, fr
     clear_shuffles(spark)
 
     # At most ``frequent`` rows of at most LONGEST_KEPT letters come to the driver.
-    top = at_most(encoded.filter(F.length("stretch") <= LONGEST_KEPT), "n", frequent).select("cid", "stretch", "ok").toArrow()
+    top = at_most(encoded.filter(F.length("stretch") <= LONGEST_KEPT), "n", frequent).select("cid", "stretch", "ok", "n").toArrow()
+    top = top.sort_by([("n", "descending"), ("cid", "ascending")])  # small numbers for what occurs most: they pack well
     names = spark.sparkContext.broadcast(top["stretch"].to_pylist())
-    numbered = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text").mapInArrow(_numberer(names, uuid.uuid4().hex), f"uid bigint, doc_id {kind}, numbers array<int>, others array<string>")
+    numbered = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text").mapInArrow(_numberer(names, uuid.uuid4().hex), f"uid bigint, doc_id {kind}, numbers binary, others array<string>")
     numbered = materialise(numbered, "numbered-stretches")
 
     bad = encoded.filter(~F.col("ok")).select("stretch")
@@ -274,7 +289,7 @@ def _align(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, fr
     if not bad.isEmpty():  # what stands beside them in their texts does not count
         within = numbered.select("uid", F.explode("others").alias("stretch")).join(bad, "stretch", "left_semi").select("uid")
         if bad_numbers := np.flatnonzero(~top["ok"].to_numpy()).tolist():
-            within = within.union(numbered.filter(F.arrays_overlap("numbers", F.array(*map(F.lit, bad_numbers)))).select("uid"))
+            within = within.union(numbered.select("uid", "numbers").mapInArrow(_holds(bad_numbers), "uid bigint"))
         spoiled = numbered.join(within.distinct(), "uid", "left_semi").select("numbers", "others").mapInArrow(_unnumberer(names), "stretch string, n bigint")
         less = spoiled.groupBy("stretch").agg(F.sum("n").alias("less"))
         sources = encoded.join(less, "stretch", "left").withColumn("n", F.col("n") - F.coalesce("less", F.lit(0))).drop("less")
@@ -339,7 +354,7 @@ def _composer(shared, key: str):
                 part = batch.slice(i, 256)
                 totals, texts = np.zeros((part.num_rows, len(SUMS)), np.int64), []
                 for row in range(part.num_rows):
-                    numbers = part.column(1)[row].values.to_numpy()
+                    numbers = _numbers(part.column(1)[row].as_py())
                     others = part.column(2)[row].as_py()
                     total = sums[numbers[numbers >= 0]].sum(axis=0)
                     if others:
