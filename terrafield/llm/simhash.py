@@ -156,13 +156,13 @@ def allocate(n: int, p: np.ndarray, groups: list[list[int]], distance: int, prob
     return best[total + len(groups)]
 
 
-def plan(n: int, both: np.ndarray, distance: int = DISTANCE, sample: np.ndarray | None = None) -> list[tuple[list[int], int]]:
+def plan(n: int, both: np.ndarray, distance: int = DISTANCE, sample: np.ndarray | None = None, probe_cost: float = PROBE_COST) -> list[tuple[list[int], int]]:
     """The partitions (their bits) and thresholds of least estimated cost."""
     p = np.diag(both) / max(n, 1)
     options = []
     for partitions in range(2, distance + 2):
         groups = group_bits(n, both, partitions)
-        cost, thresholds = allocate(n, p, groups, distance, sample=sample)
+        cost, thresholds = allocate(n, p, groups, distance, probe_cost, sample)
         options.append((cost, list(zip(groups, thresholds))))
     return min(options, key=lambda o: o[0])[1]
 
@@ -186,12 +186,12 @@ def _keys_of(part: int, key):
     return lambda flip: F.struct(F.lit(part).alias("part"), key.bitwiseXOR(flip).alias("key"))
 
 
-def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], distance: int = DISTANCE, node: str = "fp", sketch: Sequence[str] = (), sketch_distance: int = 0) -> DataFrame:
+def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], distance: int = DISTANCE, node: str = "fp", sketch: Sequence[str] = (), sketch_distance: int = 0, labels: bool = False) -> DataFrame:
     """Links (a, b) between nodes whose fingerprints are within ``distance`` and whose ``known`` labels differ.
 
     ``distinct`` has fp, known and the node (the fingerprint itself, or a column of its own). One row per partition is looked up in by one row
     per partition and key within its threshold; the join itself verifies, so no candidate leaves it unverified.
-    With ``sketch`` (columns of 64 bits) those must differ in ``sketch_distance`` bits at most as well.
+    With ``sketch`` (columns of 64 bits) those must differ in ``sketch_distance`` bits at most as well. ``labels`` gives links of the labels.
     """
     index, probe = [], []
     for k, (bits, threshold) in enumerate(parts):
@@ -214,7 +214,7 @@ def candidate_links(distinct: DataFrame, parts: list[tuple[list[int], int]], dis
         near &= _sketches_near(sketch, sketch_distance)
     q, x = side("a", F.concat(*probe)).alias("q"), side("b", F.array(*index)).alias("x")
     found = q.hint("merge").join(x, (F.col("q.part") == F.col("x.part")) & (F.col("q.key") == F.col("x.key")) & near)
-    return found.select("a", "b")
+    return found.select(F.col("known_a").alias("a"), F.col("known_b").alias("b")) if labels else found.select("a", "b")
 
 
 def _sketches_near(sketch: Sequence[str], most: int):
@@ -273,6 +273,9 @@ def link_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 SIMILAR_SHINGLE = 2
 SIMILAR_SEEDS = (42, 43)
 SIMILAR_DISTANCE = 6
+#: Distances that are linked before it, so that dense groups are few nodes by then; and the cost of a key there, whose row is wide.
+NEARER = (3,)
+SIMILAR_PROBE_COST = 200.0
 #: The sketch that verifies: one bit each of so many least hashes of five-word shingles. Texts of similarity s differ in a share (1 - s) / 2 of them.
 SKETCH_SHINGLE = 5
 SKETCH = ("m0", "m1")
@@ -370,19 +373,18 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, distance:
     known = materialise(nodes.join(joined, "node", "left").select("node", *names, *SKETCH, F.coalesce("label", "node").alias("known")), "similar-known")
     clear_shuffles(docs.sparkSession)
 
-    found = None
-    for name in names:
-        own = known.select("node", F.col(name).alias("fp"), "known", *SKETCH)
-        distinct = own.select("fp").distinct()
-        n, both = bit_statistics(distinct)
-        links = candidate_links(own, plan(n, both, distance, sampled_prints(distinct, n)), distance, "node", SKETCH, most)
-        links = materialise(links, "similar-links")
-        clear_shuffles(docs.sparkSession)
-        found = links if found is None else found.union(links)
-    a, b = known.select(F.col("node").alias("a"), F.col("known").alias("ka")), known.select(F.col("node").alias("b"), F.col("known").alias("kb"))
-    merged = connected_components(found.join(a, "a").join(b, "b").select(F.col("ka").alias("a"), F.col("kb").alias("b")), "similar")
-    labels = known.select("node", "known").join(merged.withColumnRenamed("node", "known"), "known", "left").select("node", F.coalesce("label", "known").alias("label"))
-    labels = materialise(labels.join(nodes.select("node", "least"), "node"), "similar-labels")
+    # Nearer ones first, one fingerprint after the other: what is joined already is not paired again.
+    for most_bits in (*(d for d in NEARER if d < distance), distance):
+        for name in names:
+            own = known.select("node", F.col(name).alias("fp"), "known", *SKETCH)
+            distinct = own.select("fp").distinct()
+            n, both = bit_statistics(distinct)
+            links = candidate_links(own, plan(n, both, most_bits, sampled_prints(distinct, n), SIMILAR_PROBE_COST), most_bits, "node", SKETCH, most, labels=True)
+            merged = connected_components(links, "similar")
+            known = known.join(merged.withColumnRenamed("node", "known"), "known", "left").select("node", *names, *SKETCH, F.coalesce("label", "known").alias("known"))
+            known = materialise(known, "similar-known")
+            clear_shuffles(docs.sparkSession)
+    labels = materialise(known.select("node", F.col("known").alias("label")).join(nodes.select("node", "least"), "node"), "similar-labels")
     of_label = labels.groupBy("label").agg(F.min("least").alias("component_id"))
     of_node = materialise(labels.select("node", "label").join(of_label, "label").select("node", "component_id"), "similar-components")
     return prints.select("doc_id", "node").hint("merge").join(of_node, "node").select("doc_id", "component_id")
