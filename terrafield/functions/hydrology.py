@@ -69,7 +69,8 @@ def penman_monteith(tmax: Column, tmin: Column, srad: Column, wind: Column, tdew
     sunset = F.acos(-F.tan(phi) * F.tan(declination))
     top = d(1440 / math.pi * 0.082) * distance * (sunset * F.sin(phi) * F.sin(declination) + F.cos(phi) * F.cos(declination) * F.sin(sunset))
     clear = F.greatest(d(0), top * (d(0.75) + d(2e-5) * elevation))
-    share = F.least(d(1), srad / clear)
+    # Where there is no sun above the horizon, the share is one, as of any radiation under a dark sky.
+    share = F.least(d(1), F.try_divide(srad, clear))
     longwave = d(4.903e-9) * (F.pow(tmax + d(273.15), d(4)) + F.pow(tmin + d(273.15), d(4))) / d(2) * (d(0.34) - d(0.14) * F.sqrt(ea)) * (d(1.35) * share - d(0.35))
     net = (d(0.77) * srad - longwave) * n_days
     aerodynamic = density * d(1.013e-3) * vpd / ra * d(86400) * n_days
