@@ -45,9 +45,9 @@ def read_polygons(spark: SparkSession, path: str, number: str = "region_id") ->
 
 
 def read_batches(spark: SparkSession, path: str, size: int, seed: int = 0) -> DataFrame:
-    """A store of patches in shuffled batches of ``size`` (the last of a range may be smaller): adds batch and shuffle, the order within all.
+    """A store of patches in shuffled batches of ``size`` (the last one may be smaller): adds batch and shuffle, the order within all.
 
-    The order is a hash of the patch and the seed; ranges of it are numbered side by side.
+    The order is a hash of the patch and the seed; ranges of it are counted, and then numbered side by side.
     """
     return shuffled_batches(spark.read.parquet(path), size, seed)
 
@@ -57,9 +57,13 @@ def shuffled_batches(rows: DataFrame, size: int, seed: int = 0) -> DataFrame:
     keyed = rows.withColumn("shuffle", F.xxhash64(F.lit(seed), *[c for c in rows.columns if c != "patch"]))
     tasks = max(1, rows.count() // (64 * size))
     part = F.floor((F.shiftrightunsigned("shuffle", 33) * tasks) / F.lit(float(1 << 31))).cast("bigint")
+    keyed = keyed.withColumn("_part", part)
+    # One row a range, some 64 batches of patches: how many patches lie in the ranges before it.
+    counts = keyed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).drop("_n")
     order = Window.partitionBy("_part").orderBy("shuffle", *[c for c in rows.columns if c != "patch"])
-    numbered = keyed.withColumn("_part", part).withColumn("batch", F.col("_part") * F.lit(1 << 32) + F.floor((F.row_number().over(order) - 1) / size))
-    return numbered.drop("_part")
+    numbered = keyed.withColumn("_place", F.row_number().over(order) - 1).join(F.broadcast(before), "_part")
+    return numbered.withColumn("batch", F.floor((F.col("_before") + F.col("_place")) / size)).drop("_part", "_place", "_before")
 
 
 def elevation(spark: SparkSession, root: str, degrees: float) -> DataFrame:
