@@ -12,7 +12,7 @@ from ..operators import aggregate as A
 from ..operators import calendar as C
 from ..operators import grid as G
 from ..operators import select as X
-from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table
+from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table, tasks
 from .registry import nudged, query, r6
 
 CELL = A.CELL
@@ -185,7 +185,7 @@ filled AS (SELECT time, lat_i, lon_i, coalesce(pr, x0 + (x1 - x0) * (d - t0)::DO
 @query("f02_standard_calendar", f"WITH {_SPINE} SELECT time, lat_i, lon_i, round(pr, 6) AS pr FROM filled")
 def _(spark, sf):
     t = F.col("time")
-    rows = obs(spark, sf).select(*CELL, "pr", F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"))
+    rows = obs(spark, sf, CELL).select(*CELL, "pr", F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"))
     return C.to_standard_calendar(rows, "noleap", ["pr"]).select("time", *CELL, r6("pr", "pr"))
 
 
@@ -217,7 +217,7 @@ def _(spark, sf):
     SELECT e.time, e.lat_i, e.lon_i, round(cycle - m, 6) + 0.0::DOUBLE AS trend FROM e JOIN hm USING (lat_i, lon_i, doy)""",
 )
 def _(spark, sf):
-    out = C.epoch_trend(obs(spark, sf), "pr", F.year("time") <= 1998, 21, 3)
+    out = C.epoch_trend(obs(spark, sf, CELL), "pr", F.year("time") <= 1998, 21, 3)
     return out.select("time", *CELL, (r6("trend") + F.lit(0.0)).alias("trend"))
 
 
@@ -234,7 +234,7 @@ def _(spark, sf):
 
 @query("w09_interpolate", f"WITH {_SPINE} SELECT year(time)::INT AS year, lat_i, lon_i, round(sum(pr), 4) AS pr FROM filled GROUP BY ALL")
 def _(spark, sf):
-    filled = C.interpolate_linear(C.day_spine(obs(spark, sf).select("time", *CELL, "pr")), ["pr"])
+    filled = C.interpolate_linear(C.day_spine(obs(spark, sf, CELL).select("time", *CELL, "pr")), ["pr"])
     return filled.groupBy(F.year("time").alias("year"), *CELL).agg(F.round(F.sum("pr"), 4).alias("pr"))
 
 
@@ -246,7 +246,7 @@ _COARSE = "coarse AS (SELECT time, (lat_i // 2)::INT AS lat_i, (lon_i // 2)::INT
 
 @query("j01_aligned_difference", f"WITH {OBS}, {GCM}, {_COARSE} SELECT time, lat_i, lon_i, round(g.pr - c.pr, 4) AS diff FROM gcm g JOIN coarse c USING (time, lat_i, lon_i)")
 def _(spark, sf):
-    c = G.coarsen(obs(spark, sf), 2, ["pr"]).withColumnRenamed("pr", "o")
+    c = G.coarsen(obs(spark, sf), 2, ["pr"], tasks=tasks(spark, sf, "lineitem")).withColumnRenamed("pr", "o")
     return gcm(spark, sf).join(c, ["time", *CELL]).select("time", *CELL, F.round(F.col("pr") - F.col("o"), 4).alias("diff"))
 
 
@@ -288,7 +288,7 @@ def _(spark, sf):
     from ..operators.models import analog_days
 
     g = gcm(spark, sf).filter(F.year("time") >= 1999).withColumn("pr", F.col("pr") / 10000)
-    far = analog_days(g, G.coarsen(obs(spark, sf), 2, ["pr"]), "pr", 1_000_000, 10).withColumn("rmse", F.round("rmse", 6)).drop("rank")
+    far = analog_days(g, G.coarsen(obs(spark, sf), 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), "pr", 1_000_000, 10).withColumn("rmse", F.round("rmse", 6)).drop("rank")
     order = Window.partitionBy("gcm_day").orderBy("rmse", "obs_day")
     return far.withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
 
@@ -369,7 +369,7 @@ def _(spark, sf):
 
 @query("r04_coarsen_interpolate", f"WITH {OBS}, {_COARSE}, {_LINEAR} SELECT time, a.dst AS lat_i, b.dst AS lon_i, round(sum(a.w * b.w * pr) / sum(a.w * b.w), 6) AS pr FROM coarse JOIN lin a ON a.src = lat_i JOIN lin b ON b.src = lon_i GROUP BY ALL")
 def _(spark, sf):
-    return G.regrid(G.coarsen(obs(spark, sf), 2, ["pr"]), _bilinear_weights(spark, sf), ["pr"]).select("time", *CELL, r6("pr", "pr"))
+    return G.regrid(G.coarsen(obs(spark, sf), 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), _bilinear_weights(spark, sf), ["pr"]).select("time", *CELL, r6("pr", "pr"))
 
 
 @query("r07_weights", f"WITH {_LINEAR} SELECT a.dst AS dst_lat, b.dst AS dst_lon, a.src AS src_lat, b.src AS src_lon, round(a.w * b.w, 6) AS w FROM lin a, lin b")
@@ -425,7 +425,7 @@ def _(spark, sf):
     from ..operators.downscale import spatial_anomalies
 
     o = obs(spark, sf)
-    interpolated = G.regrid(G.coarsen(o, 2, ["pr"]), _bilinear_weights(spark, sf), ["pr"])
+    interpolated = G.regrid(G.coarsen(o, 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), _bilinear_weights(spark, sf), ["pr"])
     return spatial_anomalies(o, interpolated, "pr").select("month", *CELL, r6(nudged("anomaly"), "anomaly"))
 
 

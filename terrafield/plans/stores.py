@@ -12,7 +12,7 @@ from ..operators import grid as G
 from ..operators import select as X
 from ..params import make_run_parameters, str_to_hash
 from ..sources import catalog, chunks, netcdf, readers, records, sinks, transfer
-from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table
+from ..sources.cube import CELLS, GCM, OBS, WIDTH, cells, gcm, grid_width, obs, table, tasks
 from ..sources.scratch import scratch, written
 from .registry import query, r6
 
@@ -242,7 +242,7 @@ lin AS (SELECT dst::INT AS dst, a AS src, 1 - f AS w FROM v WHERE f < 1 UNION AL
 SELECT time, a.dst AS lat_i, b.dst AS lon_i, round(sum(a.w * b.w * pr) / sum(a.w * b.w) + 1e-8, 6) AS pr FROM c JOIN lin a ON a.src = lat_i JOIN lin b ON b.src = lon_i GROUP BY ALL""")
 def _(spark, sf):
     w = grid_width(spark, sf)
-    return G.coarsen_and_interpolate(obs(spark, sf), 4, w, w, ["pr"]).select("time", *CELL, r6(F.col("pr") + F.lit(1e-8), "pr"))
+    return G.coarsen_and_interpolate(obs(spark, sf), 4, w, w, ["pr"], tasks=tasks(spark, sf, "lineitem")).select("time", *CELL, r6(F.col("pr") + F.lit(1e-8), "pr"))
 
 
 @query("r06_cell_centres", f"WITH {OBS}, n AS (SELECT {WIDTH} AS w), d AS (SELECT unnest([0, 1]) AS k) SELECT time, (lat_i - a.k)::INT AS lat_i, (lon_i - b.k)::INT AS lon_i, round(avg(pr) + 1e-8, 6) AS pr FROM obs, n, d a, d b WHERE lat_i - a.k BETWEEN 0 AND w - 2 AND lon_i - b.k BETWEEN 0 AND w - 2 GROUP BY time, lat_i - a.k, lon_i - b.k")

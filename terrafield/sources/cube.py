@@ -14,11 +14,13 @@ cities  city, country, population, lat, lon          customer and nation
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL = ("lat_i", "lon_i")
+DAY = ("time", *CELL)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,23 +40,41 @@ def grid_width(spark: SparkSession, sf_dir: str) -> int:
     return _WIDTHS[key]
 
 
+#: Rows of a table that a task groups into cells' days, about; shuffles that are sized by bytes hand a task the more of them the better they pack.
+TASK_ROWS = 250_000
+
+_TASKS: dict[tuple[str, str, str], int] = {}
+
+
+def tasks(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Tasks for a table's rows, in proportion to their number (which the files' footers tell); counted once an application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TASKS:
+        _TASKS[key] = max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, name).count() // TASK_ROWS))
+    return _TASKS[key]
+
+
 def _int(c):
     return c.cast("int")
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def obs(spark: SparkSession, sf_dir: str, by: Sequence[str] = DAY) -> DataFrame:
+    """Rows are dealt out once, by cells' days, or by cells for steps along a cell's series; ``by`` says which."""
     w = grid_width(spark, sf_dir)
     cell = F.col("l_suppkey")
     rows = table(spark, sf_dir, "lineitem").select(
         F.to_date("l_shipdate").alias("time"), _int(F.floor(cell / w)).alias("lat_i"), _int(cell % w).alias("lon_i"), "l_quantity", "l_extendedprice"
     )
+    rows = rows.repartition(tasks(spark, sf_dir, "lineitem"), *by)
     return rows.groupBy("time", *CELL).agg(F.sum("l_quantity").alias("pr"), F.max("l_extendedprice").alias("tasmax"), F.min("l_extendedprice").alias("tasmin"))
 
 
-def gcm(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gcm(spark: SparkSession, sf_dir: str, by: Sequence[str] = DAY) -> DataFrame:
+    """Dealt out as ``obs``."""
     h = grid_width(spark, sf_dir) // 2
     cell = F.col("o_custkey") % (h * h)
     rows = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("time"), _int(F.floor(cell / h)).alias("lat_i"), _int(cell % h).alias("lon_i"), F.col("o_totalprice").cast("decimal(18,2)").alias("p"))
+    rows = rows.repartition(tasks(spark, sf_dir, "orders"), *by)
     return rows.groupBy("time", *CELL).agg(F.sum("p").cast("double").alias("pr"))
 
 
