@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -388,6 +389,10 @@ def construct_analogs(gcm: DataFrame, obs_coarse: DataFrame, obs_fine: DataFrame
 # ---------------------------------------------------------------- convolutional super-resolution
 
 
+#: Rows of a map whose windows are laid out at once.
+BAND_ROWS = 64
+
+
 def srcnn(image: np.ndarray, elevation: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """A forward pass over two channels: same-padded convolutions, rectified but for the last. ``layers``: kernels (k, k, in, out) and biases."""
     x = np.stack([image, elevation], axis=-1)
@@ -395,7 +400,8 @@ def srcnn(image: np.ndarray, elevation: np.ndarray, layers: list[tuple[np.ndarra
         k = kernel.shape[0]
         padded = np.pad(x, ((k // 2, k // 2), (k // 2, k // 2), (0, 0)))
         windows = np.lib.stride_tricks.sliding_window_view(padded, (k, k), axis=(0, 1))
-        x = np.einsum("hwcij,ijco->hwo", windows, kernel, optimize=True) + bias
+        bands = [np.einsum("hwcij,ijco->hwo", windows[a : a + BAND_ROWS], kernel, optimize=True) for a in range(0, len(windows), BAND_ROWS)]
+        x = np.concatenate(bands) + bias
         if n < len(layers) - 1:
             x = np.maximum(x, 0)
     return x[..., 0]
@@ -419,16 +425,16 @@ def super_resolve(maps: DataFrame, elevations: list[np.ndarray], stages: list[li
     context = maps.sparkSession.sparkContext
     shared = context.broadcast((elevations, stages))
 
-    def run(frames):
+    def run(batches):
+        """One map at a time: as lists, a fine map takes some times the memory of its numbers."""
         heights, nets = shared.value
-        for frame in frames:
-            out = []
-            for field in frame["field"]:
-                image = np.array([list(map(float, r)) for r in field])
+        field = pa.list_(pa.list_(pa.float64()))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                image = np.array(batch.column(1)[i].as_py(), float)
                 for height, net in zip(heights, nets):
                     image = srcnn(upsample2(image), height, net)
-                out.append(image.tolist())
-            yield pd.DataFrame({time: frame[time], "field": out})
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([image.tolist()], field)], [time, "field"])
 
     kind = maps.schema[time].dataType.simpleString()
-    return maps.select(time, "field").mapInPandas(run, f"{time} {kind}, field array<array<double>>")
+    return maps.select(time, "field").mapInArrow(run, f"{time} {kind}, field array<array<double>>")

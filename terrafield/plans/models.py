@@ -11,7 +11,7 @@ from ..operators import downscale as D
 from ..operators import grid as G
 from ..operators import models as M
 from ..operators import water as W
-from ..sources.cube import CELLS, GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table
+from ..sources.cube import CELLS, GCM, HOURLY, OBS, cells, gcm, grid_width, obs, table, tasks
 from ..sources import networks
 from ..sources.scratch import scratch
 from .grids import _COARSE, _LINEAR, _PET, _bilinear_weights, _field_sql, normal_cdf_sql, normal_ppf_sql
@@ -258,7 +258,7 @@ def _(spark, sf):
     w = grid_width(spark, sf) // 2
     maps = D.maps_of(gcm(spark, sf).withColumn("pr", F.col("pr") / F.lit(1e5)), "pr", w, w)
     elevation = networks.elevation_matrix(cells(spark, sf), 2 * w, 2 * w)
-    out = M.super_resolve(maps, [elevation / 1e4], _network(spark))
+    out = M.super_resolve(maps.repartition(tasks(spark, sf, "orders"), "time"), [elevation / 1e4], _network(spark))
     return out.select("time", F.size("field").alias("rows"), F.round(F.aggregate(F.flatten("field"), F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 
