@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -29,9 +29,19 @@ def spatial_anomalies(obs: DataFrame, interpolated: DataFrame, value: str, cell:
 def reconstruct(fine: DataFrame, anomalies: DataFrame, value: str, land: DataFrame | None = None, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
     """Corrected coarse fields on the fine grid with the month's anomaly added; cells off the land are null."""
     out = fine.withColumn("month", F.month(time)).join(anomalies, ["month", *cell]).withColumn(value, F.col(value) + F.col("anomaly")).drop("month", "anomaly")
-    if land is not None:
-        out = out.join(land.select(*cell, "is_land"), list(cell), "left").withColumn(value, F.when(F.col("is_land"), F.col(value))).drop("is_land")
-    return out
+    return on_land(out, value, land, cell)
+
+
+def on_land(df: DataFrame, value: str, land: DataFrame | None, cell: Sequence[str] = CELL) -> DataFrame:
+    """Values off the land made null, where ``land`` is given."""
+    if land is None:
+        return df
+    return df.join(land.select(*cell, "is_land"), list(cell), "left").withColumn(value, F.when(F.col("is_land"), F.col(value))).drop("is_land")
+
+
+def _months(days: np.ndarray) -> np.ndarray:
+    """Months of numpy's days, from 0."""
+    return days.astype("datetime64[M]").astype(int) % 12
 
 
 def bcsd(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFrame, to_fine: DataFrame, value: str, land: DataFrame | None = None) -> DataFrame:
@@ -41,7 +51,6 @@ def bcsd(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFra
     nine-year mean of the month against the historical one), precipitation does not.
     """
     coarse = G.regrid(obs, to_coarse, [value])
-    anomalies = spatial_anomalies(obs, G.regrid(coarse, to_fine, [value]), value)
     if value in ("tasmax", "tasmin"):
         from pyspark.sql import Window
 
@@ -55,18 +64,53 @@ def bcsd(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFra
         corrected = corrected.join(keyed.select("time", *CELL, "_shift"), ["time", *CELL]).select("time", *CELL, (F.col(value) + F.col("_shift")).alias(value))
     else:
         corrected = M.bias_correct(hist, coarse, predict, value, "quantile_map", by_month=True)
-    return reconstruct(G.regrid(corrected, to_fine, [value]), anomalies, value, land)
 
+    def series(tables):
+        (own, seen, has_seen), (days, fine, has), (observed, exact, has_exact) = tables
+        _, a, b = np.intersect1d(own, observed, return_indices=True)
+        both, month = has_seen[a] & has_exact[b], _months(own[a])
+        gap = np.where(both, exact[b] - seen[a], 0.0)
+        with np.errstate(invalid="ignore"):
+            anomaly = np.stack([gap[month == m].sum(axis=0) / both[month == m].sum(axis=0) for m in range(12)])
+            known = np.stack([both[month == m].any(axis=0) for m in range(12)])
+        month = _months(days)
+        day, cell = np.nonzero(has & known[month])
+        return days[day], cell, [fine[day, cell] + anomaly[month[day], cell]]
 
-def gard(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFrame, to_fine: DataFrame, field: DataFrame, value: str, model: str = "PureRegression", thresh: float | None = None, correction: str = "quantile_map") -> DataFrame:
-    """Regression of fine observations on their own coarse view, applied to the corrected model, with a random field's errors."""
-    interpolated = written(G.regrid(G.regrid(obs, to_coarse, [value]), to_fine, [value]), "gard-interpolated")  # read twice
-    fine = lambda df: G.regrid(df, to_fine, [value])
-    corrected = M.bias_correct(fine(hist), interpolated, fine(predict), value, correction)
-    train = interpolated.select("time", *CELL, F.col(value).alias(f"{value}__x")).join(obs.select("time", *CELL, value), ["time", *CELL])
-    new = corrected.select("time", *CELL, F.col(value).alias(f"{value}__x"))
-    out = M.gard_fit_predict(train, new, [f"{value}__x"], value, model, thresh=thresh)
-    return M.random_effects(out.join(field, ["time", *CELL]), "field", thresh, value == "pr", value).select("time", *CELL, value)
+    return on_land(G.on_tiles([coarse, corrected], [obs], to_fine, value, series, [value]), value, land)
+
+
+def gard(obs: DataFrame, hist: DataFrame, predict: DataFrame, to_coarse: DataFrame, to_fine: DataFrame, field: DataFrame | Callable[[DataFrame], DataFrame], value: str, model: str = "PureRegression", thresh: float | None = None, correction: str = "quantile_map") -> DataFrame:
+    """Regression of fine observations on their own coarse view, applied to the corrected model, with a random field's errors.
+
+    ``field`` is a table of it, or what adds its column to rows of days and cells (a field that is a formula needs no join).
+    """
+    fitted, root = M.gard_model(model, thresh=thresh), value == "pr"
+
+    def series(tables):
+        (own, seen, has_seen), (_, past, has_past), (days, new, has_new), (observed, exact, has_exact) = tables
+        _, a, b = np.intersect1d(own, observed, return_indices=True)
+        t = days.astype("datetime64[D]").astype(float)
+        scale = np.cbrt if root else np.asarray
+        found: list[tuple] = []
+        for c in range(has_new.shape[1]):
+            at = np.flatnonzero(has_new[:, c])
+            hist, obs = past[has_past[:, c], c], seen[has_seen[:, c], c]
+            if not (len(at) and len(hist) and len(obs)):
+                continue
+            x = scale(M.SERIES[correction](hist, obs, new[at, c], t[at]))
+            train = np.column_stack([seen[a, c], exact[b, c]])[has_seen[a, c] & has_exact[b, c]]
+            train = scale(train[~np.isnan(train).any(axis=1)])
+            at, x = at[~np.isnan(x)], x[~np.isnan(x)]
+            if len(train) and len(at):
+                got = fitted(train[:, :1], train[:, 1], x[:, None])
+                found.append((at, np.full(len(at), c), got[:, 0] ** 3 if root else got[:, 0], got[:, 1], got[:, 2]))
+        at, cell, *columns = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int), np.empty(0, int), *np.empty((3, 0)))
+        return days[at], cell, columns
+
+    out = G.on_tiles([G.regrid(obs, to_coarse, [value]), hist, predict], [obs], to_fine, value, series, ["pred", "exceedance_prob", "prediction_error"])
+    placed = field(out) if callable(field) else out.join(field, ["time", *CELL])
+    return M.random_effects(placed, "field", thresh, value == "pr", value).select("time", *CELL, value)
 
 
 def maca(obs: DataFrame, model: DataFrame, historical: Column, predict: Column, to_coarse: DataFrame, to_fine: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, day_window: int = 21, year_window: int = 31, regions: DataFrame | None = None) -> DataFrame:
@@ -134,4 +178,4 @@ def deepsd(predict: DataFrame, hist: DataFrame, obs: DataFrame, to_fine: DataFra
         fine = cells_of(M.super_resolve(maps_of(scores, value, height, width), scaled, network), value)
     back = A.rescale(fine, obs, value, floor=0.0 if value == "pr" else None)
     corrected = M.bias_correct(back, obs, back, value, "quantile_mapper")
-    return corrected if land is None else corrected.join(land.select(*CELL, "is_land"), list(CELL), "left").withColumn(value, F.when(F.col("is_land"), F.col(value))).drop("is_land")
+    return on_land(corrected, value, land)

@@ -102,6 +102,13 @@ SERIES: dict[str, Callable] = {
 # ---------------------------------------------------------------- grouped application
 
 
+def days_of(column: pa.ChunkedArray) -> np.ndarray:
+    """Days since 1970, with the part of a day that a timestamp has; nulls are NaN."""
+    at = column.to_numpy()
+    unit = np.timedelta64(1, "D") if np.datetime_data(at.dtype)[0] == "D" else np.timedelta64(86_400_000_000, "us")
+    return (at - at.dtype.type(0, np.datetime_data(at.dtype)[0])) / unit
+
+
 def fit_predict(train: DataFrame, predict: DataFrame, function: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, keys: Sequence[str] = CELL) -> DataFrame:
     """A model of one's own, cell by cell: gets a cell's training and prediction rows, returns its result rows."""
     return train.groupBy(*keys).cogroup(predict.groupBy(*keys)).applyInPandas(function, schema)
@@ -111,12 +118,10 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
     """The prediction's values corrected cell by cell; the same columns come back.
 
     Cells without history, observations or prediction, and null values, are left out. With
-    ``by_month`` each calendar month is a group of its own.
+    ``by_month`` each calendar month is corrected by itself. A group is a cell's series, as columns of Arrow.
     """
     if method not in SERIES:
         raise NotImplementedError(method)
-    keys = [*cell, "_month"] if by_month else list(cell)
-
     def part(df: DataFrame, role: int) -> DataFrame:
         # Days matter for the prediction alone; the others' are not sent.
         day = F.col(time) if role == 2 else F.lit(None).cast(df.schema[time].dataType)
@@ -127,18 +132,22 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in (time, *cell)) + f", {value} double"
 
-    def correct(rows: pd.DataFrame) -> pd.DataFrame:
-        role = rows["_role"].to_numpy()
-        h, o = rows["_x"].to_numpy()[role == 0], rows["_x"].to_numpy()[role == 1]
-        p = rows[role == 2].sort_values(time)
-        out = p[[time, *cell]].copy()
-        if not (len(h) and len(o) and len(p)):
-            return out.iloc[:0].assign(**{value: pd.Series(dtype=float)})
-        t = pd.to_datetime(p[time]).to_numpy().astype("datetime64[D]").astype(float)
-        out[value] = SERIES[method](h, o, p["_x"].to_numpy(), t, **settings)
-        return out
+    def correct(rows: pa.Table) -> pa.Table:
+        role, x = rows["_role"].to_numpy(), rows["_x"].to_numpy()
+        t = days_of(rows[time])
+        months = rows["_month"].fill_null(0).to_numpy() if by_month else np.zeros(len(x), int)
+        out = np.full(len(x), np.nan)
+        done = np.zeros(len(x), bool)
+        for month in np.unique(months):
+            h, o, p = (np.flatnonzero((role == k) & (months == month)) for k in range(3))
+            if len(h) and len(o) and len(p):
+                p = p[np.argsort(t[p], kind="stable")]
+                out[p] = SERIES[method](x[h], x[o], x[p], np.floor(t[p]), **settings)
+                done[p] = True
+        found = rows.select([time, *cell]).append_column(value, pa.array(out))
+        return found.filter(pa.array(done))
 
-    return rows.groupBy(*keys).applyInPandas(correct, schema)
+    return rows.groupBy(*cell).applyInArrow(correct, schema)
 
 
 def edcdf_by_day(gcm: DataFrame, obs: DataFrame, train, value: str, batches: DataFrame, cell: Sequence[str] = CELL, time: str = "time", kind: str | None = None) -> DataFrame:
@@ -248,16 +257,20 @@ def gard_fit_predict(train: DataFrame, predict: DataFrame, features: Sequence[st
     schema = ", ".join(f"{c} {kinds[c]}" for c in (time, *cell)) + ", pred double, exceedance_prob double, prediction_error double"
     cube = target.split("__")[0] in roots
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.dropna().sort_values(time, kind="stable"), b.dropna()
-        out = b[[time, *cell]].copy()
-        if a.empty or b.empty:
-            return out.iloc[:0].assign(pred=pd.Series(dtype=float), exceedance_prob=pd.Series(dtype=float), prediction_error=pd.Series(dtype=float))
-        got = fitted(a[list(features)].to_numpy(), a[target].to_numpy(), b[list(features)].to_numpy())
-        out["pred"], out["exceedance_prob"], out["prediction_error"] = (got[:, 0] ** 3 if cube else got[:, 0]), got[:, 1], got[:, 2]
+    values = [*features, target]
+    columns = lambda rows, names: np.column_stack([rows[c].to_numpy() for c in names])
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        whole = lambda rows: rows.filter(pa.array(~np.isnan(columns(rows, [c for c in rows.column_names if c in values])).any(axis=1))).drop_null()
+        a, b = whole(a), whole(b)
+        a = a.take(pa.array(np.argsort(days_of(a[time]), kind="stable")))
+        got = fitted(columns(a, features), a[target].to_numpy(), columns(b, features)) if len(a) and len(b) else np.empty((0, 3))
+        out = b.slice(0, len(got)).select([time, *cell])
+        for name, x in zip(("pred", "exceedance_prob", "prediction_error"), ((got[:, 0] ** 3 if cube else got[:, 0]), got[:, 1], got[:, 2])):
+            out = out.append_column(name, pa.array(x))
         return out
 
-    return fit_predict(t, p, run, schema, cell)
+    return t.groupBy(*cell).cogroup(p.groupBy(*cell)).applyInArrow(run, schema)
 
 
 def random_effects(df: DataFrame, field: str, thresh: float | None, cube: bool, out: str) -> DataFrame:

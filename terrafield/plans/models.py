@@ -207,10 +207,8 @@ SELECT time, lat_i, lon_i, round(pow(a * cbrt(y) + b, 3) + e * {_field_sql(1999,
 def _(spark, sf):
     _, h, p = _parts(spark, sf)
     coarse, fine = _weights(spark, sf)
-    w = grid_width(spark, sf)
-    days = p.select("time").distinct().withColumn("step", F.datediff("time", F.lit("1999-01-01").cast("date")))
-    grid = days.join(F.broadcast(spark.range(0, w * w).select(F.floor(F.col("id") / w).cast("int").alias("lat_i"), (F.col("id") % w).cast("int").alias("lon_i"))))
-    return D.gard(obs(spark, sf).filter(F.year("time") < 1999), h, p, coarse, fine, G.random_field(grid, 4.0, 2.0, 1999, modes=40).drop("step"), "pr").select("time", *CELL, F.round("pr", 5).alias("pr"))
+    field = lambda rows: G.random_field(rows.withColumn("step", F.datediff("time", F.lit("1999-01-01").cast("date"))), 4.0, 2.0, 1999, modes=40)
+    return D.gard(obs(spark, sf).filter(F.year("time") < 1999), h, p, coarse, fine, field, "pr").select("time", *CELL, F.round("pr", 5).alias("pr"))
 
 
 @query("m11_maca_end_to_end")
