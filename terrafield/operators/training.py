@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import networks
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, written
 from ..sources.sinks import is_complete, write
 from .models import upsample2
 
@@ -24,6 +24,8 @@ Layers = list[tuple[np.ndarray, np.ndarray]]
 
 #: Bytes of the windows that a task unfolds at once.
 WINDOW_BYTES = 64 << 20
+#: Patches of a file, about, where a shard has more.
+FILE_PATCHES = 100_000
 #: Sums of gradients that one task (or the driver) adds up.
 FAN = 16
 
@@ -110,13 +112,15 @@ def _step(rows: DataFrame, layers: Layers, tasks: int) -> tuple[float, int, np.n
         depth = net[0][0].shape[2]
         total, error, pixels = np.zeros(sum(k.size + b.size for k, b in net)), 0.0, 0
         for batch in batches:
-            images = [np.asarray(x.values) for x in batch.column(0)]
-            labels = [np.asarray(x.values) for x in batch.column(1)]
-            side = int(round(np.sqrt(len(labels[0])))) if labels else 1
+            if not batch.num_rows:
+                continue
+            n = batch.num_rows
+            images, labels = (batch.column(k).flatten().to_numpy(zero_copy_only=False).reshape(n, -1) for k in range(2))
+            side = int(round(np.sqrt(labels.shape[1])))
             each = max(1, WINDOW_BYTES // (8 * side * side * max(k.shape[0] ** 2 * k.shape[2] for k, _ in net)))
-            for i in range(0, len(images), each):
-                x = np.stack(images[i : i + each]).astype(float).reshape(-1, side, side, depth)
-                y = np.stack(labels[i : i + each]).astype(float).reshape(-1, side, side)
+            for i in range(0, n, each):
+                x = images[i : i + each].astype(float).reshape(-1, side, side, depth)
+                y = labels[i : i + each].astype(float).reshape(-1, side, side)
                 e, g = gradients(x, y, net)
                 total += _flat(g)
                 error += e
@@ -133,7 +137,11 @@ def _step(rows: DataFrame, layers: Layers, tasks: int) -> tuple[float, int, np.n
         if total is not None:
             yield _sum_row(error, pixels, total)
 
-    sums = rows.select("image", "label").repartition(tasks).mapInArrow(partial, _SUMS)
+    rows = rows.select("image", "label")
+    read = rows.rdd.getNumPartitions()
+    # Patches are shuffled only where their files keep less than half of the tasks busy.
+    rows, tasks = (rows.repartition(tasks), tasks) if 2 * read < tasks else (rows, read)
+    sums = rows.mapInArrow(partial, _SUMS)
     while tasks > FAN:
         tasks = -(-tasks // FAN)
         sums = sums.repartition(tasks).mapInArrow(add, _SUMS)
@@ -166,11 +174,17 @@ def train(patches: DataFrame, path: str, layers: Layers, steps: int = 1000, batc
     sees the same ones. States are at ``path``/step-..., one every ``every`` steps.
     """
     spark = patches.sparkSession
-    shards = max(1, round(patches.count() / batch))
-    dealt = patches.select("image", "label", F.pmod(F.xxhash64(F.lit(seed), "image", "label"), F.lit(shards)).cast("int").alias("shard"))
-    stored = scratch(spark, "training-shards")
-    dealt.repartition(min(shards, 10_000), "shard").write.partitionBy("shard").parquet(stored)
-    rows = spark.read.schema("image array<float>, label array<float>, shard int").parquet(stored)
+    kept = written(patches.select("image", "label"), "training-patches")
+    n = kept.count()
+    shards = max(1, round(n / batch))
+    if shards == 1:
+        rows = kept.withColumn("shard", F.lit(0))
+    else:
+        files = -(-n // (shards * FILE_PATCHES))  # of a shard
+        dealt = kept.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "image", "label"), F.lit(shards)).cast("int"))
+        stored = scratch(spark, "training-shards")
+        dealt.repartition(min(shards * files, 10_000), "shard", F.pmod(F.xxhash64(F.lit(seed + 1), "label"), F.lit(files))).write.partitionBy("shard").parquet(stored)
+        rows = spark.read.schema("image array<float>, label array<float>, shard int").parquet(stored)
     tasks = tasks or spark.sparkContext.defaultParallelism
 
     done, weights, speed, losses = 0, _flat(layers), np.zeros(len(_flat(layers))), []
