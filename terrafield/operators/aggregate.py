@@ -247,12 +247,13 @@ def first_of(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 def variogram(df: DataFrame, value: str, axis: str, most_lag: int, keys: Sequence[str]) -> DataFrame:
     """Half the mean squared difference of values ``lag`` steps apart on an integer axis, for lags up to ``most_lag``.
 
-    Each row meets at most ``most_lag`` others, by an equi-join on the shifted position.
+    Rows are ordered along the axis once, and each looks at those within ``most_lag`` after it; no row is sent for each lag.
     """
-    left = df.select(*keys, F.col(axis).alias("at"), F.col(value).alias("a"))
-    right = df.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(most_lag))).alias("lag"), F.col(axis).alias("_p"), F.col(value).alias("b")).withColumn("at", F.col("_p") - F.col("lag")).drop("_p")
-    pairs = left.join(right, [*keys, "at"])
-    return pairs.groupBy("lag").agg((F.avg((F.col("a") - F.col("b")) * (F.col("a") - F.col("b"))) / d(2)).alias("gamma"), F.count("*").alias("n"))
+    rows = df.select(*keys, F.col(axis).alias("_at"), F.col(value).alias("_a")).dropna(subset=[*keys, "_at"])
+    ahead = Window.partitionBy(*keys).orderBy("_at").rangeBetween(1, most_lag)
+    others = rows.withColumn("_others", F.collect_list(F.struct("_at", F.col("_a").alias("_b"))).over(ahead)).select("_at", "_a", F.explode("_others").alias("_o"))
+    gap = F.col("_a") - F.col("_o._b")
+    return others.groupBy((F.col("_o._at") - F.col("_at")).alias("lag")).agg((F.avg(gap * gap) / d(2)).alias("gamma"), F.count("*").alias("n"))
 
 
 def variogram_in_time(df: DataFrame, value: str, most_lag: int, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
@@ -292,8 +293,11 @@ def fit_gaussian(lags: Sequence[float], gamma: Sequence[float], weights: Sequenc
 
 def correlation_lengths(df: DataFrame, value: str, most_lag: int, cell: Sequence[str] = CELL, time: str = "time") -> dict[str, tuple[float, float, float]]:
     """Fitted (length, sill, nugget) along each grid axis and along time; some lags an axis come to the driver."""
+    from ..sources.scratch import written
+
     lat, lon = cell
-    found = {lat: variogram(df, value, lat, most_lag, [time, lon]), lon: variogram(df, value, lon, most_lag, [time, lat]), time: variogram_in_time(df, value, most_lag, cell, time)}
+    rows = written(df.select(time, *cell, value), "correlation-rows")  # read along three axes
+    found = {lat: variogram(rows, value, lat, most_lag, [time, lon]), lon: variogram(rows, value, lon, most_lag, [time, lat]), time: variogram_in_time(rows, value, most_lag, cell, time)}
     fits = {}
     for name, table in found.items():
         rows = sorted((r.lag, r.gamma, r.n) for r in table.collect())
