@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import at_most, clear_shuffles, materialise, read_table, space_words
+from .common import ZSTD, at_most, clear_shuffles, drop_scratch, materialise, read_table, settings, space_words
 from .toxicity import held_out
 
 #: Words whose exact counts and masses are broadcast (24 bytes each).
@@ -528,6 +528,11 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
     ``docs`` is read once and written with a number a row, so passes agree whatever Spark does between them.
     Bigrams that occur fewer than ``least_count`` times in training texts score as unseen.
     """
+    with settings(docs.sparkSession, **ZSTD):
+        return _lm_scores(docs, folds, doc_id, text, bits_per_entry, part_bytes, pass_parts, chunk_letters, least_count)
+
+
+def _lm_scores(docs: DataFrame, folds: int, doc_id: str, text: str, bits_per_entry: int, part_bytes: int, pass_parts: int, chunk_letters: int, least_count: int) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
     dealt = deal(docs, folds, doc_id, text, chunk_letters)
     model, merged, dictionary = learn(dealt, bits_per_entry, least_count)
@@ -548,7 +553,10 @@ def lm_scores(docs: DataFrame, folds: int = 10, doc_id: str = "doc_id", text: st
             scored = found
         else:
             more = found.select("uid", F.col("score").alias("more"))
-            scored = materialise(scored.join(more, "uid").withColumn("score", F.col("score") + F.col("more")).drop("more"), "lm-sums")
+            before = scored
+            scored = materialise(before.join(more, "uid").withColumn("score", F.col("score") + F.col("more")).drop("more"), "lm-sums")
+            drop_scratch(before)
+            drop_scratch(found)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
 
 
