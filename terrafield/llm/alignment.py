@@ -15,16 +15,15 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import at_most, clear_shuffles, drop_scratch, materialise, pieces, read_table
+from .common import ZSTD, at_most, clear_shuffles, drop_scratch, materialise, pieces, read_table, settings
 from .tokens import _LETTERS, LONGEST_KEPT, default_path
 
 #: Stretches (of at most LONGEST_KEPT letters) in the broadcast table; a worker holds some 40 MB of them.
@@ -212,19 +211,6 @@ def _write_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield part.set_column(part.num_columns - 1, "groups", pa.array(group_strings(part.column(part.num_columns - 1)), pa.string()))
 
 
-@contextmanager
-def _settings(spark: SparkSession, **settings: str):
-    """Spark settings for what is planned meanwhile."""
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-
-
 def merged_ends(encoded: DataFrame, key: str = "cid") -> DataFrame:
     """key, end, a, b, g, link_a, link_b: a row for each byte offset at which tokens of either side end.
 
@@ -265,7 +251,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", tex
     no part in the counts. Texts of any length are aligned whole; repeated rows count each; null ids stay null; an
     empty table gives empty ones. Columns are taken by name (names must differ beyond case), others ignored.
     """
-    with _settings(docs.sparkSession, **{"spark.sql.parquet.compression.codec": "zstd"}):
+    with settings(docs.sparkSession, **ZSTD):
         return _align(docs, path_a, path_b, doc_id, text, frequent, broadcast_pairs)
 
 
@@ -295,7 +281,7 @@ def _align(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, fr
         sources = encoded.join(less, "stretch", "left").withColumn("n", F.col("n") - F.coalesce("less", F.lit(0))).drop("less")
 
     ends = merged_ends(encoded.filter("ok"))
-    with _settings(spark, **{"spark.sql.execution.replaceHashWithSortAgg": "true"}):  # rows of a key follow each other already
+    with settings(spark, **{"spark.sql.execution.replaceHashWithSortAgg": "true"}):  # rows of a key follow each other already
         collected = ends.groupBy("cid").agg(
             F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.max("g").alias("n_groups"), F.count("*").alias("n_links"),
             F.collect_list(F.shiftleft(F.col("link_a").cast("bigint"), 32) + F.col("link_b")).alias("links"), F.collect_list(F.struct("a", "b", "g")).alias("rows"),
@@ -309,17 +295,18 @@ def _align(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, fr
 
     links = grouped.filter("n > 0").select("cid", "n", F.explode("links").alias("link"))
     counts = links.groupBy("link").agg(F.sum("n").alias("count"))
-    pairs = materialise(counts.select("link", (F.col("link") % (1 << 32)).cast("int").alias("b"), "count"), "pair-counts")
-    highest = pairs.groupBy("b").agg(F.max("count").alias("highest"))
-    pairs = materialise(pairs.join(highest, "b").select("link", F.shiftright("link", 32).cast("int").alias("a"), "b", "count", (F.col("count") == F.col("highest")).alias("best")), "pairs")
+    counted_pairs = materialise(counts.select("link", (F.col("link") % (1 << 32)).cast("int").alias("b"), "count"), "pair-counts")
+    highest = counted_pairs.groupBy("b").agg(F.max("count").alias("highest"))
+    pairs = materialise(counted_pairs.join(highest, "b").select("link", F.shiftright("link", 32).cast("int").alias("a"), "b", "count", (F.col("count") == F.col("highest")).alias("best")), "pairs")
     scores = pairs.select("link", "count", "best")
     scores = F.broadcast(scores) if pairs.count() <= broadcast_pairs else scores
     summed = links.join(scores, "link").groupBy("cid").agg(F.sum("count").alias("count_sum"), F.count_if("best").alias("n_best"))
     # A stretch's sums and groups as one string, which shuffles at half the size of a row of numbers; a leading 1 tells one that does not come back.
     per = grouped.drop("links").join(summed, "cid", "left")
     packed = F.concat_ws(" ", (~F.col("ok")).cast("int").cast("string"), *[F.coalesce(c, F.lit(0)).cast("string") for c in SUMS], "groups")
-    per = materialise(per.select("cid", "stretch", packed.alias("packed")), "stretch-scores")
+    per = materialise(per.select("cid", "stretch", _halved(packed).alias("packed")), "stretch-scores")
     drop_scratch(grouped)
+    drop_scratch(counted_pairs)
     clear_shuffles(spark)
 
     sums, groups, others = np.zeros((top.num_rows, len(SUMS) + 1), np.int64), [], per
@@ -333,15 +320,29 @@ def _align(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, fr
     shared = spark.sparkContext.broadcast((sums, pa.array(groups, pa.string())))
     key = uuid.uuid4().hex
     wanted = numbered.select("uid", F.posexplode("others").alias("k", "stretch"))
-    rare = wanted.join(others, "stretch").groupBy("uid").agg(F.collect_list(F.concat_ws(" ", "k", "packed")).alias("others"))
+    # Written between both shuffles, so that the disk holds one of them at a time.
+    met = materialise(wanted.join(others, "stretch").select("uid", "k", "packed"), "rare-stretches")
+    drop_scratch(per)
+    rare = met.groupBy("uid").agg(F.collect_list(F.struct("k", "packed")).alias("others"))
     together = numbered.select("uid", "doc_id", "numbers").join(rare, "uid", "left").select("doc_id", "numbers", "others")
     documents = together.mapInArrow(_composer(shared, key), f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in SUMS) + ", groups string")
     return Alignment(documents, pairs.select("a", "b", "count", "best"))
 
 
-def _unpacked(packed: str) -> tuple[list[int], str]:
+#: Signs of packed numbers and groups beside digits, and the hexadecimal digits they are kept as; f fills the last byte.
+_SIGNS, _DIGITS = " ,|;", "abcd"
+_READ = str.maketrans(_DIGITS, _SIGNS)
+
+
+def _halved(packed: Column) -> Column:
+    """Two signs of a packed string a byte."""
+    digits = F.translate(packed, _SIGNS, _DIGITS)
+    return F.unhex(F.when(F.length(digits) % 2 == 1, F.concat(digits, F.lit("f"))).otherwise(digits))
+
+
+def _unpacked(packed: bytes) -> tuple[list[int], str]:
     """The numbers of a stretch, whether it does not come back first, and its groups."""
-    *numbers, groups = packed.split(" ", len(SUMS) + 1)
+    *numbers, groups = packed.hex().rstrip("f").translate(_READ).split(" ", len(SUMS) + 1)
     return list(map(int, numbers)), groups
 
 
@@ -361,8 +362,7 @@ def _composer(shared, key: str):
                         rest: list[str] = [""] * len(others)
                         each = np.zeros((len(others), len(SUMS) + 1), np.int64)
                         for x in others:
-                            k, x = x.split(" ", 1)
-                            each[int(k)], rest[int(k)] = _unpacked(x)
+                            each[x["k"]], rest[x["k"]] = _unpacked(x["packed"])
                         total = total + each[-1 - numbers[numbers < 0]].sum(axis=0)
                         made = [groups[n] if n >= 0 else rest[-1 - n] for n in numbers.tolist()]
                     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from terrafield.llm import lm_score
+from terrafield.llm import alignment, lm_score
 from terrafield.llm.common import materialise
 
 
@@ -34,6 +34,15 @@ def test_lm_scratch_is_packed_and_dropped(spark, make_docs, monkeypatch):
     assert len(made["lm-sums"]) > 1 and sorted(map(tuple, dropped)) == sorted(map(tuple, made["lm-scored"] + made["lm-sums"][:-1]))
 
 
+def test_alignment_packs_two_signs_a_byte(spark):
+    """op11: numbers and groups of a stretch read back whole from half their length."""
+    packed = ["0 3 3 1 5 1 1234567 12345,2345,34521|12345,234;7|8", "0 1 1 1 1 1 7 5|5", "1 0 0 0 0 0 0 ", "0 0 0 0 0 0 0 0|0"]
+    found = spark.createDataFrame([(i, p) for i, p in enumerate(packed)], "i int, p string").select("i", alignment._halved(F.col("p")).alias("p")).collect()
+    for r in found:
+        *numbers, groups = packed[r.i].split(" ", len(alignment.SUMS) + 1)
+        assert alignment._unpacked(bytes(r.p)) == (list(map(int, numbers)), groups) and len(r.p) == (len(packed[r.i]) + 1) // 2
+
+
 def test_shuffles_of_scratch_tables_end_with_the_write(spark):
     """op3, op11: no shuffle file of a written table is left, whether or not garbage was collected."""
     tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
