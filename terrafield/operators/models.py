@@ -150,20 +150,48 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
     return rows.groupBy(*cell).applyInArrow(correct, schema)
 
 
-def edcdf_by_day(gcm: DataFrame, obs: DataFrame, train, value: str, batches: DataFrame, cell: Sequence[str] = CELL, time: str = "time", kind: str | None = None) -> DataFrame:
-    """Equidistant CDF matching in batches of days of the year, each fitted with its buffer; only core days are returned.
+def kind_of(value: str) -> str:
+    """Whether a variable is corrected by ratios or by differences."""
+    return "ratio" if value in RATIO_VARIABLES else "difference"
 
-    ``batches`` has (batch, item, is_core) with item a day of the year (some 1,000 rows); ``train`` is a
-    predicate. A cell's series is gathered once, and the batches are taken out of it.
-    """
-    kind = kind or ("ratio" if value in RATIO_VARIABLES else "difference")
+
+def batches_of(batches: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each batch of (batch, item, is_core) whether a day of the year is one of its items, and of its core."""
     of_batch: dict[int, tuple[set, set]] = {}
     for r in batches.collect():
         items, core = of_batch.setdefault(r.batch, (set(), set()))
         items.add(r.item)
         if r.is_core:
             core.add(r.item)
-    members = [(np.isin(np.arange(367), list(a)), np.isin(np.arange(367), list(b))) for a, b in of_batch.values()]
+    return [(np.isin(np.arange(367), list(a)), np.isin(np.arange(367), list(b))) for a, b in of_batch.values()]
+
+
+def days_of_year(days: np.ndarray) -> np.ndarray:
+    """Days of the year of numpy's days or times, from 1."""
+    return (days.astype("datetime64[D]") - days.astype("datetime64[Y]").astype("datetime64[D]")).astype(int) + 1
+
+
+def equidistant_by_day(members: list[tuple[np.ndarray, np.ndarray]], kind: str, day: np.ndarray, x: np.ndarray, trained: np.ndarray, seen_day: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """A cell's model values corrected batch by batch; fits take the days that observations and the trained model days share. NaN where a batch has no such day."""
+    both = np.intersect1d(seen_day, day[trained])
+    shared, seen_shared = np.isin(day, both), np.isin(seen_day, both)
+    doy, seen_doy = days_of_year(day), days_of_year(seen_day)
+    out = np.full(len(x), np.nan)
+    for items, core in members:
+        inside, theirs = items[doy], items[seen_doy] & seen_shared
+        if theirs.any() and inside.any():
+            mine = core[doy[inside]]
+            out[np.flatnonzero(inside)[mine]] = equidistant_cdf(x[inside & shared], seen[theirs], x[inside], kind)[mine]
+    return out
+
+
+def edcdf_by_day(gcm: DataFrame, obs: DataFrame, train, value: str, batches: DataFrame, cell: Sequence[str] = CELL, time: str = "time", kind: str | None = None) -> DataFrame:
+    """Equidistant CDF matching in batches of days of the year, each fitted with its buffer; only core days are returned.
+
+    ``batches`` has (batch, item, is_core) with item a day of the year (some 1,000 rows); ``train`` is a
+    predicate. A cell's series is gathered once, and the batches are taken out of it.
+    """
+    kind, members = kind or kind_of(value), batches_of(batches)
     part = lambda df, role, trained: df.filter(F.col(value).isNotNull()).select(time, *cell, F.col(value).cast("double").alias("_x"), F.lit(role).alias("_role"), trained.alias("_train"))
     rows = part(gcm, 0, train).union(part(obs.filter(train), 1, F.lit(True)))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
@@ -171,16 +199,9 @@ def edcdf_by_day(gcm: DataFrame, obs: DataFrame, train, value: str, batches: Dat
 
     def correct(rows: pd.DataFrame) -> pd.DataFrame:
         role, x, trained = rows["_role"].to_numpy(), rows["_x"].to_numpy(), rows["_train"].to_numpy().astype(bool)
-        when = pd.to_datetime(rows[time])
-        day, doy = when.to_numpy(), when.dt.dayofyear.to_numpy()
-        shared = np.isin(day, np.intersect1d(day[role == 1], day[(role == 0) & trained]))
+        day, model, seen = pd.to_datetime(rows[time]).to_numpy(), role == 0, role == 1
         out = np.full(len(rows), np.nan)
-        for items, core in members:
-            inside = items[doy]
-            model, seen = inside & (role == 0), inside & (role == 1) & shared
-            if seen.any() and model.any():
-                mine = core[doy[model]]
-                out[np.flatnonzero(model)[mine]] = equidistant_cdf(x[model & shared], x[seen], x[model], kind)[mine]
+        out[model] = equidistant_by_day(members, kind, day[model], x[model], trained[model], day[seen], x[seen])
         found = rows[[time, *cell]].copy()
         found[value] = out
         return found[~np.isnan(out)]
@@ -385,20 +406,62 @@ def analog_days(gcm: DataFrame, obs: DataFrame, value: str, n_analogs: int = 10,
 def construct_analogs(gcm: DataFrame, obs_coarse: DataFrame, obs_fine: DataFrame, weights: DataFrame, value: str, n_analogs: int = 10, doy_range: int = 45, cell: Sequence[str] = CELL, time: str = "time", by: Sequence[str] = ()) -> DataFrame:
     """Fine-grid fields: each model day as a regression on its analogs' coarse fields, applied to their fine fields, plus its regridded residual.
 
-    With ``by`` (a region's column in all three tables) each region is constructed by itself.
+    Days' regressions (a row a day) are shared with all tasks, and each tile of the fine grid is sent its own rows and the coarse residuals that reach it
+    (``grid.on_tiles``): no row is made of a day, an analog and a cell. Fine values that are null are left out. With ``by`` (a region's column
+    in all three tables) each region is constructed by itself, by joins.
     """
     from ..sources.scratch import written
-    from .grid import regrid
+    from .grid import on_tiles, regrid
 
     fitted = written(analog_fits(gcm, obs_coarse, value, n_analogs, doy_range, cell, time, by), "analogs")  # a row a day
-    left = fitted.select(*by, F.col("gcm_day").alias(time), F.inline("residuals"))
-    residual = regrid(left, weights, ["residual"], (time, *by))
+    left = fitted.select(*by, F.col("gcm_day").alias(time), F.inline("residuals")).withColumnRenamed("residual", value)
+    if not by:
+        shared = gcm.sparkSession.sparkContext.broadcast(analog_rows(fitted))
+
+        def series(tables):
+            (days, *_), _ = tables
+            x, there = analog_series(shared.value, *tables)
+            day, at = np.nonzero(there)
+            return days[day], at, [x[day, at]]
+
+        return on_tiles([left], [obs_fine], weights, value, series, [value], time, *cell)
+    residual = regrid(left, weights, [value], (time, *by)).withColumnRenamed(value, "residual")
     days = fitted.select(*by, "gcm_day", "intercept", F.explode(F.arrays_zip("obs_days", "coefficients")).alias("z")).select(*by, "gcm_day", "intercept", F.col("z.obs_days").alias("obs_day"), F.col("z.coefficients").alias("w"))
     fine = days.join(obs_fine.select(*by, F.col(time).alias("obs_day"), *cell, F.col(value).alias("f")), [*by, "obs_day"])
     summed = fine.groupBy(*by, F.col("gcm_day").alias(time), *cell).agg((F.sum(F.col("w") * F.col("f")) + F.first("intercept")).alias(value))
     return summed.join(residual, [time, *by, *cell]).select(time, *by, *cell, (F.col(value) + F.col("residual")).alias(value))
 
 
+def analog_rows(fitted: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fits of ``analog_fits`` (a row a day, some thousands) as arrays in order of days: days, their analogs' days (not a time where there are fewer), coefficients, intercepts."""
+    rows = fitted.select("gcm_day", "intercept", "obs_days", "coefficients").toArrow().sort_by("gcm_day")
+    size = rows["obs_days"].combine_chunks().value_lengths().to_numpy() if len(rows) else np.zeros(0, int)
+    flat = [rows[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("obs_days", "coefficients")]
+    shape = len(size), int(size.max(initial=0))
+    of, w = np.full(shape, np.datetime64("NaT"), flat[0].dtype), np.zeros(shape)
+    inside = np.arange(shape[1]) < size[:, None]
+    of[inside], w[inside] = flat
+    return rows["gcm_day"].to_numpy(), of, w, rows["intercept"].to_numpy()
+
+
+def analog_series(fits: tuple, left: tuple, fine: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """A tile's constructed days as a matrix of days and cells, and where it has values: where one of a day's analogs has the cell and a residual reaches it.
+
+    ``left`` and ``fine`` are series of ``grid.on_tiles``: the regridded residuals and the fine observations.
+    """
+    gcm_day, of, w, intercept = fits
+    (days, rest, has), (own, f, seen) = left, fine
+    row = np.searchsorted(gcm_day, days)
+    total, there = np.zeros(rest.shape), np.zeros(rest.shape, bool)
+    for k in range(of.shape[1] if len(own) else 0):
+        day = of[row, k]
+        at = np.minimum(np.searchsorted(own, day), len(own) - 1)
+        on = seen[at] & (own[at] == day)[:, None]
+        total[on] += (w[row, k][:, None] * f[at])[on]
+        there |= on
+    return total + intercept[row][:, None] + rest, there & has
+
+
 # ---------------------------------------------------------------- convolutional super-resolution
 
 

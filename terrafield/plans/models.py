@@ -23,7 +23,7 @@ CELL = A.CELL
 def _parts(spark, sf):
     """Coarse observations, the model's history (before 1999) and its projection."""
     g = gcm(spark, sf).withColumn("pr", F.col("pr") / F.lit(10000.0))
-    return G.coarsen(obs(spark, sf), 2, ["pr"]), g.filter(F.year("time") < 1999), g.filter(F.year("time") >= 1999)
+    return G.coarsen(obs(spark, sf), 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), g.filter(F.year("time") < 1999), g.filter(F.year("time") >= 1999)
 
 
 def _weights(spark, sf):
