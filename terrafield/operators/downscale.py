@@ -119,25 +119,56 @@ def maca(obs: DataFrame, model: DataFrame, historical: Column, predict: Column,
     Coarse days are corrected against coarse observations, the slow trend is taken out, analogs are
     constructed (region by region, if ``regions`` has cells' region_id on both grids as ``coarse``
     true or false), the trend is put back, and the fine days are corrected against fine observations. The
-    historical days are downscaled too, since that last correction is fitted to them.
+    historical days are downscaled too, since that last correction is fitted to them. Both predicates are of ``time`` alone.
+
+    Without regions all steps on the fine grid are taken tile by tile (``grid.on_tiles``), to which only fine observations and the
+    coarse residuals and trends are sent.
     """
     spark = obs.sparkSession
     batches = C.generate_batches(366, 15, 15, spark, one_indexed=True)
-    coarse = G.regrid(obs, to_coarse, [value])
+    coarse = written(G.regrid(obs.filter(historical), to_coarse, [value]), "maca-coarse")
     corrected = written(M.edcdf_by_day(model, coarse, historical, value, batches), "maca-corrected")
     trend = written(C.epoch_trend(corrected, value, historical, day_window, year_window), "maca-trend")
     still = corrected.join(trend, ["time", *CELL]).select("time", *CELL, (F.col(value) - F.col("trend")).alias(value))
-    tables, by = [still.filter(historical | predict), coarse.filter(historical), obs.filter(historical).select("time", *CELL, value)], ()
-    if regions is not None:
-        by = ("region_id",)
-        own = lambda is_coarse: regions.filter(F.col("coarse") == is_coarse).select(*CELL, "region_id")
-        tables = [t.join(own(k < 2), list(CELL)) for k, t in enumerate(tables)]
+    tables, by = [still.filter(historical | predict), coarse, obs.filter(historical).select("time", *CELL, value)], ()
+    if regions is None:
+        return _maca_on_tiles(*tables, trend, historical, predict, to_fine, value, n_analogs, doy_range, batches)
+    by = ("region_id",)
+    own = lambda is_coarse: regions.filter(F.col("coarse") == is_coarse).select(*CELL, F.col("region_id").alias("region_id"))  # noqa: E731  # a column of its own for each table
+    tables = [t.join(own(k < 2), list(CELL)) for k, t in enumerate(tables)]
     analogs = M.construct_analogs(*tables, to_fine, value, n_analogs, doy_range, by=by).drop(*by)
     fine_trend = G.regrid(trend, to_fine, ["trend"])
     fine = analogs.join(fine_trend, ["time", *CELL]).select("time", *CELL, (F.col(value) + F.col("trend")).alias(value))
     return M.edcdf_by_day(fine, obs, historical, value, batches).filter(predict)
 
 
+def _maca_on_tiles(still: DataFrame, coarse: DataFrame, obs: DataFrame, trend: DataFrame, historical: Column, predict: Column, to_fine: DataFrame, value: str, n_analogs: int, doy_range: int, batches: DataFrame) -> DataFrame:
+    """``maca`` from the coarse days on: analogs, trend and last correction of a tile's cells at once."""
+    fitted = written(M.analog_fits(still, coarse, value, n_analogs, doy_range), "analogs")  # a row a day
+    days = fitted.select(F.col("gcm_day").alias("time")).select("time", F.coalesce(historical, F.lit(False)).alias("a"), F.coalesce(predict, F.lit(False)).alias("b")).toArrow().sort_by("time")
+    flags = [days[c].to_numpy() for c in ("a", "b")]
+    shared = obs.sparkSession.sparkContext.broadcast((M.analog_rows(fitted), *flags))
+    members, kind = M.batches_of(batches), M.kind_of(value)
+
+    def series(tables):
+        fits, past, wanted = shared.value
+        left, (when, slow, has_slow), (own, f, seen) = tables
+        x, there = M.analog_series(fits, left, tables[2])
+        day, a, b = np.intersect1d(left[0], when, return_indices=True)
+        x, there = x[a] + slow[b], there[a] & has_slow[b]
+        at = np.searchsorted(fits[0], day)
+        trained, wanted = past[at], wanted[at]
+        out = np.full(x.shape, np.nan)
+        for c in np.flatnonzero(there.any(axis=0) & seen.any(axis=0)):
+            mine, theirs = there[:, c], seen[:, c]
+            out[mine, c] = M.equidistant_by_day(members, kind, day[mine], x[mine, c], trained[mine], own[theirs], f[theirs, c])
+        k, cell = np.nonzero(~np.isnan(out) & wanted[:, None])
+        return day[k], cell, [out[k, cell]]
+
+    left = fitted.select(F.col("gcm_day").alias("time"), F.inline("residuals")).withColumnRenamed("residual", value)
+    return G.on_tiles([left, trend.withColumnRenamed("trend", value)], [obs], to_fine, value, series, [value])
+
+
 def maca_variables(obs: DataFrame, model: DataFrame, values: Sequence[str], *settings, **more) -> DataFrame:
     """``maca`` for several variables, side by side; ``settings`` are its others in order."""
     from ..sources.sinks import combine_variables
