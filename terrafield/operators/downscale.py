@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,15 +199,42 @@ def deepsd(predict: DataFrame, hist: DataFrame, obs: DataFrame, to_fine: DataFra
 
     ``network`` has the trained stages (``sources.networks``), each doubling the grid, with an elevation
     matrix of the finer grid each; its days are maps with all rows of the coarse grid, which is half
-    the size of the first matrix. Without a network the fields are regridded by ``to_fine``.
+    the size of the first matrix. Without a network the fields are regridded by ``to_fine``. Fine maps are cut into tiles, which
+    meet the observations of their cells; no row is a cell of a day before it is corrected.
     """
     scores = A.z_score_against(predict, hist, value)
+    floor = 0.0 if value == "pr" else None
     if network is None:
-        fine = G.regrid(scores, to_fine, [value])
-    else:
-        height, width = (n // 2 for n in elevations[0].shape)
-        scaled = [(e - e.mean()) / (e.std() + 1e-6) for e in elevations]
-        fine = cells_of(M.super_resolve(maps_of(scores, value, height, width), scaled, network), value)
-    back = A.rescale(fine, obs, value, floor=0.0 if value == "pr" else None)
-    corrected = M.bias_correct(back, obs, back, value, "quantile_mapper")
-    return on_land(corrected, value, land)
+        back = A.rescale(G.regrid(scores, to_fine, [value]), obs, value, floor=floor)
+        return on_land(M.bias_correct(None, obs, back, value, "quantile_mapper"), value, land)
+    height, width = (n // 2 for n in elevations[0].shape)
+    scaled = [(e - e.mean()) / (e.std() + 1e-6) for e in elevations]
+    tiles = M.resolved_tiles(scores, value, height, width, scaled, network)
+    block = lambda c: F.floor(F.col(c) / G.TILE).cast("int")
+    lat, lon = CELL
+    seen = obs.filter(F.col(value).isNotNull()).select(block(lat).alias("_y"), block(lon).alias("_x"), lat, lon, F.col(value).cast("double").alias("_o"))
+    kinds = {f.name: f.dataType.simpleString() for f in predict.schema.fields}
+
+    def correct(tiles: pa.Table, seen: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        if len(tiles) and len(seen):
+            x = tiles["_v"].combine_chunks().flatten().to_numpy().reshape(len(tiles), -1)
+            y, across = seen[lat].to_numpy(), seen[lon].to_numpy()
+            top, start, wide = tiles["_y"][0].as_py() * G.TILE, tiles["_x"][0].as_py() * G.TILE, tiles["_w"][0].as_py()
+            known = (y >= top) & (y < top + x.shape[1] // wide) & (across >= start) & (across < start + wide)
+            cell, o = ((y - top) * wide + across - start)[known], seen["_o"].to_numpy()[known]
+            order = np.argsort(cell, kind="stable")
+            cells, first = np.unique(cell[order], return_index=True)
+            for c, own in zip(cells, np.split(o[order], first[1:])):
+                back = x[:, c] * (own.std() + 1e-6) + own.mean()
+                back = back if floor is None else np.maximum(back, floor)
+                found.append((top + c // wide, start + c % wide, M.quantile_mapper(own, back)))
+        days = tiles["time"].combine_chunks()
+        columns = [pa.concat_arrays([days] * len(found)) if found else days.slice(0, 0), *[pa.array(np.repeat([r[n] for r in found], len(days)).astype("int64")).cast(index) for n in (0, 1)], pa.array(np.concatenate([r[2] for r in found]) if found else np.zeros(0))]
+        return pa.Table.from_arrays(columns, names=["time", lat, lon, value])
+
+    index = {"int": pa.int32(), "bigint": pa.int64()}[kinds[lat]]
+    # As many tasks as shuffles have: a tile takes time for its cells, of which its bytes say little.
+    n = int(predict.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = tiles.repartition(n, "_y", "_x").groupBy("_y", "_x").cogroup(seen.groupBy("_y", "_x")).applyInArrow(correct, f"time {kinds['time']}, {lat} {kinds[lat]}, {lon} {kinds[lon]}, {value} double")
+    return on_land(out, value, land)

@@ -114,11 +114,12 @@ def fit_predict(train: DataFrame, predict: DataFrame, function: Callable[[pd.Dat
     return train.groupBy(*keys).cogroup(predict.groupBy(*keys)).applyInPandas(function, schema)
 
 
-def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str, method: str, cell: Sequence[str] = CELL, time: str = "time", by_month: bool = False, **settings) -> DataFrame:
+def bias_correct(hist: DataFrame | None, obs: DataFrame, predict: DataFrame, value: str, method: str, cell: Sequence[str] = CELL, time: str = "time", by_month: bool = False, **settings) -> DataFrame:
     """The prediction's values corrected cell by cell; the same columns come back.
 
     Cells without history, observations or prediction, and null values, are left out. With
     ``by_month`` each calendar month is corrected by itself. A group is a cell's series, as columns of Arrow.
+    Without ``hist`` the prediction is its own history.
     """
     if method not in SERIES:
         raise NotImplementedError(method)
@@ -128,7 +129,9 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
         month = [F.month(time).alias("_month")] if by_month else []
         return df.filter(F.col(value).isNotNull()).select(F.lit(role).alias("_role"), *cell, day.alias(time), F.col(value).cast("double").alias("_x"), *month)
 
-    rows = part(hist, 0).union(part(obs, 1)).union(part(predict, 2))
+    rows = part(obs, 1).union(part(predict, 2))
+    rows = rows if hist is None else part(hist, 0).union(rows)
+    past = 2 if hist is None else 0
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"{c} {kinds[c]}" for c in (time, *cell)) + f", {value} double"
 
@@ -139,7 +142,7 @@ def bias_correct(hist: DataFrame, obs: DataFrame, predict: DataFrame, value: str
         out = np.full(len(x), np.nan)
         done = np.zeros(len(x), bool)
         for month in np.unique(months):
-            h, o, p = (np.flatnonzero((role == k) & (months == month)) for k in range(3))
+            h, o, p = (np.flatnonzero((role == k) & (months == month)) for k in (past, 1, 2))
             if len(h) and len(o) and len(p):
                 p = p[np.argsort(t[p], kind="stable")]
                 out[p] = SERIES[method](x[h], x[o], x[p], np.floor(t[p]), **settings)
@@ -469,20 +472,73 @@ def analog_series(fits: tuple, left: tuple, fine: tuple) -> tuple[np.ndarray, np
 BAND_ROWS = 64
 
 
+def convolved(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """A same-padded convolution of channels (height, width, in) by a kernel (k, k, in, out), band by band."""
+    k = kernel.shape[0]
+    padded = np.pad(x, ((k // 2, k // 2), (k // 2, k // 2), (0, 0)))
+    windows = np.lib.stride_tricks.sliding_window_view(padded, (k, k), axis=(0, 1))
+    return np.concatenate([np.einsum("hwcij,ijco->hwo", windows[a : a + BAND_ROWS], kernel, optimize=True) for a in range(0, len(windows), BAND_ROWS)])
+
+
 def srcnn(image: np.ndarray, elevation: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """A forward pass over two channels: same-padded convolutions, rectified but for the last. ``layers``: kernels (k, k, in, out) and biases."""
     x = np.stack([image, elevation], axis=-1)
     for n, (kernel, bias) in enumerate(layers):
-        k = kernel.shape[0]
-        padded = np.pad(x, ((k // 2, k // 2), (k // 2, k // 2), (0, 0)))
-        windows = np.lib.stride_tricks.sliding_window_view(padded, (k, k), axis=(0, 1))
-        bands = [np.einsum("hwcij,ijco->hwo", windows[a : a + BAND_ROWS], kernel, optimize=True) for a in range(0, len(windows), BAND_ROWS)]
-        x = np.concatenate(bands) + bias
+        x = convolved(x, kernel) + bias
         if n < len(layers) - 1:
             x = np.maximum(x, 0)
     return x[..., 0]
 
 
+def srcnn_above(elevation: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]) -> Callable[[np.ndarray], np.ndarray]:
+    """``srcnn`` over one elevation: what its channel adds to the first layer is the same for all images, and is taken once."""
+    (kernel, bias), *rest = layers
+    steady = convolved(elevation[..., None], kernel[:, :, 1:]) + bias
+
+    def run(image: np.ndarray) -> np.ndarray:
+        x = convolved(image[..., None], kernel[:, :, :1]) + steady
+        for kernel_, bias_ in rest:
+            x = convolved(np.maximum(x, 0), kernel_) + bias_
+        return x[..., 0]
+
+    return run
+
+
+def resolved_tiles(df: DataFrame, value: str, height: int, width: int, elevations: list[np.ndarray], stages: list[list[tuple[np.ndarray, np.ndarray]]], tile: int | None = None, cell: Sequence[str] = CELL, time: str = "time") -> DataFrame:
+    """Rows of days and coarse cells (as ``downscale.maps_of`` takes them) by stacked super-resolution as tiles of the finest grid.
+
+    Returns time, _y, _x (the tile), _w (its width) and _v, its values row by row. A group is one day's coarse field.
+    """
+    from .grid import TILE
+
+    tile = tile or TILE
+    shared = df.sparkSession.sparkContext.broadcast((elevations, stages))
+    kind, lat, lon = df.schema[time].dataType.simpleString(), *cell
+    fields = [("_y", pa.int32()), ("_x", pa.int32()), ("_w", pa.int32()), ("_v", pa.list_(pa.float64()))]
+    nets: list[Callable] = []
+
+    def run(rows: pa.Table) -> pa.Table:
+        if not nets:
+            nets.extend(srcnn_above(e, net) for e, net in zip(*shared.value))
+        y, row = np.unique(rows[lat].to_numpy(), return_inverse=True)
+        out: list[tuple] = []
+        if len(y) == height:
+            x = rows[lon].to_numpy()
+            inside, image = (x >= 0) & (x < width), np.zeros((height, width))
+            image[row[inside], x[inside]] = rows["_v"].to_numpy()[inside]
+            for net in nets:
+                image = net(upsample2(image))
+            parts = [(a, b, image[a * tile : (a + 1) * tile, b * tile : (b + 1) * tile]) for a in range(-(-image.shape[0] // tile)) for b in range(-(-image.shape[1] // tile))]
+            out = [(a, b, p.shape[1], p.ravel()) for a, b, p in parts]
+        columns = [pa.array([r[n] for r in out], k) for n, (_, k) in enumerate(fields)]
+        return pa.Table.from_arrays([pa.repeat(rows[time][0], len(out)), *columns], names=[time, *(c for c, _ in fields)])
+
+    rows = df.filter(F.col(value).isNotNull()).select(time, lat, lon, F.col(value).cast("double").alias("_v"))
+    # Days take the time of their fine fields, and few bytes: as many tasks as shuffles have.
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), time)
+    return rows.groupBy(time).applyInArrow(run, f"{time} {kind}, _y int, _x int, _w int, _v array<double>")
+
+
 def upsample2(image: np.ndarray) -> np.ndarray:
     """Bilinear doubling with cell centres, edges held."""
 
