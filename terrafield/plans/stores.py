@@ -248,7 +248,7 @@ def _(spark, sf):
 @query("r06_cell_centres", f"WITH {OBS}, n AS (SELECT {WIDTH} AS w), d AS (SELECT unnest([0, 1]) AS k) SELECT time, (lat_i - a.k)::INT AS lat_i, (lon_i - b.k)::INT AS lon_i, round(avg(pr) + 1e-8, 6) AS pr FROM obs, n, d a, d b WHERE lat_i - a.k BETWEEN 0 AND w - 2 AND lon_i - b.k BETWEEN 0 AND w - 2 GROUP BY time, lat_i - a.k, lon_i - b.k")
 def _(spark, sf):
     edges = [float(i) for i in range(grid_width(spark, sf))]
-    return G.shift_to_centres(obs(spark, sf), edges, edges, ["pr"], 1.0).select("time", *CELL, r6(F.col("pr") + F.lit(1e-8), "pr"))
+    return G.shift_to_centres(obs(spark, sf), edges, edges, ["pr"], 1.0, tasks=tasks(spark, sf, "lineitem")).select("time", *CELL, r6(F.col("pr") + F.lit(1e-8), "pr"))
 
 
 @query("r10_observed_subset", f"WITH {OBS} SELECT time, lat_i, lon_i, pr FROM obs WHERE year(time) BETWEEN 1993 AND 1995 AND lat_i BETWEEN 1 AND 4 AND lon_i BETWEEN 2 AND 6")
