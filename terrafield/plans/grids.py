@@ -357,7 +357,7 @@ def _bilinear_weights(spark, sf):
 
 @query("r01_bilinear", f"WITH {GCM}, {_LINEAR} SELECT time, a.dst AS lat_i, b.dst AS lon_i, round(sum(a.w * b.w * pr) / sum(a.w * b.w) + 1e-6, 4) AS pr FROM gcm JOIN lin a ON a.src = lat_i JOIN lin b ON b.src = lon_i GROUP BY ALL")
 def _(spark, sf):
-    return G.regrid(gcm(spark, sf), _bilinear_weights(spark, sf), ["pr"]).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-6), 4).alias("pr"))
+    return G.regrid(gcm(spark, sf), _bilinear_weights(spark, sf), ["pr"], tasks=tasks(spark, sf, "orders")).select("time", *CELL, F.round(F.col("pr") + F.lit(1e-6), 4).alias("pr"))
 
 
 @query("r03_conservative", f"WITH {OBS}, {_COARSE} SELECT time, lat_i, lon_i, round(pr, 6) AS pr FROM coarse")
@@ -369,7 +369,7 @@ def _(spark, sf):
 
 @query("r04_coarsen_interpolate", f"WITH {OBS}, {_COARSE}, {_LINEAR} SELECT time, a.dst AS lat_i, b.dst AS lon_i, round(sum(a.w * b.w * pr) / sum(a.w * b.w), 6) AS pr FROM coarse JOIN lin a ON a.src = lat_i JOIN lin b ON b.src = lon_i GROUP BY ALL")
 def _(spark, sf):
-    return G.regrid(G.coarsen(obs(spark, sf), 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), _bilinear_weights(spark, sf), ["pr"]).select("time", *CELL, r6("pr", "pr"))
+    return G.regrid(G.coarsen(obs(spark, sf), 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), _bilinear_weights(spark, sf), ["pr"], tasks=tasks(spark, sf, "lineitem")).select("time", *CELL, r6("pr", "pr"))
 
 
 @query("r07_weights", f"WITH {_LINEAR} SELECT a.dst AS dst_lat, b.dst AS dst_lon, a.src AS src_lat, b.src AS src_lon, round(a.w * b.w, 6) AS w FROM lin a, lin b")
@@ -425,7 +425,7 @@ def _(spark, sf):
     from ..operators.downscale import spatial_anomalies
 
     o = obs(spark, sf)
-    interpolated = G.regrid(G.coarsen(o, 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), _bilinear_weights(spark, sf), ["pr"])
+    interpolated = G.regrid(G.coarsen(o, 2, ["pr"], tasks=tasks(spark, sf, "lineitem")), _bilinear_weights(spark, sf), ["pr"], tasks=tasks(spark, sf, "lineitem"))
     return spatial_anomalies(o, interpolated, "pr").select("month", *CELL, r6(nudged("anomaly"), "anomaly"))
 
 
