@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import grid as G
 from ..sources import chunks
-from ..sources.cube import OBS, obs
+from ..sources.cube import OBS, obs, tasks
 from ..sources.scratch import scratch
 from .registry import query, r6
 
@@ -23,7 +23,7 @@ def _(spark, sf):
 
 @query("s10_array_pyramid", f"WITH {OBS}, l AS (SELECT unnest([1, 2])::INT AS level) SELECT level, time, (lat_i // (4 >> level))::INT AS y, (lon_i // (4 >> level))::INT AS x, round(avg(pr) + 1e-8, 6) AS pr FROM obs, l GROUP BY ALL")
 def _(spark, sf):
-    path, levels = scratch(spark, "array-pyramid"), G.pyramid(obs(spark, sf), 3, "pr")
+    path, levels = scratch(spark, "array-pyramid"), G.pyramid(obs(spark, sf), 3, "pr", tasks=tasks(spark, sf, "lineitem"))
     for level in (1, 2):
         chunks.write_chunks(levels.filter(F.col("level") == level), path, {"time": 400, "y": 8, "x": 8}, ["pr"], group=str(level))
     read = [chunks.read_chunks(spark, path, group=str(level)).withColumn("level", F.lit(level)) for level in (1, 2)]

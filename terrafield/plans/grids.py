@@ -379,7 +379,7 @@ def _(spark, sf):
 
 @query("r08_pyramid", f"WITH {OBS}, l AS (SELECT unnest(range(0, 3)) AS level), p AS (SELECT time, level, (lat_i // pow(2, 2 - level)::INT)::INT AS y, (lon_i // pow(2, 2 - level)::INT)::INT AS x, pr FROM obs, l) SELECT time, level::INT AS level, y, x, round(avg(pr), 6) AS pr, (y // 2)::INT AS tile_y, (x // 2)::INT AS tile_x FROM p GROUP BY ALL")
 def _(spark, sf):
-    return G.pyramid(obs(spark, sf), 3, "pr", tile=2).withColumn("pr", F.round("pr", 6))
+    return G.pyramid(obs(spark, sf), 3, "pr", tile=2, tasks=tasks(spark, sf, "lineitem")).withColumn("pr", F.round("pr", 6))
 
 
 @query("r12_patches", f"WITH {OBS}, o AS (SELECT y, x FROM (SELECT unnest(range(0, {WIDTH} - 4 + 1, 2)) AS y), (SELECT unnest(range(0, {WIDTH} - 4 + 1, 2)) AS x)), m AS (SELECT date_trunc('month', time)::DATE AS time, lat_i, lon_i, sum(pr) AS pr FROM obs GROUP BY ALL) SELECT time, y::INT AS y0, x::INT AS x0, sum(pr) AS total FROM m JOIN o ON lat_i BETWEEN y AND y + 3 AND lon_i BETWEEN x AND x + 3 GROUP BY ALL HAVING count(*) = 16")

@@ -11,7 +11,7 @@ from ..operators import calendar as C
 from ..operators import grid as G
 from ..operators import select as X
 from ..sources import catalog, readers, sinks
-from ..sources.cube import CELLS, CITIES, GCM, OBS, WIDTH, cells, cities, gcm, grid_width, obs, table
+from ..sources.cube import CELLS, CITIES, GCM, OBS, WIDTH, cells, cities, gcm, grid_width, obs, table, tasks
 from .grids import _LINEAR
 from .models import _scratch
 from .registry import query, r6
@@ -60,7 +60,7 @@ def _(spark, sf):
 
 @query("s10_pyramid_level", f"WITH {OBS} SELECT time, (lat_i // 2)::INT AS y, (lon_i // 2)::INT AS x, round(avg(pr), 6) AS pr FROM obs GROUP BY time, lat_i // 2, lon_i // 2")
 def _(spark, sf):
-    path = sinks.write_pyramid(G.pyramid(obs(spark, sf), 3, "pr", tile=2), _scratch(spark) + "/pyramid")
+    path = sinks.write_pyramid(G.pyramid(obs(spark, sf), 3, "pr", tile=2, tasks=tasks(spark, sf, "lineitem")), _scratch(spark) + "/pyramid")
     return readers.read_level(spark, path, 1).select("time", "y", "x", r6("pr", "pr"))
 
 
